@@ -57,8 +57,8 @@ class Table:
             self.slots[at] = entry
 
 
-def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (..., h, content, uid) to (..., uid, rep): rep is the first row of this task's table with the same content.
+def _local(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
+    """Rows (..., h, content, uid) to (..., uid, name), which is the first row of this task's table with the same content.
 
     The table starts afresh at LOCAL_BYTES, so a task's memory is bounded; later stages join what it kept apart.
     """
@@ -77,7 +77,7 @@ def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out.append(reps[entry])
         columns = [*batch.columns[: n - 3], uids, pa.array(out, pa.int64())]
         names = batch.schema.names
-        yield pa.record_batch(columns, [*names[: n - 3], names[-1], "rep"])
+        yield pa.record_batch(columns, [*names[: n - 3], names[-1], name])
 
 
 def _grace(rows: Iterator[tuple[int, int, bytes]], folder: str, shift: int, held: list, size: int) -> Iterator[list[tuple[int, int]]]:
@@ -151,7 +151,7 @@ def groups(docs: DataFrame, content: str = "text", key: str = "doc_id") -> tuple
         return F.shiftrightunsigned(F.xxhash64(c), 64 - HASH_BITS)
 
     wide = docs.select("*", hashed(normal(content)).alias(fresh(docs, "_h")), F.encode(normal(content), "UTF-8").alias(fresh(docs, "_content")), F.monotonically_increasing_id().alias(uid))
-    rows = stage(wide.mapInArrow(_local, f"{types}, `{uid}` long, rep long").toDF(*docs.columns, uid, rep), "dedup-rows")
+    rows = stage(wide.mapInArrow(lambda batches: _local(batches, rep), f"{types}, `{uid}` long, `{rep}` long"), "dedup-rows")
     slim = rows.select(F.col(uid).alias("_uid"), F.col(rep).alias("rep"), F.col(key).alias("id"), normal(content).alias("text"))
     reps = slim.filter("_uid = rep").select("rep", hashed("text").alias("h"), F.encode("text", "UTF-8").alias("content"))
     roots = stage(reps.repartition("h").mapInArrow(_buckets, "rep long, root long"), "dedup-roots")

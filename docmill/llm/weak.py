@@ -43,7 +43,9 @@ class Trust:
 PRIOR = {"hit": (8.0, 8.0), "clear": (198.0, 2.0), "share": (2.0, 18.0)}
 #: The most false alarms of a voter among good documents. Each looks for one kind of defect, with limits that good texts
 #: hardly reach; without this bound, a defect that only one voter sees is taken for that voter's errors.
-FALSE_ALARMS = 0.002
+FALSE_ALARMS = 0.001
+#: The most that a hit rate may be: a voter looks for one of several kinds of defect, so its good votes say little.
+MOST_HITS = 0.5
 
 
 def fit(patterns: np.ndarray, counts: np.ndarray, steps: int = 200, tolerance: float = 1e-7) -> Trust:
@@ -59,7 +61,7 @@ def fit(patterns: np.ndarray, counts: np.ndarray, steps: int = 200, tolerance: f
         share = (in_bad.sum() + PRIOR["share"][0]) / (counts.sum() + sum(PRIOR["share"]))
         clear = np.maximum(clear, 1 - FALSE_ALARMS)
         # a voter that would be worse than none is taken as none
-        hit = np.maximum(hit, 1 - clear)
+        hit = np.minimum(np.maximum(hit, 1 - clear), MOST_HITS)
         new = Trust(float(share), hit, clear)
         moved = max(abs(new.share - trust.share), np.abs(new.hit - trust.hit).max(), np.abs(new.clear - trust.clear).max())
         trust = new
