@@ -115,7 +115,7 @@ def check_source(src: DataFrame, dst: DataFrame, id: str, fields: list[str]) ->
 
 def quality_metrics(df: DataFrame, cols: list[str], valid: dict[str, Column]) -> DataFrame:
     """Completeness and validity of each column in percent, and a grade by 90 and 80."""
-    parts = [F.struct(F.lit(c).alias("column_name"), F.round(100 * F.count(c) / F.count("*"), 2).alias("completeness"), F.round(100 * F.count_if(valid.get(c, F.lit(True)) & F.col(c).isNotNull()) / F.count(c), 2).alias("validity")) for c in cols]
+    parts = [F.struct(F.lit(c).alias("column_name"), F.round(F.try_divide(100 * F.count(c), F.count("*")), 2).alias("completeness"), F.round(F.try_divide(100 * F.count_if(valid.get(c, F.lit(True)) & F.col(c).isNotNull()), F.count(c)), 2).alias("validity")) for c in cols]
     rows = df.agg(F.array(*parts).alias("_a")).select(F.explode("_a").alias("_x")).select("_x.*")
     least = F.least("completeness", "validity")
     return rows.withColumn("grade", F.when(least >= 90, "good").when(least >= 80, "fair").otherwise("poor"))
@@ -131,7 +131,7 @@ def report(found: DataFrame, total: DataFrame) -> DataFrame:
     """Per table and check: findings, documents with one, and their share of all documents."""
     n = total.agg(F.count("*").alias("_n"))
     by = found.groupBy("table_name", "check").agg(F.count("*").alias("findings"), F.countDistinct("doc_id").alias("documents"))
-    return by.crossJoin(F.broadcast(n)).select("table_name", "check", "findings", "documents", F.round(100.0 * F.col("documents") / F.col("_n"), 2).alias("pct"))
+    return by.crossJoin(F.broadcast(n)).select("table_name", "check", "findings", "documents", F.round(F.try_divide(100.0 * F.col("documents"), F.col("_n")), 2).alias("pct"))
 
 
 def check_unique(df: DataFrame, keys: list[str]) -> DataFrame:

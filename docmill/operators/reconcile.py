@@ -17,7 +17,7 @@ def gap(source: DataFrame, log: DataFrame, scores: DataFrame, id: str) -> DataFr
     both = source.select(id).join(logged, id, "left").join(scored, id, "left")
     n, done = F.count("*"), F.count("_l")
     return both.agg(
-        n.alias("source_rows"), done.alias("logged"), (n - done).alias("gap"), F.round(100.0 * (n - done) / n, 2).alias("gap_pct"),
+        n.alias("source_rows"), done.alias("logged"), (n - done).alias("gap"), F.round(F.try_divide(100.0 * (n - done), n), 2).alias("gap_pct"),
         F.min(F.when(F.col("_l").isNull(), F.col(id))).alias("gap_min"), F.max(F.when(F.col("_l").isNull(), F.col(id))).alias("gap_max"),
         F.count_if(F.col("_l") & F.col("_s")).alias("with_scores"), F.count_if(F.col("_l") & F.col("_s").isNull()).alias("without_scores"),
     )
@@ -70,7 +70,7 @@ def source_first(expected: DataFrame, actual: DataFrame, log: DataFrame, keys: l
     both = expected.join(done, id, "left").join(stored, keys, "left")
     n, seen, there = F.count("*"), F.count("_l"), F.count_if(F.col("_l") & F.col("_a"))
     right = F.count_if(F.col("_l") & F.col("_a") & F.col("_v").eqNullSafe(F.col(value)))
-    return both.agg(n.alias("expected"), F.round(100.0 * seen / n, 2).alias("coverage"), F.round(100.0 * there / seen, 2).alias("completeness"), F.round(100.0 * right / there, 2).alias("accuracy"))
+    return both.agg(n.alias("expected"), F.round(F.try_divide(100.0 * seen, n), 2).alias("coverage"), F.round(F.try_divide(100.0 * there, seen), 2).alias("completeness"), F.round(F.try_divide(100.0 * right, there), 2).alias("accuracy"))
 
 
 def source_first_counts(expected: DataFrame, actual: DataFrame, id: str) -> DataFrame:

@@ -16,6 +16,17 @@ def clean_xml(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, r"\r\n?", "\n"), r"^\s+|\s+$", "")
 
 
+def schema_of(tree: dict) -> T.StructType:
+    """A schema from nested names: None is text, a dict an element, a list of one dict a repeated element."""
+
+    def kind(x) -> T.DataType:
+        if x is None:
+            return T.StringType()
+        return T.ArrayType(schema_of(x[0])) if isinstance(x, list) else schema_of(x)
+
+    return T.StructType([T.StructField(n, kind(x)) for n, x in tree.items()])
+
+
 def with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
 

@@ -37,7 +37,7 @@ def nonnull_histogram(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def population_pct(df: DataFrame, cols: list[str]) -> DataFrame:
-    one = df.agg(*[F.round(100 * F.count(c) / F.count("*"), 1).alias(c) for c in cols])
+    one = df.agg(*[F.round(F.try_divide(100 * F.count(c), F.count("*")), 1).alias(c) for c in cols])
     return long_form(one, cols, "pct")
 
 
@@ -75,13 +75,13 @@ def failures_by_stage(log: DataFrame, examples: int = 20) -> DataFrame:
 
 def run_rollup(metrics: DataFrame) -> DataFrame:
     """Sums over instances, the longest duration, and documents per minute."""
-    return metrics.agg(F.sum("processed").alias("processed"), F.sum("successful").alias("successful"), F.max("seconds").alias("seconds"), F.round(F.sum("processed") * 60.0 / F.max("seconds"), 4).alias("per_minute"))
+    return metrics.agg(F.sum("processed").alias("processed"), F.sum("successful").alias("successful"), F.max("seconds").alias("seconds"), F.round(F.try_divide(F.sum("processed") * 60.0, F.max("seconds")), 4).alias("per_minute"))
 
 
 def stage_stats(times: DataFrame, by: list[str], value: str) -> DataFrame:
     """Count, mean, median, spread and its class of stage times."""
     mean, sd = F.avg(value), F.stddev_samp(value)
-    spread = F.when(sd / mean < 0.1, "stable").when(sd / mean < 0.5, "varied").otherwise("erratic")
+    spread = F.when(F.try_divide(sd, mean) < 0.1, "stable").when(F.try_divide(sd, mean) < 0.5, "varied").otherwise("erratic")
     return times.groupBy(*by).agg(F.count(value).alias("n"), F.round(mean, 4).alias("mean"), F.round(F.percentile(value, F.lit(0.5)), 4).alias("median"), F.round(sd, 4).alias("sd"), spread.alias("spread"))
 
 
@@ -89,12 +89,12 @@ def chunk_trend(chunks: DataFrame, by: str, order: str, value: str) -> DataFrame
     """Mean, least and most of a run's chunks, and how far the last third lies from the first, in percent."""
     place = chunks.withColumn("_third", F.ntile(3).over(Window.partitionBy(by).orderBy(order)))
     first, last = (F.avg(F.when(F.col("_third") == k, F.col(value))) for k in (1, 3))
-    return place.groupBy(by).agg(F.round(F.avg(value), 4).alias("mean"), F.min(value).alias("least"), F.max(value).alias("most"), F.round(100 * (last - first) / first, 4).alias("change_pct"))
+    return place.groupBy(by).agg(F.round(F.avg(value), 4).alias("mean"), F.min(value).alias("least"), F.max(value).alias("most"), F.round(F.try_divide(100 * (last - first), first), 4).alias("change_pct"))
 
 
 def efficiency(results: DataFrame, by: str, item: str, wall: str, workers: int) -> DataFrame:
     """The share of worker time that items took."""
-    return results.groupBy(by).agg(F.round(F.sum(item) / (workers * F.max(wall)), 6).alias("efficiency"))
+    return results.groupBy(by).agg(F.round(F.try_divide(F.sum(item), workers * F.max(wall)), 6).alias("efficiency"))
 
 
 def key_collisions(df: DataFrame, key: str, doc: str, examples: int = 10) -> DataFrame:

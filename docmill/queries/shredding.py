@@ -68,10 +68,10 @@ CONTRACT = Contract(
     {"status_enum": {"F": 1, "O": 2, "P": 3, "": 9}, "role_enum": {"A": 10, "N": 11, "R": 12}},
     {"char_to_bit": {"Y": 1, "N": 0, "": 0, " ": 0}}, ["app_base", "contact", "address"],
 )
-WIDE = T.StructType.fromDDL(
-    "Request struct<_ID:string, _Status:string, CustData:struct<application:struct<_amount:string, _signature_ind:string, _receive_date:string, _score_a:string, _score_b:string,"
-    " contact:array<struct<_con_id:string, _ac_role:string, _first_name:string, _amount:string, _n:string, contact_address:array<struct<_type:string, _supp:string>>>>>>>"
-)
+TEXT = None
+_contact = {"_con_id": TEXT, "_ac_role": TEXT, "_first_name": TEXT, "_amount": TEXT, "_n": TEXT, "contact_address": [{"_type": TEXT, "_supp": TEXT}]}
+_application = {"_amount": TEXT, "_signature_ind": TEXT, "_receive_date": TEXT, "_score_a": TEXT, "_score_b": TEXT, "contact": [_contact]}
+WIDE = s.schema_of({"Request": {"_ID": TEXT, "_Status": TEXT, "CustData": {"application": _application}}})
 
 
 def shredded(t: Tables) -> DataFrame:
@@ -135,14 +135,14 @@ def xml_valid(t):
 def path_last_wins(t):
     """Of an element that should be single, the last one."""
     xml = F.concat(F.lit('<r><e v="a'), "o_orderkey", F.lit('"/><e v="b'), "o_custkey", F.lit('"/></r>'))
-    return s.shred(t.orders.select(F.col("o_orderkey").alias("doc_id"), xml.alias("xml")), T.StructType.fromDDL("e struct<_v:string>")).select("doc_id", F.col("d.e._v").alias("v"))
+    return s.shred(t.orders.select(F.col("o_orderkey").alias("doc_id"), xml.alias("xml")), s.schema_of({"e": {"_v": TEXT}})).select("doc_id", F.col("d.e._v").alias("v"))
 
 
 @query("attr_value", "SELECT o_orderkey AS doc_id, concat(o_orderpriority, ' & <', o_orderstatus, '>') AS v, CAST(NULL AS STRING) AS gone FROM orders")
 def attr_value(t):
     """Names in any case, entities resolved once, trimmed; a missing attribute is null."""
     xml = F.concat(F.lit('<r><e Val="  '), "o_orderpriority", F.lit(" &amp; &lt;"), "o_orderstatus", F.lit('&gt; "/></r>'))
-    rows = s.shred(t.orders.select(F.col("o_orderkey").alias("doc_id"), xml.alias("xml")), T.StructType.fromDDL("e struct<_val:string, _gone:string>"))
+    rows = s.shred(t.orders.select(F.col("o_orderkey").alias("doc_id"), xml.alias("xml")), s.schema_of({"e": {"_val": TEXT, "_gone": TEXT}}))
     return rows.select("doc_id", s.attr("d.e", "val").alias("v"), s.attr("d.e", "gone").alias("gone"))
 
 
@@ -150,14 +150,14 @@ def attr_value(t):
 def ns_strip(t):
     xml = F.concat(F.lit('<n:r xmlns:n="urn:x"><n:e v="'), "o_custkey", F.lit('"/></n:r>'))
     plain = F.regexp_replace(F.regexp_replace(xml, r'\sxmlns(:\w+)?="[^"]*"', ""), r"(</?)\w+:", "$1")
-    rows = s.shred(t.orders.select(F.col("o_orderkey").alias("doc_id"), plain.alias("xml")), T.StructType.fromDDL("e struct<_v:string>"))
+    rows = s.shred(t.orders.select(F.col("o_orderkey").alias("doc_id"), plain.alias("xml")), s.schema_of({"e": {"_v": TEXT}}))
     return rows.select("doc_id", F.col("d.e._v").alias("v"))
 
 
 @query("element_text", "SELECT o_orderkey AS doc_id, o_orderpriority AS v FROM orders")
 def element_text(t):
     xml = F.concat(F.lit('<r><e k="1"> '), "o_orderpriority", F.lit(" </e></r>"))
-    rows = s.shred(t.orders.select(F.col("o_orderkey").alias("doc_id"), xml.alias("xml")), T.StructType.fromDDL("e struct<_VALUE:string, _k:string>"))
+    rows = s.shred(t.orders.select(F.col("o_orderkey").alias("doc_id"), xml.alias("xml")), s.schema_of({"e": {"_VALUE": TEXT, "_k": TEXT}}))
     return rows.select("doc_id", s.element_text("d.e").alias("v"))
 
 
@@ -209,9 +209,9 @@ def attr_eav(t):
 @query("stage_reduce", "SELECT o_orderkey AS doc_id, o_orderstatus AS status, CAST(NULL AS STRING) AS gone FROM orders WHERE o_orderkey % 50 NOT IN (0, 1, 4)")
 def stage_reduce(t):
     """Smaller documents, staged: an id, a status and the amount; the rest is no more there."""
-    small = T.StructType.fromDDL("Request struct<_ID:string, _Status:string, CustData:struct<application:struct<_amount:string>>>")
+    small = s.schema_of({"Request": {"_ID": TEXT, "_Status": TEXT, "CustData": {"application": {"_amount": TEXT}}}})
     kept = d.reduce_documents(dirty(t).filter(F.col("doc_id") % 50 != 2).unionByName(documents(t).filter("doc_id % 50 = 2")), small, ROOT, ["Request._ID", "Request.CustData"])
-    back = s.shred(kept, T.StructType.fromDDL("Request struct<_ID:string, _Status:string, _Priority:string, CustData:struct<application:struct<_amount:string>>>"))
+    back = s.shred(kept, s.schema_of({"Request": {"_ID": TEXT, "_Status": TEXT, "_Priority": TEXT, "CustData": {"application": {"_amount": TEXT}}}}))
     return back.select("doc_id", F.col("d.Request._Status").alias("status"), F.col("d.Request._Priority").alias("gone"))
 
 
