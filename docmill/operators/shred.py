@@ -53,7 +53,8 @@ def shred(docs: DataFrame, schema: T.StructType) -> DataFrame:
 
     Stage or persist the result before several tables are made from it, or each will parse again.
     """
-    parsed = docs.select("doc_id", F.from_xml("xml", with_corrupt(schema), PERMISSIVE).alias("d"))
+    # explode keeps the parse where it is: a filter on its result would otherwise parse each document once more
+    parsed = docs.select("doc_id", F.explode(F.array(F.from_xml("xml", with_corrupt(schema), PERMISSIVE))).alias("d"))
     return parsed.filter("d is not null and d._corrupt_record is null").select("doc_id", F.struct(*[F.col(f"d.`{f.name}`") for f in schema.fields]).alias("d"))
 
 
