@@ -93,7 +93,7 @@ def chunk_trend(chunks: DataFrame, by: str, order: str, value: str) -> DataFrame
     """Mean, least and most of a run's chunks, and how far the last third lies from the first, in percent."""
     place = chunks.withColumn("_third", F.ntile(3).over(Window.partitionBy(by).orderBy(order)))
     first, last = (F.avg(F.when(F.col("_third") == k, F.col(value))) for k in (1, 3))
-    return place.groupBy(by).agg(F.round(F.avg(value), 4).alias("mean"), F.min(value).alias("least"), F.max(value).alias("most"), F.round(F.try_divide(100 * (last - first), first), 4).alias("change_pct"))
+    return place.groupBy(by).agg(F.round(F.avg(value), 6).alias("mean"), F.min(value).alias("least"), F.max(value).alias("most"), F.round(F.try_divide(100 * (last - first), first), 6).alias("change_pct"))
 
 
 def efficiency(results: DataFrame, by: str, item: str, wall: str, workers: int) -> DataFrame:

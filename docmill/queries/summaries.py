@@ -81,10 +81,10 @@ def stage_stats(t):
     return z.stage_stats(t.metrics, ["run", "batch"], "seconds")
 
 
-@query("chunk_trend", "WITH c AS (SELECT run, chunk, sum(seconds) AS s FROM metrics GROUP BY run, chunk), k AS (SELECT *, ntile(3) OVER (PARTITION BY run ORDER BY chunk) AS third FROM c) SELECT run, round(avg(s), 4) AS mean, round(min(s), 4) AS least, round(max(s), 4) AS most, round(100 * (avg(s) FILTER (WHERE third = 3) - avg(s) FILTER (WHERE third = 1)) / avg(s) FILTER (WHERE third = 1), 4) AS change_pct FROM k GROUP BY run")
+@query("chunk_trend", "WITH c AS (SELECT run, chunk, sum(seconds) AS s FROM metrics GROUP BY run, chunk), k AS (SELECT *, ntile(3) OVER (PARTITION BY run ORDER BY chunk) AS third FROM c) SELECT run, round(avg(s), 6) AS mean, round(min(s), 6) AS least, round(max(s), 6) AS most, round(100 * (avg(s) FILTER (WHERE third = 3) - avg(s) FILTER (WHERE third = 1)) / avg(s) FILTER (WHERE third = 1), 6) AS change_pct FROM k GROUP BY run")
 def chunk_trend(t):
     chunks = t.metrics.groupBy("run", "chunk").agg(F.sum("seconds").alias("s"))
-    return z.chunk_trend(chunks, "run", "chunk", "s").withColumns({"least": F.round("least", 4), "most": F.round("most", 4)})
+    return z.chunk_trend(chunks, "run", "chunk", "s").withColumns({"least": F.round("least", 6), "most": F.round("most", 6)})
 
 
 @query("efficiency", "SELECT run, round(sum(seconds) / (4 * max(seconds)), 6) AS efficiency FROM metrics GROUP BY run")
