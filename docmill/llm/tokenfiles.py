@@ -241,10 +241,11 @@ FLAT_IDS = 16 << 20
 BLOCK_IDS = 1 << 20
 
 
-def write_flat(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> DataFrame:
-    """Write ids as flat 32-bit files under path, documents in ascending order of doc_id, end_id after each; no index.
+def write_flat(docs: DataFrame, path: str, tokenizer: str, end_id: int, wide: str = "<u2") -> DataFrame:
+    """Write ids as flat files of `wide` numbers under path, documents as they are read, end_id after each; no index.
 
-    Files of a task are cut at FLAT_IDS wherever that falls. Returns (doc_id, part, nth) as they were written.
+    Each task writes its own part, so nothing is shuffled. Its files are cut at FLAT_IDS wherever that falls. Returns
+    (doc_id, part, nth) as they were written.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,11 +258,11 @@ def write_flat(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> DataF
         def close() -> None:
             if out is not None:
                 out.close()
-                store.move(own, f"{root}/part-{part:06d}-{file:05d}.u4")
+                store.move(own, f"{root}/part-{part:06d}-{file:05d}.flat")
 
         for batch in batches:
-            for at, ids, counts in encoder.batches(batch.column(2)):
-                ids = np.insert(ids, np.cumsum(counts), end_id).astype("<u4")
+            for at, ids, counts in encoder.batches(batch.column(1)):
+                ids = np.insert(ids, np.cumsum(counts), end_id).astype(wide)
                 while len(ids):
                     if not room:
                         close()
@@ -276,13 +277,11 @@ def write_flat(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> DataF
         close()
 
     _mkdir(path)
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col("doc_id").cast("long"), F.monotonically_increasing_id().alias("uid"), "text")
-    ordered = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "uid").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "uid")
-    return stage(ordered.mapInArrow(task, "doc_id long, part int, file int, nth long"), "flat-order")
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    return stage(rows.mapInArrow(task, "doc_id long, part int, file int, nth long"), "flat-order")
 
 
-def separators(spark: SparkSession, path: str, end_id: int, block: int = BLOCK_IDS) -> DataFrame:
+def separators(spark: SparkSession, path: str, end_id: int, block: int = BLOCK_IDS, wide: str = "<u2") -> DataFrame:
     """Documents of the flat files under path, which has no index: (part, nth, n_tokens, start), n_tokens with the end id.
 
     Each task searches blocks of a file at once for end_id. What it reports for a block is the lengths between its own
@@ -296,17 +295,18 @@ def separators(spark: SparkSession, path: str, end_id: int, block: int = BLOCK_I
         store, root = fs.FileSystem.from_uri(path)
         for batch in batches:
             for name, nth in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                part, file = map(int, name.rpartition("/")[2].removesuffix(".u4").split("-")[1:])
+                part, file = map(int, name.rpartition("/")[2].removesuffix(".flat").split("-")[1:])
                 with store.open_input_file(f"{root}/{name.rpartition('/')[2]}") as f:
-                    f.seek(4 * block * nth)
-                    ids = np.frombuffer(f.read(4 * block), "<u4")
+                    f.seek(size * block * nth)
+                    ids = np.frombuffer(f.read(size * block), wide)
                 at = np.flatnonzero(ids == end_id)
                 lengths = np.diff(at, prepend=-1)
                 tail = len(ids) - (at[-1] + 1 if len(at) else 0)
                 yield pa.record_batch([pa.array([v], t) for v, t in ((part, pa.int32()), (file, pa.int32()), (nth, pa.int64()), (int(tail), pa.int64()), (len(ids), pa.int64()), (lengths.astype("<i8").tobytes(), pa.binary()), (len(at), pa.int64()))], names)
 
+    size = np.dtype(wide).itemsize
     names = ["part", "file", "block", "tail", "ids", "lengths", "documents"]
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.u4").load(path).select("path", F.expr(f"explode(sequence(0L, greatest(0L, (length - 1) div {4 * block})))").alias("block"), "length").filter("length > 0")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.flat").load(path).select("path", F.expr(f"explode(sequence(0L, greatest(0L, (length - 1) div {size * block})))").alias("block"), "length").filter("length > 0")
     found = stage(files.repartition("path", "block").select("path", "block").mapInArrow(task, "part int, file int, block long, tail long, ids long, lengths binary, documents long"), "flat-blocks")
     # the scan: a block's open ids are the tails since the last block before it that has a separator
     small = found.drop("lengths")
@@ -332,13 +332,16 @@ def separators(spark: SparkSession, path: str, end_id: int, block: int = BLOCK_I
 
 
 def op8_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token counts of all documents, found in flat files again. start counts all ids before, end ids too."""
+    """Token counts of all documents, found in flat files again. start counts all ids before in the files, end ids too."""
     return scan_counts(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-def scan_counts(docs: DataFrame, tokenizer: str | None = None, end_id: int = 49407, block: int = BLOCK_IDS) -> DataFrame:
-    """doc_id, start and n_tokens (without the end id, which no text can hold). A null text counts as empty."""
+def scan_counts(docs: DataFrame, tokenizer: str | None = None, end_id: int = 49407, block: int = BLOCK_IDS, wide: str = "<u2") -> DataFrame:
+    """doc_id, start and n_tokens (without the end id, which no text can hold). A null text counts as empty.
+
+    wide is the number type of the flat files; vocabularies of over 65,536 ids need "<u4".
+    """
     path = new_path(docs.sparkSession, "flat")
-    order = write_flat(docs, path, tokenizer or vocabulary(), end_id)
-    found = separators(docs.sparkSession, path, end_id, block)
+    order = write_flat(docs, path, tokenizer or vocabulary(), end_id, wide)
+    found = separators(docs.sparkSession, path, end_id, block, wide)
     return order.drop("file").join(found, ["part", "nth"]).select("doc_id", "start", (F.col("n_tokens") - 1).alias("n_tokens"))

@@ -127,9 +127,10 @@ def test_ranks_follow_frequency(docs, plain):
 def test_separator_scan(docs, none, plain, block):
     got = sorted(tokenfiles.scan_counts(docs, block=block).collect(), key=lambda r: r.start)
     start = 0
-    for r, (doc_id, ids) in zip(got, expected(docs, plain, 49407), strict=True):
-        assert (r.doc_id, r.start, r.n_tokens) == (doc_id, start, len(ids) - 1)
-        start += len(ids)
+    for r in got:
+        assert r.start == start
+        start += r.n_tokens + 1
+    assert sorted([(r.doc_id, r.n_tokens) for r in got], key=str) == sorted([(r.doc_id, len(plain(r.text))) for r in docs.collect()], key=str)
     assert tokenfiles.scan_counts(none).count() == 0
 
 
