@@ -20,7 +20,7 @@ TREES, DEPTH = 20, 6
 #: Prefixes are shortened until so many of the links at the least similarity are expected to be found.
 RECALL = 0.999
 #: Texts, and distinct shingles, that a side of a verified block holds (about, as texts are dealt by a hash).
-BLOCK_TEXTS, BLOCK_SHINGLES = 800, 1 << 20
+BLOCK_TEXTS, BLOCK_SHINGLES = 800, 1 << 19
 
 _rng = np.random.default_rng(20240501)
 #: Odd multipliers and offsets of the signature's hash functions.
@@ -71,14 +71,15 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         texts, at = batch.column(batch.num_columns - 1), 0
-        for part in slices(texts):
+        for part in slices(texts, 4 << 20):
             flat, count = shingles(part)
             some = count > 0
-            signature = np.zeros((len(count), TREES * DEPTH), np.uint32)
+            signature = np.zeros((len(count), TREES * DEPTH), np.uint16)
             if some.any():
                 starts = (np.cumsum(count) - count)[some]
                 for j in range(TREES * DEPTH):
-                    signature[some, j] = np.minimum.reduceat((flat * FACTORS[j] + OFFSETS[j]) >> np.uint64(32), starts)
+                    least = np.minimum.reduceat(flat * FACTORS[j] + OFFSETS[j], starts)
+                    signature[some, j] = (least * MIX[1]) >> np.uint64(48)  # 16 bits of the least value's hash are enough for prefixes
             sets = [np.unique(x) for x in np.split(flat, np.cumsum(count)[:-1])]
             ids = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets]
             n = len(count)
@@ -94,7 +95,7 @@ def _prefixes(depth: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             uids = batch.column(0).to_numpy()
-            s = np.frombuffer(b"".join(x.as_buffer() for x in batch.column(1)), np.uint32).reshape(len(uids), TREES, DEPTH)
+            s = np.frombuffer(b"".join(x.as_buffer() for x in batch.column(1)), np.uint16).reshape(len(uids), TREES, DEPTH).astype(np.uint64)
             key = np.broadcast_to(np.arange(TREES, dtype=np.uint64), (len(uids), TREES)).copy()
             for k in range(depth):
                 key = (key ^ s[:, :, k]) * MIX[k % WORDS]
@@ -210,7 +211,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, target: float = REC
     signed = stage(slim.mapInArrow(_signatures, "uid long, id long, n_shingles long, set_id binary, signature binary"), "near-signed")
     sets = stage(signed.filter("n_shingles > 0").groupBy("set_id").agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", "uid")).alias("least"), F.count("*").alias("copies")), "near-sets")
     reps = sets.select(F.col("least.uid").alias("uid"), "set_id", "copies", F.col("least").alias("first"))
-    signatures = stage(signed.select("uid", "signature", "n_shingles").join(reps.select("uid", "copies"), "uid"), "near-reps")
+    signatures = stage(signed.select("uid", "signature", "n_shingles").join(reps.select("uid", "copies").hint("merge"), "uid"), "near-reps")
     depth = next((d for d in range(DEPTH, 0, -1) if recall(d, similarity) >= target), 1)
     while True:
         links = _links(slim, signatures, similarity, depth)
@@ -235,16 +236,17 @@ def _links(slim: DataFrame, signatures: DataFrame, similarity: float, depth: int
     keyed = signatures.select("uid", "signature").mapInArrow(_prefixes(depth), "key long, uid long")
     # one bucket is a trie node; its members hang on the least of them
     nodes = keyed.groupBy("key").agg(F.min("uid").alias("least"), F.count("*").alias("n")).filter("n > 1")
-    candidates = keyed.join(nodes, "key").filter("uid <> least").select(F.col("uid").alias("a"), F.col("least").alias("b")).distinct()
-    grouped = stage(components(candidates, "near-candidates").withColumnRenamed("node", "uid").join(signatures.select("uid", "n_shingles", "copies"), "uid"), "near-grouped")
+    # merge joins: none of these sides is bounded, so plans are the same at every size
+    candidates = keyed.join(nodes.hint("merge"), "key").filter("uid <> least").select(F.col("uid").alias("a"), F.col("least").alias("b")).distinct()
+    grouped = stage(components(candidates, "near-candidates").withColumnRenamed("node", "uid").join(signatures.select("uid", "n_shingles", "copies").hint("merge"), "uid"), "near-grouped")
     size = grouped.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("chunks"))
     chunked = grouped.join(size, "component").withColumn("mine", F.pmod(F.xxhash64("uid"), "chunks").cast("int"))
     # a text goes to the blocks of its chunk with each chunk of its component
     dealt = chunked.select("uid", "copies", "component", "mine", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
     block = F.xxhash64("component", F.least("mine", "other"), F.greatest("mine", "other"))
     parts = dealt.select("uid", "copies", block.alias("block"), (F.col("mine") != F.col("other")).alias("across"), (F.col("mine") > F.col("other")).alias("second"))
-    texts = slim.join(grouped.select("uid"), "uid", "left_semi").select("uid", "text")
-    full = parts.join(texts, "uid").select("block", "across", "second", "uid", "copies", "text")
+    texts = slim.join(grouped.select("uid").hint("merge"), "uid", "left_semi").select("uid", "text")
+    full = parts.join(texts.hint("merge"), "uid").select("block", "across", "second", "uid", "copies", "text")
     ordered = full.repartition("block").sortWithinPartitions("block", "uid")
     return stage(ordered.mapInArrow(_blocks(similarity, depth), "kind long, a long, b long, n long, w double"), "near-links")
 
