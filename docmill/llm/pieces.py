@@ -16,20 +16,20 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces that a worker remembers. Later ones are encoded again in each batch that has them.
-REMEMBERED = 300_000
+REMEMBERED = 250_000
 #: Bytes of text that are worked on at once; a longer text is a slice of its own.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 6 << 20
 #: Pieces given to the library as one text.
 JOINED = 2000
 
 
-def slices(array: pa.Array) -> Iterator[pa.Array]:
-    """The array in runs of about SLICE_BYTES."""
+def slices(array: pa.Array, size: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """The array in runs of about `size` bytes."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(array), 0).to_numpy(zero_copy_only=False))
     start = 0
     while start < len(array):
         base = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, base + SLICE_BYTES, side="right")))
+        stop = max(start + 1, int(np.searchsorted(ends, base + size, side="right")))
         yield array.slice(start, stop - start)
         start = stop
 
@@ -49,6 +49,7 @@ class Encoder:
         self.at: dict[str, int] = {}
         self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
+        self.inner: Encoder | None = None
 
     def _encode(self, texts: list[str]):
         return self.tokenizer.encode_batch(texts, add_special_tokens=False)
@@ -101,12 +102,16 @@ class Encoder:
         sums = np.concatenate([[0], np.cumsum(lengths)])
         ends = np.cumsum(n)
         counts = sums[ends] - sums[ends - n]
-        if len(self.at) == mark[2]:  # full: forget this batch's new pieces
-            self.start, self.length, self.flat = self.start[: mark[0]], self.length[: mark[0]], self.flat[: mark[1]]
+        self.forget(mark)
         if len(odd):
             ids, counts = self._whole(texts, odd, ids, counts)
         return ids, counts
 
+    def forget(self, mark: tuple[int, int, int]) -> None:
+        """Drop the pieces met since the mark, if there was no more room to remember them."""
+        if len(self.at) == mark[2]:
+            self.start, self.length, self.flat = self.start[: mark[0]], self.length[: mark[0]], self.flat[: mark[1]]
+
     def _whole(self, texts: pa.Array, odd: np.ndarray, ids: np.ndarray, counts: np.ndarray):
         """Texts that can't be cut safely: encoded whole, and put into their places."""
         parts = np.split(ids, np.cumsum(counts)[:-1])
@@ -134,10 +139,39 @@ class WordEncoder(Encoder):
             texts = pc.replace_substring(texts, c, " ")
         return pc.split_pattern(texts, " ")
 
+    def misses(self, words: list[str]):
+        """ASCII words in small letters, and without the punctuation after their last letter, which is a piece of its own."""
+        stems: dict[str, int] = {}
+        split = np.empty((len(words), 2), np.int64)
+        for i, word in enumerate(words):
+            tail = ""
+            if word.isascii():
+                word = word.lower()
+                stem = word.rstrip(TAILS)
+                if stem and "a" <= stem[-1] <= "z":
+                    word, tail = stem, word[len(stem) :]
+            split[i, 0] = stems.setdefault(word, len(stems))
+            split[i, 1] = stems.setdefault(tail, len(stems))
+        if self.inner is None:
+            self.inner = _Whole(self.tokenizer)
+        inner = self.inner
+        mark = len(inner.start), len(inner.flat), len(inner.at)
+        at = inner._lookup(list(stems))[split]
+        flat, count = gather(inner.flat, inner.start[at.reshape(-1)], inner.length[at.reshape(-1)]), inner.length[at].sum(1)
+        inner.forget(mark)
+        return flat, count, np.arange(len(words))
+
+
+class _Whole(Encoder):
+    """Pieces as they are."""
+
     def misses(self, words: list[str]):
         return *self._joined(words, " "), np.arange(len(words))
 
 
+#: Punctuation that is always split from a letter before it.
+TAILS = ".,;:!?*$%&#<>|()[]{}\"/@+=~^_-"
+
 #: Texts that the byte-level encoder doesn't cut: white space other than single inner spaces and line feeds, or \x01.
 ODD = "^[ \\n]|[ \\n]$|[ \\n][ \\n]|[\\t\\v\\f\\r\\x{1}\\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 

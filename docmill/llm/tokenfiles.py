@@ -98,17 +98,14 @@ def unpack_numbers(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
 def write_coded(table: DataFrame, rank_ids: np.ndarray, path: str) -> DataFrame:
     """Write encoded() documents under path in ascending order of doc_id (null first; ties as they were read).
 
+    Numbers are coded after the shuffle, as the sample of its ranges reads its input once more.
+
     A file: magic; numbers of documents, ids, control and data bytes; doc_ids, null marks and lengths; control bytes;
     data bytes. The table of ranks is a file beside them. Tasks are ranges of doc_id, so file names follow the order.
     """
     order = np.argsort(rank_ids).astype(np.uint32)  # id to rank
     wide = "<u4" if len(rank_ids) > 1 << 16 else "<u2"
 
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            coded = [pack_numbers(order[np.frombuffer(x.as_buffer(), wide)]) for x in batch.column(3)]
-            yield pa.record_batch([*batch.columns[:3], pa.array([c for c, _ in coded], pa.binary()), pa.array([d for _, d in coded], pa.binary())], ["doc_id", "uid", "n", "control", "data"])
-
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
@@ -130,8 +127,8 @@ def write_coded(table: DataFrame, rank_ids: np.ndarray, path: str) -> DataFrame:
             done.append((target, len(held), ids))
 
         for batch in batches:
-            for doc_id, n, control, data in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), batch.column(4), strict=True):
-                held.append((doc_id, n, control.as_py(), data.as_py()))
+            for doc_id, n, raw in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
+                held.append((doc_id, n, *pack_numbers(order[np.frombuffer(raw.as_buffer(), wide)])))
                 ids += n
                 if ids > FILE_IDS:
                     close()
@@ -143,7 +140,7 @@ def write_coded(table: DataFrame, rank_ids: np.ndarray, path: str) -> DataFrame:
 
     _mkdir(path)
     store_ranks(rank_ids, path)
-    rows = table.filter("kind = 0").select("doc_id", "uid", "n", "ids").mapInArrow(code, "doc_id long, uid long, n long, control binary, data binary")
+    rows = table.filter("kind = 0").select("doc_id", "uid", "n", "ids")
     parts = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "uid").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "uid")
     return stage(ordered.mapInArrow(task, "file string, documents long, ids long"), "token-files")
