@@ -15,9 +15,9 @@ from .common import stage
 from .weak import ABSTAIN, BAD, GOOD, fit_votes
 
 #: Rows that the scorer is trained on, at most. Distinct texts, drawn by a hash of the text; bad ones more often.
-SAMPLE = 6000
+SAMPLE = 4000
 #: Hashed features: character shapes, and steps of the labellers' measures.
-SHAPES, STEPS = 1024, 256
+SHAPES, STEPS = 512, 128
 #: Texts are rejected below this score.
 THRESHOLD = 0.5
 
@@ -82,7 +82,7 @@ def features(text: str, got: list[float]) -> np.ndarray:
     x = np.zeros(SHAPES + STEPS, np.float32)
     if len(kinds) > 2:
         triples = (kinds[:-2] << 16) | (kinds[1:-1] << 8) | kinds[2:]
-        hashed = ((triples * 0x9E3779B1) & 0xFFFFFFFF) >> 22
+        hashed = ((triples * 0x9E3779B1) & 0xFFFFFFFF) >> 23
         x[:SHAPES] = np.sqrt(np.bincount(hashed, minlength=SHAPES) / len(triples))
     for j, v in enumerate(got):
         step = min(15, int(np.log2(1 + 1000 * v)))
@@ -113,7 +113,7 @@ def train(docs: DataFrame) -> tuple[np.ndarray, float]:
                 p = float(trust.posterior(np.array([votes(t, got)]))[0])
                 if chance < odds[p > 0.5]:
                     keys.append(key)
-                    outs.append((p, features(t, got).tobytes()))
+                    outs.append((p, features(t, got).astype(np.float16).tobytes()))
             if keys:
                 yield pa.record_batch([pa.array(keys), pa.array([o[0] for o in outs]), pa.array([o[1] for o in outs], pa.binary())], ["key", "bad", "x"])
 
@@ -121,7 +121,9 @@ def train(docs: DataFrame) -> tuple[np.ndarray, float]:
     chance = F.pmod(F.xxhash64(key, F.lit(11)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     some = text.select(key.alias("key"), chance.alias("chance"), "text").filter(F.col("chance") < max(odds))
     rows = some.mapInArrow(draw, "key long, bad double, x binary").dropDuplicates(["key"]).orderBy("key").limit(SAMPLE).collect()
-    x = np.frombuffer(b"".join(bytes(r["x"]) for r in rows), np.float32).reshape(-1, SHAPES + STEPS)
+    x = np.zeros((len(rows), SHAPES + STEPS), np.float32)
+    for i, r in enumerate(rows):
+        x[i] = np.frombuffer(r["x"], np.float16)
     return _logistic(x, np.array([1 - r["bad"] for r in rows]))
 
 
