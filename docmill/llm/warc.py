@@ -230,7 +230,7 @@ def archive(pages: DataFrame, path: str, least: int = 0) -> DataFrame:
     original's id are responses too. Only digests and ids are shuffled to find the originals.
     """
     rows = pages.select("page_id", "url", F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"), F.monotonically_increasing_id().alias("uid"))
-    rows = stage(rows, "warc-rows")
+    rows = stage(rows, "warc-rows", "zstd")  # whole payloads: they are kept until their archives are written
     slim = stage(rows.select("uid", "payload", "page_id").mapInArrow(_digests, "uid long, payload_digest string, page_id long"), "warc-digests")
     group = slim.groupBy("payload_digest").agg(F.max("page_id").alias("original"), F.count("*").alias("n"))
     found = attach(slim, stage(group, "warc-groups"), "payload_digest", "n", slim.count()).select("uid", "payload_digest", F.when(F.col("page_id") < F.col("original"), F.col("original")).when(F.col("page_id").isNull(), F.col("original")).alias("refers_to"))
