@@ -108,9 +108,10 @@ def enum_reference(t):
 
 @query("decode_bytes", "SELECT doc_id, text AS decoded FROM documents")
 def decode_bytes(t):
-    """Even documents as UTF-8, odd ones in Latin letters as single bytes where they can be."""
-    from ..sources.documents import decode_text
+    """Even documents as UTF-8, odd ones as Windows-1252 where they can be: bytes that are also UTF-8 would be read as that."""
+    from ..sources.documents import decode_text, encode_cp1252
 
-    single = ~F.col("text").rlike("[^\\x00-\\x7F\\xA0-\\xFF]") & (F.col("doc_id") % 2 == 1)
-    data = F.when(single, F.encode("text", "ISO-8859-1")).otherwise(F.encode("text", "UTF-8"))
+    bytes_ = encode_cp1252(F.col("text"))
+    single = (F.col("doc_id") % 2 == 1) & ~F.is_valid_utf8(bytes_.cast("string"))
+    data = F.when(single, bytes_).otherwise(F.encode("text", "UTF-8"))
     return t.documents.select("doc_id", decode_text(data).alias("decoded"))

@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+#: Bytes 0x80 to 0x9F, as ISO-8859-1 reads them: those that Windows-1252 leaves undefined, the other 27, and what it makes of these.
+UNDEFINED = "\x81\x8d\x8f\x90\x9d"
+C1 = "".join(chr(b) for b in range(0x80, 0xA0) if chr(b) not in UNDEFINED)
+CP1252 = C1.encode("latin-1").decode("cp1252")
+
 
 def read_documents(spark: SparkSession, path: str, id: str, xml: str) -> DataFrame:
     """Documents of a table, without those whose xml is null or blank."""
@@ -24,14 +29,20 @@ def read_xml_dir(spark: SparkSession, glob: str, id_pattern: str = r'<Request[^>
 
 
 def decode_text(data: Column) -> Column:
-    """Bytes as text: UTF-8, else one character for each byte.
+    """Bytes as text: UTF-8, else Windows-1252, where the five bytes that it leaves undefined become U+FFFD.
 
-    Windows-1252 proper needs spark.sql.legacy.javaCharsets; ISO-8859-1, its printable part, needs no such setting.
+    Spark refuses the charset without spark.sql.legacy.javaCharsets, so ISO-8859-1 is decoded and its C1 controls are replaced.
     """
-    text = F.decode(data, "ISO-8859-1")
+    text = F.translate(F.decode(data, "ISO-8859-1"), C1 + UNDEFINED, CP1252 + "\ufffd" * len(UNDEFINED))
     return F.when(F.is_valid_utf8(data.cast("string")), data.cast("string")).otherwise(text)
 
 
+def encode_cp1252(text: Column) -> Column:
+    """Text as Windows-1252 bytes; null if it has a character that the charset lacks."""
+    known = ~text.rlike(f"[^\\x00-\\x7F\\xA0-\\xFF{CP1252}]")
+    return F.when(known, F.encode(F.translate(text, CP1252, C1), "ISO-8859-1"))
+
+
 def slice_range(df: DataFrame, lo: int | None, hi: int | None, id: str = "doc_id") -> DataFrame:
     """Ids from lo to hi, each of which may be open; a filter that reaches the scan."""
     for bound, test in ((lo, F.col(id) >= F.lit(lo)), (hi, F.col(id) <= F.lit(hi))):

@@ -13,6 +13,27 @@ def test_read_xml_dir(spark, tmp_path):
     assert [(r.doc_id, "é" in r.xml) for r in rows] == [(5, True), (6, True)]
 
 
+def test_windows_1252(spark, tmp_path):
+    """Quotes, dashes and the euro sign, and U+FFFD for the bytes that the charset leaves undefined."""
+    for i, data in enumerate((bytes(range(0x80, 0x100)), "“it’s” – 5 € …".encode("cp1252"), "“€”".encode(), b"\xc3\xa9\x80")):
+        (tmp_path / f"{i}.xml").write_bytes(b'<E><Request ID="%d"/>' % i + data + b"</E>")
+    got = [r.xml.partition("/>")[2].removesuffix("</E>") for r in d.read_xml_dir(spark, str(tmp_path / "*.xml")).orderBy("doc_id").collect()]
+    assert got == [bytes(range(0x80, 0x100)).decode("windows-1252", errors="replace"), "“it’s” – 5 € …", "“€”", "Ã©€"]
+
+
+def test_decode_bytes_query(spark, tmp_path):
+    """The query encodes what Windows-1252 has and the SQL's text comes back, mojibake and unknown characters too."""
+    from docmill.queries import QUERIES
+
+    texts = ["“it’s” – 5 € …", "\x80\x81", "Ã©", "日本 “x”", "naïve", "", None, "plain", "Žluťoučký", "Œuvre — 3 ‰"]
+    rows = [(2 * i + odd, t) for i, t in enumerate(texts) for odd in (0, 1)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert sorted(map(tuple, QUERIES["decode_bytes"](spark, str(tmp_path)).collect())) == rows
+    data = spark.createDataFrame(rows, "doc_id long, text string").select(d.encode_cp1252(F.col("text")).alias("b")).collect()
+    known = [t if t in texts[:1] + ["Ã©", "naïve", "", "plain", "Œuvre — 3 ‰"] else None for t in texts]
+    assert [None if r.b is None else bytes(r.b) for r in data[::2]] == [None if t is None else t.encode("cp1252") for t in known]
+
+
 def test_clean(spark):
     row = spark.createDataFrame([("﻿\x01\x02 <a>\r\n</a>\r ",)], "x string")
     assert row.select(shred.clean_xml(F.col("x")).alias("x")).first().x == "<a>\n</a>"
