@@ -56,7 +56,7 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, size: int, key: str = "doc
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_encoder(tokenizer)
+        encoder = word_encoder(tokenizer, added=True)
         for batch in batches:
             for at, ids, counts in encoder.batches(batch.column(2)):
                 ids = np.insert(ids, np.cumsum(counts), end_id).astype("<u4")

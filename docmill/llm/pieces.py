@@ -129,12 +129,21 @@ class Encoder:
 
 
 class WordEncoder(Encoder):
-    """For tokenizers that drop white space and never merge across it: cut at ASCII white space."""
+    """For tokenizers that drop white space and never merge across it: cut at ASCII white space.
+
+    `added` has the ids of strings that are tokens wherever they stand, as the library takes them out before all else.
+    """
+
+    def __init__(self, tokenizer, added: dict[str, int] | None = None) -> None:
+        super().__init__(tokenizer)
+        self.added = added or {}
 
     def odd(self, texts: pa.Array) -> np.ndarray:
         return np.zeros(0, np.int64)
 
     def pieces(self, texts: pa.Array) -> pa.Array:
+        for token in self.added:
+            texts = pc.replace_substring(texts, token, f" {token} ")
         for c in "\n\t\r":
             texts = pc.replace_substring(texts, c, " ")
         return pc.split_pattern(texts, " ")
@@ -145,7 +154,9 @@ class WordEncoder(Encoder):
         split = np.empty((len(words), 2), np.int64)
         for i, word in enumerate(words):
             tail = ""
-            if word.isascii():
+            if word in self.added:
+                word = f" {word}"
+            elif word.isascii():
                 word = word.lower()
                 stem = word.rstrip(TAILS)
                 if stem and "a" <= stem[-1] <= "z":
@@ -154,6 +165,7 @@ class WordEncoder(Encoder):
             split[i, 1] = stems.setdefault(tail, len(stems))
         if self.inner is None:
             self.inner = _Whole(self.tokenizer)
+            self.inner.know({f" {token}": i for token, i in self.added.items()})  # no word has a space
         inner = self.inner
         mark = len(inner.start), len(inner.flat), len(inner.at)
         at = inner._lookup(list(stems))[split]
@@ -165,6 +177,12 @@ class WordEncoder(Encoder):
 class _Whole(Encoder):
     """Pieces as they are."""
 
+    def know(self, ids: dict[str, int]) -> None:
+        """Remember pieces of one id each, before any other."""
+        self.at = {piece: n for n, piece in enumerate(ids)}
+        self.start, self.length = np.arange(len(ids)), np.ones(len(ids), np.int64)
+        self.flat = np.array(list(ids.values()), np.uint32)
+
     def misses(self, words: list[str]):
         return *self._joined(words, " "), np.arange(len(words))
 
@@ -200,14 +218,19 @@ class ByteEncoder(Encoder):
 
 
 @functools.lru_cache(maxsize=2)
-def word_encoder(path: str) -> WordEncoder:
-    """The encoder of a tokenizer.json, one for each worker. Special tokens' strings in a text are ordinary text."""
+def word_encoder(path: str, added: bool = False) -> WordEncoder:
+    """The encoder of a tokenizer.json, one for each worker.
+
+    With `added`, ids are the library's with add_special_tokens=False: special tokens' strings in a text are those tokens.
+    Without, they are ordinary text, so that no text yields their ids.
+    """
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    return WordEncoder(tokenizer)
+    special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items() if t.special}
+    return WordEncoder(tokenizer, special if added else None)
 
 
 def read_ranks(path: str) -> list[bytes]:

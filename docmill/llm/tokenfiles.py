@@ -37,7 +37,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, vocab: int) -> DataFra
     wide = "<u4" if vocab > 1 << 16 else "<u2"
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, seen = word_encoder(tokenizer), np.zeros(vocab, np.int64)
+        encoder, seen = word_encoder(tokenizer, added=True), np.zeros(vocab, np.int64)
         for batch in batches:
             for at, ids, counts in encoder.batches(batch.column(2)):
                 n = len(counts)

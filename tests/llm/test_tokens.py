@@ -175,3 +175,35 @@ def test_sum_of_squares(lengths):
         assert 50 - offset == gaps.get(nth, 50)
         gaps[nth] = 50 - offset - n
         assert (squares(gaps) == min(options)) if options else nth == len(gaps) - 1
+
+
+@pytest.fixture(scope="module")
+def default():
+    """The library as it comes: strings of its special tokens are those tokens."""
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(WORD)
+    return lambda text: t.encode(text or "", add_special_tokens=False).ids
+
+
+MARKED = st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "endoftext", "e", "\u0301", "é", " ", "\n", "A", ".", "don't", "日"]), max_size=12).map("".join), min_size=1, max_size=6)
+
+
+@settings(max_examples=200, deadline=None)
+@given(MARKED)
+def test_special_tokens_in_texts(default, plain, texts):
+    for added, want in ((True, default), (False, plain)):
+        ids, counts = pieces.word_encoder(WORD, added).encode(pa.array(texts))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [want(t) for t in texts]
+
+
+def test_special_tokens_in_files_and_sequences(spark, default, plain):
+    texts = ["one<|endoftext|>two", "<|startoftext|> Hello <|endoftext|>", "<|ENDOFTEXT|>x", "plain", "<|endoftext|>" * 100]
+    docs = spark.createDataFrame(list(enumerate(texts, 1)), "doc_id long, text string")
+    want = expected(docs, default, 1)
+    assert 49407 in want[0][1] and 49407 not in want[2][1]
+    got = sorted(tokenfiles.ranked_round_trip(docs).collect(), key=lambda r: r.start)
+    assert [(r.doc_id, r.n_tokens, r.ids_crc32) for r in got] == [(i, len(ids), crc(ids)) for i, ids in want]
+    packed = packing.pack(docs, size=64).collect()
+    assert sorted((r.doc_id, r.start, r.ids_crc32) for r in packed) == sorted((i, s, crc(ids[s : s + 64])) for i, ids in expected(docs, default, 0) for s in range(0, len(ids), 64))
+    assert sorted((r.doc_id, r.n_tokens) for r in tokenfiles.scan_counts(docs).collect()) == [(i, len(plain(t))) for i, t in enumerate(texts, 1)]
