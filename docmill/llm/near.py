@@ -1,8 +1,7 @@
-"""Near-duplicate join: an LSH forest over MinHash signatures proposes, exact Jaccard similarity decides."""
+"""Near-duplicate join: MinHash bands of one depth propose, exact Jaccard similarity decides."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,9 +14,9 @@ from .common import attach, components, fresh, stage
 from .pieces import slices
 
 WORDS, SIMILARITY = 5, 0.8
-#: Trees, and the numbers of a signature that the longest prefix in one of them has.
+#: Bands, called trees, and the numbers of a signature that the longest prefix in one of them has.
 TREES, DEPTH = 20, 6
-#: Prefixes are shortened until so many of the links at the least similarity are expected to be found.
+#: Prefixes are so short that this share of the links at the least similarity is expected to be found.
 RECALL = 0.999
 #: Texts, and distinct shingles, that a side of a verified block holds (about, as texts are dealt by a hash).
 BLOCK_TEXTS, BLOCK_SHINGLES = 800, 1 << 19
@@ -34,6 +33,11 @@ def recall(depth: int, similarity: float) -> float:
     return 1 - (1 - similarity**depth) ** TREES
 
 
+def depth_for(similarity: float, target: float) -> int:
+    """The longest prefix whose recall reaches the target; 0, where all texts are candidates, if none does."""
+    return next((d for d in range(DEPTH, 0, -1) if recall(d, similarity) >= target), 0)
+
+
 def _hash(words: pa.Array) -> np.ndarray:
     import xxhash
 
@@ -123,8 +127,8 @@ class Forest:
         return a != b
 
 
-def _verify(uids: np.ndarray, own: np.ndarray, copies: np.ndarray, flat: np.ndarray, count: np.ndarray, across: bool, similarity: float, depth: int):
-    """Links of a block: (edges of a spanning forest, weighted links of each text, links found, links expected).
+def _verify(uids: np.ndarray, own: np.ndarray, copies: np.ndarray, flat: np.ndarray, count: np.ndarray, across: bool, similarity: float):
+    """Links of a block: (edges of a spanning forest, weighted links of each text).
 
     Counts shared shingles of each text with all others through an inverted list, so no pair is left out. `own` tells
     the two sides of a block between two chunks, inside of which other blocks look.
@@ -137,7 +141,7 @@ def _verify(uids: np.ndarray, own: np.ndarray, copies: np.ndarray, flat: np.ndar
     size = np.diff(np.append(edge, len(flat)))
     group = np.empty(len(flat), np.int64)
     group[order] = np.repeat(np.arange(len(edge)), size)
-    links, forest, edges, found, expected = np.zeros(n, np.int64), Forest(n), [], 0, 0.0
+    links, forest, edges = np.zeros(n, np.int64), Forest(n), []
     ends = np.cumsum(count)
     for a in range(n):
         if across and own[a]:
@@ -158,14 +162,12 @@ def _verify(uids: np.ndarray, own: np.ndarray, copies: np.ndarray, flat: np.ndar
             links[b] += copies[a]
             if forest.join(a, b):
                 edges.append((uids[a], uids[b]))
-        found += int(hit.sum())
-        expected += float((1 / (1 - (1 - jaccard[hit] ** depth) ** TREES)).sum())
-    return edges, links, found, expected
+    return edges, links
 
 
-def _blocks(similarity: float, depth: int):
+def _blocks(similarity: float):
     """Verified blocks: rows arrive sorted by block, (block, across, second, uid, copies, text)."""
-    names = ["kind", "a", "b", "n", "w"]
+    names = ["kind", "a", "b", "n"]
 
     def flush(rows: list) -> pa.RecordBatch | None:
         uids = np.array([r[1] for r in rows], np.int64)
@@ -174,22 +176,23 @@ def _blocks(similarity: float, depth: int):
         flat, count = shingles(pa.array([r[3] for r in rows], pa.large_string()))
         sets = [np.unique(x) for x in np.split(flat, np.cumsum(count)[:-1])]
         count = np.fromiter(map(len, sets), np.int64, len(sets))
-        edges, links, found, expected = _verify(uids, own, copies, np.concatenate(sets), count, rows[0][4], similarity, depth)
+        edges, links = _verify(uids, own, copies, np.concatenate(sets), count, rows[0][4], similarity)
         linked = np.flatnonzero(links)
-        out = [(0, int(a), int(b), 0, 0.0) for a, b in edges] + [(1, int(uids[i]), 0, int(links[i]), 0.0) for i in linked] + [(2, 0, 0, found, expected)]
-        return pa.record_batch([pa.array(c) for c in zip(*out, strict=True)], names)
+        out = [(0, int(a), int(b), 0) for a, b in edges] + [(1, int(uids[i]), 0, int(links[i])) for i in linked]
+        return pa.record_batch([pa.array(c) for c in zip(*out, strict=True)], names) if out else None
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
         for batch in batches:
             for block, across, second, uid, copies, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if block != now and rows:
-                    yield flush(rows)
+                    if (found := flush(rows)) is not None:
+                        yield found
                     rows = []
                 now = block
                 rows.append((second, uid, copies, text, across))
-        if rows:
-            yield flush(rows)
+        if rows and (found := flush(rows)) is not None:
+            yield found
 
     return task
 
@@ -197,9 +200,8 @@ def _blocks(similarity: float, depth: int):
 def classes(docs: DataFrame, similarity: float = SIMILARITY, target: float = RECALL, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """(rows, found): docs with a row number, and for each row (_uid, id, class_id, keep_uid, n_links).
 
-    Texts with the same set of shingles are one text with copies. Each tree sorts signatures into a trie; texts that
-    share a prefix in some tree are candidates. The depth of prefixes starts where closed-form recall at the least
-    similarity reaches the target, and is shortened while the recall that verified links imply is below it. Candidates
+    Texts with the same set of shingles are one text with copies. Texts that share a prefix in some tree are candidates.
+    All prefixes have the depth at which closed-form recall at the least similarity reaches the target. Candidates
     that hang together are verified in blocks, each pair of a block exactly, so one group's size never makes a task large,
     and no table of pairs is written. A class is what verified links connect; its id is its smallest doc_id (null last).
     n_links counts a row's links: its copies, and all rows of texts that it is similar to. A text without words has none.
@@ -212,13 +214,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, target: float = REC
     sets = stage(signed.filter("n_shingles > 0").groupBy("set_id").agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", "uid")).alias("least"), F.count("*").alias("copies")), "near-sets")
     reps = sets.select(F.col("least.uid").alias("uid"), "set_id", "copies", F.col("least").alias("first"))
     signatures = stage(signed.select("uid", "signature", "n_shingles").join(reps.select("uid", "copies").hint("merge"), "uid"), "near-reps")
-    depth = next((d for d in range(DEPTH, 0, -1) if recall(d, similarity) >= target), 1)
-    while True:
-        links = _links(slim, signatures, similarity, depth)
-        found, expected = links.filter("kind = 2").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("w"), F.lit(0.0))).first()
-        if depth == 1 or found >= target * expected or math.isclose(found, expected):
-            break
-        depth -= 1
+    links = _links(slim, signatures, similarity, depth_for(similarity, target))
     joined = components(links.filter("kind = 0").select("a", "b"), "near-classes")
     counted = links.filter("kind = 1").groupBy("a").agg(F.sum("n").alias("n_links")).withColumnRenamed("a", "uid")
     known = reps.join(joined.withColumnRenamed("node", "uid"), "uid", "left").join(counted, "uid", "left").select("set_id", "copies", "first", F.coalesce("component", "uid").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
@@ -232,7 +228,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, target: float = REC
 
 
 def _links(slim: DataFrame, signatures: DataFrame, similarity: float, depth: int) -> DataFrame:
-    """Stage what _verify finds: kind 0 edges (a, b); kind 1 links n of a; kind 2 links found n, and expected w."""
+    """Stage what _verify finds: kind 0 edges (a, b); kind 1 links n of a."""
     keyed = signatures.select("uid", "signature").mapInArrow(_prefixes(depth), "key long, uid long")
     # one bucket is a trie node; its members hang on the least of them
     nodes = keyed.groupBy("key").agg(F.min("uid").alias("least"), F.count("*").alias("n")).filter("n > 1")
@@ -248,7 +244,7 @@ def _links(slim: DataFrame, signatures: DataFrame, similarity: float, depth: int
     texts = slim.join(grouped.select("uid").hint("merge"), "uid", "left_semi").select("uid", "text")
     full = parts.join(texts.hint("merge"), "uid").select("block", "across", "second", "uid", "copies", "text")
     ordered = full.repartition("block").sortWithinPartitions("block", "uid")
-    return stage(ordered.mapInArrow(_blocks(similarity, depth), "kind long, a long, b long, n long, w double"), "near-links")
+    return stage(ordered.mapInArrow(_blocks(similarity), "kind long, a long, b long, n long"), "near-links")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -72,3 +72,17 @@ def test_shingles_of_short_texts():
     flat, count = near.shingles(pa.array(["", None, "a", "a b c d e", "a b c d e f", " a  b\tc d\ne "]))
     assert count.tolist() == [0, 0, 1, 1, 2, 1]
     assert flat[1] == flat[2] == flat[4] and len(np.unique(flat)) == 3
+
+
+def test_depth_reaches_the_target():
+    for similarity in (0.05, 0.1, 0.2, 0.3, 0.5, 0.8, 0.95):
+        for target in (0.5, 0.9, 0.999, 1.0):
+            assert near.recall(near.depth_for(similarity, target), similarity) >= target
+
+
+def test_low_similarity_misses_nothing(spark):
+    """Pairs that no prefix finds surely, so all texts are compared."""
+    texts = [" ".join([f"s{n // 2}x{i}" for i in range(25)] + [f"w{n}x{i}" for i in range(60)]) for n in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    _, found = near.classes(docs, similarity=0.14)
+    assert sorted((r.id, r.class_id, r.n_links) for r in found.collect()) == [(i, i - i % 2, 1) for i in range(300)]
