@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from .common import fresh, stage
 
-#: Bytes of content that one open-addressing table holds; a bucket with more is cut by further bits of the hash.
+#: Bytes of distinct content that one open-addressing table holds (and one text more); a bucket with more is cut by further bits of the hash.
 TABLE_BYTES = 48 << 20
+#: Pairs that are handed on at once.
+PAIRS = 1 << 16
 FANOUT_BITS = 4
 #: Content bytes that a map task gathers before it hands on its distinct texts.
 LOCAL_BYTES = 16 << 20
@@ -47,6 +49,16 @@ class Table:
         self.contents.append(content)
         return len(self.hashes) - 1, True
 
+    def get(self, h: int, content: bytes) -> int:
+        """The entry of a content, or -1."""
+        slots, mask = self.slots, len(self.slots) - 1
+        at = h & mask
+        while (entry := slots[at]) >= 0:
+            if self.hashes[entry] == h and self.contents[entry] == content:
+                return int(entry)
+            at = (at + 1) & mask
+        return -1
+
     def _grow(self) -> None:
         self.slots = np.full(4 * len(self.slots), -1, np.int64)
         mask = len(self.slots) - 1
@@ -81,29 +93,33 @@ def _local(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBa
 
 
 def _grace(rows: Iterator[tuple[int, int, bytes]], folder: str, shift: int, held: list, size: int) -> Iterator[list[tuple[int, int]]]:
-    """(uid, rep uid) pairs of a bucket: from one table if it fits, else bucket by bucket from spill files."""
+    """(uid, rep uid) pairs of a bucket, in runs.
+
+    Rows go into the table as they come, so copies of a text it holds take no room. Once it is full, texts that it
+    lacks go to spill files by further bits of the hash, and each file is a bucket of its own.
+    `held` has the rep of each entry of the table, `size` the bytes of their contents.
+    """
     spills: list | None = None
-    for row in rows:
-        if spills is None:
-            held.append(row)
-            size += len(row[2])
-            if size > TABLE_BYTES and shift + FANOUT_BITS <= HASH_BITS:
-                spills = [tempfile.TemporaryFile(dir=folder) for _ in range(1 << FANOUT_BITS)]
-                for r in held:
-                    pickle.dump(r, spills[(r[1] >> shift) & ((1 << FANOUT_BITS) - 1)], 5)
-                held.clear()
-        else:
-            pickle.dump(row, spills[(row[1] >> shift) & ((1 << FANOUT_BITS) - 1)], 5)
-    if spills is None:
-        table, reps, out = Table(), [], []
-        for uid, h, content in held:
-            entry, new = table.find(h, content)
-            if new:
-                reps.append(uid)
-            out.append((uid, reps[entry]))
-        yield out
-        return
-    for f in spills:
+    table, out = Table(), []
+    for uid, h, content in rows:
+        full = size >= TABLE_BYTES and shift + FANOUT_BITS <= HASH_BITS
+        entry = table.get(h, content)
+        if entry < 0 and full:
+            spills = spills or [tempfile.TemporaryFile(dir=folder) for _ in range(1 << FANOUT_BITS)]
+            pickle.dump((uid, h, content), spills[(h >> shift) & ((1 << FANOUT_BITS) - 1)], 5)
+            continue
+        if entry < 0:
+            entry, _ = table.find(h, content)
+            held.append(uid)
+            size += len(content)
+        out.append((uid, held[entry]))
+        if len(out) >= PAIRS:
+            yield out
+            out = []
+    yield out
+    del table, out
+    held.clear()
+    for f in spills or []:
         f.seek(0)
         yield from _grace(_unspill(f), folder, shift + FANOUT_BITS, [], 0)
         f.close()

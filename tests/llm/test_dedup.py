@@ -47,6 +47,20 @@ def test_spills_and_recursion(tmp_path, monkeypatch):
     assert {i: first[h] for i, h, _ in rows} == dict(got)
 
 
+def test_copies_take_no_room(tmp_path, monkeypatch):
+    """A group of equal texts beyond the table's bytes is neither spilled nor held, before others and among them."""
+    monkeypatch.setattr(dedup, "TABLE_BYTES", 300)
+    spilled = []
+    monkeypatch.setattr(dedup.pickle, "dump", lambda row, f, protocol, dump=dedup.pickle.dump: (spilled.append(row), dump(row, f, protocol)))
+    copies = [(i, 77, b"y" * 200) for i in range(500)]
+    assert [p for pairs in dedup._grace(iter(copies), str(tmp_path), 0, [], 0) for p in pairs] == [(i, 0) for i in range(500)]
+    assert not spilled
+    mixed = [r for i, c in enumerate(copies) for r in (c, (1000 + i, i * 0x9E3779B97F4A7C15 % (1 << 60), b"%d" % i * 9))]
+    got = [p for pairs in dedup._grace(iter(mixed), str(tmp_path), 0, [], 0) for p in pairs]
+    assert dict(got) == {uid: 0 if h == 77 else uid for uid, h, _ in mixed} and len(got) == 1000
+    assert spilled and not [r for r in spilled if r[1] == 77]
+
+
 def test_equal_hashes_are_compared_in_full():
     table = dedup.Table()
     assert table.find(5, b"a") == (0, True)
