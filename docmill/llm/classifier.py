@@ -35,31 +35,31 @@ LABELLERS = {
 }
 #: Fewer words than this, and a labeller that counts words abstains.
 ENOUGH = 20
-#: More words than this, and sameness says nothing: long texts repeat words.
-LONG = 3000
+#: Words of a window in which sameness is measured: long texts repeat words, but not within one.
+WINDOW = 3000
 
 
-def measures(text: str) -> list[float]:
-    """The labellers' measures of a whole text; 0 for one without words."""
+def measures(text: str) -> tuple[int, list[float]]:
+    """The number of words of a whole text, and the labellers' measures; 0 for one without words."""
     words = WORD.findall(text)
     n = len(words)
     if not n:
-        return [0.0] * len(LABELLERS)
+        return 0, [0.0] * len(LABELLERS)
     counts = Counter(words)
     chars = sum(map(len, words))
     symbols = sum(map(text.count, SYMBOLS))
     lower = text.lower()
     capitals = sum(a != b for a, b in zip(text, lower)) if len(lower) == len(text) else sum(map(str.isupper, text))
     repeats = sum(map(str.__eq__, words, words[1:]))
-    return [symbols / chars, capitals / chars, repeats / n, max(counts.values()) / n, 1 - len(counts) / n, text.count("!!") / n, chars / n]
+    distinct = len(counts) if n <= WINDOW else sum(len(set(words[i : i + WINDOW])) for i in range(0, n, WINDOW))
+    return n, [symbols / chars, capitals / chars, repeats / n, max(counts.values()) / n, 1 - distinct / n, text.count("!!") / n, chars / n]
 
 
-def votes(text: str, got: list[float]) -> list[int]:
-    n = len(WORD.findall(text, 0, 64 * ENOUGH)) if len(text) < 64 * ENOUGH else ENOUGH
-    words = text.count(" ") + text.count("\n")
+def votes(n: int, got: list[float]) -> list[int]:
+    """Votes of a text of n words; none for one without words."""
     out = []
     for (name, (bad, good)), x in zip(LABELLERS.items(), got, strict=True):
-        silent = n == 0 or (name in ("repeats", "commonest", "sameness") and n < ENOUGH) or (name == "sameness" and words > LONG)
+        silent = n == 0 or (name in ("repeats", "commonest", "sameness") and n < ENOUGH)
         out.append(ABSTAIN if silent else BAD if x > bad else GOOD if x < good else ABSTAIN)
     return out
 
@@ -92,7 +92,7 @@ def features(text: str, got: list[float]) -> np.ndarray:
 
 def _label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [votes(t or "", measures(t or "")) for t in batch.column(0).to_pylist()]
+        rows = [votes(*measures(t or "")) for t in batch.column(0).to_pylist()]
         yield pa.record_batch([pa.array([r[j] for r in rows], pa.int32()) for j in range(len(LABELLERS))], list(LABELLERS))
 
 
@@ -109,8 +109,8 @@ def train(docs: DataFrame) -> tuple[np.ndarray, float]:
         for batch in batches:
             keys, outs = [], []
             for key, chance, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                got = measures(t)
-                p = float(trust.posterior(np.array([votes(t, got)]))[0])
+                n_words, got = measures(t)
+                p = float(trust.posterior(np.array([votes(n_words, got)]))[0])
                 if chance < odds[p > 0.5]:
                     keys.append(key)
                     outs.append((p, features(t, got).astype(np.float16).tobytes()))
@@ -149,7 +149,7 @@ def score(docs: DataFrame, w: np.ndarray, b: float, name: str) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            x = np.array([float(features(t or "", measures(t or "")) @ w) for t in texts])
+            x = np.array([float(features(t or "", measures(t or "")[1]) @ w) for t in texts])
             yield pa.record_batch([*batch.columns, pa.array(1 / (1 + np.exp(-(x + b))))], [*batch.schema.names, name])
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)

@@ -81,3 +81,23 @@ def test_column_and_array_agree(spark):
 
     got = [r.p for r in spark.createDataFrame(votes, "a int, b int").select(trust.column([F.col("a"), F.col("b")]).alias("p")).collect()]
     assert np.allclose(got, trust.posterior(np.array(votes)))
+
+
+def test_exact_word_counts():
+    """Long texts without words have no votes, those of a few huge words none of the labellers that need words."""
+    assert set(classifier.votes(*classifier.measures(" \n" * 1000))) == {weak.ABSTAIN}
+    got = dict(zip(classifier.LABELLERS, classifier.votes(*classifier.measures("x" * 3000 + " " + "y" * 3000)), strict=True))
+    assert got["repeats"] == got["commonest"] == got["sameness"] == weak.ABSTAIN and got["length"] == weak.BAD
+
+
+def test_variety_of_long_texts(spark):
+    """Shuffled filler is judged alike on both sides of a window's end and far beyond, and so are varied texts."""
+    rng = np.random.default_rng(3)
+    sizes = (2999, 3000, 3001, 9001)
+    for pool, vote in ((100, weak.BAD), (20000, weak.GOOD)):
+        texts = [" ".join(f"w{i}" for i in rng.integers(0, pool, n)) for n in sizes]
+        assert {classifier.votes(*classifier.measures(t))[list(classifier.LABELLERS).index("sameness")] for t in texts} == {vote}
+        rows = rules.vote(rules.measure(spark.createDataFrame([(t,) for t in texts], "text string")).cache()).collect()
+        for r in rows:
+            w = r.text.split()
+            assert r.n_distinct_words == sum(len(set(w[i : i + 3000])) for i in range(0, len(w), 3000)) and r.vote_variety == vote
