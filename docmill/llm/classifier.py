@@ -15,9 +15,9 @@ from .common import stage
 from .weak import ABSTAIN, BAD, GOOD, fit_votes
 
 #: Rows that the scorer is trained on, at most. Distinct texts, drawn by a hash of the text; bad ones more often.
-SAMPLE = 4000
+SAMPLE = 6000
 #: Hashed features: character shapes, and steps of the labellers' measures.
-SHAPES, STEPS = 512, 128
+SHAPES, STEPS = 1024, 256
 #: Texts are rejected below this score.
 THRESHOLD = 0.5
 
@@ -82,7 +82,7 @@ def features(text: str, got: list[float]) -> np.ndarray:
     x = np.zeros(SHAPES + STEPS, np.float32)
     if len(kinds) > 2:
         triples = (kinds[:-2] << 16) | (kinds[1:-1] << 8) | kinds[2:]
-        hashed = ((triples * 0x9E3779B1) & 0xFFFFFFFF) >> 23
+        hashed = ((triples * 0x9E3779B1) & 0xFFFFFFFF) >> 22
         x[:SHAPES] = np.sqrt(np.bincount(hashed, minlength=SHAPES) / len(triples))
     for j, v in enumerate(got):
         step = min(15, int(np.log2(1 + 1000 * v)))
@@ -90,6 +90,19 @@ def features(text: str, got: list[float]) -> np.ndarray:
     return x
 
 
+def packed(x: np.ndarray) -> bytes:
+    """Places and values of the features that aren't 0, 16 bits each."""
+    at = np.flatnonzero(x)
+    return at.astype("<u2").tobytes() + x[at].astype("<f2").tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    at, values = np.frombuffer(data, "<u2").reshape(2, -1)
+    x = np.zeros(SHAPES + STEPS, np.float32)
+    x[at] = values.view("<f2")
+    return x
+
+
 def _label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [votes(*measures(t or "")) for t in batch.column(0).to_pylist()]
@@ -113,7 +126,7 @@ def train(docs: DataFrame) -> tuple[np.ndarray, float]:
                 p = float(trust.posterior(np.array([votes(n_words, got)]))[0])
                 if chance < odds[p > 0.5]:
                     keys.append(key)
-                    outs.append((p, features(t, got).astype(np.float16).tobytes()))
+                    outs.append((p, packed(features(t, got))))
             if keys:
                 yield pa.record_batch([pa.array(keys), pa.array([o[0] for o in outs]), pa.array([o[1] for o in outs], pa.binary())], ["key", "bad", "x"])
 
@@ -123,7 +136,7 @@ def train(docs: DataFrame) -> tuple[np.ndarray, float]:
     rows = some.mapInArrow(draw, "key long, bad double, x binary").dropDuplicates(["key"]).orderBy("key").limit(SAMPLE).collect()
     x = np.zeros((len(rows), SHAPES + STEPS), np.float32)
     for i, r in enumerate(rows):
-        x[i] = np.frombuffer(r["x"], np.float16)
+        x[i] = unpacked(r["x"])
     return _logistic(x, np.array([1 - r["bad"] for r in rows]))
 
 

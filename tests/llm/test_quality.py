@@ -101,3 +101,12 @@ def test_variety_of_long_texts(spark):
         for r in rows:
             w = r.text.split()
             assert r.n_distinct_words == sum(len(set(w[i : i + 3000])) for i in range(0, len(w), 3000)) and r.vote_variety == vote
+
+
+def test_sample_is_packed():
+    """The scorer has its full sizes, and what the driver collects of a text is small and loses only float16's rounding."""
+    assert (classifier.SAMPLE, classifier.SHAPES, classifier.STEPS) == (6000, 1024, 256)
+    for text in ("", "Hello, World! 123\n" * 40, "x"):
+        x = classifier.features(text, classifier.measures(text)[1])
+        data = classifier.packed(x)
+        assert len(data) == 4 * np.count_nonzero(x) and np.array_equal(classifier.unpacked(data), x.astype(np.float16).astype(np.float32))
