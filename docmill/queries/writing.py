@@ -105,7 +105,8 @@ def stream_dedupe(t):
     """Each document is sent twice, in other files; each comes out once."""
     docs, out = shared_path(t.spark, "twice-in"), shared_path(t.spark, "twice-out")
     ids = t.orders.select(F.col("o_orderkey").alias("doc_id"))
-    for _ in range(2):
-        ids.coalesce(1).write.mode("append").parquet(docs)
-    inc.stream_dedupe(t.spark, docs, ids.schema, out, shared_path(t.spark, "twice-log"))
+    ids.write.parquet(docs)
+    sent = len(t.spark.read.schema(ids.schema).parquet(docs).inputFiles())
+    ids.write.mode("append").parquet(docs)
+    inc.stream_dedupe(t.spark, docs, ids.schema, out, shared_path(t.spark, "twice-log"), files_per_batch=max(1, sent))
     return t.spark.read.parquet(out).select("doc_id")

@@ -22,7 +22,7 @@ def stream_shred(spark: SparkSession, path: str, schema: T.StructType, process:
     stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def stream_dedupe(spark: SparkSession, path: str, schema: T.StructType, out: str, checkpoint: str, id: str = "doc_id") -> None:
+def stream_dedupe(spark: SparkSession, path: str, schema: T.StructType, out: str, checkpoint: str, id: str = "doc_id", files_per_batch: int = 1) -> None:
     """Documents whose id hasn't been taken in an earlier batch, each once; the output itself is the log of ids."""
 
     def batch(df: DataFrame, nth: int) -> None:
@@ -32,7 +32,7 @@ def stream_dedupe(spark: SparkSession, path: str, schema: T.StructType, out: str
             fresh = fresh.join(seen, id, "left_anti")
         fresh.write.mode("overwrite").parquet(f"{out}/batch={nth}")
 
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
     stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
