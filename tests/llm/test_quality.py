@@ -110,3 +110,93 @@ def test_sample_is_packed():
         x = classifier.features(text, classifier.measures(text)[1])
         data = classifier.packed(x)
         assert len(data) == 4 * np.count_nonzero(x) and np.array_equal(classifier.unpacked(data), x.astype(np.float16).astype(np.float32))
+
+
+def planted(hit, clear, n=20000, share=0.2, seed=5):
+    rng = np.random.default_rng(seed)
+    bad = rng.random(n) < share
+    votes = np.where(bad[:, None], rng.random((n, len(hit))) < hit, rng.random((n, len(hit))) > clear).astype(int)
+    votes[rng.random(votes.shape) < 0.2] = weak.ABSTAIN
+    return bad, votes
+
+
+def test_false_alarms_are_estimated():
+    """Rates from 0.001 to 0.1, each found from agreement alone."""
+    for hit, clear in (((0.9, 0.7, 0.8, 0.6), (0.98, 0.9, 0.99, 0.999)), ((0.9, 0.8, 0.7, 0.8, 0.6), (0.98, 0.9, 0.98, 0.999, 0.9))):
+        bad, votes = planted(np.array(hit), np.array(clear))
+        patterns, counts = np.unique(votes, axis=0, return_counts=True)
+        trust = weak.fit(patterns, counts.astype(float))
+        assert np.abs(trust.alarms - (1 - np.array(clear))).max() < 0.015
+        assert np.abs(trust.hit - hit).max() < 0.07 and abs(trust.share - 0.2) < 0.03
+        assert np.mean((trust.posterior(votes) > 0.5) == bad) > 0.97
+
+
+def test_a_defect_that_one_voter_sees_is_no_false_alarm():
+    """Kinds that exclude one another, each seen by voters of its own: the lonely one counts as much as the others."""
+    rng = np.random.default_rng(3)
+    kind = rng.choice(4, 20000, p=[0.85, 0.07, 0.05, 0.03])
+    seen = np.array([[0, 0, 0, 0], [1, 0, 0, 0], [0, 0.9, 0.8, 0], [0, 0, 0.7, 0.9]])
+    votes = (rng.random((20000, 4)) < seen[kind]).astype(int)
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    trust = weak.fit(patterns, counts.astype(float))
+    assert trust.alarms.max() < 0.005
+    assert np.mean((trust.posterior(votes) > 0.5) == (kind > 0)) > 0.98
+
+
+def test_fit_without_rows():
+    """The priors decide."""
+    trust = weak.fit(np.zeros((0, 3), int), np.zeros(0))
+    assert abs(trust.share - 0.1) < 1e-6 and np.allclose(trust.alarms, 0.005) and trust.posterior(np.full((1, 3), weak.ABSTAIN))[0] < 0.5
+
+
+def brute_posteriors(rows):
+    """Fit by one document at a time, with each class's likelihood multiplied out."""
+    trust = weak.fit(*[x.astype(t) for x, t in zip(np.unique(np.array(rows), axis=0, return_counts=True), (int, float), strict=True)])
+    out = []
+    for votes in rows:
+        classes = []
+        for share, sees in [(1 - trust.share, [0] * len(votes)), *zip(trust.kinds, trust.sees, strict=True)]:
+            chance = share
+            for v, s, a in zip(votes, sees, trust.alarms, strict=True):
+                bad = a + s - a * s
+                chance *= {weak.BAD: bad, weak.GOOD: 1 - bad, weak.ABSTAIN: 1}[v]
+            classes.append(chance)
+        out.append(sum(classes[1:]) / sum(classes))
+    return out
+
+
+def brute_labels(t):
+    """Measures and votes of the labellers, by their definitions."""
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    if not w:
+        return [weak.ABSTAIN] * 7
+    chars = len("".join(w))
+    capitals = sum(c != c.lower() for c in t) if len(t.lower()) == len(t) else sum(c.isupper() for c in t)
+    measures = {
+        "symbols": len(re.findall(r"[#*$%&|<>]", t)) / chars, "capitals": capitals / chars, "repeats": sum(a == b for a, b in zip(w, w[1:])) / len(w), "commonest": max(Counter(w).values()) / len(w),
+        "sameness": sum(w[i] in w[i - i % 3000 : i] for i in range(len(w))) / len(w), "shouts": t.count("!!") / len(w), "length": chars / len(w),
+    }
+    out = []
+    for name, (bad, good) in classifier.LABELLERS.items():
+        few = name in ("repeats", "commonest", "sameness") and len(w) < classifier.ENOUGH
+        out.append(weak.ABSTAIN if few else weak.BAD if measures[name] > bad else weak.GOOD if measures[name] < good else weak.ABSTAIN)
+    return out
+
+
+def test_labels_and_posteriors_by_brute_force(spark):
+    """Every document of the table: measures, votes, and the posteriors that the scorer learns from."""
+    texts = [r.text or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    texts = [t if len(t) < 30000 else t[:30000] for t in texts] + ["", " \n", "A B", "!!" * 30, "x " * 40, "Straße İİ " * 30]
+    want = [brute_labels(t) for t in texts]
+    assert [classifier.votes(*classifier.measures(t)) for t in texts] == want
+    patterns, counts = np.unique(np.array(want), axis=0, return_counts=True)
+    assert np.allclose(weak.fit(patterns, counts.astype(float)).posterior(np.array(want)), brute_posteriors(want))
+
+
+def test_verdicts_of_rules_by_brute_force(spark):
+    """Quality and verdict of every document, from its votes by multiplication."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    rows = rules.judge(rules.measure(docs).cache()).collect()
+    bad = brute_posteriors([[r[v] for v in rules.RULES] for r in rows])
+    assert np.allclose([1 - r.quality for r in rows], bad)
+    assert [r.kept for r in rows] == [not r.base_failed and 1 - b >= 0.5 for r, b in zip(rows, bad, strict=True)]
