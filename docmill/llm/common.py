@@ -57,7 +57,7 @@ def attach(left: DataFrame, right: DataFrame, key: str, count: str, total: int,
     Keys with over HOT_SHARE of the total (at most 1 / HOT_SHARE of them) are broadcast, so that left's rows of a
     hot key stay where they are; the others are joined by a shuffle.
     """
-    bound = max(2000, int(total * HOT_SHARE))
+    bound = max(64, int(total * HOT_SHARE))
     hot = right.filter(F.col(count) > bound)
     marked = left.join(F.broadcast(hot.select(key, F.lit(True).alias("_hot"))), key, "left")
     few = marked.filter("_hot").drop("_hot").join(F.broadcast(hot), key, "inner")
@@ -69,29 +69,36 @@ def components(edges: DataFrame, label: str, rounds: int = 40) -> DataFrame:
     """Connected components of edges (a long, b long): (node, component), component being its smallest node.
 
     Large-star and small-star steps in turn (Kiveris et al., 2014), each of which is an aggregation and a join on
-    staged tables; the number of rounds grows with the logarithm of a component's diameter. Self-loops keep a node.
+    staged tables; the number of rounds grows with the logarithm of a component's diameter. Self-loops are no edges; a node without others isn't returned.
     """
+
+    def state(pairs: DataFrame):
+        return pairs.agg(F.count("*").alias("n"), F.sum(F.hash("u", "v").cast("long")).alias("h")).first()
+
     pairs = stage(edges.select(F.least("a", "b").alias("v"), F.greatest("a", "b").alias("u")).distinct(), f"{label}-edges")
+    was = state(pairs)
     for _ in range(rounds):
-        large = _star(pairs.select("u", "v").union(pairs.select(F.col("v"), F.col("u"))), larger=True)
-        small = stage(_star(large, larger=False), f"{label}-star")
+        large = stage(_star(pairs.select("u", "v").union(pairs.select(F.col("v"), F.col("u"))), True, 2 * was.n), f"{label}-large")
+        pairs = stage(_star(large, False, was.n), f"{label}-star")
         # a round that changes nothing leaves stars: each u has one v, and no v is a u of another
-        sums = small.agg(F.count("*").alias("n"), F.sum(F.hash("u", "v").cast("long")).alias("h")).first()
-        was = pairs.agg(F.count("*").alias("n"), F.sum(F.hash("u", "v").cast("long")).alias("h")).first()
-        pairs = small
-        if sums == was:
+        now = state(pairs)
+        if now == was:
             break
+        was = now
     else:
         raise RuntimeError(f"components: no end after {rounds} rounds")
     both = pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(pairs.select("v", "v"))
     return both.groupBy("node").agg(F.min("component").alias("component"))
 
 
-def _star(pairs: DataFrame, larger: bool) -> DataFrame:
-    """Link each neighbour of u (the larger ones, or the others) to the least of u and its neighbours."""
+def _star(pairs: DataFrame, larger: bool, total: int) -> DataFrame:
+    """Link each neighbour of u (the larger ones, or the others) to the least of u and its neighbours.
+
+    A hub's neighbours stay where they are, as its least one is broadcast. total: rows of pairs, at most.
+    """
     near = pairs.filter("u <> v") if larger else pairs.filter("u > v")
-    least = near.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    linked = near.join(least, "u")
+    least = near.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n"))
+    linked = attach(near, least, "u", "n", total)
     if larger:
         out = linked.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:

@@ -1,28 +1,39 @@
-"""Near-duplicate join: MinHash bands of one depth propose, exact Jaccard similarity decides."""
+"""Near-duplicate join: a MinHash LSH forest proposes, exact Jaccard similarity decides.
+
+A text has a label of DEPTH numbers, a byte each, in each of TREES trees, so that a label is one integer whose order is
+the order of the tree's sorted trie, and a trie node at some depth is the run of labels with the same leading bytes.
+Matched prefixes begin at full length. The links that they give are verified exactly, and from their similarities
+follows how many links such prefixes miss; while that is too many, prefixes are shortened by one number.
+"""
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import attach, components, fresh, stage
-from .pieces import slices
+from .pieces import gather, slices
 
 WORDS, SIMILARITY = 5, 0.8
-#: Bands, called trees, and the numbers of a signature that the longest prefix in one of them has.
-TREES, DEPTH = 20, 6
-#: Prefixes are so short that this share of the links at the least similarity is expected to be found.
+#: Trees, and the numbers of a label, which is the longest prefix. Labels and a tree's number fit into 61 bits.
+TREES, DEPTH = 20, 7
+#: Prefixes are shortened until this share of all links is expected to be found.
 RECALL = 0.999
+#: Steps of similarity in which found links are counted.
+STEPS = 200
 #: Texts, and distinct shingles, that a side of a verified block holds (about, as texts are dealt by a hash).
 BLOCK_TEXTS, BLOCK_SHINGLES = 800, 1 << 19
 
+log = logging.getLogger(__name__)
+
 _rng = np.random.default_rng(20240501)
-#: Odd multipliers and offsets of the signature's hash functions.
+#: Odd multipliers and offsets of the labels' hash functions.
 FACTORS = _rng.integers(0, 2**63, TREES * DEPTH, np.uint64) * np.uint64(2) + np.uint64(1)
 OFFSETS = _rng.integers(0, 2**63, TREES * DEPTH, np.uint64)
 MIX = [np.uint64(x | 1) for x in _rng.integers(0, 2**63, WORDS, np.uint64).tolist()]
@@ -34,10 +45,26 @@ def recall(depth: int, similarity: float) -> float:
 
 
 def depth_for(similarity: float, target: float) -> int:
-    """The longest prefix whose recall reaches the target; 0, where all texts are candidates, if none does."""
+    """The longest prefix whose recall reaches the target for every link; 0, where all texts are candidates, if none does.
+
+    No shorter prefix is ever tried.
+    """
     return next((d for d in range(DEPTH, 0, -1) if recall(d, similarity) >= target), 0)
 
 
+def expected_recall(found: np.ndarray, depth: int, similarity: float) -> float:
+    """The share of all links that prefixes of a depth find, from the similarities of those that they found.
+
+    found[i] counts links from step i of STEPS between the least similarity and 1. A link that is found with chance r
+    stands for 1 / r links. One more link at the least similarity is taken as found, so few links prove little.
+    """
+    if depth == 0:
+        return 1.0
+    steps = similarity + (1 - similarity) * np.arange(STEPS) / STEPS
+    counts = np.append(found, 1)
+    return float(counts.sum() / (counts / recall(depth, np.append(steps, similarity))).sum())
+
+
 def _hash(words: pa.Array) -> np.ndarray:
     import xxhash
 
@@ -70,7 +97,7 @@ def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (..., text) to (..., n_shingles, set_id, signature): text is the last column and goes."""
+    """Rows (..., text) to (..., n_shingles, set_id, labels): text is the last column and goes."""
     import hashlib
 
     for batch in batches:
@@ -78,37 +105,21 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(texts, 4 << 20):
             flat, count = shingles(part)
             some = count > 0
-            signature = np.zeros((len(count), TREES * DEPTH), np.uint16)
+            labels = np.zeros((len(count), TREES), np.int64)
             if some.any():
                 starts = (np.cumsum(count) - count)[some]
                 for j in range(TREES * DEPTH):
                     least = np.minimum.reduceat(flat * FACTORS[j] + OFFSETS[j], starts)
-                    signature[some, j] = (least * MIX[1]) >> np.uint64(48)  # 16 bits of the least value's hash are enough for prefixes
+                    byte = (least * MIX[1]) >> np.uint64(56)  # a byte of the least value's hash is enough for a prefix
+                    labels[some, j // DEPTH] = (labels[some, j // DEPTH] << 8) | byte.astype(np.int64)
             sets = [np.unique(x) for x in np.split(flat, np.cumsum(count)[:-1])]
             ids = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets]
             n = len(count)
-            yield pa.record_batch([
-                *[c.slice(at, n) for c in batch.columns[:-1]], pa.array([len(x) for x in sets], pa.int64()), pa.array(ids, pa.binary()), pa.array([r.tobytes() for r in signature], pa.binary()),
-            ], [*batch.schema.names[:-1], "n_shingles", "set_id", "signature"])
+            columns = [pa.array([len(x) for x in sets], pa.int64()), pa.array(ids, pa.binary()), pa.ListArray.from_arrays(np.arange(0, n * TREES + 1, TREES, dtype=np.int32), labels.reshape(-1))]
+            yield pa.record_batch([*[c.slice(at, n) for c in batch.columns[:-1]], *columns], [*batch.schema.names[:-1], "n_shingles", "set_id", "labels"])
             at += n
 
 
-def _prefixes(depth: int):
-    """A tree's key is its number and the first `depth` numbers of its part of the signature."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            uids = batch.column(0).to_numpy()
-            s = np.frombuffer(b"".join(x.as_buffer() for x in batch.column(1)), np.uint16).reshape(len(uids), TREES, DEPTH).astype(np.uint64)
-            key = np.broadcast_to(np.arange(TREES, dtype=np.uint64), (len(uids), TREES)).copy()
-            for k in range(depth):
-                key = (key ^ s[:, :, k]) * MIX[k % WORDS]
-                key ^= key >> np.uint64(32)
-            yield pa.record_batch([pa.array(key.reshape(-1).view(np.int64)), pa.array(np.repeat(uids, TREES))], ["key", "uid"])
-
-    return task
-
-
 class Forest:
     """Disjoint sets of 0 to n - 1."""
 
@@ -127,71 +138,72 @@ class Forest:
         return a != b
 
 
-def _verify(uids: np.ndarray, own: np.ndarray, copies: np.ndarray, flat: np.ndarray, count: np.ndarray, across: bool, similarity: float):
-    """Links of a block: (edges of a spanning forest, weighted links of each text).
+def _verify(uids: np.ndarray, own: np.ndarray, copies: np.ndarray, labels: np.ndarray, flat: np.ndarray, count: np.ndarray, across: bool, tree: int, depth: int, similarity: float):
+    """Links of a block of a trie node: (edges of a spanning forest, weighted links of each text, links by similarity).
 
-    Counts shared shingles of each text with all others through an inverted list, so no pair is left out. `own` tells
-    the two sides of a block between two chunks, inside of which other blocks look.
+    Of pairs that share a prefix in several trees, the first tree's block takes each; of those that share a longer one
+    somewhere, an earlier depth's did. So each pair is compared once in the whole join. `own` tells the two sides of a
+    block between two chunks of a node, inside of which other blocks look.
     """
     n = len(uids)
-    doc = np.repeat(np.arange(n), count)
-    order = np.argsort(flat, kind="stable")
-    sorted_flat, posting = flat[order], doc[order]
-    edge = np.flatnonzero(np.concatenate([[True], sorted_flat[1:] != sorted_flat[:-1]]))
-    size = np.diff(np.append(edge, len(flat)))
-    group = np.empty(len(flat), np.int64)
-    group[order] = np.repeat(np.arange(len(edge)), size)
-    links, forest, edges = np.zeros(n, np.int64), Forest(n), []
-    ends = np.cumsum(count)
+    _, ids = np.unique(flat, return_inverse=True)
+    marked = np.zeros(len(flat), bool)
+    starts = np.cumsum(count) - count
+    prefix = labels >> (8 * (DEPTH - depth))
+    longer = labels >> (8 * (DEPTH - depth - 1)) if depth < DEPTH else None
+    links, forest, edges, found = np.zeros(n, np.int64), Forest(n), [], np.zeros(STEPS, np.int64)
     for a in range(n):
         if across and own[a]:
             continue
-        g = group[ends[a] - count[a] : ends[a]]
-        g = g[size[g] > 1]
-        if not len(g):
+        others = np.flatnonzero(own) if across else np.arange(a + 1, n)
+        # sizes alone rule out some
+        others = others[np.minimum(count[others], count[a]) >= similarity * np.maximum(count[others], count[a])]
+        others = others[~(prefix[others, :tree] == prefix[a, :tree]).any(1)]
+        if longer is not None:
+            others = others[~(longer[others] == longer[a]).any(1)]
+        if not len(others):
             continue
-        start, length = edge[g], size[g]
-        at = np.repeat(start - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
-        shared = np.bincount(posting[at], minlength=n)
-        jaccard = shared / (count[a] + count - shared)
+        mine = ids[starts[a] : starts[a] + count[a]]
+        marked[mine] = True
+        shared = np.add.reduceat(marked[gather(ids, starts[others], count[others])].astype(np.int64), np.cumsum(count[others]) - count[others])
+        marked[mine] = False
+        jaccard = shared / (count[a] + count[others] - shared)
         hit = jaccard >= similarity
-        hit[a] = False
-        hit &= own if across else np.arange(n) > a
-        for b in np.flatnonzero(hit).tolist():
+        np.add.at(found, np.minimum(STEPS - 1, ((jaccard[hit] - similarity) / (1 - similarity) * STEPS).astype(np.int64)) if similarity < 1 else np.zeros(hit.sum(), np.int64), 1)
+        for b in others[hit].tolist():
             links[a] += copies[b]
             links[b] += copies[a]
             if forest.join(a, b):
                 edges.append((uids[a], uids[b]))
-    return edges, links
+    return edges, links, found
 
 
-def _blocks(similarity: float):
-    """Verified blocks: rows arrive sorted by block, (block, across, second, uid, copies, text)."""
+def _blocks(depth: int, similarity: float):
+    """Verified blocks: rows arrive sorted by block, (block, tree, across, second, uid, copies, labels, text).
+
+    Out come rows (kind, a, b, n): 0 an edge from a to b, 1 the n links of a, 2 the n links of similarity step a.
+    """
     names = ["kind", "a", "b", "n"]
 
-    def flush(rows: list) -> pa.RecordBatch | None:
-        uids = np.array([r[1] for r in rows], np.int64)
-        own = np.array([r[0] for r in rows], bool)
-        copies = np.array([r[2] for r in rows], np.int64)
-        flat, count = shingles(pa.array([r[3] for r in rows], pa.large_string()))
+    def flush(rows: list, tree: int, across: bool) -> pa.RecordBatch | None:
+        own, uids, copies, labels = (np.array([r[i] for r in rows], t) for i, t in enumerate((bool, np.int64, np.int64, np.int64)))
+        flat, count = shingles(pa.array([r[4] for r in rows], pa.large_string()))
         sets = [np.unique(x) for x in np.split(flat, np.cumsum(count)[:-1])]
         count = np.fromiter(map(len, sets), np.int64, len(sets))
-        edges, links = _verify(uids, own, copies, np.concatenate(sets), count, rows[0][4], similarity)
-        linked = np.flatnonzero(links)
-        out = [(0, int(a), int(b), 0) for a, b in edges] + [(1, int(uids[i]), 0, int(links[i])) for i in linked]
+        edges, links, found = _verify(uids, own, copies, labels, np.concatenate(sets), count, across, tree, depth, similarity)
+        out = [(0, int(a), int(b), 0) for a, b in edges] + [(1, int(uids[i]), 0, int(links[i])) for i in np.flatnonzero(links)] + [(2, int(i), 0, int(found[i])) for i in np.flatnonzero(found)]
         return pa.record_batch([pa.array(c) for c in zip(*out, strict=True)], names) if out else None
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
         for batch in batches:
-            for block, across, second, uid, copies, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if block != now and rows:
-                    if (found := flush(rows)) is not None:
-                        yield found
-                    rows = []
-                now = block
-                rows.append((second, uid, copies, text, across))
-        if rows and (found := flush(rows)) is not None:
+            for block, tree, across, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now is not None and block != now[0] and (found := flush(rows, *now[1:])) is not None:
+                    yield found
+                rows = rows if now is not None and block == now[0] else []
+                now = block, tree, across
+                rows.append(row)
+        if rows and (found := flush(rows, *now[1:])) is not None:
             yield found
 
     return task
@@ -200,51 +212,96 @@ def _blocks(similarity: float):
 def classes(docs: DataFrame, similarity: float = SIMILARITY, target: float = RECALL, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """(rows, found): docs with a row number, and for each row (_uid, id, class_id, keep_uid, n_links).
 
-    Texts with the same set of shingles are one text with copies. Texts that share a prefix in some tree are candidates.
-    All prefixes have the depth at which closed-form recall at the least similarity reaches the target. Candidates
-    that hang together are verified in blocks, each pair of a block exactly, so one group's size never makes a task large,
-    and no table of pairs is written. A class is what verified links connect; its id is its smallest doc_id (null last).
-    n_links counts a row's links: its copies, and all rows of texts that it is similar to. A text without words has none.
+    Texts with the same set of shingles are one text with copies. Texts that share a prefix of their labels in some tree
+    are candidates; prefixes are shortened until the expected recall reaches the target, at most down to the depth that
+    has it for every link. Each candidate pair is verified exactly, in blocks of its trie node, so a node's size never
+    makes a task large, and no table of pairs is written. A class is what verified links connect; its id is its smallest
+    doc_id (null last). n_links counts a row's links: its copies, and all rows of texts that it is similar to. A text
+    without words has none.
     """
-    spark = docs.sparkSession
     uid = fresh(docs, "_uid")
     rows = stage(docs.withColumn(uid, F.monotonically_increasing_id()), "near-rows")
     slim = rows.select(F.col(uid).alias("uid"), F.col(key).cast("long").alias("id"), "text")
-    signed = stage(slim.mapInArrow(_signatures, "uid long, id long, n_shingles long, set_id binary, signature binary"), "near-signed")
+    signed = stage(slim.mapInArrow(_signatures, "uid long, id long, n_shingles long, set_id binary, labels array<long>"), "near-signed")
     sets = stage(signed.filter("n_shingles > 0").groupBy("set_id").agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", "uid")).alias("least"), F.count("*").alias("copies")), "near-sets")
     reps = sets.select(F.col("least.uid").alias("uid"), "set_id", "copies", F.col("least").alias("first"))
-    signatures = stage(signed.select("uid", "signature", "n_shingles").join(reps.select("uid", "copies").hint("merge"), "uid"), "near-reps")
-    links = _links(slim, signatures, similarity, depth_for(similarity, target))
+    labelled = stage(signed.select("uid", "labels", "n_shingles").join(reps.select("uid", "copies").hint("merge"), "uid"), "near-reps")
+    links = _links(slim, labelled, similarity, target)
     joined = components(links.filter("kind = 0").select("a", "b"), "near-classes")
     counted = links.filter("kind = 1").groupBy("a").agg(F.sum("n").alias("n_links")).withColumnRenamed("a", "uid")
     known = reps.join(joined.withColumnRenamed("node", "uid"), "uid", "left").join(counted, "uid", "left").select("set_id", "copies", "first", F.coalesce("component", "uid").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     known = stage(known, "near-known")
-    named = known.groupBy("class").agg(F.min("first").alias("keep"))
-    by_set = stage(known.join(named, "class").select("set_id", "copies", F.col("keep.id").alias("class_id"), F.col("keep.uid").alias("keep_uid"), (F.col("n_links") + F.col("copies") - 1).alias("n_links")), "near-named")
+    named = stage(known.groupBy("class").agg(F.min("first").alias("keep"), F.count("*").alias("sets")), "near-least")
+    with_class = attach(known, named, "class", "sets", known.count())
+    by_set = stage(with_class.select("set_id", "copies", F.col("keep.id").alias("class_id"), F.col("keep.uid").alias("keep_uid"), (F.col("n_links") + F.col("copies") - 1).alias("n_links")), "near-named")
     plain = signed.select("uid", "id", "set_id")
     found_rows = attach(plain.filter("set_id is not null"), by_set, "set_id", "copies", plain.count()).select("uid", "id", "class_id", "keep_uid", "n_links")
     alone = plain.filter("set_id is null").select("uid", "id", F.col("id").alias("class_id"), F.col("uid").alias("keep_uid"), F.lit(0).cast("long").alias("n_links"))
     return rows, found_rows.unionByName(alone).withColumnRenamed("uid", "_uid")
 
 
-def _links(slim: DataFrame, signatures: DataFrame, similarity: float, depth: int) -> DataFrame:
-    """Stage what _verify finds: kind 0 edges (a, b); kind 1 links n of a."""
-    keyed = signatures.select("uid", "signature").mapInArrow(_prefixes(depth), "key long, uid long")
-    # one bucket is a trie node; its members hang on the least of them
-    nodes = keyed.groupBy("key").agg(F.min("uid").alias("least"), F.count("*").alias("n")).filter("n > 1")
-    # merge joins: none of these sides is bounded, so plans are the same at every size
-    candidates = keyed.join(nodes.hint("merge"), "key").filter("uid <> least").select(F.col("uid").alias("a"), F.col("least").alias("b")).distinct()
-    grouped = stage(components(candidates, "near-candidates").withColumnRenamed("node", "uid").join(signatures.select("uid", "n_shingles", "copies").hint("merge"), "uid"), "near-grouped")
-    size = grouped.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("chunks"))
-    chunked = grouped.join(size, "component").withColumn("mine", F.pmod(F.xxhash64("uid"), "chunks").cast("int"))
-    # a text goes to the blocks of its chunk with each chunk of its component
-    dealt = chunked.select("uid", "copies", "component", "mine", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
-    block = F.xxhash64("component", F.least("mine", "other"), F.greatest("mine", "other"))
-    parts = dealt.select("uid", "copies", block.alias("block"), (F.col("mine") != F.col("other")).alias("across"), (F.col("mine") > F.col("other")).alias("second"))
-    texts = slim.join(grouped.select("uid").hint("merge"), "uid", "left_semi").select("uid", "text")
-    full = parts.join(texts.hint("merge"), "uid").select("block", "across", "second", "uid", "copies", "text")
+def _node(depth: int) -> Column:
+    """A trie node as a number: the tree, and the first `depth` numbers of the label."""
+    return F.shiftleft(F.col("tree").cast("long"), 8 * DEPTH).bitwiseOR(F.shiftright("label", 8 * (DEPTH - depth)))
+
+
+def _links(slim: DataFrame, labelled: DataFrame, similarity: float, target: float) -> DataFrame:
+    """What _blocks finds at all depths that are needed."""
+    least = depth_for(similarity, target)
+    company = _company(slim, labelled, least)
+    parts, found = [], np.zeros(STEPS, np.int64)
+    for depth in range(DEPTH, least - 1, -1):
+        parts.append(_at_depth(company, depth, similarity))
+        for r in parts[-1].filter("kind = 2").groupBy("a").agg(F.sum("n").alias("n")).collect():  # STEPS rows at most
+            found[r.a] += r.n
+        reached = expected_recall(found, depth, similarity)
+        log.info("prefixes of %d numbers: %d links, expected recall %.5f", depth, found.sum(), reached)
+        if reached >= target:
+            break
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _company(slim: DataFrame, labelled: DataFrame, least: int) -> DataFrame:
+    """Stage the texts that share a trie node with another at the least depth, and in which trees: longer prefixes need no others."""
+    if least == 0:
+        some = labelled.withColumn("trees", F.sequence(F.lit(0), F.lit(TREES - 1)))
+    else:
+        keyed = labelled.select("uid", F.posexplode("labels").alias("tree", "label")).select("uid", "tree", _node(least).alias("node"))
+        nodes = stage(keyed.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1"), "near-nodes")
+        trees = attach(keyed, nodes, "node", "n", TREES * labelled.count()).groupBy("uid").agg(F.collect_list("tree").alias("trees"))  # TREES at most
+        some = labelled.join(trees.hint("merge"), "uid")
+    return stage(some.join(slim.select("uid", "text").hint("merge"), "uid"), "near-company")
+
+
+def _at_depth(company: DataFrame, depth: int, similarity: float) -> DataFrame:
+    """Stage the links of pairs whose longest common prefix in any tree has this depth."""
+    trees = F.col("trees") if depth else F.array(F.lit(0))
+    keyed = company.select("uid", "copies", "n_shingles", "labels", F.explode(trees).alias("tree")).withColumn("label", F.get("labels", "tree")).withColumn("node", _node(depth))
+    ends = [f(F.get("labels", F.lit(t))) for f in (F.min, F.max) for t in range(TREES)]
+    nodes = keyed.groupBy("node").agg(F.first("tree").alias("tree"), F.count("*").alias("n"), F.sum("n_shingles").alias("size"), F.array(*ends[:TREES]).alias("low"), F.array(*ends[TREES:]).alias("high"))
+
+    def together(depth: int) -> Column:
+        """In which trees all texts of the node share a prefix: where the least and the largest label do."""
+        return F.zip_with("low", "high", lambda a, b: F.shiftright(a, 8 * (DEPTH - depth)) == F.shiftright(b, 8 * (DEPTH - depth)))
+
+    # a node is done if an earlier tree has all its texts in one node, or if longer prefixes have in any tree
+    done = F.exists(F.slice(together(depth), F.lit(1), F.col("tree")), lambda x: x)
+    if depth < DEPTH:
+        done |= F.exists(together(depth + 1), lambda x: x)
+    chunks = F.greatest(F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("size") / BLOCK_SHINGLES)).cast("int")
+    open_ = stage(nodes.filter(F.col("n") > 1).filter(~done).select("node", "n", chunks.alias("chunks")), "near-open")
+    total = keyed.count()
+    member = attach(keyed.select("uid", "tree", "node"), open_, "node", "n", total).withColumn("mine", F.pmod(F.xxhash64("uid"), "chunks").cast("int"))
+    # a text goes to the blocks of its chunk with each chunk of its node
+    dealt = member.select("uid", "tree", "node", "mine", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    block = F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other"))
+    parts = dealt.select("uid", "tree", block.alias("block"), (F.col("mine") != F.col("other")).alias("across"), (F.col("mine") > F.col("other")).alias("second"))
+    full = parts.join(company.select("uid", "copies", "labels", "text").hint("merge"), "uid").select("block", "tree", "across", "second", "uid", "copies", "labels", "text")
     ordered = full.repartition("block").sortWithinPartitions("block", "uid")
-    return stage(ordered.mapInArrow(_blocks(similarity), "kind long, a long, b long, n long"), "near-links")
+    return stage(ordered.mapInArrow(_blocks(depth, similarity), "kind long, a long, b long, n long"), f"near-links-{depth}")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -86,3 +86,69 @@ def test_low_similarity_misses_nothing(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     _, found = near.classes(docs, similarity=0.14)
     assert sorted((r.id, r.class_id, r.n_links) for r in found.collect()) == [(i, i - i % 2, 1) for i in range(300)]
+
+
+def depths(monkeypatch):
+    seen, at_depth = [], near._at_depth
+    monkeypatch.setattr(near, "_at_depth", lambda company, depth, similarity: (seen.append(depth), at_depth(company, depth, similarity))[1])
+    return seen
+
+
+def edited(n, words, changed):
+    """n texts of so many words, each with another run of `changed` words replaced."""
+    return [" ".join(f"x{i}y{k}" if i * changed <= k < (i + 1) * changed else f"w{k}" for k in range(words)) for i in range(n)]
+
+
+def test_prefixes_are_shortened_for_links_near_the_limit(spark, monkeypatch):
+    """Texts of similarity 0.82: long prefixes are expected to miss some, so shorter ones are tried, down to those that can't."""
+    seen, texts = depths(monkeypatch), edited(60, 190, 14)
+    docs = spark.createDataFrame([(100 * g + i, t.replace("w", f"g{g}w")) for g in range(3) for i, t in enumerate(texts[20 * g : 20 * g + 2])], "doc_id long, text string")
+    _, found = near.classes(docs)
+    assert sorted([(r.id, r.class_id, r.n_links) for r in found.collect()], key=str) == brute([(r.doc_id, r.text) for r in docs.collect()])
+    assert seen == list(range(near.DEPTH, near.depth_for(near.SIMILARITY, near.RECALL) - 1, -1))
+
+
+def test_prefixes_stay_long_for_close_copies(spark, monkeypatch):
+    """Copies of similarity 0.97 and more all share long prefixes: nothing is shortened, and nothing is missed."""
+    seen, texts = depths(monkeypatch), edited(40, 1200, 9)
+    _, found = near.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert sorted((r.id, r.class_id, r.n_links) for r in found.collect()) == [(i, 0, 39) for i in range(40)]
+    assert seen == [near.DEPTH]
+
+
+def test_expected_recall():
+    """Links of one similarity are missed as the closed form says; few links prove little; all texts in one node miss nothing."""
+    for step in (0, 60, 150):
+        found = np.zeros(near.STEPS, int)
+        found[step] = 10**6
+        assert abs(near.expected_recall(found, 7, 0.8) - near.recall(7, 0.8 + 0.2 * step / near.STEPS)) < 1e-4
+    assert near.expected_recall(np.zeros(near.STEPS, int), 7, 0.8) < near.RECALL
+    assert near.expected_recall(np.zeros(near.STEPS, int), 0, 0.1) == 1
+
+
+def test_labels_are_trie_places(spark):
+    """A node is a run of the sorted labels; its number has the tree and the leading bytes."""
+    from pyspark.sql import functions as F
+
+    rows = [(t, int.from_bytes(bytes([7, 6, 5, 4, 3, 2, 1]), "big") + t) for t in range(near.TREES)]
+    got = spark.createDataFrame(rows, "tree int, label long").select("tree", *[near._node(d).alias(f"n{d}") for d in range(near.DEPTH + 1)], F.col("label")).collect()
+    for r in got:
+        for d in range(near.DEPTH + 1):
+            assert r[f"n{d}"] == (r.tree << 8 * near.DEPTH) | (r.label >> 8 * (near.DEPTH - d))
+
+
+def test_hot_group_of_near_copies(spark, monkeypatch):
+    """A third of all texts are near copies of one; blocks are small, and every link is counted once."""
+    monkeypatch.setattr(near, "BLOCK_TEXTS", 16)
+    texts = edited(90, 900, 8) + [f"other {i} " + " ".join(f"u{i}v{k}" for k in range(30)) for i in range(180)]
+    _, found = near.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert sorted((r.id, r.class_id, r.n_links) for r in found.collect()) == [(i, 0, 89) if i < 90 else (i, i, 0) for i in range(270)]
+
+
+def test_components_of_a_hub(spark):
+    """A hub with most edges, a chain, a loop and a pair."""
+    from docmill.llm import common
+
+    edges = [(0, i) for i in range(1, 800)] + [(1000 + i, 1001 + i) for i in range(30)] + [(5000, 5000), (7001, 7000)]
+    got = {r.node: r.component for r in common.components(spark.createDataFrame(edges, "a long, b long"), "test").collect()}
+    assert got == {**dict.fromkeys(range(800), 0), **dict.fromkeys(range(1000, 1031), 1000), 7000: 7000, 7001: 7000}
