@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 from ..functions.casts import meaningful, nonblank
 
 
-def kv_rows(df: DataFrame, id: str, specs: list[tuple[str, str]], kind: str) -> DataFrame:
-    """Rows of a key-value table from (column, name) pairs, in one pass.
+def kv_rows(df: DataFrame, id: str, specs: list[tuple[str, ...]], kind: str) -> DataFrame:
+    """Rows of a key-value table from (column, name) pairs, in one pass. A third part is shown instead of the column's name
+    by history, and is the source_report_key of report.
 
     score: (id, score_identifier, score), nothing where the number is null; indicator: (id, indicator, '1') where truthy;
     history: (id, name, source, value) and report: (id, name, value) where meaningful.
     """
-    items = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(n).alias("n"), F.col(c).cast("string").alias("v")) for c, n in specs])
+    keyed = any(len(x) > 2 for x in specs) and kind == "report"
+    specs = [(*x, x[0] if kind == "history" else None)[:3] for x in specs]
+    items = F.array(*[F.struct(F.lit(shown).cast("string").alias("c"), F.lit(n).alias("n"), F.col(c).cast("string").alias("v")) for c, n, shown in specs])
     rows = df.select(F.col(id), F.explode(items).alias("_r")).select(id, "_r.*")
     if kind == "score":
         score = F.round(F.trim("v").try_cast("decimal(38,10)"), 0).try_cast("int")
@@ -27,17 +30,18 @@ def kv_rows(df: DataFrame, id: str, specs: list[tuple[str, str]], kind: str) ->
     rows = rows.filter(meaningful(F.col("v")))
     if kind == "history":
         return rows.select(id, F.concat(F.lit("["), "c", F.lit("]")).alias("name"), F.concat(F.lit("["), "n", F.lit("]")).alias("source"), F.trim("v").alias("value"))
-    return rows.select(id, F.col("n").alias("name"), F.trim("v").alias("value"))
+    return rows.select(id, F.col("n").alias("name"), F.trim("v").alias("value"), *([F.col("c").alias("source_report_key")] if keyed else []))
 
 
-def group_rows(df: DataFrame, id: str, groups: dict[int, dict[str, Column]], asks: list[str], shared: dict[str, Column] | None = None, defaults: dict[str, object] | None = None) -> DataFrame:
-    """A row for each group (type to fields) that has a value in one of the fields that `asks` names.
+def group_rows(df: DataFrame, id: str, groups: dict[int, dict[str, Column]], asks: list[str], shared: dict[str, Column] | None = None, defaults: dict[str, object] | None = None, amounts: list[str] | None = None) -> DataFrame:
+    """A row for each group (type to fields) that has a value in one of the fields that `asks` names, or a positive amount.
 
     shared fields are the same in all rows of a document; defaults are set only after the test.
     """
     parts = F.array(*[F.struct(F.lit(t).alias("type"), *[c.alias(n) for n, c in fields.items()], *[c.alias(n) for n, c in (shared or {}).items()]) for t, fields in groups.items()])
     rows = df.select(F.col(id), F.explode(parts).alias("_g")).select(id, "_g.*")
-    rows = rows.filter(functools.reduce(operator.or_, [nonblank(F.col(a)) for a in asks]))
+    tests = [nonblank(F.col(a)) for a in asks] + [F.coalesce(F.col(a).try_cast("double") > 0, F.lit(False)) for a in amounts or []]
+    rows = rows.filter(functools.reduce(operator.or_, tests))
     return rows.withColumns({n: F.coalesce(F.col(n), F.lit(v)) for n, v in (defaults or {}).items()}) if defaults else rows
 
 

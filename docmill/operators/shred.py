@@ -48,12 +48,24 @@ def xml_status(docs: DataFrame, root: str, schema: T.StructType) -> DataFrame:
     return docs.select("doc_id", status.alias("status"))
 
 
-def shred(docs: DataFrame, schema: T.StructType) -> DataFrame:
+def strip_namespaces(c: Column) -> Column:
+    """XML without namespace declarations, and without prefixes of elements and attributes. What stands in quotes stays as it is."""
+    c = F.regexp_replace(c, r"""\sxmlns(:[\w.-]+)?\s*=\s*("[^"]*"|'[^']*')""", "")
+    c = F.regexp_replace(c, r"(</?)[\w.-]+:(?=[\w.-])", "$1")
+    # attributes: from a tag's beginning or the last one's end, over names and whole quoted values
+    return F.regexp_replace(c, r"""((?:<|\G(?!\A))[^<>"']*?(?:"[^"]*"[^<>"']*?|'[^']*'[^<>"']*?)*?\s)[\w.-]+:(?=[\w.-]+\s*=)""", "$1")
+
+
+def shred(docs: DataFrame, schema: T.StructType, namespaces: bool = True) -> DataFrame:
     """doc_id and the struct `d` of those documents that are well formed; only paths of the schema are built.
 
+    Without namespaces, names in documents are taken without their prefixes.
+
     Stage or persist the result before several tables are made from it, or each will parse again.
     """
     # explode keeps the parse where it is: a filter on its result would otherwise parse each document once more
+    if not namespaces:
+        docs = docs.withColumn("xml", strip_namespaces(F.col("xml")))
     parsed = docs.select("doc_id", F.explode(F.array(F.from_xml("xml", with_corrupt(schema), PERMISSIVE))).alias("d"))
     return parsed.filter("d is not null and d._corrupt_record is null").select("doc_id", F.struct(*[F.col(f"d.`{f.name}`") for f in schema.fields]).alias("d"))
 

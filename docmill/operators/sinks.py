@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import functools
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .pick import keep_last
 
+#: The column that says which run has written a row.
+RUN = "_run_id"
+
 
 def union_columns(*frames: DataFrame) -> DataFrame:
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -43,18 +47,23 @@ def write_tables(frames: dict[str, DataFrame], order: list[str], path: str) -> l
     return names
 
 
-def commit_documents(frames: dict[str, DataFrame], failed: DataFrame, log: DataFrame, order: list[str], path: str, id: str = "doc_id") -> None:
-    """Write the rows of documents that didn't fail in any table, and the log last. A run that ends early leaves no log
-    rows, and readers take only documents that are logged as successful."""
+def commit_documents(frames: dict[str, DataFrame], failed: DataFrame, log: DataFrame, order: list[str], path: str, id: str = "doc_id", run: str | None = None) -> str:
+    """Write the rows of documents that didn't fail in any table, and the log last; all carry the run's id, which is returned.
+
+    A run that ends early leaves no log rows, so its rows are never seen, also if another run commits the same documents.
+    """
+    run = run or uuid.uuid4().hex
     bad = failed.select(id).distinct()
-    write_tables({n: df.join(bad, id, "left_anti") for n, df in frames.items()}, order, path)
-    log.write.mode("append").parquet(f"{path}/processing_log")
+    write_tables({n: df.join(bad, id, "left_anti").withColumn(RUN, F.lit(run)) for n, df in frames.items()}, order, path)
+    log.withColumn(RUN, F.lit(run)).write.mode("append").parquet(f"{path}/processing_log")
+    return run
 
 
 def visible(spark: SparkSession, path: str, table: str, id: str = "doc_id") -> DataFrame:
-    """A table's rows of committed documents."""
+    """A table's rows of committed documents, as the run that logged their success has written them (of several, one)."""
     log = spark.read.parquet(f"{path}/processing_log").filter("status = 'success'")
-    return spark.read.parquet(f"{path}/{table}").join(log.select(F.col("app_id").alias(id)), id, "left_semi")
+    done = log.groupBy(F.col("app_id").alias(id)).agg(F.min(RUN).alias(RUN))
+    return spark.read.parquet(f"{path}/{table}").join(done, [id, RUN], "left_semi").drop(RUN)
 
 
 def log_outcomes(ok: DataFrame, failed: DataFrame, session: str, id: str = "doc_id") -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import json
+import operator
+import re
 from collections.abc import Callable
-from dataclasses import dataclass, field, fields
+from dataclasses import dataclass, field, fields, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +51,7 @@ class Contract:
     enums: dict[str, dict[str, int]] = field(default_factory=dict)
     bits: dict[str, dict[str, int]] = field(default_factory=dict)
     order: list[str] = field(default_factory=list)
+    keys: list[str] = field(default_factory=lambda: ["app_id", "con_id"])  # columns that say nothing of a record by themselves
 
     @classmethod
     def load(cls, text: str) -> Contract:
@@ -60,6 +64,21 @@ class Contract:
             raw.get("enum_mappings", {}), raw.get("bit_conversions", {}), raw.get("table_insertion_order", []),
         )
 
+    def typed_rule(self, path: str) -> tuple[str | None, str, list[str]]:
+        """Of a path's filter rule: the attribute that must have a value, the one that must be a type, and the types, preferred first."""
+        rule = self.filters[path]
+        name, types = next((a, r) for a, r in rule.items() if isinstance(r, list))
+        return next((a for a, r in rule.items() if r is True), None), name, types
+
+    def party_path(self) -> str:
+        """Where the parties of a document are: the outermost path that has a filter rule with types."""
+        return min((p for p, rule in self.filters.items() if any(isinstance(r, list) for r in rule.values())), key=lambda p: (p.count("/"), p))
+
+    def unknown_types(self) -> list[tuple[str, str, str]]:
+        """(table, column, mapping type) of mappings with a type that is neither known nor registered. They are plain casts."""
+        known = {*CHAIN_TYPES, *PICKS, *CUSTOM}
+        return [(m.target_table, m.target_column, t) for m in self.mappings for t in m.mapping_type if t not in known and type_name(t)[0] not in ROW_TYPES]
+
     def schema(self) -> T.StructType:
         """A schema that has the paths of the mappings and filters, and no more: from_xml then builds nothing else."""
         tree: dict = {}
@@ -85,6 +104,18 @@ class Contract:
         return build(tree, f"/{self.root}")
 
 
+#: Fixed values of the contract format: mapping types of one value, of one party among several, and those that make rows.
+CHAIN_TYPES = ("calculated_field", "enum", "char_to_bit", "boolean_to_bit", "extract_numeric", "numbers_only", "first_number", "default_now", "identity_insert")
+PICKS = ("last_valid_pr_contact", "last_valid_sec_contact", "authu_contact", "curr_address_only")
+ROW_TYPES = ("add_score", "add_indicator", "add_history", "add_report_lookup", "policy_exceptions", "warranty_field", "add_collateral")
+
+
+def type_name(t: str) -> tuple[str, str | None]:
+    """A mapping type's name, and what stands in its brackets (None without brackets)."""
+    found = re.match(r"(\w+)\(([^)]*)\)$", t.strip())
+    return (found[1], found[2].strip()) if found else (t.strip(), None)
+
+
 #: Mapping types that users add: name to f(column, mapping, contract).
 CUSTOM: dict[str, Callable[[Column, Mapping, Contract], Column]] = {}
 
@@ -99,9 +130,11 @@ def apply_chain(c: Column, m: Mapping, contract: Contract, resolve: Callable[[st
 
     A calculated field followed by an enum falls back to the enum of the raw value where the calculation gives nothing.
     """
-    raw, types = c, m.mapping_type
-    if not types:
+    raw, types = c, [t for t in m.mapping_type if t not in PICKS and type_name(t)[0] not in ROW_TYPES]
+    if not m.mapping_type:
         return direct(c, m)
+    if not types:
+        return with_contract_default(casts.cast_to(c, m.data_type, m.data_length), m)
     for i, t in enumerate(types):
         if t == "calculated_field":
             c = calc(m.expression or "", resolve or (lambda name: F.col(name))).cast("string")
@@ -166,14 +199,38 @@ def parse(docs: DataFrame, contract: Contract) -> DataFrame:
     return shred(docs, contract.schema())
 
 
+def source(m: Mapping, contract: Contract, at: dict[str, str]) -> Column:
+    """A mapping's source value, trimmed: an attribute of the element at its path, or of the party that its type picks."""
+    from .dispatch import pick
+
+    kinds = [t for t in m.mapping_type if t in PICKS]
+    if kinds:
+        return F.trim(pick(kinds[0], m, contract, at))
+    return F.trim(F.col(f"{at[m.xml_path]}._{m.xml_attribute}")) if m.xml_attribute else F.lit(None).cast("string")
+
+
 def table(rows: DataFrame, contract: Contract, name: str, at: dict[str, str], keys: list[str], resolve: Callable[[str], Column] | None = None) -> DataFrame:
-    """A target table from shredded rows; `at` says which column holds each XML path's element."""
-    cols = []
-    for m in contract.mappings:
-        if m.target_table == name and m.target_column:
-            source = F.trim(F.col(f"{at[m.xml_path]}._{m.xml_attribute}")) if m.xml_attribute else F.lit(None).cast("string")
-            cols.append(apply_chain(source, m, contract, resolve).alias(m.target_column))
-    return rows.select(*keys, *cols)
+    """A target table from shredded rows; `at` says which column holds each XML path's element.
+
+    A default that is marked exclude_default_when_record_empty stays away from records with fewer than two values that
+    are neither keys nor defaults.
+    """
+    mappings = [m for m in contract.mappings if m.target_table == name and m.target_column]
+    made = {m.target_column: apply_chain(source(m, contract, at), m, contract, resolve) for m in mappings}
+    conditional = [m for m in mappings if m.exclude_default_when_record_empty and m.default_value is not None]
+    if conditional:
+        own = {m.target_column: made[m.target_column] if m.default_value is None else apply_chain(source(m, contract, at), replace(m, default_value=None), contract, resolve) for m in mappings}
+        said = functools.reduce(operator.add, [own[c].isNotNull().cast("int") for c in own if c not in contract.keys], F.lit(0))
+        for m in conditional:
+            made[m.target_column] = F.when(said >= 2, made[m.target_column]).otherwise(own[m.target_column])
+    return rows.select(*keys, *[c.alias(n) for n, c in made.items()])
+
+
+def checked_table(rows: DataFrame, contract: Contract, name: str, at: dict[str, str], keys: list[str], id: str = "doc_id", resolve: Callable[[str], Column] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(table, findings): a document with a row that lacks a value for a required column without default is in no row of the table."""
+    made = table(rows, contract, name, at, keys, resolve)
+    found = required_findings(made, contract, name, id)
+    return made.join(found.select(id).distinct(), id, "left_anti"), found
 
 
 def required_findings(rows: DataFrame, contract: Contract, name: str, id: str) -> DataFrame:

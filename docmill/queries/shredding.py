@@ -107,16 +107,13 @@ def scan_documents(t):
     return d.present(dirty(t)).select("doc_id", F.col("xml").startswith("﻿").alias("marked"))
 
 
-@query("scan_xml_files", "SELECT o_orderkey AS doc_id, o_orderkey % 2 = 0 AS even FROM orders")
+@query("scan_xml_files", "SELECT o_orderkey AS doc_id, o_orderkey % 2 = 0 AS even, o_orderstatus AS status FROM orders")
 def scan_xml_files(t):
-    """Documents as files, a line break inside a file or not; read as binary files of which each is one document."""
+    """Documents written as files of some thousand documents each, with line breaks inside of them, read back and shredded."""
     path = shared_path(t.spark, "xml-files")
-    folded = documents(t).select(F.regexp_replace("xml", "\r?\n", " ").alias("value"))
-    folded.write.text(path)
-    lines = t.spark.read.text(path).select(F.encode("value", "UTF-8").alias("content"), F.lit("").alias("path"))
-    xml = d.decode_text(F.col("content"))
-    ids = lines.select(F.regexp_extract(xml, r'<Request[^>]*\bID="([0-9]+)"', 1).cast("bigint").alias("doc_id"))
-    return ids.select("doc_id", (F.col("doc_id") % 2 == 0).alias("even"))
+    documents(t).select(F.col("xml").alias("value")).write.option("maxRecordsPerFile", 2000).text(path)
+    rows = s.shred(d.read_xml_dir(t.spark, f"{path}/part-*", root=ROOT).select("doc_id", "xml"), s.schema_of({"Request": {"_Status": TEXT}}))
+    return rows.select("doc_id", (F.col("doc_id") % 2 == 0).alias("even"), F.col("d.Request._Status").alias("status"))
 
 
 @query("xml_clean", "SELECT o_orderkey AS doc_id, o_orderkey % 50 NOT IN (1, 2) AS opens FROM orders")
@@ -149,8 +146,8 @@ def attr_value(t):
 @query("ns_strip", "SELECT o_orderkey AS doc_id, CAST(o_custkey AS STRING) AS v FROM orders")
 def ns_strip(t):
     xml = F.concat(F.lit('<n:r xmlns:n="urn:x"><n:e v="'), "o_custkey", F.lit('"/></n:r>'))
-    plain = F.regexp_replace(F.regexp_replace(xml, r'\sxmlns(:\w+)?="[^"]*"', ""), r"(</?)\w+:", "$1")
-    rows = s.shred(t.orders.select(F.col("o_orderkey").alias("doc_id"), plain.alias("xml")), s.schema_of({"e": {"_v": TEXT}}))
+    docs = t.orders.select(F.col("o_orderkey").alias("doc_id"), xml.alias("xml"))
+    rows = s.shred(docs, s.schema_of({"e": {"_v": TEXT}}), namespaces=False)
     return rows.select("doc_id", F.col("d.e._v").alias("v"))
 
 

@@ -22,10 +22,13 @@ def present(docs: DataFrame) -> DataFrame:
     return docs.filter(F.trim("xml") != "")
 
 
-def read_xml_dir(spark: SparkSession, glob: str, id_pattern: str = r'<Request[^>]*\bID="([0-9]+)"') -> DataFrame:
-    """XML files as documents, a file each; the id is taken from the request."""
-    files = spark.read.format("binaryFile").load(glob)
-    return files.select(decode_text(F.col("content")).alias("xml"), "path").select(F.expr("try_cast(regexp_extract(xml, '" + id_pattern.replace("\\", "\\\\") + "', 1) as bigint)").alias("doc_id"), "xml", "path")
+def read_xml_dir(spark: SparkSession, glob: str, id_pattern: str = r'<Request[^>]*\bID="([0-9]+)"', root: str | None = None) -> DataFrame:
+    """XML files as documents, a file each; the id is taken from the request. With the name of the root element, a file
+    may hold several documents, one after the other. Spark's binary source takes files of up to 2 GB."""
+    files = spark.read.format("binaryFile").load(glob).select(decode_text(F.col("content")).alias("xml"), "path")
+    if root:
+        files = files.select(F.explode(F.split("xml", rf"(?<=</{root}>)\s*(?=<)")).alias("xml"), "path")
+    return files.select(F.expr("try_cast(regexp_extract(xml, '" + id_pattern.replace("\\", "\\\\") + "', 1) as bigint)").alias("doc_id"), "xml", "path")
 
 
 def decode_text(data: Column) -> Column:

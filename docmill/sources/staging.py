@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -12,9 +13,11 @@ _own: list[str] = []
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
-    """A new path in spark.checkpoint.dir, or in a folder of our own where that is unset (tests)."""
+    """A new path in spark.checkpoint.dir, or in a folder of our own where that is unset and all run here (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[.*\])?$", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if not _own:
             os.makedirs("/tmp/checkpoints", exist_ok=True)
             _own.append(tempfile.mkdtemp(dir="/tmp/checkpoints"))

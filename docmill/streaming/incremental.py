@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -23,19 +22,20 @@ def stream_shred(spark: SparkSession, path: str, schema: T.StructType, process:
 
 
 def stream_dedupe(spark: SparkSession, path: str, schema: T.StructType, out: str, checkpoint: str, id: str = "doc_id", files_per_batch: int = 1) -> None:
-    """Documents whose id hasn't been taken in an earlier batch, each once; the output itself is the log of ids."""
-
-    def batch(df: DataFrame, nth: int) -> None:
-        fresh = df.dropDuplicates([id])
-        if nth and earlier(spark, out):
-            seen = spark.read.parquet(out).filter(F.col("batch") < nth).select(id)
-            fresh = fresh.join(seen, id, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{out}/batch={nth}")
-
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
-    stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    """Documents whose id hasn't been taken in an earlier batch, each once.
 
+    Ids are state of the stream, dealt by a hash and kept on disk by RocksDB, so a batch costs what it has itself. A batch
+    that runs again overwrites its own folder.
+    """
 
-def earlier(spark: SparkSession, out: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(out)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    def batch(df: DataFrame, nth: int) -> None:
+        df.write.mode("overwrite").parquet(f"{out}/batch={nth}")
+
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path).dropDuplicates([id])
+        stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(key, before) if before else spark.conf.unset(key)
