@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import operator
 import os
+import re
 import tempfile
 import uuid
 
@@ -18,10 +19,12 @@ _fallback: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a new one where that is unset and all run here (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if not re.match(r"local(\[.*\])?$", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _fallback:
         os.makedirs("/tmp/checkpoints", exist_ok=True)
         _fallback.append(tempfile.mkdtemp(dir="/tmp/checkpoints"))

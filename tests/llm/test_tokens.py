@@ -87,7 +87,7 @@ def test_split_character_is_replaced():
 
 
 def test_byte_bpe(docs, none, tik):
-    got = bytebpe.digest(docs, BYTE, P.PATTERN).collect()
+    got = bytebpe.digest(docs, BYTE, P.PATTERN).drop("offsets_crc32", "n_split").collect()
     want = [(r.doc_id, len(ids := tik.encode_ordinary(r.text or "")), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((r.text or "").encode()).hexdigest()) for r in docs.collect()]
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
     assert bytebpe.digest(none, BYTE, P.PATTERN).count() == 0
@@ -207,3 +207,26 @@ def test_special_tokens_in_files_and_sequences(spark, default, plain):
     packed = packing.pack(docs, size=64).collect()
     assert sorted((r.doc_id, r.start, r.ids_crc32) for r in packed) == sorted((i, s, crc(ids[s : s + 64])) for i, ids in expected(docs, default, 0) for s in range(0, len(ids), 64))
     assert sorted((r.doc_id, r.n_tokens) for r in tokenfiles.scan_counts(docs).collect()) == [(i, len(plain(t))) for i, t in enumerate(texts, 1)]
+
+
+def test_round_trip_with_offsets(docs):
+    """The one pass gives what encode() and decode() give, and splits of characters are counted."""
+    two = {(r.doc_id, bytes(r.ids)): r for r in bytebpe.encode(docs, BYTE, P.PATTERN, offsets=True).collect()}
+    table = bytebpe.byte_table(BYTE)
+    for r in bytebpe.round_trip(docs, BYTE, P.PATTERN).collect():
+        same = two[r.doc_id, bytes(r.ids)]
+        assert r.n_tokens == same.n_tokens and r.character_starts == same.character_starts
+        ids = np.frombuffer(r.ids, "<u4")
+        assert bytes(r.decoded).decode() == bytebpe.decode_text(table, ids)
+        assert r.n_split == sum((table.decode(ids[i : i + 1])[0] & 0xC0) == 0x80 for i in range(len(ids)))
+
+
+@settings(max_examples=60, deadline=None)
+@given(TEXTS)
+def test_offsets_of_many_texts_at_once(texts):
+    """Texts of one batch don't shift one another's characters."""
+    ids, counts = pieces.byte_encoder(BYTE, P.PATTERN).encode(pa.array(texts))
+    table = bytebpe.byte_table(BYTE)
+    for text, part in zip(texts, np.split(ids, np.cumsum(counts)[:-1]), strict=True):
+        starts = table.character_offsets(part)
+        assert all(len(text.encode()[:b].decode("utf-8", "ignore")) == c for b, c in zip(table.byte_offsets(part), starts, strict=True))
