@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import logging
 import re
 import zlib
 from collections.abc import Iterator
@@ -18,10 +19,16 @@ from .common import attach, new_path, stage
 
 #: A new archive begins beyond so many bytes; one record is never cut.
 ARCHIVE_BYTES = 16 << 20
+#: Bytes of an archive that are held at once, and that are unpacked at once.
+WINDOW, CHUNK = 1 << 20, 1 << 14
+#: The longest header.
+HEADER_BYTES = 1 << 20
 MEMBER = b"\x1f\x8b\x08"
 VERSION = b"WARC/1."
 DATE = "2024-01-01T00:00:00Z"
 
+log = logging.getLogger(__name__)
+
 
 def sha1_base32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
@@ -44,6 +51,7 @@ def encode_record(page_id: int | None, url: str | None, payload: bytes, digest:
 
 class Record(NamedTuple):
     offset: int
+    length: int
     headers: dict[str, str]
     block: bytes
 
@@ -54,74 +62,130 @@ class Gap(NamedTuple):
     reason: str
 
 
-def _one(data: bytes) -> tuple[Record, int]:
-    """The record at the start of data (plain), and where it ends. ValueError says what is wrong with it."""
-    if not data.startswith(VERSION):
+class Source:
+    """Bytes of an archive, of which one window is held at a time. The file is anything with pyarrow's read_at and size."""
+
+    def __init__(self, file: pa.NativeFile) -> None:
+        self.file, self.size = file, file.size()
+        self.start, self.window = 0, b""
+
+    def get(self, at: int, n: int) -> bytes:
+        """n bytes from a place, fewer at the end."""
+        n = max(0, min(n, self.size - at))
+        if not self.start <= at <= at + n <= self.start + len(self.window):
+            self.start, self.window = at, self.file.read_at(min(max(n, WINDOW), self.size - at), at)
+        return self.window[at - self.start : at - self.start + n]
+
+    def find(self, at: int, *marks: bytes) -> int:
+        """Where the next of the marks begins; the size, if none does."""
+        longest = max(map(len, marks))
+        while at < self.size:
+            part = self.get(at, WINDOW)
+            if places := [p for m in marks if (p := part.find(m)) >= 0]:
+                return at + min(places)
+            at += max(1, len(part) - longest + 1)
+        return self.size
+
+
+def _header(plain: bytes) -> tuple[dict[str, str], int] | None:
+    """A record's headers and where its block begins; None if more bytes are needed. ValueError says what is wrong."""
+    if not plain.startswith(VERSION[: len(plain)]):
         raise ValueError("no version line")
-    end = data.find(b"\r\n\r\n")
+    end = plain.find(b"\r\n\r\n")
     if end < 0:
-        raise ValueError("header without an end")
+        if len(plain) > HEADER_BYTES:
+            raise ValueError("header without an end")
+        return None
     headers = {}
-    for line in data[:end].split(b"\r\n")[1:]:
+    for line in plain[:end].split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
         if not colon:
             raise ValueError("header line without a colon")
         headers[name.decode("latin-1").strip().lower()] = value.decode("utf-8", "replace").strip()
     if not headers.get("content-length", "").isdigit():
         raise ValueError("no content length")
-    stop = end + 4 + int(headers["content-length"])
-    if stop + 4 > len(data) or data[stop : stop + 4] != b"\r\n\r\n":
-        raise ValueError("block is cut short or overlong")
-    block = data[end + 4 : stop]
+    return headers, end + 4
+
+
+def _checked(headers: dict[str, str], block: bytes) -> bytes:
     want = headers.get("warc-block-digest", "")
     if want.startswith("sha1:") and want[5:] != sha1_base32(block):
         raise ValueError("block digest differs")
-    return Record(0, headers, block), stop + 4
+    return block
+
+
+def _plain(source: Source, at: int) -> Record:
+    """The record at a place, not compressed. Its block is read once all else is right."""
+    n = 4096
+    while (got := _header(source.get(at, n))) is None:
+        if at + n >= source.size:
+            raise ValueError("header without an end")
+        n *= 2
+    headers, start = got
+    length = int(headers["content-length"])
+    if source.get(at + start + length, 4) != b"\r\n\r\n":
+        raise ValueError("block is cut short or overlong")
+    return Record(at, start + length + 4, headers, _checked(headers, source.get(at + start, length)))
 
 
-def _member(data: bytes, at: int) -> tuple[Record, int]:
-    """The record in the gzip member at a place, and where the member ends."""
-    unpack = zlib.decompressobj(31)
-    try:
-        plain = unpack.decompress(memoryview(data)[at:])
-    except zlib.error as e:
-        raise ValueError(f"gzip: {e}") from e
-    if not unpack.eof:
-        raise ValueError("gzip: member is cut short")
-    record, end = _one(plain)
-    if end != len(plain):
-        raise ValueError("member holds more than a record")
-    return record, len(data) - len(unpack.unused_data)
+def _member(source: Source, at: int) -> Record:
+    """The record in the gzip member at a place. Unpacking ends as soon as the member can't be one record."""
+    unpack, plain, got, fed = zlib.decompressobj(31), bytearray(), None, 0
+    while not unpack.eof:
+        part = source.get(at + fed, CHUNK)
+        if not part:
+            raise ValueError("gzip: member is cut short")
+        fed += len(part)
+        try:
+            plain += unpack.decompress(part, CHUNK * 16)
+            while unpack.unconsumed_tail and not unpack.eof and (got is None or len(plain) <= got[1] + int(got[0]["content-length"]) + 4):
+                got = got or _header(bytes(plain))
+                plain += unpack.decompress(unpack.unconsumed_tail, CHUNK * 16)
+        except zlib.error as e:
+            raise ValueError(f"gzip: {e}") from e
+        got = got or _header(bytes(plain))
+        if got and len(plain) > got[1] + int(got[0]["content-length"]) + 4:
+            raise ValueError("member holds more than a record")
+    if got is None:
+        raise ValueError("header without an end")
+    headers, start = got
+    stop = start + int(headers["content-length"])
+    if len(plain) != stop + 4 or plain[stop:] != b"\r\n\r\n":
+        raise ValueError("block is cut short or overlong")
+    return Record(at, fed - len(unpack.unused_data), headers, _checked(headers, bytes(plain[start:stop])))
 
 
-def salvage(data: bytes) -> Iterator[Record | Gap]:
+def salvage(data: bytes | Source) -> Iterator[Record | Gap]:
     """Records of an archive, gzip members or plain, in their order, and the bytes between that hold none.
 
     When a check fails, the next gzip magic number or version line at which a whole valid record begins is looked for;
     everything up to it is one gap, which is reported with the first failure's reason. An empty archive gives nothing.
+    The archive is read in windows, so time is in proportion to its bytes, and memory to its largest record. A header of
+    more than HEADER_BYTES is no header.
     """
+    source = data if isinstance(data, Source) else Source(pa.BufferReader(data))
     at, bad, reason = 0, None, ""
-    while at < len(data):
+    while at < source.size:
         try:
-            record, end = _member(data, at) if data.startswith(MEMBER, at) else _one(data[at:]) if data.startswith(VERSION, at) else _nothing()
-            end = end if data.startswith(MEMBER, at) else at + end
+            head = source.get(at, len(VERSION))
+            if head.startswith(MEMBER):
+                record = _member(source, at)
+            elif head == VERSION:
+                record = _plain(source, at)
+            else:
+                raise ValueError("neither a gzip member nor a version line")
         except ValueError as e:
             if bad is None:
                 bad, reason = at, str(e)
-            places = [p for p in (data.find(MEMBER, at + 1), data.find(VERSION, at + 1)) if p >= 0]
-            at = min(places, default=len(data))
+            at = source.find(at + 1, MEMBER, VERSION)
             continue
         if bad is not None:
             yield Gap(bad, at - bad, reason)
             bad = None
-        yield record._replace(offset=at)
-        at = end
+        yield record
+        at += record.length
     if bad is not None:
-        yield Gap(bad, len(data) - bad, reason)
-
-
-def _nothing():
-    raise ValueError("neither a gzip member nor a version line")
+        yield Gap(bad, source.size - bad, reason)
 
 
 def write(pages: DataFrame, path: str) -> DataFrame:
@@ -177,27 +241,42 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """Records of all archives under path, and a row with gap_bytes and gap_reason for each quarantined run of bytes.
 
     A record's payload is what follows its HTTP header; a response whose payload differs from its digest is a gap.
-    payload_bytes of a revisit is the length that its HTTP header names. Archives are read whole, one at a time for
-    each task (Spark's binary source allows 2 GB each; this writer's are ARCHIVE_BYTES).
+    payload_bytes of a revisit is the length that its HTTP header names. Spark lists the archives; a task streams its own
+    with pyarrow.fs, one at a time.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
         for batch in batches:
-            for archive, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                rows = []
-                for x in salvage(content.as_buffer().to_pybytes()):
-                    rows.append(_row(archive, x, payloads))
-                    if len(rows) >= 500:
-                        yield pa.RecordBatch.from_pylist(rows, schema)
-                        rows = []
+            for archive in batch.column(0).to_pylist():
+                store, name = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", archive))
+                rows, held = [], 0
+                with store.open_input_file(name) as file:
+                    for x in salvage(Source(file)):
+                        rows.append(_row(archive, x, payloads))
+                        held += len(rows[-1].get("payload") or b"")
+                        if len(rows) >= 500 or held > ARCHIVE_BYTES:
+                            yield pa.RecordBatch.from_pylist(rows, schema)
+                            rows, held = [], 0
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
     schema = pa.schema([(n, {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}[t]) for n, t in (c.split() for c in READ.split(", "))])
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc*").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc*").load(path).select("path")
     return files.mapInArrow(task, READ)
 
 
+def quarantine(found: DataFrame, path: str) -> DataFrame:
+    """The records of what read() found (staged). Gaps are written to the table path-quarantine, and their number is logged."""
+    gaps = found.filter("gap_bytes is not null").select("archive", "offset", "gap_bytes", "gap_reason")
+    gaps.write.mode("overwrite").parquet(f"{path}-quarantine")
+    n, size = found.sparkSession.read.schema(gaps.schema).parquet(f"{path}-quarantine").agg(F.count("*"), F.sum("gap_bytes")).first()
+    if n:
+        log.warning("%d gaps of %d bytes in the archives under %s", n, size, path)
+    return found.filter("gap_bytes is null").drop("gap_bytes", "gap_reason")
+
+
 def _row(archive: str, x: Record | Gap, payloads: bool) -> dict:
     if isinstance(x, Gap):
         return {"archive": archive, "offset": x.offset, "gap_bytes": x.length, "gap_reason": x.reason}
@@ -209,7 +288,7 @@ def _row(archive: str, x: Record | Gap, payloads: bool) -> dict:
         named = re.search(rb"(?mi)^content-length:\s*(\d+)", http)
         length = int(named[1]) if named else length
     elif digest and digest != sha1_base32(payload):
-        return {"archive": archive, "offset": x.offset, "gap_bytes": len(x.block), "gap_reason": "payload digest differs"}
+        return {"archive": archive, "offset": x.offset, "gap_bytes": x.length, "gap_reason": "payload digest differs"}
     return {
         "archive": archive, "offset": x.offset, "record_type": kind, "record_id": x.headers.get("warc-record-id"), "payload_digest": digest,
         "refers_to": x.headers.get("warc-refers-to"), "payload_bytes": length, "payload": payload if payloads else None,
@@ -239,11 +318,11 @@ def archive(pages: DataFrame, path: str, least: int = 0) -> DataFrame:
 
 
 def op10_salvage_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages into archives and back."""
+    """All pages into archives and back; what can't be read is quarantined."""
     path = new_path(spark, "warc")
     archive(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
     number = "try_cast(regexp_extract({}, '<urn:page:(-?[0-9]+)>', 1) as bigint)"
-    back = read(spark, path, payloads=False).filter("gap_bytes is null")
+    back = quarantine(stage(read(spark, path, payloads=False).drop("payload"), "warc-found"), path)
     return back.select(F.expr(number.format("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.expr(number.format("refers_to")).alias("refers_to"))
 
 

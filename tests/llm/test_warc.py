@@ -1,6 +1,11 @@
 """Archives: round trips, and what is recovered from damaged ones."""
 
 import gzip
+import os
+import random
+import time
+
+import pytest
 
 from docmill.llm import warc
 from docmill.llm.common import new_path
@@ -73,3 +78,76 @@ def test_empty(spark):
     path = new_path(spark, "warc-test")
     assert warc.archive(pages, path).count() == 0
     assert warc.read(spark, path).count() == 0
+
+
+def test_any_damage_by_brute_force():
+    """Single bytes changed anywhere: records whose bytes are whole are found, gaps cover the rest, and nothing overlaps."""
+    rng = random.Random(2)
+    starts = [sum(map(len, MEMBERS[:i])) for i in range(6)]
+    for _ in range(200):
+        data = bytearray(b"".join(MEMBERS))
+        at = rng.randrange(len(data))
+        data[at] ^= 1 << rng.randrange(8)
+        hurt = max(i for i in range(5) if starts[i] <= at)
+        found = list(warc.salvage(bytes(data)))
+        assert {f"<urn:page:{n}>" for n in range(5) if n != hurt} <= {x.headers["warc-record-id"] for x in found if isinstance(x, warc.Record)}
+        end = 0
+        for x in found:
+            assert x.offset == end
+            end += x.length
+        assert end == len(data)
+
+
+@pytest.mark.parametrize("window", [16, 100, 5000])
+def test_windows_change_nothing(window, monkeypatch):
+    """Records, headers and damage that lie across windows."""
+    parts = [gzip.decompress(m) for m in MEMBERS]
+    data = b"noise" + MEMBERS[0] + parts[1] + MEMBERS[2][:-9] + b"WARC/1" + parts[3] + MEMBERS[4]
+    whole, places = [x for x in warc.salvage(data) if isinstance(x, warc.Record)], gaps(data)
+    monkeypatch.setattr(warc, "WINDOW", window)
+    monkeypatch.setattr(warc, "CHUNK", 7)
+    assert [x for x in warc.salvage(data) if isinstance(x, warc.Record)] == whole and gaps(data) == places and len(whole) == 4
+
+
+@pytest.mark.parametrize("plain", [False, True])
+def test_time_is_in_proportion(plain):
+    """Archives of 32 and 128 MB, with damage in both: four times the bytes take about four times as long."""
+    payload = os.urandom(60_000)
+    one = record(1, payload)
+    one = gzip.decompress(one) if plain else one
+    took = []
+    for n in (32, 128):
+        data = bytearray(one * (n * (1 << 20) // len(one)))
+        for at in range(30_000, len(data), len(data) // 20):
+            data[at] ^= 0xFF
+        began = time.process_time()
+        found = list(warc.salvage(bytes(data)))
+        took.append(time.process_time() - began)
+        assert sum(isinstance(x, warc.Record) for x in found) >= len(data) // len(one) - 22
+    assert took[1] < 8 * took[0] + 0.5
+
+
+def test_an_end_that_never_comes():
+    """Version lines without an end, and members that unpack to no record, are given up early."""
+    bomb = gzip.compress(b"x" * (50 << 20))
+    began = time.process_time()
+    assert ids(bomb * 20 + b"WARC/1.1 " * 20000 + MEMBERS[0]) == ["<urn:page:0>"]
+    assert time.process_time() - began < 20
+
+
+def test_gaps_are_logged(spark, caplog):
+    """Damaged archives: records come back, and gaps are in a table of their own."""
+    path = new_path(spark, "warc-test")
+    warc.archive(spark.createDataFrame([(i, f"u{i}", f"page {i} " * 50) for i in range(40)], "page_id long, url string, html string").coalesce(1), path)
+    root = path.removeprefix("file://")
+    name = next(f for f in sorted(os.listdir(root)) if f.endswith(".warc.gz"))
+    data = bytearray(open(f"{root}/{name}", "rb").read())
+    data[len(data) // 2] ^= 0xFF
+    open(f"{root}/{name}", "wb").write(bytes(data))
+    found = warc.read(spark, path).cache()
+    with caplog.at_level("WARNING"):
+        kept = warc.quarantine(found, path)
+    gaps = spark.read.parquet(f"{path}-quarantine").collect()
+    assert kept.count() == 39 and len(gaps) == 1 and gaps[0].gap_bytes > 0 and gaps[0].archive.endswith(name)
+    assert "1 gaps" in caplog.text
+    assert kept.columns == [c.split()[0] for c in warc.READ.split(", ") if not c.startswith("gap_")]
