@@ -316,3 +316,22 @@ def op7_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of near-equal texts among all documents: class_id, and the number of a document's links."""
     _, found = classes(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return found.select(F.col("id").alias("doc_id"), "class_id", "n_links", (F.col("_uid") == F.col("keep_uid")).alias("kept"))
+
+
+#: All pairs that share a shingle, by brute force; classes by walking along links.
+OP7_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS l FROM documents
+),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(l) = 0 THEN [] WHEN len(l) < 5 THEN [array_to_string(l, ' ')]
+    ELSE list_transform(range(1, len(l) - 3), lambda i: array_to_string(l[i:i + 4], ' ')) END) AS g FROM w
+),
+k AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+j AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM j JOIN k x ON x.doc_id = a JOIN k y ON y.doc_id = b WHERE 10 * c >= 8 * (x.n + y.n - c)),
+r AS (SELECT doc_id AS node, doc_id AS root FROM documents UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.node),
+m AS (SELECT node, min(root) AS class_id FROM r GROUP BY node)
+SELECT doc_id, class_id, (SELECT count(*) FROM l WHERE a = doc_id) AS n_links, doc_id = class_id AS kept
+FROM documents JOIN m ON node = doc_id
+"""

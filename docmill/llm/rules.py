@@ -15,6 +15,9 @@ CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Words of a window in which distinct words are counted: long texts repeat words, but not within one.
 WINDOW = 3000
 RULES = ("vote_symbols", "vote_lines", "vote_repeats", "vote_length", "vote_capitals", "vote_variety")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "n_distinct_words")
+#: Names of results and of steps on the way.
+RESERVED = (*MEASURES, *RULES, "base_failed", "quality", "kept", "_words", "_lines")
 
 
 def let(value: Column, body) -> Column:
@@ -72,7 +75,15 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_capitals, n_distinct_words.
 
     n_distinct_words counts afresh in each window of WINDOW words. A null text has none of anything, and an empty one too. Whole texts are measured, each in one row.
+    A column of docs that has the name of a result (RESERVED, in any case) comes back with `_` after its name.
     """
+    names = []
+    for c in docs.columns:
+        while c.lower() in RESERVED or c.lower() in [n.lower() for n in names]:
+            c += "_"
+        names.append(c)
+    text = names[docs.columns.index(text)]
+    docs = docs.toDF(*names)
     t = F.coalesce(F.col(text), F.lit(""))
     words = F.filter(F.split(t, SPACE), lambda w: w != "")
     lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0)

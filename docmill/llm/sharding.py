@@ -107,3 +107,19 @@ def digest(docs: DataFrame, shards: int = 16) -> DataFrame:
     crc = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
     out = shard(docs.select("doc_id", "text", crc.alias("keep_crc")), shards)
     return out.select(F.col("key").alias("doc_id"), "size", F.col("keep_crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+#: Places among all bytes by window sums; CRC-32 by halves of bytes, low half first, from a table made of the polynomial.
+OP1_SQL = """
+WITH c AS (SELECT list_transform(range(16), lambda n: list_reduce(list_prepend(n, range(4)), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))) AS halves),
+d AS (SELECT doc_id, encode(coalesce(text, '')) AS t FROM documents),
+h AS (SELECT doc_id, octet_length(t) + 1 AS size, list_transform(regexp_extract_all(hex(t), '.'), lambda x: ('0x' || x)::BIGINT) AS l FROM d),
+s AS (
+  SELECT doc_id, size, list_reduce(list_prepend(4294967295, list_transform(range(len(l)), lambda i: l[xor(i, 1) + 1])), lambda c, b: xor(c >> 4, halves[(xor(c, b) & 15) + 1])) AS crc FROM h, c
+),
+o AS (SELECT *, sum(size) OVER (ORDER BY doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) - size AS before, sum(size) OVER () AS total FROM s),
+p AS (SELECT *, least(15, 16 * (2 * before + size) // (2 * total))::INTEGER AS shard FROM o)
+SELECT doc_id, size::BIGINT AS size, xor(crc, 4294967295)::BIGINT AS text_crc32, 'bytes' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM p
+"""

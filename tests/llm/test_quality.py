@@ -200,3 +200,16 @@ def test_verdicts_of_rules_by_brute_force(spark):
     bad = brute_posteriors([[r[v] for v in rules.RULES] for r in rows])
     assert np.allclose([1 - r.quality for r in rows], bad)
     assert [r.kept for r in rows] == [not r.base_failed and 1 - b >= 0.5 for r, b in zip(rows, bad, strict=True)]
+
+
+def test_clashing_columns_are_kept(docs, none):
+    """Columns of documents with the names of results come back under another name, and change nothing."""
+    from pyspark.sql import functions as F
+
+    odd = docs.select("doc_id", "text", F.lit("k").alias("kept"), F.lit("K").alias("Quality"), F.lit("w").alias("_words"), F.lit(7).alias("n_words"), F.lit(8).alias("n_words_"))
+    got = rules.judge(rules.measure(odd).cache())
+    assert got.columns[:7] == ["doc_id", "text", "kept_", "Quality_", "_words_", "n_words_", "n_words__"]
+    plain = {(r.doc_id, r.text): (r.n_words, r.quality, r.kept) for r in rules.judge(rules.measure(docs.select("doc_id", "text")).cache()).collect()}
+    for r in got.collect():
+        assert (r.n_words, r.quality, r.kept) == plain[r.doc_id, r.text] and (r.kept_, r.Quality_, r._words_, r.n_words_, r.n_words__) == ("k", "K", "w", 7, 8)
+    assert rules.judge(rules.measure(odd.filter("false"))).count() == 0
