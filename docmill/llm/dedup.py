@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import pickle
 import tempfile
@@ -16,6 +17,8 @@ from .common import fresh, stage
 
 #: Bytes of distinct content that one open-addressing table holds (and one text more); a bucket with more is cut by further bits of the hash.
 TABLE_BYTES = 48 << 20
+#: What an entry of a table takes beside its content, counted with it, so that many short texts fill a table too.
+ENTRY_BYTES = 200
 #: Pairs that are handed on at once.
 PAIRS = 1 << 16
 FANOUT_BITS = 4
@@ -69,10 +72,11 @@ class Table:
             self.slots[at] = entry
 
 
-def _local(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
-    """Rows (..., h, content, uid) to (..., uid, name), which is the first row of this task's table with the same content.
+def _local(batches: Iterator[pa.RecordBatch], rep: str, digest: str) -> Iterator[pa.RecordBatch]:
+    """Rows (..., h, content, uid) to (..., uid, rep, digest): rep is the first row of this task's table with the same content.
 
-    The table starts afresh at LOCAL_BYTES, so a task's memory is bounded; later stages join what it kept apart.
+    The table starts afresh at LOCAL_BYTES, so a task's memory is bounded; later stages join what it kept apart. A
+    content is digested (SHA-256) once for each table.
     """
     table, reps, held = Table(), [], 0
     for batch in batches:
@@ -84,12 +88,12 @@ def _local(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBa
                 table, reps, held = Table(), [], 0
             entry, new = table.find(h, data)
             if new:
-                reps.append(uid)
-                held += len(data)
+                reps.append((uid, hashlib.sha256(data).digest()))
+                held += len(data) + ENTRY_BYTES
             out.append(reps[entry])
-        columns = [*batch.columns[: n - 3], uids, pa.array(out, pa.int64())]
+        columns = [*batch.columns[: n - 3], uids, pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())]
         names = batch.schema.names
-        yield pa.record_batch(columns, [*names[: n - 3], names[-1], name])
+        yield pa.record_batch(columns, [*names[: n - 3], names[-1], rep, digest])
 
 
 def _grace(rows: Iterator[tuple[int, int, bytes]], folder: str, shift: int, held: list, size: int) -> Iterator[list[tuple[int, int]]]:
@@ -111,7 +115,7 @@ def _grace(rows: Iterator[tuple[int, int, bytes]], folder: str, shift: int, held
         if entry < 0:
             entry, _ = table.find(h, content)
             held.append(uid)
-            size += len(content)
+            size += len(content) + ENTRY_BYTES
         out.append((uid, held[entry]))
         if len(out) >= PAIRS:
             yield out
@@ -157,7 +161,7 @@ def groups(docs: DataFrame, content: str = "text", key: str = "doc_id") -> tuple
     The row with the smallest key stays (of equal keys, that which was read first; a null key is larger than others).
     An empty table gives no rows. groups has _uid, id, digest (SHA-256), keep_id, keep_uid, group_size.
     """
-    uid, rep = fresh(docs, "_uid"), fresh(docs, "_rep")
+    uid, rep, digest = fresh(docs, "_uid"), fresh(docs, "_rep"), fresh(docs, "_digest")
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
     def normal(c: str):
@@ -166,12 +170,15 @@ def groups(docs: DataFrame, content: str = "text", key: str = "doc_id") -> tuple
     def hashed(c):
         return F.shiftrightunsigned(F.xxhash64(c), 64 - HASH_BITS)
 
-    wide = docs.select("*", hashed(normal(content)).alias(fresh(docs, "_h")), F.encode(normal(content), "UTF-8").alias(fresh(docs, "_content")), F.monotonically_increasing_id().alias(uid))
-    rows = stage(wide.mapInArrow(lambda batches: _local(batches, rep), f"{types}, `{uid}` long, `{rep}` long"), "dedup-rows")
-    slim = rows.select(F.col(uid).alias("_uid"), F.col(rep).alias("rep"), F.col(key).alias("id"), normal(content).alias("text"))
-    reps = slim.filter("_uid = rep").select("rep", hashed("text").alias("h"), F.encode("text", "UTF-8").alias("content"))
-    roots = stage(reps.repartition("h").mapInArrow(_buckets, "rep long, root long"), "dedup-roots")
-    member = slim.select("_uid", "rep", "id", F.sha2(F.encode("text", "UTF-8"), 256).alias("digest"))
+    wide = docs.select(
+        "*", hashed(normal(content)).alias(fresh(docs, "_h")), F.encode(normal(content), "UTF-8").alias(fresh(docs, "_content")),
+        F.monotonically_increasing_id().alias(uid),
+    )
+    rows = stage(wide.mapInArrow(lambda batches: _local(batches, rep, digest), f"{types}, `{uid}` long, `{rep}` long, `{digest}` binary"), "dedup-rows")
+    member = rows.select(F.col(uid).alias("_uid"), F.col(rep).alias("rep"), F.col(key).alias("id"), F.lower(F.hex(digest)).alias("digest"))
+    reps = rows.filter(F.col(uid) == F.col(rep)).select(F.col(rep).alias("rep"), normal(content).alias("text"))
+    hashes = reps.select("rep", hashed("text").alias("h"), F.encode("text", "UTF-8").alias("content"))
+    roots = stage(hashes.repartition("h").mapInArrow(_buckets, "rep long, root long"), "dedup-roots")
     part = member.groupBy("rep").agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", "_uid")).alias("least"), F.count("*").alias("n"))
     whole = roots.join(part, "rep").groupBy("root").agg(F.min("least").alias("least"), F.sum("n").alias("group_size"))
     found = roots.join(whole, "root").select("rep", F.col("least.id").alias("keep_id"), F.col("least._uid").alias("keep_uid"), "group_size")
@@ -190,7 +197,10 @@ def deduplicate(docs: DataFrame) -> DataFrame:
 def op2_grace_dedup(spark, sf_dir: str) -> DataFrame:
     """Groups of equal texts among all documents, dropped rows too."""
     _, found = groups(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
-    return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", (F.col("_uid") == F.col("keep_uid")).alias("kept"), F.col("digest").alias("text_sha256"))
+    return found.select(
+        F.col("id").alias("doc_id"), "keep_id", "group_size", (F.col("_uid") == F.col("keep_uid")).alias("kept"),
+        F.col("digest").alias("text_sha256"),
+    )
 
 
 OP2_SQL = r"""

@@ -40,3 +40,16 @@ def test_hot_key(spark):
 
 def test_empty(none):
     assert sharding.digest(none).count() == 0
+
+
+def test_ranges_by_binary_search(spark):
+    """As many cuts as there may be at full scale; keys below, between, on and above them, ties settled by the row number."""
+    from bisect import bisect_right
+
+    from pyspark.sql import functions as F
+
+    for n in (0, 1, 2, 3, 7, 8, 5000):
+        cuts = sorted({(3 * (i // 2), 10 * (i % 2)) for i in range(n)})
+        rows = [(k, u) for k in (-(2**63), -1, 0, 1, 3, 3 * n // 4, 3 * (n // 2), 2**62) for u in (-1, 0, 5, 10, 11)]
+        got = spark.createDataFrame(rows, "k long, uid long").select("k", "uid", sharding._bucket((F.col("k"), F.col("uid")), cuts).alias("at")).collect()
+        assert [r["at"] for r in got] == [bisect_right(cuts, (r.k, r.uid)) for r in got]
