@@ -65,7 +65,10 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", offset
                 if offsets:
                     each = np.split(ids, np.cumsum(counts)[:-1])
                     starts = [pa.array([f(x).astype("<u4").tobytes() for x in each], pa.binary()) for f in (table.byte_offsets, table.character_offsets)]
-                yield pa.record_batch([batch.column(0).slice(at, n), binary_rows(ids.astype("<u4"), counts), pa.array(counts), *starts], [key, "ids", "n_tokens", "byte_starts", "character_starts"])
+                yield pa.record_batch(
+                    [batch.column(0).slice(at, n), binary_rows(ids.astype("<u4"), counts), pa.array(counts), *starts],
+                    [key, "ids", "n_tokens", "byte_starts", "character_starts"],
+                )
 
     return docs.select(F.col(key).cast("long"), "text").mapInArrow(task, f"{key} long, {OUT}")
 
@@ -77,7 +80,10 @@ def decode(rows: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") ->
         table = byte_table(path)
         for batch in batches:
             got = [np.frombuffer(x.as_buffer() if x.is_valid else b"", "<u4") for x in batch.column(1)]
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array([len(x) for x in got], pa.int64()), pa.array([table.decode(x).tobytes() for x in got], pa.binary())], [key, "ids", "n_tokens", "decoded"])
+            yield pa.record_batch(
+                [batch.column(0), batch.column(1), pa.array([len(x) for x in got], pa.int64()), pa.array([table.decode(x).tobytes() for x in got], pa.binary())],
+                [key, "ids", "n_tokens", "decoded"],
+            )
 
     return rows.select(key, ids).mapInArrow(task, f"{key} long, ids binary, n_tokens long, decoded binary")
 
@@ -104,7 +110,9 @@ def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id") ->
                     binary_rows((nth[places[:-1]] - first).astype("<u4"), counts), pa.array(split[ends] - split[ends - counts]),
                 ], [key, "n_tokens", "ids", "decoded", "character_starts", "n_split"])
 
-    return docs.select(F.col(key).cast("long"), "text").mapInArrow(task, f"{key} long, n_tokens long, ids binary, decoded binary, character_starts binary, n_split long")
+    return docs.select(F.col(key).cast("long"), "text").mapInArrow(
+        task, f"{key} long, n_tokens long, ids binary, decoded binary, character_starts binary, n_split long",
+    )
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,4 +126,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def digest(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """The contract's columns, and those of the offsets."""
     back = round_trip(docs, path, pattern)
-    return back.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), F.crc32("character_starts").alias("offsets_crc32"), "n_split")
+    return back.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.crc32("character_starts").alias("offsets_crc32"), "n_split",
+    )

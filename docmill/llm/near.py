@@ -115,7 +115,10 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = [np.unique(x) for x in np.split(flat, np.cumsum(count)[:-1])]
             ids = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets]
             n = len(count)
-            columns = [pa.array([len(x) for x in sets], pa.int64()), pa.array(ids, pa.binary()), pa.ListArray.from_arrays(np.arange(0, n * TREES + 1, TREES, dtype=np.int32), labels.reshape(-1))]
+            columns = [
+                pa.array([len(x) for x in sets], pa.int64()), pa.array(ids, pa.binary()),
+                pa.ListArray.from_arrays(np.arange(0, n * TREES + 1, TREES, dtype=np.int32), labels.reshape(-1)),
+            ]
             yield pa.record_batch([*[c.slice(at, n) for c in batch.columns[:-1]], *columns], [*batch.schema.names[:-1], "n_shingles", "set_id", "labels"])
             at += n
 
@@ -169,7 +172,11 @@ def _verify(uids: np.ndarray, own: np.ndarray, copies: np.ndarray, labels: np.nd
         marked[mine] = False
         jaccard = shared / (count[a] + count[others] - shared)
         hit = jaccard >= similarity
-        np.add.at(found, np.minimum(STEPS - 1, ((jaccard[hit] - similarity) / (1 - similarity) * STEPS).astype(np.int64)) if similarity < 1 else np.zeros(hit.sum(), np.int64), 1)
+        np.add.at(
+            found,
+            np.minimum(STEPS - 1, ((jaccard[hit] - similarity) / (1 - similarity) * STEPS).astype(np.int64)) if similarity < 1 else np.zeros(hit.sum(), np.int64),
+            1,
+        )
         for b in others[hit].tolist():
             links[a] += copies[b]
             links[b] += copies[a]
@@ -223,17 +230,30 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, target: float = REC
     rows = stage(docs.withColumn(uid, F.monotonically_increasing_id()), "near-rows")
     slim = rows.select(F.col(uid).alias("uid"), F.col(key).cast("long").alias("id"), "text")
     signed = stage(slim.mapInArrow(_signatures, "uid long, id long, n_shingles long, set_id binary, labels array<long>"), "near-signed")
-    sets = stage(signed.filter("n_shingles > 0").groupBy("set_id").agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", "uid")).alias("least"), F.count("*").alias("copies")), "near-sets")
+    sets = stage(
+        signed.filter("n_shingles > 0").groupBy("set_id").agg(
+            F.min(F.struct(F.col("id").isNull().alias("no"), "id", "uid")).alias("least"), F.count("*").alias("copies"),
+        ),
+        "near-sets",
+    )
     reps = sets.select(F.col("least.uid").alias("uid"), "set_id", "copies", F.col("least").alias("first"))
     labelled = stage(signed.select("uid", "labels", "n_shingles").join(reps.select("uid", "copies").hint("merge"), "uid"), "near-reps")
     links = _links(slim, labelled, similarity, target)
     joined = components(links.filter("kind = 0").select("a", "b"), "near-classes")
     counted = links.filter("kind = 1").groupBy("a").agg(F.sum("n").alias("n_links")).withColumnRenamed("a", "uid")
-    known = reps.join(joined.withColumnRenamed("node", "uid"), "uid", "left").join(counted, "uid", "left").select("set_id", "copies", "first", F.coalesce("component", "uid").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    known = reps.join(joined.withColumnRenamed("node", "uid"), "uid", "left").join(counted, "uid", "left").select(
+        "set_id", "copies", "first", F.coalesce("component", "uid").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+    )
     known = stage(known, "near-known")
     named = stage(known.groupBy("class").agg(F.min("first").alias("keep"), F.count("*").alias("sets")), "near-least")
     with_class = attach(known, named, "class", "sets", known.count())
-    by_set = stage(with_class.select("set_id", "copies", F.col("keep.id").alias("class_id"), F.col("keep.uid").alias("keep_uid"), (F.col("n_links") + F.col("copies") - 1).alias("n_links")), "near-named")
+    by_set = stage(
+        with_class.select(
+            "set_id", "copies", F.col("keep.id").alias("class_id"), F.col("keep.uid").alias("keep_uid"),
+            (F.col("n_links") + F.col("copies") - 1).alias("n_links"),
+        ),
+        "near-named",
+    )
     plain = signed.select("uid", "id", "set_id")
     found_rows = attach(plain.filter("set_id is not null"), by_set, "set_id", "copies", plain.count()).select("uid", "id", "class_id", "keep_uid", "n_links")
     alone = plain.filter("set_id is null").select("uid", "id", F.col("id").alias("class_id"), F.col("uid").alias("keep_uid"), F.lit(0).cast("long").alias("n_links"))
@@ -281,7 +301,10 @@ def _at_depth(company: DataFrame, depth: int, similarity: float) -> DataFrame:
     trees = F.col("trees") if depth else F.array(F.lit(0))
     keyed = company.select("uid", "copies", "n_shingles", "labels", F.explode(trees).alias("tree")).withColumn("label", F.get("labels", "tree")).withColumn("node", _node(depth))
     ends = [f(F.get("labels", F.lit(t))) for f in (F.min, F.max) for t in range(TREES)]
-    nodes = keyed.groupBy("node").agg(F.first("tree").alias("tree"), F.count("*").alias("n"), F.sum("n_shingles").alias("size"), F.array(*ends[:TREES]).alias("low"), F.array(*ends[TREES:]).alias("high"))
+    nodes = keyed.groupBy("node").agg(
+        F.first("tree").alias("tree"), F.count("*").alias("n"), F.sum("n_shingles").alias("size"), F.array(*ends[:TREES]).alias("low"),
+        F.array(*ends[TREES:]).alias("high"),
+    )
 
     def together(depth: int) -> Column:
         """In which trees all texts of the node share a prefix: where the least and the largest label do."""

@@ -66,7 +66,13 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, size: int, key: str = "doc
                 nth = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
                 length = np.minimum(size, n[doc] - nth * size)
                 rows = pa.array(doc + at)
-                yield pa.record_batch([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(nth.astype(np.int32)), pa.array(nth * size), pa.array(length), binary_rows(ids, length)], [key, "uid", "piece", "start", "length", "ids"])
+                yield pa.record_batch(
+                    [
+                        batch.column(0).take(rows), batch.column(1).take(rows), pa.array(nth.astype(np.int32)), pa.array(nth * size),
+                        pa.array(length), binary_rows(ids, length),
+                    ],
+                    [key, "uid", "piece", "start", "length", "ids"],
+                )
 
     rows = docs.select(F.col(key).cast("long"), F.monotonically_increasing_id().alias("uid"), "text")
     return stage(rows.mapInArrow(task, f"{key} long, uid long, piece int, start long, length long, ids binary"), "pack-pieces", "zstd")
@@ -81,7 +87,10 @@ def assign(pieces: DataFrame, size: int, group: int = GROUP) -> DataFrame:
     spark, names = pieces.sparkSession, pieces.columns
     n = pieces.filter(F.col("length") < size).count()
     groups = max(1, n // group)
-    whole = pieces.filter(F.col("length") == size).select(*names, F.xxhash64(F.lit("whole"), "uid", "piece").bitwiseOR(F.lit(-(2**63))).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    whole = pieces.filter(F.col("length") == size).select(
+        *names, F.xxhash64(F.lit("whole"), "uid", "piece").bitwiseOR(F.lit(-(2**63))).alias("sequence_id"),
+        F.lit(0).cast("long").alias("offset"),
+    )
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

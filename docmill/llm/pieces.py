@@ -287,4 +287,6 @@ def by_batch(work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]):
 def binary_rows(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
     """A binary array whose i-th value holds the bytes of the next counts[i] numbers of flat."""
     ends = np.concatenate([[0], np.cumsum(counts)]) * flat.dtype.itemsize
-    return pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(flat))]).cast(pa.binary())
+    return pa.Array.from_buffers(
+        pa.large_binary(), len(counts), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(flat))],
+    ).cast(pa.binary())

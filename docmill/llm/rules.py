@@ -63,9 +63,18 @@ def repeated_words(words: Column) -> Column:
                 return F.coalesce(same(x, F.get(s, k - 1)), F.lit(False)) | F.coalesce(same(x, F.get(s, k + 1)), F.lit(False))
 
             places = F.sort_array(F.transform(F.filter(s, twin), place))
-            return let(places, lambda p: F.coalesce(F.aggregate(F.transform(p, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(p, k + 1) - x, F.lit(3)))), F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0)))
-
-        keyed = F.transform(F.slice(w, 1, n - 2), lambda x, i: F.call_function("shiftleft", F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)), bits).bitwiseOR(i.cast("long")))
+            return let(
+                places,
+                lambda p: F.coalesce(
+                    F.aggregate(F.transform(p, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(p, k + 1) - x, F.lit(3)))), F.lit(0).cast("long"), lambda a, x: a + x),
+                    F.lit(0),
+                ),
+            )
+
+        keyed = F.transform(
+            F.slice(w, 1, n - 2),
+            lambda x, i: F.call_function("shiftleft", F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)), bits).bitwiseOR(i.cast("long")),
+        )
         return F.when(n < 4, F.lit(0).cast("long")).otherwise(let(F.sort_array(keyed), marked))
 
     return let(words, of)

@@ -16,14 +16,19 @@ OVERFULL = 1.5
 ROUNDS = 4
 
 
-def _bucket(key: tuple[Column, Column], cuts: list[tuple[int, int]], low: int = 0) -> Column:
-    """Index of the range that a (key, uid) pair falls into: a search tree of comparisons, evaluated in the JVM."""
+def _bucket(key: tuple[Column, Column], cuts: list[tuple[int, int]]) -> Column:
+    """Index of the range that a (key, uid) pair falls into: a binary search in the cuts, in the JVM. Two constant arrays
+    hold the cuts, so the expression is small however many there are."""
     if not cuts:
-        return F.lit(low)
-    mid = len(cuts) // 2
-    k, u = cuts[mid]
-    below = (key[0] < k) | ((key[0] == k) & (key[1] < u))
-    return F.when(below, _bucket(key, cuts[:mid], low)).otherwise(_bucket(key, cuts[mid + 1 :], low + mid + 1))
+        return F.lit(0)
+    keys, uids = (F.split(F.lit(",".join(str(c[i]) for c in cuts)), ",").cast("array<bigint>") for i in (0, 1))
+    steps = F.array(*[F.lit(1 << p) for p in reversed(range(len(cuts).bit_length()))])
+
+    def further(at: Column, step: Column) -> Column:
+        k, u = F.get(keys, at + step - 1), F.get(uids, at + step - 1)  # null beyond the last cut
+        return F.when((key[0] > k) | ((key[0] == k) & (key[1] >= u)), at + step).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), further)
 
 
 def _quantiles(sample: list[tuple[int, int, float]], parts: int) -> list[tuple[int, int]]:
@@ -60,7 +65,13 @@ def shard(docs: DataFrame, shards: int, key: str = "doc_id", size: Column | None
     spark = docs.sparkSession
     size = F.coalesce(F.octet_length("text"), F.lit(0)) + 1 if size is None else size
     kept = [c for c in docs.columns if c.startswith("keep_")]
-    rows = stage(docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))).alias("k"), F.monotonically_increasing_id().alias("uid"), size.cast("long").alias("size"), *kept), "shard-rows")
+    rows = stage(
+        docs.select(
+            F.col(key).cast("long").alias("key"), F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))).alias("k"),
+            F.monotonically_increasing_id().alias("uid"), size.cast("long").alias("size"), *kept,
+        ),
+        "shard-rows",
+    )
     n, total = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     # enough ranges that none is more than a task's work, and each boundary still has many sampled keys to its side
     ranges = ranges or max(shards * 4, min(2048, int(spark.conf.get("spark.sql.shuffle.partitions")), max(1, n // 1000)))
@@ -106,7 +117,10 @@ def digest(docs: DataFrame, shards: int = 16) -> DataFrame:
     """The contract's columns. A null text has size 1 and the checksum of an empty one."""
     crc = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
     out = shard(docs.select("doc_id", "text", crc.alias("keep_crc")), shards)
-    return out.select(F.col("key").alias("doc_id"), "size", F.col("keep_crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    return out.select(
+        F.col("key").alias("doc_id"), "size", F.col("keep_crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
 
 
 #: Places among all bytes by window sums; CRC-32 by halves of bytes, low half first, from a table made of the polynomial.

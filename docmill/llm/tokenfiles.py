@@ -44,8 +44,20 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, vocab: int) -> DataFra
                 ends = np.cumsum(counts)
                 ids = np.insert(ids, ends, end_id)
                 seen += np.bincount(ids, minlength=vocab)
-                yield pa.record_batch([pa.array(np.zeros(n, np.int32)), batch.column(0).slice(at, n), batch.column(1).slice(at, n), pa.array(counts + 1), binary_rows(ids.astype(wide), counts + 1)], names)
-        yield pa.record_batch([pa.array([1], pa.int32()), pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([0], pa.int64()), pa.array([seen.tobytes()], pa.binary())], names)
+                yield pa.record_batch(
+                    [
+                        pa.array(np.zeros(n, np.int32)), batch.column(0).slice(at, n), batch.column(1).slice(at, n), pa.array(counts + 1),
+                        binary_rows(ids.astype(wide), counts + 1),
+                    ],
+                    names,
+                )
+        yield pa.record_batch(
+            [
+                pa.array([1], pa.int32()), pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([0], pa.int64()),
+                pa.array([seen.tobytes()], pa.binary()),
+            ],
+            names,
+        )
 
     names = ["kind", "doc_id", "uid", "n", "ids"]
     rows = docs.select(F.col("doc_id").cast("long"), F.monotonically_increasing_id().alias("uid"), "text")
@@ -200,7 +212,10 @@ def read_coded(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
                         rows = []
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    schema = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("file", pa.int32()), ("nth", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.binary())])
+    schema = pa.schema([
+        ("doc_id", pa.int64()), ("part", pa.int32()), ("file", pa.int32()), ("nth", pa.int64()), ("n_tokens", pa.int64()),
+        ("ids_crc32", pa.int64()), ("ids", pa.binary()),
+    ])
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.dmvb").load(path).select("path", "content")
     return files.mapInArrow(task, "doc_id long, part int, file int, nth long, n_tokens long, ids_crc32 long, ids binary")
 
@@ -269,7 +284,10 @@ def write_flat(docs: DataFrame, path: str, tokenizer: str, end_id: int, wide: st
                     out.write(ids[:room].tobytes())
                     room, ids = room - min(room, len(ids)), ids[room:]
                 n = len(counts)
-                yield pa.record_batch([batch.column(0).slice(at, n), pa.array(np.full(n, part, np.int32)), pa.array(np.zeros(n, np.int32)), pa.array(nth + np.arange(n))], ["doc_id", "part", "file", "nth"])
+                yield pa.record_batch(
+                    [batch.column(0).slice(at, n), pa.array(np.full(n, part, np.int32)), pa.array(np.zeros(n, np.int32)), pa.array(nth + np.arange(n))],
+                    ["doc_id", "part", "file", "nth"],
+                )
                 nth += n
         close()
 
@@ -299,12 +317,22 @@ def separators(spark: SparkSession, path: str, end_id: int, block: int = BLOCK_I
                 at = np.flatnonzero(ids == end_id)
                 lengths = np.diff(at, prepend=-1)
                 tail = len(ids) - (at[-1] + 1 if len(at) else 0)
-                yield pa.record_batch([pa.array([v], t) for v, t in ((part, pa.int32()), (file, pa.int32()), (nth, pa.int64()), (int(tail), pa.int64()), (len(ids), pa.int64()), (lengths.astype("<i8").tobytes(), pa.binary()), (len(at), pa.int64()))], names)
+                yield pa.record_batch(
+                    [pa.array([v], t) for v, t in ((part, pa.int32()), (file, pa.int32()), (nth, pa.int64()), (int(tail), pa.int64()), (len(ids), pa.int64()), (lengths.astype("<i8").tobytes(), pa.binary()), (len(at), pa.int64()))],
+                    names,
+                )
 
     size = np.dtype(wide).itemsize
     names = ["part", "file", "block", "tail", "ids", "lengths", "documents"]
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.flat").load(path).select("path", F.expr(f"explode(sequence(0L, greatest(0L, (length - 1) div {size * block})))").alias("block"), "length").filter("length > 0")
-    found = stage(files.repartition("path", "block").select("path", "block").mapInArrow(task, "part int, file int, block long, tail long, ids long, lengths binary, documents long"), "flat-blocks")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.flat").load(path).select(
+        "path", F.expr(f"explode(sequence(0L, greatest(0L, (length - 1) div {size * block})))").alias("block"), "length",
+    ).filter("length > 0")
+    found = stage(
+        files.repartition("path", "block").select("path", "block").mapInArrow(
+            task, "part int, file int, block long, tail long, ids long, lengths binary, documents long",
+        ),
+        "flat-blocks",
+    )
     # the scan: a block's open ids are the tails since the last block before it that has a separator
     small = found.drop("lengths")
     by = Window.partitionBy("part").orderBy("file", "block")
@@ -312,7 +340,10 @@ def separators(spark: SparkSession, path: str, end_id: int, block: int = BLOCK_I
     marked = small.withColumn("before", before).withColumn("mark", F.when(F.col("documents") > 0, F.col("before")))
     last = F.last("mark", ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, -1))
     open_ = marked.withColumn("open", F.col("before") - F.coalesce(last, F.lit(0)))
-    bases = open_.select("part", "file", "block", "open", (F.sum("documents").over(by) - F.col("documents")).alias("first"), (F.sum("ids").over(by) - F.col("ids")).alias("ids_before"))
+    bases = open_.select(
+        "part", "file", "block", "open", (F.sum("documents").over(by) - F.col("documents")).alias("first"),
+        (F.sum("ids").over(by) - F.col("ids")).alias("ids_before"),
+    )
     parts = small.groupBy("part").agg(F.sum("ids").alias("n")).select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("part_before"))
 
     def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,7 +354,10 @@ def separators(spark: SparkSession, path: str, end_id: int, block: int = BLOCK_I
                     ends = r["part_before"] + r["ids_before"] + np.cumsum(lengths)
                     lengths[0] += r["open"]
                     n = len(lengths)
-                    yield pa.record_batch([pa.array(np.full(n, r["part"], np.int32)), pa.array(r["first"] + np.arange(n)), pa.array(lengths), pa.array(ends - lengths)], ["part", "nth", "n_tokens", "start"])
+                    yield pa.record_batch(
+                        [pa.array(np.full(n, r["part"], np.int32)), pa.array(r["first"] + np.arange(n)), pa.array(lengths), pa.array(ends - lengths)],
+                        ["part", "nth", "n_tokens", "start"],
+                    )
 
     return found.select("part", "file", "block", "lengths").join(bases, ["part", "file", "block"]).join(parts, "part").mapInArrow(unfold, "part int, nth long, n_tokens long, start long")
 

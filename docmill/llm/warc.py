@@ -42,7 +42,9 @@ def encode_record(page_id: int | None, url: str | None, payload: bytes, digest:
     head = [
         "WARC/1.1", f"WARC-Type: {'response' if original is None else 'revisit'}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", f"WARC-Date: {DATE}",
         *([f"WARC-Target-URI: {uri}"] if uri else []), f"WARC-Payload-Digest: sha1:{digest}", f"WARC-Block-Digest: sha1:{sha1_base32(block)}",
-        *([f"WARC-Refers-To: <urn:page:{original}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"] if original is not None else []),
+        *([
+            f"WARC-Refers-To: <urn:page:{original}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
+        ] if original is not None else []),
         "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}",
     ]
     packer = zlib.compressobj(6, zlib.DEFLATED, 31)
@@ -312,7 +314,10 @@ def archive(pages: DataFrame, path: str, least: int = 0) -> DataFrame:
     rows = stage(rows, "warc-rows", "zstd")  # whole payloads: they are kept until their archives are written
     slim = stage(rows.select("uid", "payload", "page_id").mapInArrow(_digests, "uid long, payload_digest string, page_id long"), "warc-digests")
     group = slim.groupBy("payload_digest").agg(F.max("page_id").alias("original"), F.count("*").alias("n"))
-    found = attach(slim, stage(group, "warc-groups"), "payload_digest", "n", slim.count()).select("uid", "payload_digest", F.when(F.col("page_id") < F.col("original"), F.col("original")).when(F.col("page_id").isNull(), F.col("original")).alias("refers_to"))
+    found = attach(slim, stage(group, "warc-groups"), "payload_digest", "n", slim.count()).select(
+        "uid", "payload_digest",
+        F.when(F.col("page_id") < F.col("original"), F.col("original")).when(F.col("page_id").isNull(), F.col("original")).alias("refers_to"),
+    )
     full = rows.join(found, "uid").withColumn("refers_to", F.when(F.length("payload") >= least, F.col("refers_to")))
     return write(full, path)
 
@@ -323,7 +328,10 @@ def op10_salvage_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
     number = "try_cast(regexp_extract({}, '<urn:page:(-?[0-9]+)>', 1) as bigint)"
     back = quarantine(stage(read(spark, path, payloads=False).drop("payload"), "warc-found"), path)
-    return back.select(F.expr(number.format("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.expr(number.format("refers_to")).alias("refers_to"))
+    return back.select(
+        F.expr(number.format("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.expr(number.format("refers_to")).alias("refers_to"),
+    )
 
 
 #: Base32 of the SHA-1, five hexadecimal digits (four characters) at a time.
