@@ -6,7 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Formats in the order in which they are tried.
-DATE_TIMES = ["yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "M/d/yyyy", "M/d/yyyy H:mm:ss", "M/d/yyyy h:mm:ss a", "d/M/yyyy", "d/M/yyyy H:mm:ss"]
+DATE_TIMES = [
+    "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "M/d/yyyy", "M/d/yyyy H:mm:ss", "M/d/yyyy h:mm:ss a", "d/M/yyyy",
+    "d/M/yyyy H:mm:ss",
+]
 LENIENT = ["yyyy-M-d H:m:s.SSSSSS", "yyyy-M-d H:m:s", "yyyy-M-d", "M/d/yyyy", "M/d/yyyy H:m:s", "M/d/yyyy h:m:s a", "d/M/yyyy", "d/M/yyyy H:m:s"]
 WHOLE = {"smallint", "int", "bigint", "tinyint"}
 

@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def with_total(df: DataFrame) -> DataFrame:
-    """The number of all rows beside each. A one-row count is joined, so no window gathers the table in a task."""
-    return df.crossJoin(F.broadcast(df.agg(F.count("*").alias("total"))))
+def with_total(df: DataFrame, like: DataFrame | None = None) -> DataFrame:
+    """The number of all rows beside each. A one-row count is joined, so no window gathers the table in a task.
+
+    `like` is a table with as many rows that costs less to count, such as df before columns were joined to it.
+    """
+    return df.crossJoin(F.broadcast((df if like is None else like).agg(F.count("*").alias("total"))))
 
 
 def page(df: DataFrame, order: list[str | Column], offset: int, n: int) -> DataFrame:

@@ -12,12 +12,17 @@ FINDING = ["doc_id", "table_name", "field", "check", "severity", "message"]
 
 
 def finding(df: DataFrame, test: Column, id: str, table: str, field: str, check: str, severity: str, message: str) -> DataFrame:
-    return df.filter(test).select(F.col(id).alias("doc_id"), *[F.lit(v).alias(n) for n, v in zip(FINDING[1:], (table, field, check, severity, message), strict=True)])
+    return df.filter(test).select(
+        F.col(id).alias("doc_id"), *[F.lit(v).alias(n) for n, v in zip(FINDING[1:], (table, field, check, severity, message), strict=True)],
+    )
 
 
 def findings(df: DataFrame, id: str, table: str, checks: list[tuple[str, str, str, str, Column]]) -> DataFrame:
     """One pass for many checks (field, check, severity, message, test): a row for each test that holds."""
-    items = F.array(*[F.when(F.coalesce(test, F.lit(False)), F.struct(F.lit(table).alias("table_name"), F.lit(f).alias("field"), F.lit(c).alias("check"), F.lit(s).alias("severity"), F.lit(m).alias("message"))) for f, c, s, m, test in checks])
+    items = F.array(*[F.when(
+        F.coalesce(test, F.lit(False)),
+        F.struct(F.lit(table).alias("table_name"), F.lit(f).alias("field"), F.lit(c).alias("check"), F.lit(s).alias("severity"), F.lit(m).alias("message")),
+    ) for f, c, s, m, test in checks])
     return df.select(F.col(id).alias("doc_id"), F.explode(F.array_compact(items)).alias("_f")).select("doc_id", "_f.*")
 
 
@@ -58,7 +63,11 @@ def check_children(children: DataFrame, id: str, table: str, type_col: str) -> D
 
 def validation_summary(checked: DataFrame) -> DataFrame:
     """Totals of pre_validate()."""
-    return checked.agg(F.count("*").alias("documents"), F.count_if("valid").alias("valid"), F.count_if(~F.col("valid")).alias("invalid"), F.count_if(F.col("warnings") != "").alias("with_warnings"), F.sum(F.when(F.col("errors") == "", 0).otherwise(F.size(F.split("errors", ";")))).alias("errors"))
+    return checked.agg(
+        F.count("*").alias("documents"), F.count_if("valid").alias("valid"), F.count_if(~F.col("valid")).alias("invalid"),
+        F.count_if(F.col("warnings") != "").alias("with_warnings"),
+        F.sum(F.when(F.col("errors") == "", 0).otherwise(F.size(F.split("errors", ";")))).alias("errors"),
+    )
 
 
 def check_fk(child: DataFrame, parent: DataFrame, key: str, id: str, table: str) -> DataFrame:
@@ -73,7 +82,10 @@ def check_required(df: DataFrame, id: str, table: str, cols: list[str]) -> DataF
 
 def check_types(df: DataFrame, id: str, table: str, types: dict[str, str]) -> DataFrame:
     """Text that isn't of its declared type."""
-    return findings(df, id, table, [(c, "type", "error", f"not {t}", F.col(c).isNotNull() & (F.trim(c) != "") & F.trim(c).try_cast(t).isNull()) for c, t in types.items()])
+    return findings(
+        df, id, table,
+        [(c, "type", "error", f"not {t}", F.col(c).isNotNull() & (F.trim(c) != "") & F.trim(c).try_cast(t).isNull()) for c, t in types.items()],
+    )
 
 
 def check_lengths(df: DataFrame, id: str, table: str, limits: dict[str, int]) -> DataFrame:
@@ -109,13 +121,23 @@ def check_source(src: DataFrame, dst: DataFrame, id: str, fields: list[str]) ->
     a = src.select(id, F.lit(True).alias("_s"), *[F.col(f).alias(f"s_{f}") for f in fields])
     b = dst.select(id, F.lit(True).alias("_d"), *[F.col(f).alias(f"d_{f}") for f in fields])
     both = a.join(b, id, "full")
-    items = F.array(F.when(F.col("_d").isNull(), F.struct(F.lit("missing").alias("outcome"), F.lit("").alias("field"))), F.when(F.col("_s").isNull(), F.struct(F.lit("unexpected").alias("outcome"), F.lit("").alias("field"))), *[F.when(F.col("_s") & F.col("_d") & ~equivalent(F.col(f"s_{f}"), F.col(f"d_{f}")), F.struct(F.lit("differs").alias("outcome"), F.lit(f).alias("field"))) for f in fields])
+    items = F.array(
+        F.when(F.col("_d").isNull(), F.struct(F.lit("missing").alias("outcome"), F.lit("").alias("field"))),
+        F.when(F.col("_s").isNull(), F.struct(F.lit("unexpected").alias("outcome"), F.lit("").alias("field"))),
+        *[F.when(
+            F.col("_s") & F.col("_d") & ~equivalent(F.col(f"s_{f}"), F.col(f"d_{f}")),
+            F.struct(F.lit("differs").alias("outcome"), F.lit(f).alias("field")),
+        ) for f in fields],
+    )
     return both.select(id, F.explode(F.array_compact(items)).alias("_x")).select(id, "_x.*")
 
 
 def quality_metrics(df: DataFrame, cols: list[str], valid: dict[str, Column]) -> DataFrame:
     """Completeness and validity of each column in percent, and a grade by 90 and 80."""
-    parts = [F.struct(F.lit(c).alias("column_name"), F.round(F.try_divide(100 * F.count(c), F.count("*")), 2).alias("completeness"), F.round(F.try_divide(100 * F.count_if(valid.get(c, F.lit(True)) & F.col(c).isNotNull()), F.count(c)), 2).alias("validity")) for c in cols]
+    parts = [F.struct(
+        F.lit(c).alias("column_name"), F.round(F.try_divide(100 * F.count(c), F.count("*")), 2).alias("completeness"),
+        F.round(F.try_divide(100 * F.count_if(valid.get(c, F.lit(True)) & F.col(c).isNotNull()), F.count(c)), 2).alias("validity"),
+    ) for c in cols]
     rows = df.agg(F.array(*parts).alias("_a")).select(F.explode("_a").alias("_x")).select("_x.*")
     least = F.least("completeness", "validity")
     return rows.withColumn("grade", F.when(least >= 90, "good").when(least >= 80, "fair").otherwise("poor"))
@@ -131,7 +153,9 @@ def report(found: DataFrame, total: DataFrame) -> DataFrame:
     """Per table and check: findings, documents with one, and their share of all documents."""
     n = total.agg(F.count("*").alias("_n"))
     by = found.groupBy("table_name", "check").agg(F.count("*").alias("findings"), F.countDistinct("doc_id").alias("documents"))
-    return by.crossJoin(F.broadcast(n)).select("table_name", "check", "findings", "documents", F.round(F.try_divide(100.0 * F.col("documents"), F.col("_n")), 2).alias("pct"))
+    return by.crossJoin(F.broadcast(n)).select(
+        "table_name", "check", "findings", "documents", F.round(F.try_divide(100.0 * F.col("documents"), F.col("_n")), 2).alias("pct"),
+    )
 
 
 def check_unique(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -140,3 +164,11 @@ def check_unique(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def findings_schema() -> T.StructType:
     return T.StructType([T.StructField("doc_id", T.LongType()), *[T.StructField(n, T.StringType()) for n in FINDING[1:]]])
+
+
+def require(df: DataFrame, id: str, table: str, column: str, default: object = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, findings) of a text column that must have a value: blank ones get the default; without one, they are findings and go."""
+    value = F.nullif(F.trim(column), F.lit(""))
+    filled = df.withColumn(column, value if default is None else F.coalesce(value, F.lit(default)))
+    lacks = F.col(column).isNull()
+    return filled.filter(~lacks), finding(filled, lacks, id, table, column, "required", "critical", "no value and no default")

@@ -35,7 +35,10 @@ def verify_smells(stored: DataFrame, source: DataFrame, id: str, rules: dict[str
     rules: stored column to (source column, marker).
     """
     both = stored.join(source, id)
-    items = F.array_compact(F.array(*[F.when(F.col(c).cast("string") == str(marker), F.struct(F.lit(c).alias("field"), F.when(nonblank(F.col(s)), "mapping failure").otherwise("injected").alias("verdict"))) for c, (s, marker) in rules.items()]))
+    items = F.array_compact(F.array(*[F.when(
+        F.col(c).cast("string") == str(marker),
+        F.struct(F.lit(c).alias("field"), F.when(nonblank(F.col(s)), "mapping failure").otherwise("injected").alias("verdict")),
+    ) for c, (s, marker) in rules.items()]))
     return both.select(id, F.explode(items).alias("_x")).select(id, "_x.*")
 
 
@@ -56,7 +59,10 @@ def verify_enum(both: DataFrame, id: str, source: str, stored: str, expected: Co
 
 def audit_enums(df: DataFrame, known: dict[str, list[str]]) -> DataFrame:
     """Per column: rows, nulls, values outside the list, and EMPTY, NEVER POPULATED, SPARSE or OK."""
-    parts = [F.struct(F.lit(c).alias("column_name"), F.count("*").alias("n_rows"), F.count_if(F.col(c).isNull()).alias("n_null"), F.count_if(~F.col(c).isin(v)).alias("n_unknown")) for c, v in known.items()]
+    parts = [F.struct(
+        F.lit(c).alias("column_name"), F.count("*").alias("n_rows"), F.count_if(F.col(c).isNull()).alias("n_null"),
+        F.count_if(~F.col(c).isin(v)).alias("n_unknown"),
+    ) for c, v in known.items()]
     rows = df.agg(F.array(*parts).alias("_a")).select(F.explode("_a").alias("_x")).select("_x.*")
     state = F.when(F.col("n_rows") == 0, "EMPTY").when(F.col("n_null") == F.col("n_rows"), "NEVER POPULATED").when(F.col("n_null") > 0.95 * F.col("n_rows"), "SPARSE").otherwise("OK")
     return rows.withColumn("state", state)
@@ -70,7 +76,11 @@ def source_first(expected: DataFrame, actual: DataFrame, log: DataFrame, keys: l
     both = expected.join(done, id, "left").join(stored, keys, "left")
     n, seen, there = F.count("*"), F.count("_l"), F.count_if(F.col("_l") & F.col("_a"))
     right = F.count_if(F.col("_l") & F.col("_a") & F.col("_v").eqNullSafe(F.col(value)))
-    return both.agg(n.alias("expected"), F.round(F.try_divide(100.0 * seen, n), 2).alias("coverage"), F.round(F.try_divide(100.0 * there, seen), 2).alias("completeness"), F.round(F.try_divide(100.0 * right, there), 2).alias("accuracy"))
+    return both.agg(
+        n.alias("expected"), F.round(F.try_divide(100.0 * seen, n), 2).alias("coverage"),
+        F.round(F.try_divide(100.0 * there, seen), 2).alias("completeness"),
+        F.round(F.try_divide(100.0 * right, there), 2).alias("accuracy"),
+    )
 
 
 def source_first_counts(expected: DataFrame, actual: DataFrame, id: str) -> DataFrame:

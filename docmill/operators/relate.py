@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -29,6 +32,12 @@ def decode_enums(df: DataFrame, enums: DataFrame, cols: dict[str, str]) -> DataF
     return df
 
 
+def audit_defaults(df: DataFrame, log: DataFrame, markers: dict[str, object], key: str) -> DataFrame:
+    """Rows in which a column has its known default, with the status of their document, if it is logged."""
+    marked = df.filter(functools.reduce(operator.or_, [F.col(c) == F.lit(v) for c, v in markers.items()]))
+    return marked.join(log.select(key, "status"), key, "left")
+
+
 def with_parent(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return child.join(parent.select(key), key, "left_semi")
 

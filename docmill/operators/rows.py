@@ -29,7 +29,10 @@ def kv_rows(df: DataFrame, id: str, specs: list[tuple[str, ...]], kind: str) ->
         return rows.filter(F.lower(F.trim("v")).isin("y", "yes", "true", "t", "1")).select(id, F.col("n").alias("indicator"), F.lit("1").alias("value"))
     rows = rows.filter(meaningful(F.col("v")))
     if kind == "history":
-        return rows.select(id, F.concat(F.lit("["), "c", F.lit("]")).alias("name"), F.concat(F.lit("["), "n", F.lit("]")).alias("source"), F.trim("v").alias("value"))
+        return rows.select(
+            id, F.concat(F.lit("["), "c", F.lit("]")).alias("name"), F.concat(F.lit("["), "n", F.lit("]")).alias("source"),
+            F.trim("v").alias("value"),
+        )
     return rows.select(id, F.col("n").alias("name"), F.trim("v").alias("value"), *([F.col("c").alias("source_report_key")] if keyed else []))
 
 
@@ -38,7 +41,9 @@ def group_rows(df: DataFrame, id: str, groups: dict[int, dict[str, Column]], ask
 
     shared fields are the same in all rows of a document; defaults are set only after the test.
     """
-    parts = F.array(*[F.struct(F.lit(t).alias("type"), *[c.alias(n) for n, c in fields.items()], *[c.alias(n) for n, c in (shared or {}).items()]) for t, fields in groups.items()])
+    parts = F.array(*[F.struct(
+        F.lit(t).alias("type"), *[c.alias(n) for n, c in fields.items()], *[c.alias(n) for n, c in (shared or {}).items()],
+    ) for t, fields in groups.items()])
     rows = df.select(F.col(id), F.explode(parts).alias("_g")).select(id, "_g.*")
     tests = [nonblank(F.col(a)) for a in asks] + [F.coalesce(F.col(a).try_cast("double") > 0, F.lit(False)) for a in amounts or []]
     rows = rows.filter(functools.reduce(operator.or_, tests))

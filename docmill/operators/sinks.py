@@ -69,7 +69,10 @@ def visible(spark: SparkSession, path: str, table: str, id: str = "doc_id") -> D
 def log_outcomes(ok: DataFrame, failed: DataFrame, session: str, id: str = "doc_id") -> DataFrame:
     """A row for each document; failures with 'stage: message', cut to 500 characters."""
     good = ok.select(F.col(id).alias("app_id"), F.lit("success").alias("status"), F.lit(None).cast("string").alias("failure_reason"))
-    bad = failed.select(F.col(id).alias("app_id"), F.lit("failed").alias("status"), F.substring(F.concat("stage", F.lit(": "), "message"), 1, 500).alias("failure_reason"))
+    bad = failed.select(
+        F.col(id).alias("app_id"), F.lit("failed").alias("status"),
+        F.substring(F.concat("stage", F.lit(": "), "message"), 1, 500).alias("failure_reason"),
+    )
     return good.unionByName(bad).withColumn("session_id", F.lit(session))
 
 

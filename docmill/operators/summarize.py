@@ -16,7 +16,9 @@ def long_form(one: DataFrame, names: list[str], value: str, key: str = "column_n
 
 def null_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     counted = df.agg(F.count("*").alias("n_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-    return counted.select("n_rows", F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_null")) for c in cols])).alias("_x")).select("_x.column_name", "n_rows", "_x.n_null")
+    return counted.select(
+        "n_rows", F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_null")) for c in cols])).alias("_x"),
+    ).select("_x.column_name", "n_rows", "_x.n_null")
 
 
 def pair_mismatch(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
@@ -52,7 +54,10 @@ def issue_counts(df: DataFrame, issues: dict[str, Column]) -> DataFrame:
 
 
 def session_rollup(log: DataFrame) -> DataFrame:
-    return log.groupBy("session_id").agg(F.count("*").alias("n"), F.min("app_id").alias("min_id"), F.max("app_id").alias("max_id"), F.count_if(F.col("status") == "success").alias("ok"), F.count_if(F.col("status") == "failed").alias("failed"))
+    return log.groupBy("session_id").agg(
+        F.count("*").alias("n"), F.min("app_id").alias("min_id"), F.max("app_id").alias("max_id"),
+        F.count_if(F.col("status") == "success").alias("ok"), F.count_if(F.col("status") == "failed").alias("failed"),
+    )
 
 
 def distinct_counts(df: DataFrame, id: str, by: str) -> DataFrame:
@@ -61,7 +66,10 @@ def distinct_counts(df: DataFrame, id: str, by: str) -> DataFrame:
 
 def success_rate(log: DataFrame) -> DataFrame:
     ok = F.count_if(F.col("status") == "success")
-    return log.agg(F.count("*").alias("processed"), ok.alias("ok"), F.count_if(F.col("status") == "failed").alias("failed"), F.round(F.try_divide(100.0 * ok, F.count("*")), 2).alias("pct"))
+    return log.agg(
+        F.count("*").alias("processed"), ok.alias("ok"), F.count_if(F.col("status") == "failed").alias("failed"),
+        F.round(F.try_divide(100.0 * ok, F.count("*")), 2).alias("pct"),
+    )
 
 
 def failures_by_stage(log: DataFrame, examples: int = 20) -> DataFrame:
@@ -74,12 +82,18 @@ def failures_by_stage(log: DataFrame, examples: int = 20) -> DataFrame:
     shown = top.groupBy("stage").agg(F.array_join(F.array_sort(F.collect_list("app_id")), ",").alias("examples"))
     by = failed.groupBy("stage").agg(F.count("*").alias("n")).join(shown, "stage")
     everything = Window.partitionBy()  # a row for each stage
-    return by.select("stage", "n", F.round(100.0 * F.col("n") / F.sum("n").over(everything), 2).alias("pct"), F.rank().over(Window.orderBy(F.desc("n"))).alias("rank"), "examples")
+    return by.select(
+        "stage", "n", F.round(100.0 * F.col("n") / F.sum("n").over(everything), 2).alias("pct"),
+        F.rank().over(Window.orderBy(F.desc("n"))).alias("rank"), "examples",
+    )
 
 
 def run_rollup(metrics: DataFrame) -> DataFrame:
     """Sums over instances, the longest duration, and documents per minute."""
-    return metrics.agg(F.sum("processed").alias("processed"), F.sum("successful").alias("successful"), F.max("seconds").alias("seconds"), F.round(F.try_divide(F.sum("processed") * 60.0, F.max("seconds")), 4).alias("per_minute"))
+    return metrics.agg(
+        F.sum("processed").alias("processed"), F.sum("successful").alias("successful"), F.max("seconds").alias("seconds"),
+        F.round(F.try_divide(F.sum("processed") * 60.0, F.max("seconds")), 4).alias("per_minute"),
+    )
 
 
 def medians(df: DataFrame, by: list[str], value: str, bins: int = 1024) -> DataFrame:
@@ -120,7 +134,10 @@ def chunk_trend(chunks: DataFrame, by: str, order: str, value: str) -> DataFrame
     """Mean, least and most of a run's chunks, and how far the last third lies from the first, in percent."""
     place = chunks.withColumn("_third", F.ntile(3).over(Window.partitionBy(by).orderBy(order)))
     first, last = (F.avg(F.when(F.col("_third") == k, F.col(value))) for k in (1, 3))
-    return place.groupBy(by).agg(F.round(F.avg(value), 6).alias("mean"), F.min(value).alias("least"), F.max(value).alias("most"), F.round(F.try_divide(100 * (last - first), first), 6).alias("change_pct"))
+    return place.groupBy(by).agg(
+        F.round(F.avg(value), 6).alias("mean"), F.min(value).alias("least"), F.max(value).alias("most"),
+        F.round(F.try_divide(100 * (last - first), first), 6).alias("change_pct"),
+    )
 
 
 def efficiency(results: DataFrame, by: str, item: str, wall: str, workers: int) -> DataFrame:

@@ -19,13 +19,16 @@ SELECT *, CASE WHEN failed THEN 'error' WHEN returned THEN 'review' ELSE 'open'
 def board(t, returned, failed):
     age = F.datediff(F.lit(NOW).cast("date"), F.to_date("o_orderdate"))
     rows = t.orders.filter("o_orderstatus <> 'F'").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    rows = rows.select(F.col("o_orderkey").alias("app_id"), F.col("c_name").alias("name"), F.col("o_orderpriority").alias("priority"), F.when(age > 1000, "late").when(age > 300, "due").otherwise("fresh").alias("sla"))
+    rows = rows.select(
+        F.col("o_orderkey").alias("app_id"), F.col("c_name").alias("name"), F.col("o_orderpriority").alias("priority"),
+        F.when(age > 1000, "late").when(age > 300, "due").otherwise("fresh").alias("sla"),
+    )
     return rows, relate.flag_exists(relate.flag_exists(rows, returned, "app_id", "returned"), failed, "app_id", "failed")
 
 
-def paged(flagged):
+def paged(flagged, rows):
     state = F.when(F.col("failed"), "error").when(F.col("returned"), "review").otherwise("open")
-    out = paging.with_total(flagged.select("app_id", "name", "priority", "sla", "returned", "failed", state.alias("state")))
+    out = paging.with_total(flagged.select("app_id", "name", "priority", "sla", "returned", "failed", state.alias("state")), rows)
     return paging.page(out, ["priority", "app_id"], 50, 100)
 
 
@@ -37,23 +40,37 @@ def dashboard(t):
     rows, _ = board(t, t.contacts, t.log)
     rows.createOrReplaceTempView("board_rows")
     flagged = t.spark.sql("SELECT *, EXISTS (SELECT 1 FROM board_contacts k WHERE k.app_id = r.app_id AND k.role = 'R') AS returned, EXISTS (SELECT 1 FROM board_log l WHERE l.app_id = r.app_id AND l.status = 'failed') AS failed FROM board_rows r")
-    return paged(flagged)
+    return paged(flagged, rows)
 
 
 @query("dashboard_cte", BOARD)
 def dashboard_cte(t):
     """The same rows from joins with distinct keys."""
-    return paged(board(t, t.contacts.filter("role = 'R'"), t.log.filter("status = 'failed'"))[1])
+    rows, flagged = board(t, t.contacts.filter("role = 'R'"), t.log.filter("status = 'failed'"))
+    return paged(flagged, rows)
 
 
-@query("quick_search", "SELECT c_custkey, c_name, count(o_orderkey) AS n_orders, max(o_totalprice) AS largest FROM customer LEFT JOIN orders ON o_custkey = c_custkey WHERE upper(c_name) LIKE 'CUSTOMER#0000001%' OR right(CAST(c_custkey AS STRING), 2) = '42' GROUP BY c_custkey, c_name ORDER BY n_orders DESC, c_custkey LIMIT 50")
+@query(
+    "quick_search",
+    "SELECT c_custkey, c_name, count(o_orderkey) AS n_orders, max(o_totalprice) AS largest FROM customer LEFT JOIN orders "
+    "ON o_custkey = c_custkey WHERE upper(c_name) LIKE 'CUSTOMER#0000001%' OR right(CAST(c_custkey AS STRING), 2) = '42' "
+    "GROUP BY c_custkey, c_name ORDER BY n_orders DESC, c_custkey LIMIT 50",
+)
 def quick_search(t):
     hit = t.customer.filter(F.upper("c_name").like("CUSTOMER#0000001%") | (F.right(F.col("c_custkey").cast("string"), F.lit(2)) == "42"))
-    out = hit.join(t.orders, F.col("o_custkey") == F.col("c_custkey"), "left").groupBy("c_custkey", "c_name").agg(F.count("o_orderkey").alias("n_orders"), F.max("o_totalprice").alias("largest"))
+    out = hit.join(t.orders, F.col("o_custkey") == F.col("c_custkey"), "left").groupBy("c_custkey", "c_name").agg(
+        F.count("o_orderkey").alias("n_orders"), F.max("o_totalprice").alias("largest"),
+    )
     return paging.page(out, [F.desc("n_orders"), "c_custkey"], 0, 50)
 
 
-@query("match_then_display", "WITH m AS (SELECT DISTINCT app_id FROM contacts WHERE qty >= 49 AND role = 'N') SELECT m.app_id, c_name, con_id, amount FROM m JOIN orders ON o_orderkey = m.app_id JOIN customer ON c_custkey = o_custkey LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY app_id ORDER BY amount DESC, pos) AS k FROM contacts) t ON t.app_id = m.app_id AND k = 1 ORDER BY m.app_id LIMIT 200")
+@query(
+    "match_then_display",
+    "WITH m AS (SELECT DISTINCT app_id FROM contacts WHERE qty >= 49 AND role = 'N') SELECT m.app_id, c_name, con_id, "
+    "amount FROM m JOIN orders ON o_orderkey = m.app_id JOIN customer ON c_custkey = o_custkey LEFT JOIN (SELECT *, "
+    "row_number() OVER (PARTITION BY app_id ORDER BY amount DESC, pos) AS k FROM contacts) t ON t.app_id = m.app_id AND k "
+    "= 1 ORDER BY m.app_id LIMIT 200",
+)
 def match_then_display(t):
     """Matching ids first; only those of the page are decorated."""
     ids = paging.top_n(t.contacts.filter("qty >= 49 and role = 'N'").select("app_id").distinct(), ["app_id"], 200)
@@ -62,11 +79,21 @@ def match_then_display(t):
     return relate.left_top1(ids.join(people, "app_id"), lines, "app_id", ["con_id", "amount"], F.desc("amount"), F.asc("pos")).orderBy("app_id")
 
 
-@query("wide_application", "SELECT o_orderkey AS app_id, c_name, a.value AS nation, p_name, s_name, b.value AS supplier_nation, con_id, pos FROM orders JOIN customer ON c_custkey = o_custkey LEFT JOIN enums a ON a.enum_id = c_nationkey JOIN contacts ON app_id = o_orderkey LEFT JOIN part ON p_partkey = con_id LEFT JOIN supplier ON s_suppkey = supp LEFT JOIN enums b ON b.enum_id = s_nationkey")
+@query(
+    "wide_application",
+    "SELECT o_orderkey AS app_id, c_name, a.value AS nation, p_name, s_name, b.value AS supplier_nation, con_id, pos FROM "
+    "orders JOIN customer ON c_custkey = o_custkey LEFT JOIN enums a ON a.enum_id = c_nationkey JOIN contacts ON app_id = "
+    "o_orderkey LEFT JOIN part ON p_partkey = con_id LEFT JOIN supplier ON s_suppkey = supp LEFT JOIN enums b ON b.enum_id "
+    "= s_nationkey",
+)
 def wide_application(t):
     """One wide row for each application and contact, all codes decoded."""
-    rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(F.col("o_orderkey").alias("app_id"), "c_name", F.col("c_nationkey").alias("home"))
+    rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("o_orderkey").alias("app_id"), "c_name", F.col("c_nationkey").alias("home"),
+    )
     rows = rows.join(t.contacts.select("app_id", "con_id", "pos", "supp"), "app_id")
     rows = rows.join(t.part.select(F.col("p_partkey").alias("con_id"), "p_name"), "con_id", "left")
     rows = rows.join(t.supplier.select(F.col("s_suppkey").alias("supp"), "s_name", F.col("s_nationkey").alias("away")), "supp", "left")
-    return relate.decode_enums(rows, t.enums, {"home": "nation", "away": "supplier_nation"}).select("app_id", "c_name", "nation", "p_name", "s_name", "supplier_nation", "con_id", "pos")
+    return relate.decode_enums(rows, t.enums, {"home": "nation", "away": "supplier_nation"}).select(
+        "app_id", "c_name", "nation", "p_name", "s_name", "supplier_nation", "con_id", "pos",
+    )

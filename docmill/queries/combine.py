@@ -9,7 +9,12 @@ from ..operators import relate as r
 from .base import query
 
 
-@query("one_row_per_app", "SELECT o.o_orderkey AS app_id, c.c_mktsegment, l.con_id, l.pos, s.s_name FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey JOIN contacts l ON l.app_id = o.o_orderkey LEFT JOIN supplier s ON l.supp = s.s_suppkey AND s.s_nationkey < 15")
+@query(
+    "one_row_per_app",
+    "SELECT o.o_orderkey AS app_id, c.c_mktsegment, l.con_id, l.pos, s.s_name FROM orders o LEFT JOIN customer c ON "
+    "o.o_custkey = c.c_custkey JOIN contacts l ON l.app_id = o.o_orderkey LEFT JOIN supplier s ON l.supp = s.s_suppkey AND "
+    "s.s_nationkey < 15",
+)
 def one_row_per_app(t):
     base = t.orders.select(F.col("o_orderkey").alias("app_id"), F.col("o_custkey").alias("cust"))
     ones = base.join(t.customer.select(F.col("c_custkey").alias("cust"), "c_mktsegment"), "cust", "left").select("app_id", "c_mktsegment")
@@ -18,16 +23,23 @@ def one_row_per_app(t):
     return out.select("app_id", "c_mktsegment", "con_id", "pos", "s_name")
 
 
-@query("enum_decode", "SELECT c_custkey, a.value AS nation, b.value AS twin FROM customer LEFT JOIN enums a ON a.enum_id = c_nationkey LEFT JOIN enums b ON b.enum_id = (c_nationkey * 2) % 40")
+@query(
+    "enum_decode",
+    "SELECT c_custkey, a.value AS nation, b.value AS twin FROM customer LEFT JOIN enums a ON a.enum_id = c_nationkey LEFT "
+    "JOIN enums b ON b.enum_id = (c_nationkey * 2) % 40",
+)
 def enum_decode(t):
     rows = t.customer.select("c_custkey", "c_nationkey", ((F.col("c_nationkey") * 2) % 40).alias("other"))
     return r.decode_enums(rows, t.enums, {"c_nationkey": "nation", "other": "twin"}).select("c_custkey", "nation", "twin")
 
 
-@query("default_audit_join", "SELECT c.app_id, c.state, c.zip, l.status FROM codes c LEFT JOIN log l ON c.app_id = l.app_id WHERE c.state = 'XX' OR c.zip = '00000' OR c.priority_code = 'UNKNOWN'")
+@query(
+    "default_audit_join",
+    "SELECT c.app_id, c.state, c.zip, l.status FROM codes c LEFT JOIN log l ON c.app_id = l.app_id WHERE c.state = 'XX' OR "
+    "c.zip = '00000' OR c.priority_code = 'UNKNOWN'",
+)
 def default_audit_join(t):
-    marked = t.codes.filter("state = 'XX' or zip = '00000' or priority_code = 'UNKNOWN'")
-    return marked.join(t.log.select("app_id", "status"), "app_id", "left").select("app_id", "state", "zip", "status")
+    return r.audit_defaults(t.codes, t.log, {"state": "XX", "zip": "00000", "priority_code": "UNKNOWN"}, "app_id").select("app_id", "state", "zip", "status")
 
 
 @query("orphan_guard", "SELECT app_id, pos FROM contacts WHERE app_id IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')")
@@ -46,12 +58,20 @@ def scalar_subquery(t):
     return r.flag_exists(t.orders.select(F.col("o_orderkey").alias("app_id")), t.contacts.filter("qty > 45"), "app_id", "large").select("app_id", "large")
 
 
-@query("outer_apply_top1", "SELECT o_orderkey AS app_id, con_id, amount FROM orders LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY app_id ORDER BY amount DESC, pos) AS k FROM contacts) c ON c.app_id = o_orderkey AND k = 1")
+@query(
+    "outer_apply_top1",
+    "SELECT o_orderkey AS app_id, con_id, amount FROM orders LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY app_id "
+    "ORDER BY amount DESC, pos) AS k FROM contacts) c ON c.app_id = o_orderkey AND k = 1",
+)
 def outer_apply_top1(t):
     return r.left_top1(t.orders.select(F.col("o_orderkey").alias("app_id")), t.contacts, "app_id", ["con_id", "amount"], F.desc("amount"), F.asc("pos"))
 
 
-@query("update_from_join", "SELECT c.app_id, CASE WHEN s.n > 5 THEN 'many' ELSE c.state END AS state FROM codes c LEFT JOIN (SELECT app_id, count(*) AS n FROM contacts GROUP BY app_id) s ON c.app_id = s.app_id")
+@query(
+    "update_from_join",
+    "SELECT c.app_id, CASE WHEN s.n > 5 THEN 'many' ELSE c.state END AS state FROM codes c LEFT JOIN (SELECT app_id, "
+    "count(*) AS n FROM contacts GROUP BY app_id) s ON c.app_id = s.app_id",
+)
 def update_from_join(t):
     source = t.contacts.groupBy("app_id").agg(F.count("*").alias("n")).select("app_id", F.when(F.col("n") > 5, "many").alias("state"))
     return r.update_from(t.codes.select("app_id", "state"), source, "app_id", "state")
@@ -93,18 +113,34 @@ def distinct_rows(t):
     return g.distinct(t.contacts, ["con_id", "role"])
 
 
-@query("union_suspects", "SELECT app_id FROM codes WHERE state = 'XX' UNION SELECT app_id FROM codes WHERE zip = '00000' UNION SELECT app_id FROM log WHERE status = 'failed'")
+@query(
+    "union_suspects",
+    "SELECT app_id FROM codes WHERE state = 'XX' UNION SELECT app_id FROM codes WHERE zip = '00000' UNION SELECT app_id "
+    "FROM log WHERE status = 'failed'",
+)
 def union_suspects(t):
-    return g.union_ids(t.codes.filter("state = 'XX'").select("app_id"), t.codes.filter("zip = '00000'").select("app_id"), t.log.filter("status = 'failed'").select("app_id"))
-
-
-@query("set_difference", "SELECT app_id, name, 'missing' AS side FROM (SELECT app_id, name FROM expected EXCEPT SELECT app_id, name FROM stored) a UNION ALL SELECT app_id, name, 'extra' FROM (SELECT app_id, name FROM stored EXCEPT SELECT app_id, name FROM expected) b")
+    return g.union_ids(
+        t.codes.filter("state = 'XX'").select("app_id"), t.codes.filter("zip = '00000'").select("app_id"),
+        t.log.filter("status = 'failed'").select("app_id"),
+    )
+
+
+@query(
+    "set_difference",
+    "SELECT app_id, name, 'missing' AS side FROM (SELECT app_id, name FROM expected EXCEPT SELECT app_id, name FROM "
+    "stored) a UNION ALL SELECT app_id, name, 'extra' FROM (SELECT app_id, name FROM stored EXCEPT SELECT app_id, name "
+    "FROM expected) b",
+)
 def set_difference(t):
     a, b, keys = t.expected.select("app_id", "name"), t.stored.select("app_id", "name"), ["app_id", "name"]
     return g.difference(a, b, keys).withColumn("side", F.lit("missing")).unionByName(g.difference(b, a, keys).withColumn("side", F.lit("extra")))
 
 
-@query("values_union", "SELECT o_orderstatus AS code, label, count(*) AS n FROM orders JOIN (VALUES ('F', 'final'), ('O', 'open'), ('P', 'partial')) v(code, label) ON o_orderstatus = code GROUP BY 1, 2")
+@query(
+    "values_union",
+    "SELECT o_orderstatus AS code, label, count(*) AS n FROM orders JOIN (VALUES ('F', 'final'), ('O', 'open'), ('P', "
+    "'partial')) v(code, label) ON o_orderstatus = code GROUP BY 1, 2",
+)
 def values_union(t):
     names = g.inline(t.spark, [("F", "final"), ("O", "open"), ("P", "partial")], "code string, label string")
     return t.orders.withColumnRenamed("o_orderstatus", "code").join(names, "code").groupBy("code", "label").agg(F.count("*").alias("n"))

@@ -58,7 +58,12 @@ def last(role: str, value: str) -> str:
 NAME, SUPP = "concat('P&', CAST(con_id AS STRING))", "CASE WHEN line = 'O' THEN supp ELSE 0 END"
 
 
-@query("contract_picks", f"SELECT o_orderkey AS doc_id, {last('A', 'con_id')} AS primary_id, {last('N', NAME)} AS secondary_name, CASE WHEN o_orderkey IN (SELECT app_id FROM contacts WHERE role = 'N') THEN 11 END AS authorized_role, {last('A', SUPP)} AS primary_supp FROM orders")
+@query(
+    "contract_picks",
+    f"SELECT o_orderkey AS doc_id, {last('A', 'con_id')} AS primary_id, {last('N', NAME)} AS secondary_name, CASE WHEN "
+    f"o_orderkey IN (SELECT app_id FROM contacts WHERE role = 'N') THEN 11 END AS authorized_role, {last('A', SUPP)} AS "
+    "primary_supp FROM orders",
+)
 def contract_picks(t):
     """A row for each document; nothing is shuffled, as parties are an array of the document."""
     return table(rows(t), CONTRACT, "picked", AT, ["doc_id"])
@@ -74,7 +79,11 @@ SCORED = "CASE WHEN id % 3 <> 1 THEN CAST(id % 850 AS INTEGER) END"
 NUMBER = "try_cast(trim(num) AS DECIMAL(28,6))"
 
 
-@query("contract_scores", f"SELECT id AS doc_id, 'A_SCORE' AS score_identifier, CAST(round({NUMBER}, 0) AS INTEGER) AS score FROM raw WHERE {NUMBER} IS NOT NULL UNION ALL SELECT id, 'B_SCORE', {SCORED} FROM raw WHERE id % 3 <> 1")
+@query(
+    "contract_scores",
+    f"SELECT id AS doc_id, 'A_SCORE' AS score_identifier, CAST(round({NUMBER}, 0) AS INTEGER) AS score FROM raw WHERE {NUMBER} "
+    f"IS NOT NULL UNION ALL SELECT id, 'B_SCORE', {SCORED} FROM raw WHERE id % 3 <> 1",
+)
 def contract_scores(t):
     return record_rows(rows(t), CONTRACT, "scores", AT)
 
@@ -84,44 +93,81 @@ def contract_indicators(t):
     return record_rows(rows(t), CONTRACT, "indicators", AT)
 
 
-@query("contract_history", f"SELECT * FROM (SELECT o_orderkey AS doc_id, '[first_name]' AS name, '[contact]' AS source, {last('A', NAME)} AS value FROM orders) h WHERE value IS NOT NULL UNION ALL SELECT id, '[segment]', '[application]', c_mktsegment FROM raw JOIN customer ON cust = c_custkey")
+@query(
+    "contract_history",
+    f"SELECT * FROM (SELECT o_orderkey AS doc_id, '[first_name]' AS name, '[contact]' AS source, {last('A', NAME)} AS value "
+    "FROM orders) h WHERE value IS NOT NULL UNION ALL SELECT id, '[segment]', '[application]', c_mktsegment FROM raw JOIN "
+    "customer ON cust = c_custkey",
+)
 def contract_history(t):
     return record_rows(rows(t), CONTRACT, "history", AT)
 
 
-@query("contract_reports", f"SELECT id AS doc_id, 'segment' AS name, c_mktsegment AS value, 'KEY_7' AS source_report_key FROM raw JOIN customer ON cust = c_custkey UNION ALL SELECT id, 'score_b', CAST({SCORED} AS STRING), NULL FROM raw WHERE id % 3 <> 1")
+@query(
+    "contract_reports",
+    "SELECT id AS doc_id, 'segment' AS name, c_mktsegment AS value, 'KEY_7' AS source_report_key FROM raw JOIN customer "
+    f"ON cust = c_custkey UNION ALL SELECT id, 'score_b', CAST({SCORED} AS STRING), NULL FROM raw WHERE id % 3 <> 1",
+)
 def contract_reports(t):
     return record_rows(rows(t), CONTRACT, "reports", AT)
 
 
-@query("contract_exceptions", f"SELECT id AS doc_id, 630 AS policy_exception_type_enum, trim(num) AS reason_code, c_mktsegment AS notes FROM raw LEFT JOIN customer ON cust = c_custkey WHERE trim(num) <> '' UNION ALL SELECT id, 631, CAST({SCORED} AS STRING), c_mktsegment FROM raw LEFT JOIN customer ON cust = c_custkey WHERE id % 3 <> 1")
+@query(
+    "contract_exceptions",
+    "SELECT id AS doc_id, 630 AS policy_exception_type_enum, trim(num) AS reason_code, c_mktsegment AS notes FROM raw "
+    f"LEFT JOIN customer ON cust = c_custkey WHERE trim(num) <> '' UNION ALL SELECT id, 631, CAST({SCORED} AS STRING), "
+    "c_mktsegment FROM raw LEFT JOIN customer ON cust = c_custkey WHERE id % 3 <> 1",
+)
 def contract_exceptions(t):
     return record_rows(rows(t), CONTRACT, "exceptions", AT)
 
 
-@query("contract_warranties", f"SELECT id AS doc_id, 601 AS warranty_type_enum, c_mktsegment AS company, CASE WHEN upper(trim(flag)) = 'Y' THEN 1 ELSE 0 END AS lien_flag FROM raw JOIN customer ON cust = c_custkey UNION ALL SELECT id, 602, CAST({SCORED} AS STRING), 0 FROM raw WHERE id % 3 <> 1")
+@query(
+    "contract_warranties",
+    "SELECT id AS doc_id, 601 AS warranty_type_enum, c_mktsegment AS company, CASE WHEN upper(trim(flag)) = 'Y' THEN 1 "
+    f"ELSE 0 END AS lien_flag FROM raw JOIN customer ON cust = c_custkey UNION ALL SELECT id, 602, CAST({SCORED} AS STRING), "
+    "0 FROM raw WHERE id % 3 <> 1",
+)
 def contract_warranties(t):
     return record_rows(rows(t), CONTRACT, "warranties", AT)
 
 
-@query("contract_collateral", f"SELECT id AS doc_id, 1 AS sort_order, {SCORED} AS year, CASE WHEN upper(trim(flag)) = 'Y' THEN 1 ELSE 0 END AS used_flag, CAST(NULL AS INTEGER) AS wholesale_value FROM raw WHERE id % 3 <> 1 UNION ALL SELECT id, 2, NULL, 0, CAST(c_nationkey AS INTEGER) FROM raw JOIN customer ON cust = c_custkey WHERE c_nationkey > 0")
+@query(
+    "contract_collateral",
+    f"SELECT id AS doc_id, 1 AS sort_order, {SCORED} AS year, CASE WHEN upper(trim(flag)) = 'Y' THEN 1 ELSE 0 END AS used_flag, "
+    "CAST(NULL AS INTEGER) AS wholesale_value FROM raw WHERE id % 3 <> 1 UNION ALL SELECT id, 2, NULL, 0, CAST(c_nationkey "
+    "AS INTEGER) FROM raw JOIN customer ON cust = c_custkey WHERE c_nationkey > 0",
+)
 def contract_collateral(t):
     """Slot 2 has an amount alone, which makes no row where it is 0."""
     return record_rows(rows(t), CONTRACT, "collateral", AT)
 
 
-@query("contract_required", f"SELECT id AS doc_id, c_mktsegment AS segment, {SCORED} AS score, 'mail' AS source FROM raw JOIN customer ON cust = c_custkey WHERE id % 3 <> 1")
+@query(
+    "contract_required",
+    f"SELECT id AS doc_id, c_mktsegment AS segment, {SCORED} AS score, 'mail' AS source FROM raw JOIN customer ON cust "
+    "= c_custkey WHERE id % 3 <> 1",
+)
 def contract_required(t):
     """Documents without a score are in no row."""
     return checked_table(rows(t), CONTRACT, "required", AT, ["doc_id"])[0]
 
 
-@query("contract_rejects", "SELECT id AS doc_id, 'required' AS table_name, 'score' AS field, 'required' AS \"check\", 'critical' AS severity, 'no value and no default' AS message FROM raw WHERE id % 3 = 1 UNION ALL SELECT id, 'required', 'segment', 'required', 'critical', 'no value and no default' FROM raw WHERE cust NOT IN (SELECT c_custkey FROM customer)")
+@query(
+    "contract_rejects",
+    "SELECT id AS doc_id, 'required' AS table_name, 'score' AS field, 'required' AS \"check\", 'critical' AS severity, 'no "
+    "value and no default' AS message FROM raw WHERE id % 3 = 1 UNION ALL SELECT id, 'required', 'segment', 'required', "
+    "'critical', 'no value and no default' FROM raw WHERE cust NOT IN (SELECT c_custkey FROM customer)",
+)
 def contract_rejects(t):
     return checked_table(rows(t), CONTRACT, "required", AT, ["doc_id"])[1]
 
 
-@query("contract_conditional", f"SELECT id AS doc_id, c_mktsegment AS segment, {SCORED} AS score, CASE WHEN c_mktsegment IS NOT NULL AND id % 3 <> 1 THEN '1900-01-01' END AS born FROM raw LEFT JOIN customer ON cust = c_custkey")
+@query(
+    "contract_conditional",
+    f"SELECT id AS doc_id, c_mktsegment AS segment, {SCORED} AS score, CASE WHEN c_mktsegment IS NOT NULL AND id % 3 <> "
+    "1 THEN '1900-01-01' END AS born FROM raw LEFT JOIN customer ON cust = c_custkey",
+)
 def contract_conditional(t):
     """A default that a record with a single value of its own doesn't get."""
     return table(rows(t), CONTRACT, "conditional", AT, ["doc_id"])

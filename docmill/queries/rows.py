@@ -10,7 +10,12 @@ from ..operators import rows as r
 from .base import query
 
 
-@query("kv_scores", "SELECT id, 'score_num' AS score_identifier, CAST(round(try_cast(trim(num) AS DECIMAL(28,6)), 0) AS INTEGER) AS score FROM raw WHERE try_cast(trim(num) AS DECIMAL(28,6)) IS NOT NULL UNION ALL SELECT id, 'score_p', CAST(round(CAST(p AS DECIMAL(28,6)), 0) AS INTEGER) FROM raw")
+@query(
+    "kv_scores",
+    "SELECT id, 'score_num' AS score_identifier, CAST(round(try_cast(trim(num) AS DECIMAL(28,6)), 0) AS INTEGER) AS score "
+    "FROM raw WHERE try_cast(trim(num) AS DECIMAL(28,6)) IS NOT NULL UNION ALL SELECT id, 'score_p', CAST(round(CAST(p AS "
+    "DECIMAL(28,6)), 0) AS INTEGER) FROM raw",
+)
 def kv_scores(t):
     return r.kv_rows(t.raw, "id", [("num", "score_num"), ("p", "score_p")], "score")
 
@@ -20,33 +25,62 @@ def kv_indicators(t):
     return r.kv_rows(t.raw, "id", [("flag", "signed"), ("txt", "text")], "indicator")
 
 
-@query("kv_history", "SELECT id, '[txt]' AS name, '[application]' AS source, trim(txt) AS value FROM raw WHERE lower(trim(txt)) NOT IN ('', 'null', 'none') UNION ALL SELECT id, '[phone]', '[contact]', trim(phone) FROM raw WHERE lower(trim(phone)) NOT IN ('', 'null', 'none')")
+@query(
+    "kv_history",
+    "SELECT id, '[txt]' AS name, '[application]' AS source, trim(txt) AS value FROM raw WHERE lower(trim(txt)) NOT IN ('', "
+    "'null', 'none') UNION ALL SELECT id, '[phone]', '[contact]', trim(phone) FROM raw WHERE lower(trim(phone)) NOT IN "
+    "('', 'null', 'none')",
+)
 def kv_history(t):
     return r.kv_rows(t.raw, "id", [("txt", "application"), ("phone", "contact")], "history")
 
 
-@query("kv_report_lookup", "SELECT id, 'report_text' AS name, trim(txt) AS value FROM raw WHERE lower(trim(txt)) NOT IN ('', 'null', 'none') UNION ALL SELECT id, 'report_mail', trim(email) FROM raw WHERE email IS NOT NULL")
+@query(
+    "kv_report_lookup",
+    "SELECT id, 'report_text' AS name, trim(txt) AS value FROM raw WHERE lower(trim(txt)) NOT IN ('', 'null', 'none') "
+    "UNION ALL SELECT id, 'report_mail', trim(email) FROM raw WHERE email IS NOT NULL",
+)
 def kv_report_lookup(t):
     return r.kv_rows(t.raw, "id", [("txt", "report_text"), ("email", "report_mail")], "report")
 
 
-@query("group_policy", "SELECT id, 501 AS type, num AS reason, pr AS notes FROM raw WHERE coalesce(trim(num), '') <> '' UNION ALL SELECT id, 502, email, pr FROM raw WHERE email IS NOT NULL")
+@query(
+    "group_policy",
+    "SELECT id, 501 AS type, num AS reason, pr AS notes FROM raw WHERE coalesce(trim(num), '') <> '' UNION ALL SELECT id, "
+    "502, email, pr FROM raw WHERE email IS NOT NULL",
+)
 def group_policy(t):
     """A row for each exception that has a reason; the notes are the document's."""
     return r.group_rows(t.raw, "id", {501: {"reason": F.col("num")}, 502: {"reason": F.col("email")}}, ["reason"], {"notes": F.col("pr")})
 
 
-@query("group_warranty", "SELECT id, 601 AS type, num AS amount, txt AS company, coalesce(CASE WHEN flag = 'Y' THEN 1 END, 0) AS lien FROM raw WHERE coalesce(trim(num), '') <> '' OR coalesce(trim(txt), '') <> '' UNION ALL SELECT id, 602, NULL, phone, 0 FROM raw WHERE coalesce(trim(phone), '') <> ''")
+@query(
+    "group_warranty",
+    "SELECT id, 601 AS type, num AS amount, txt AS company, coalesce(CASE WHEN flag = 'Y' THEN 1 END, 0) AS lien FROM raw "
+    "WHERE coalesce(trim(num), '') <> '' OR coalesce(trim(txt), '') <> '' UNION ALL SELECT id, 602, NULL, phone, 0 FROM "
+    "raw WHERE coalesce(trim(phone), '') <> ''",
+)
 def group_warranty(t):
     lien = F.when(F.col("flag") == "Y", 1)
     none = F.lit(None)
-    return r.group_rows(t.raw, "id", {601: {"amount": F.col("num"), "company": F.col("txt"), "lien": lien}, 602: {"amount": none.cast("string"), "company": F.col("phone"), "lien": none.cast("int")}}, ["amount", "company"], None, {"lien": 0})
-
-
-@query("group_slots", "SELECT app_id AS id, pos + 1 AS sort_order, con_id AS make, CASE WHEN con_id % 3 = 0 THEN 0.0 ELSE amount END AS value, coalesce(CASE WHEN n > 3 THEN 1 END, 0) AS used FROM contacts WHERE pos < 4 AND (con_id % 5 <> 0 OR con_id % 3 <> 0) ")
+    return r.group_rows(
+        t.raw, "id",
+        {601: {"amount": F.col("num"), "company": F.col("txt"), "lien": lien}, 602: {"amount": none.cast("string"), "company": F.col("phone"), "lien": none.cast("int")}},
+        ["amount", "company"], None, {"lien": 0},
+    )
+
+
+@query(
+    "group_slots",
+    "SELECT app_id AS id, pos + 1 AS sort_order, con_id AS make, CASE WHEN con_id % 3 = 0 THEN 0.0 ELSE amount END AS "
+    "value, coalesce(CASE WHEN n > 3 THEN 1 END, 0) AS used FROM contacts WHERE pos < 4 AND (con_id % 5 <> 0 OR con_id % 3 "
+    "<> 0) ",
+)
 def group_slots(t):
     """The first four contacts as numbered slots; each fifth has no make, each third an amount of 0, which alone makes no row."""
-    wide = t.contacts.filter("pos < 4").groupBy(F.col("app_id").alias("id")).pivot("pos", [0, 1, 2, 3]).agg(F.first("con_id").alias("c"), F.first("amount").alias("a"), F.first("n").alias("n"))
+    wide = t.contacts.filter("pos < 4").groupBy(F.col("app_id").alias("id")).pivot("pos", [0, 1, 2, 3]).agg(
+        F.first("con_id").alias("c"), F.first("amount").alias("a"), F.first("n").alias("n"),
+    )
     slots = []
     for i in range(4):
         c = F.col(f"{i}_c")
@@ -77,7 +111,11 @@ def skip_default_only(t):
     return f.drop_default_only(rows, {"state": "state_defaulted", "amount": None}).select("app_id")
 
 
-@query("conditional_default", "SELECT app_id, CASE WHEN (CASE WHEN zip IS NULL THEN 0 ELSE 1 END) + (CASE WHEN amount IS NULL THEN 0 ELSE 1 END) + (CASE WHEN status_code IS NULL THEN 0 ELSE 1 END) >= 2 THEN state END AS state FROM codes")
+@query(
+    "conditional_default",
+    "SELECT app_id, CASE WHEN (CASE WHEN zip IS NULL THEN 0 ELSE 1 END) + (CASE WHEN amount IS NULL THEN 0 ELSE 1 END) + "
+    "(CASE WHEN status_code IS NULL THEN 0 ELSE 1 END) >= 2 THEN state END AS state FROM codes",
+)
 def conditional_default(t):
     return f.blank_conditional(t.codes, ["zip", "amount", "status_code"], ["state"]).select("app_id", "state")
 
@@ -116,7 +154,10 @@ def last_authorized(t):
 @query("preferred_address", "SELECT app_id, pos, CASE WHEN line = 'O' THEN supp END AS supp FROM contacts")
 def preferred_address(t):
     """The last address of the current type of each contact, from its array of addresses."""
-    a = F.array(F.struct(F.lit("PREV").alias("type"), F.lit(0).cast("bigint").alias("supp")), F.struct(F.when(F.col("line") == "O", "CURR").otherwise("PREV").alias("type"), F.col("supp")))
+    a = F.array(
+        F.struct(F.lit("PREV").alias("type"), F.lit(0).cast("bigint").alias("supp")),
+        F.struct(F.when(F.col("line") == "O", "CURR").otherwise("PREV").alias("type"), F.col("supp")),
+    )
     return t.contacts.select("app_id", "pos", p.preferred_child(a, "type", "CURR")["supp"].alias("supp"))
 
 
@@ -126,7 +167,11 @@ def history_fallback(t):
     return p.last_nonblank(rows, "app_id", "value", "pos")
 
 
-@query("priority_dedupe", "SELECT app_id, con_id, role, pos FROM (SELECT *, row_number() OVER (PARTITION BY app_id, con_id ORDER BY CASE role WHEN 'N' THEN 1 WHEN 'A' THEN 2 ELSE 999 END, pos DESC) AS k FROM contacts) x WHERE k = 1")
+@query(
+    "priority_dedupe",
+    "SELECT app_id, con_id, role, pos FROM (SELECT *, row_number() OVER (PARTITION BY app_id, con_id ORDER BY CASE role "
+    "WHEN 'N' THEN 1 WHEN 'A' THEN 2 ELSE 999 END, pos DESC) AS k FROM contacts) x WHERE k = 1",
+)
 def priority_dedupe(t):
     return p.dedupe_priority(t.contacts, ["app_id", "con_id"], "role", ["N", "A"], "pos").select("app_id", "con_id", "role", "pos")
 

@@ -33,16 +33,24 @@ def build(t: Tables) -> DataFrame:
         money("amount").alias("_amount"), F.col("qty").cast("int").cast("string").alias("_qty"), F.col("n").cast("string").alias("_n"),
         F.array(
             F.struct(F.lit("PREV").alias("_type"), F.lit("0").alias("_supp"), F.lit("1").alias("_months")),
-            F.struct(F.when(F.col("line") == "O", "CURR").otherwise("PREV").alias("_type"), F.col("supp").cast("string").alias("_supp"), F.col("n").cast("string").alias("_months")),
+            F.struct(
+                F.when(F.col("line") == "O", "CURR").otherwise("PREV").alias("_type"), F.col("supp").cast("string").alias("_supp"),
+                F.col("n").cast("string").alias("_months"),
+            ),
         ).alias("contact_address"),
     )
     lines = t.contacts.groupBy("app_id").agg(F.transform(F.array_sort(F.collect_list(line)), lambda x: x.dropFields("_pos")).alias("contact"))
-    base = t.raw.join(t.customer.select(F.col("c_custkey").alias("cust"), "c_mktsegment", "c_nationkey"), "cust", "left").join(lines, F.col("id") == F.col("app_id"), "left")
+    base = t.raw.join(
+        t.customer.select(F.col("c_custkey").alias("cust"), "c_mktsegment", "c_nationkey"), "cust", "left",
+    ).join(lines, F.col("id") == F.col("app_id"), "left")
     application = F.struct(
         F.substring("pr", 1, 1).alias("_app_type_code"), F.col("dt").alias("_receive_date"), F.col("p").alias("_amount"), F.col("flag").alias("_signature_ind"),
         F.col("c_mktsegment").alias("_segment"), F.col("c_nationkey").cast("string").alias("_nation"), F.col("num").alias("_score_a"), F.col("n_b").alias("_score_b"), "contact",
     )
-    doc = F.struct(F.struct(F.col("id").cast("string").alias("_ID"), F.col("st").alias("_Status"), F.col("pr").alias("_Priority"), F.struct(application.alias("application")).alias("CustData")).alias("Request"))
+    doc = F.struct(F.struct(
+        F.col("id").cast("string").alias("_ID"), F.col("st").alias("_Status"), F.col("pr").alias("_Priority"),
+        F.struct(application.alias("application")).alias("CustData"),
+    ).alias("Request"))
     base = base.withColumn("n_b", F.when(F.col("id") % 3 != 1, F.col("id") % 850))
     return base.select(F.col("id").alias("doc_id"), F.to_xml(doc, {"rowTag": ROOT}).alias("xml"))
 
@@ -81,10 +89,17 @@ def shredded(t: Tables) -> DataFrame:
 def contacts(t: Tables) -> DataFrame:
     """doc_id, contact_pos and the attributes of each contact of the shredded documents."""
     rows = s.explode_path(shredded(t), "d.Request.CustData.application.contact", "contact")
-    return rows.select("doc_id", "contact_pos", s.attr("contact", "con_id").alias("con_id"), s.attr("contact", "ac_role").alias("role"), s.attr("contact", "first_name").alias("first_name"), s.attr("contact", "amount").alias("amount"), "contact.contact_address")
+    return rows.select(
+        "doc_id", "contact_pos", s.attr("contact", "con_id").alias("con_id"), s.attr("contact", "ac_role").alias("role"),
+        s.attr("contact", "first_name").alias("first_name"), s.attr("contact", "amount").alias("amount"), "contact.contact_address",
+    )
 
 
-BASE_SQL = "SELECT id AS app_id, CASE st WHEN 'F' THEN 1 WHEN 'O' THEN 2 WHEN 'P' THEN 3 END AS status_enum, trim(substr(pr, 1, 6)) AS priority, CAST(CAST(p AS DECIMAL(12,2)) AS DOUBLE) AS amount, CASE WHEN upper(trim(flag)) = 'Y' THEN 1 ELSE 0 END AS signature_flag, c_mktsegment AS segment FROM raw LEFT JOIN customer ON cust = c_custkey"
+BASE_SQL = (
+    "SELECT id AS app_id, CASE st WHEN 'F' THEN 1 WHEN 'O' THEN 2 WHEN 'P' THEN 3 END AS status_enum, trim(substr(pr, 1, "
+    "6)) AS priority, CAST(CAST(p AS DECIMAL(12,2)) AS DOUBLE) AS amount, CASE WHEN upper(trim(flag)) = 'Y' THEN 1 ELSE 0 "
+    "END AS signature_flag, c_mktsegment AS segment FROM raw LEFT JOIN customer ON cust = c_custkey"
+)
 
 
 @query("xml_shred", BASE_SQL)
@@ -99,12 +114,17 @@ def dirty(t: Tables) -> DataFrame:
     """Documents of which some are damaged, by rule."""
     k = F.col("doc_id") % 50
     x = F.col("xml")
-    return documents(t).select("doc_id", F.when(k == 0, F.concat(F.substring(x, 1, 60), F.lit("~"))).when(k == 1, "").when(k == 2, F.concat(F.lit("x"), x)).when(k == 3, F.replace(x, F.lit(ROOT), F.lit("Other"))).when(k == 4, F.replace(x, F.lit("</Request>"), F.lit("<Request>"))).when(k == 5, F.concat(F.lit("﻿\r\n"), x)).otherwise(x).alias("xml"))
+    return documents(t).select(
+        "doc_id",
+        F.when(k == 0, F.concat(F.substring(x, 1, 60), F.lit("~"))).when(k == 1, "").when(k == 2, F.concat(F.lit("x"), x)).when(k == 3, F.replace(x, F.lit(ROOT), F.lit("Other"))).when(k == 4, F.replace(x, F.lit("</Request>"), F.lit("<Request>"))).when(k == 5, F.concat(F.lit("﻿\r\n"), x)).otherwise(x).alias("xml"),
+    )
 
 
 @query("scan_documents", "SELECT o_orderkey AS doc_id, o_orderkey % 50 = 5 AS marked FROM orders WHERE o_orderkey % 50 <> 1")
 def scan_documents(t):
-    return d.present(dirty(t)).select("doc_id", F.col("xml").startswith("﻿").alias("marked"))
+    path = shared_path(t.spark, "dirty")
+    dirty(t).write.parquet(path)
+    return d.read_documents(t.spark, path, "doc_id", "xml").select("doc_id", F.col("xml").startswith("﻿").alias("marked"))
 
 
 @query("scan_xml_files", "SELECT o_orderkey AS doc_id, o_orderkey % 2 = 0 AS even, o_orderstatus AS status FROM orders")
@@ -122,7 +142,11 @@ def xml_clean(t):
     return dirty(t).select("doc_id", x.startswith("<").alias("opens"))
 
 
-@query("xml_valid", "SELECT o_orderkey AS doc_id, CASE o_orderkey % 50 WHEN 0 THEN 'ends' WHEN 1 THEN 'empty' WHEN 2 THEN 'starts' WHEN 3 THEN 'root' WHEN 4 THEN 'well_formed' ELSE 'ok' END AS status FROM orders")
+@query(
+    "xml_valid",
+    "SELECT o_orderkey AS doc_id, CASE o_orderkey % 50 WHEN 0 THEN 'ends' WHEN 1 THEN 'empty' WHEN 2 THEN 'starts' WHEN 3 "
+    "THEN 'root' WHEN 4 THEN 'well_formed' ELSE 'ok' END AS status FROM orders",
+)
 def xml_valid(t):
     docs = dirty(t).withColumn("xml", s.clean_xml(F.col("xml")))
     return s.xml_status(docs, ROOT, WIDE)
@@ -132,7 +156,9 @@ def xml_valid(t):
 def path_last_wins(t):
     """Of an element that should be single, the last one."""
     xml = F.concat(F.lit('<r><e v="a'), "o_orderkey", F.lit('"/><e v="b'), "o_custkey", F.lit('"/></r>'))
-    return s.shred(t.orders.select(F.col("o_orderkey").alias("doc_id"), xml.alias("xml")), s.schema_of({"e": {"_v": TEXT}})).select("doc_id", F.col("d.e._v").alias("v"))
+    return s.shred(
+        t.orders.select(F.col("o_orderkey").alias("doc_id"), xml.alias("xml")), s.schema_of({"e": {"_v": TEXT}}),
+    ).select("doc_id", F.col("d.e._v").alias("v"))
 
 
 @query("attr_value", "SELECT o_orderkey AS doc_id, concat(o_orderpriority, ' & <', o_orderstatus, '>') AS v, CAST(NULL AS STRING) AS gone FROM orders")
@@ -158,22 +184,37 @@ def element_text(t):
     return rows.select("doc_id", s.element_text("d.e").alias("v"))
 
 
-@query("explode_contacts", "SELECT app_id, pos, con_id, CASE role WHEN 'A' THEN 10 WHEN 'N' THEN 11 WHEN 'R' THEN 12 END AS role_enum, concat('P&', CAST(con_id AS STRING)) AS first_name, CAST(CAST(amount AS DECIMAL(12,2)) AS DOUBLE) AS amount FROM contacts")
+@query(
+    "explode_contacts",
+    "SELECT app_id, pos, con_id, CASE role WHEN 'A' THEN 10 WHEN 'N' THEN 11 WHEN 'R' THEN 12 END AS role_enum, "
+    "concat('P&', CAST(con_id AS STRING)) AS first_name, CAST(CAST(amount AS DECIMAL(12,2)) AS DOUBLE) AS amount FROM "
+    "contacts",
+)
 def explode_contacts(t):
     """The contact table by contract, in document order."""
     rows = s.explode_path(parse(documents(t), CONTRACT), "d.Request.CustData.application.contact", "contact")
     out = table(rows, CONTRACT, "contact", {CONTACT: "contact"}, ["doc_id", "contact_pos"])
-    return out.select(F.col("doc_id").alias("app_id"), F.col("contact_pos").alias("pos"), "con_id", "role_enum", "first_name", F.col("amount").cast("double").alias("amount"))
+    return out.select(
+        F.col("doc_id").alias("app_id"), F.col("contact_pos").alias("pos"), "con_id", "role_enum", "first_name",
+        F.col("amount").cast("double").alias("amount"),
+    )
 
 
-@query("explode_children", "SELECT app_id, con_id, pos, CASE WHEN line = 'O' THEN 'CURR' ELSE 'PREV' END AS type, supp, n AS months FROM contacts WHERE role IN ('A', 'R') UNION ALL SELECT app_id, con_id, pos, 'PREV', 0, 1 FROM contacts WHERE role IN ('A', 'R')")
+@query(
+    "explode_children",
+    "SELECT app_id, con_id, pos, CASE WHEN line = 'O' THEN 'CURR' ELSE 'PREV' END AS type, supp, n AS months FROM contacts "
+    "WHERE role IN ('A', 'R') UNION ALL SELECT app_id, con_id, pos, 'PREV', 0, 1 FROM contacts WHERE role IN ('A', 'R')",
+)
 def explode_children(t):
     """Addresses of contacts that the filter keeps, with the contact's key."""
     rows = s.explode_path(parse(documents(t), CONTRACT), "d.Request.CustData.application.contact", "contact")
     kept = rule_filter(rows.withColumns({"con_id": F.col("contact._con_id"), "role": F.col("contact._ac_role")}), {"con_id": True, "role": ["a", "r"]})
     children = s.explode_child(kept, "contact.contact_address", "address", "con_id", "contact_pos")
     out = table(children, CONTRACT, "address", {f"{CONTACT}/contact_address": "address"}, ["doc_id", "con_id", "contact_pos"])
-    return out.select(F.col("doc_id").alias("app_id"), F.col("con_id").cast("bigint").alias("con_id"), F.col("contact_pos").alias("pos"), "type", "supp", F.col("months").cast("int").alias("months"))
+    return out.select(
+        F.col("doc_id").alias("app_id"), F.col("con_id").cast("bigint").alias("con_id"), F.col("contact_pos").alias("pos"), "type", "supp",
+        F.col("months").cast("int").alias("months"),
+    )
 
 
 @query("nested_fk", "SELECT app_id, con_id, count(*) AS n FROM contacts WHERE con_id % 7 <> 0 GROUP BY app_id, con_id")
@@ -184,7 +225,11 @@ def nested_fk(t):
     return s.attach_fk(children, "con_id").groupBy(F.col("doc_id").alias("app_id"), F.col("con_id").cast("bigint").alias("con_id")).agg(F.count("*").alias("n"))
 
 
-@query("xml_path_value", "SELECT o_orderkey AS doc_id, CASE WHEN o_orderkey % 50 NOT IN (0, 4) THEN o_orderkey END AS id FROM orders WHERE o_orderkey % 50 NOT IN (1, 2, 3, 5)")
+@query(
+    "xml_path_value",
+    "SELECT o_orderkey AS doc_id, CASE WHEN o_orderkey % 50 NOT IN (0, 4) THEN o_orderkey END AS id FROM orders WHERE "
+    "o_orderkey % 50 NOT IN (1, 2, 3, 5)",
+)
 def xml_path_value(t):
     parsed = F.from_xml("xml", s.with_corrupt(WIDE), s.PERMISSIVE)["_corrupt_record"].isNull()
     docs = dirty(t).filter(F.col("xml").startswith(f"<{ROOT}"))
@@ -196,7 +241,11 @@ def xml_contains(t):
     return documents(t).filter(s.has_tag(F.col("xml"), "contact ")).select("doc_id")
 
 
-@query("attr_eav", "SELECT id AS doc_id, 'score_a' AS name, trim(num) AS value FROM raw WHERE num IS NOT NULL UNION ALL SELECT id, 'score_b', CAST(id % 850 AS STRING) FROM raw WHERE id % 3 <> 1")
+@query(
+    "attr_eav",
+    "SELECT id AS doc_id, 'score_a' AS name, trim(num) AS value FROM raw WHERE num IS NOT NULL UNION ALL SELECT id, "
+    "'score_b', CAST(id % 850 AS STRING) FROM raw WHERE id % 3 <> 1",
+)
 def attr_eav(t):
     rows = shredded(t)
     names = [f.name for f in WIDE["Request"].dataType["CustData"].dataType["application"].dataType.fields if f.name.startswith("_score_")]
@@ -207,17 +256,28 @@ def attr_eav(t):
 def stage_reduce(t):
     """Smaller documents, staged: an id, a status and the amount; the rest is no more there."""
     small = s.schema_of({"Request": {"_ID": TEXT, "_Status": TEXT, "CustData": {"application": {"_amount": TEXT}}}})
-    kept = d.reduce_documents(dirty(t).filter(F.col("doc_id") % 50 != 2).unionByName(documents(t).filter("doc_id % 50 = 2")), small, ROOT, ["Request._ID", "Request.CustData"])
+    kept = d.reduce_documents(
+        dirty(t).filter(F.col("doc_id") % 50 != 2).unionByName(documents(t).filter("doc_id % 50 = 2")), small, ROOT,
+        ["Request._ID", "Request.CustData"],
+    )
     back = s.shred(kept, s.schema_of({"Request": {"_ID": TEXT, "_Status": TEXT, "_Priority": TEXT, "CustData": {"application": {"_amount": TEXT}}}}))
     return back.select("doc_id", F.col("d.Request._Status").alias("status"), F.col("d.Request._Priority").alias("gone"))
 
 
-@query("app_context", "SELECT o_orderkey AS doc_id, o_orderstatus AS status, CAST(o_totalprice AS DECIMAL(12,2))::DOUBLE AS amount, (SELECT c.con_id FROM contacts c WHERE c.app_id = o_orderkey ORDER BY CASE WHEN role = 'A' THEN 0 ELSE 1 END, pos LIMIT 1) AS con_id FROM orders")
+@query(
+    "app_context",
+    "SELECT o_orderkey AS doc_id, o_orderstatus AS status, CAST(o_totalprice AS DECIMAL(12,2))::DOUBLE AS amount, (SELECT "
+    "c.con_id FROM contacts c WHERE c.app_id = o_orderkey ORDER BY CASE WHEN role = 'A' THEN 0 ELSE 1 END, pos LIMIT 1) AS "
+    "con_id FROM orders",
+)
 def app_context(t):
     """A row for each document: its own attributes, and the first contact of the primary role, else the first."""
     a = "d.Request.CustData.application"
     primary = F.coalesce(F.get(F.filter(f"{a}.contact", lambda x: x["_ac_role"] == "A"), 0), F.get(f"{a}.contact", 0))
-    return shredded(t).select("doc_id", F.col("d.Request._Status").alias("status"), F.col(f"{a}._amount").cast("decimal(12,2)").cast("double").alias("amount"), primary["_con_id"].cast("bigint").alias("con_id"))
+    return shredded(t).select(
+        "doc_id", F.col("d.Request._Status").alias("status"), F.col(f"{a}._amount").cast("decimal(12,2)").cast("double").alias("amount"),
+        primary["_con_id"].cast("bigint").alias("con_id"),
+    )
 
 
 @query("range_slice", "SELECT o_orderkey AS doc_id FROM orders WHERE o_orderkey BETWEEN 100 AND 20000")

@@ -20,7 +20,11 @@ def null_profile(t):
     return z.null_profile(t.codes, COLS)
 
 
-@query("adjacent_mismatch", "SELECT 'amount_zip' AS pair, count(*) FILTER (WHERE (amount IS NULL) <> (zip IS NULL)) AS mismatches FROM codes UNION ALL SELECT 'status_code_amount', count(*) FILTER (WHERE (status_code IS NULL) <> (amount IS NULL)) FROM codes")
+@query(
+    "adjacent_mismatch",
+    "SELECT 'amount_zip' AS pair, count(*) FILTER (WHERE (amount IS NULL) <> (zip IS NULL)) AS mismatches FROM codes UNION "
+    "ALL SELECT 'status_code_amount', count(*) FILTER (WHERE (status_code IS NULL) <> (amount IS NULL)) FROM codes",
+)
 def adjacent_mismatch(t):
     return z.pair_mismatch(t.codes, [("amount", "zip"), ("status_code", "amount")])
 
@@ -30,7 +34,12 @@ def enum_distribution(t):
     return z.value_counts(t.codes, ["status_code", "priority_code", "state"])
 
 
-@query("nonnull_histogram", "SELECT n_filled, count(*) AS n_rows FROM (SELECT CAST((status_code IS NOT NULL) AS INTEGER) + CAST((priority_code IS NOT NULL) AS INTEGER) + CAST((amount IS NOT NULL) AS INTEGER) + CAST((zip IS NOT NULL) AS INTEGER) AS n_filled FROM codes) x GROUP BY n_filled")
+@query(
+    "nonnull_histogram",
+    "SELECT n_filled, count(*) AS n_rows FROM (SELECT CAST((status_code IS NOT NULL) AS INTEGER) + CAST((priority_code IS "
+    "NOT NULL) AS INTEGER) + CAST((amount IS NOT NULL) AS INTEGER) + CAST((zip IS NOT NULL) AS INTEGER) AS n_filled FROM "
+    "codes) x GROUP BY n_filled",
+)
 def nonnull_histogram(t):
     return z.nonnull_histogram(t.codes, COLS)
 
@@ -40,17 +49,29 @@ def population_pct(t):
     return z.population_pct(t.codes, COLS)
 
 
-@query("table_counts", "SELECT (SELECT count(*) FROM orders) AS orders, (SELECT count(*) FROM lineitem) AS lineitem, (SELECT count(*) FROM customer) AS customer")
+@query(
+    "table_counts",
+    "SELECT (SELECT count(*) FROM orders) AS orders, (SELECT count(*) FROM lineitem) AS lineitem, (SELECT count(*) FROM "
+    "customer) AS customer",
+)
 def table_counts(t):
     return z.table_counts({n: getattr(t, n) for n in ("orders", "lineitem", "customer")})
 
 
-@query("issue_counts", "SELECT count(*) FILTER (WHERE state = 'XX') AS bad_state, count(*) FILTER (WHERE zip = '00000') AS bad_zip, count(*) FILTER (WHERE amount IS NULL) AS no_amount FROM codes")
+@query(
+    "issue_counts",
+    "SELECT count(*) FILTER (WHERE state = 'XX') AS bad_state, count(*) FILTER (WHERE zip = '00000') AS bad_zip, count(*) "
+    "FILTER (WHERE amount IS NULL) AS no_amount FROM codes",
+)
 def issue_counts(t):
     return z.issue_counts(t.codes, {"bad_state": F.col("state") == "XX", "bad_zip": F.col("zip") == "00000", "no_amount": F.col("amount").isNull()})
 
 
-@query("session_rollup", "SELECT session_id, count(*) AS n, min(app_id) AS min_id, max(app_id) AS max_id, count(*) FILTER (WHERE status = 'success') AS ok, count(*) FILTER (WHERE status = 'failed') AS failed FROM log GROUP BY session_id")
+@query(
+    "session_rollup",
+    "SELECT session_id, count(*) AS n, min(app_id) AS min_id, max(app_id) AS max_id, count(*) FILTER (WHERE status = "
+    "'success') AS ok, count(*) FILTER (WHERE status = 'failed') AS failed FROM log GROUP BY session_id",
+)
 def session_rollup(t):
     return z.session_rollup(t.log)
 
@@ -60,28 +81,56 @@ def distinct_counts(t):
     return z.distinct_counts(t.stored, "app_id", "name")
 
 
-@query("success_rate", "SELECT count(*) AS processed, count(*) FILTER (WHERE status = 'success') AS ok, count(*) FILTER (WHERE status = 'failed') AS failed, round(100.0 * count(*) FILTER (WHERE status = 'success') / count(*), 2)::DOUBLE AS pct FROM log")
+@query(
+    "success_rate",
+    "SELECT count(*) AS processed, count(*) FILTER (WHERE status = 'success') AS ok, count(*) FILTER (WHERE status = "
+    "'failed') AS failed, round(100.0 * count(*) FILTER (WHERE status = 'success') / count(*), 2)::DOUBLE AS pct FROM log",
+)
 def success_rate(t):
     return z.success_rate(t.log).withColumn("pct", F.col("pct").cast("double"))
 
 
-@query("failure_by_stage", "WITH f AS (SELECT app_id, split_part(failure_reason, ':', 1) AS stage FROM log WHERE status = 'failed'), k AS (SELECT *, row_number() OVER (PARTITION BY stage ORDER BY app_id) AS r FROM f) SELECT stage, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 2)::DOUBLE AS pct, CAST(rank() OVER (ORDER BY count(*) DESC) AS INTEGER) AS rank, string_agg(CAST(app_id AS VARCHAR), ',' ORDER BY app_id) FILTER (WHERE r <= 5) AS examples FROM k GROUP BY stage")
+@query(
+    "failure_by_stage",
+    "WITH f AS (SELECT app_id, split_part(failure_reason, ':', 1) AS stage FROM log WHERE status = 'failed'), k AS (SELECT "
+    "*, row_number() OVER (PARTITION BY stage ORDER BY app_id) AS r FROM f) SELECT stage, count(*) AS n, round(100.0 * "
+    "count(*) / sum(count(*)) OVER (), 2)::DOUBLE AS pct, CAST(rank() OVER (ORDER BY count(*) DESC) AS INTEGER) AS rank, "
+    "string_agg(CAST(app_id AS VARCHAR), ',' ORDER BY app_id) FILTER (WHERE r <= 5) AS examples FROM k GROUP BY stage",
+)
 def failure_by_stage(t):
     return z.failures_by_stage(t.log, 5).withColumn("pct", F.col("pct").cast("double"))
 
 
-@query("run_rollup", "SELECT sum(processed)::BIGINT AS processed, sum(successful)::BIGINT AS successful, max(seconds) AS seconds, round(sum(processed) * 60.0 / max(seconds), 4) AS per_minute FROM (SELECT batch, count(*) AS processed, count(*) FILTER (WHERE run <> 'error') AS successful, max(seconds) AS seconds FROM metrics GROUP BY batch) x")
+@query(
+    "run_rollup",
+    "SELECT sum(processed)::BIGINT AS processed, sum(successful)::BIGINT AS successful, max(seconds) AS seconds, "
+    "round(sum(processed) * 60.0 / max(seconds), 4) AS per_minute FROM (SELECT batch, count(*) AS processed, count(*) "
+    "FILTER (WHERE run <> 'error') AS successful, max(seconds) AS seconds FROM metrics GROUP BY batch) x",
+)
 def run_rollup(t):
-    runs = t.metrics.groupBy("batch").agg(F.count("*").alias("processed"), F.count_if(F.col("run") != "error").alias("successful"), F.max("seconds").alias("seconds"))
+    runs = t.metrics.groupBy("batch").agg(
+        F.count("*").alias("processed"), F.count_if(F.col("run") != "error").alias("successful"), F.max("seconds").alias("seconds"),
+    )
     return z.run_rollup(runs)
 
 
-@query("stage_stats", "SELECT run, batch, count(seconds) AS n, round(avg(seconds), 4) AS mean, round(quantile_cont(seconds, 0.5), 4) AS median, round(stddev_samp(seconds), 4) AS sd, CASE WHEN stddev_samp(seconds) / avg(seconds) < 0.1 THEN 'stable' WHEN stddev_samp(seconds) / avg(seconds) < 0.5 THEN 'varied' ELSE 'erratic' END AS spread FROM metrics GROUP BY run, batch")
+@query(
+    "stage_stats",
+    "SELECT run, batch, count(seconds) AS n, round(avg(seconds), 4) AS mean, round(quantile_cont(seconds, 0.5), 4) AS "
+    "median, round(stddev_samp(seconds), 4) AS sd, CASE WHEN stddev_samp(seconds) / avg(seconds) < 0.1 THEN 'stable' WHEN "
+    "stddev_samp(seconds) / avg(seconds) < 0.5 THEN 'varied' ELSE 'erratic' END AS spread FROM metrics GROUP BY run, batch",
+)
 def stage_stats(t):
     return z.stage_stats(t.metrics, ["run", "batch"], "seconds")
 
 
-@query("chunk_trend", "WITH c AS (SELECT run, chunk, sum(seconds) AS s FROM metrics GROUP BY run, chunk), k AS (SELECT *, ntile(3) OVER (PARTITION BY run ORDER BY chunk) AS third FROM c) SELECT run, round(avg(s), 6) AS mean, round(min(s), 6) AS least, round(max(s), 6) AS most, round(100 * (avg(s) FILTER (WHERE third = 3) - avg(s) FILTER (WHERE third = 1)) / avg(s) FILTER (WHERE third = 1), 6) AS change_pct FROM k GROUP BY run")
+@query(
+    "chunk_trend",
+    "WITH c AS (SELECT run, chunk, sum(seconds) AS s FROM metrics GROUP BY run, chunk), k AS (SELECT *, ntile(3) OVER "
+    "(PARTITION BY run ORDER BY chunk) AS third FROM c) SELECT run, round(avg(s), 6) AS mean, round(min(s), 6) AS least, "
+    "round(max(s), 6) AS most, round(100 * (avg(s) FILTER (WHERE third = 3) - avg(s) FILTER (WHERE third = 1)) / avg(s) "
+    "FILTER (WHERE third = 1), 6) AS change_pct FROM k GROUP BY run",
+)
 def chunk_trend(t):
     chunks = t.metrics.groupBy("run", "chunk").agg(F.sum("seconds").alias("s"))
     return z.chunk_trend(chunks, "run", "chunk", "s").withColumns({"least": F.round("least", 6), "most": F.round("most", 6)})
@@ -92,7 +141,11 @@ def efficiency(t):
     return z.efficiency(t.metrics, "run", "seconds", "seconds", 4)
 
 
-@query("key_collisions", "SELECT con_id, count(DISTINCT app_id) AS n_docs, min(app_id) AS first_doc, max(app_id) AS last_doc FROM contacts GROUP BY con_id HAVING count(DISTINCT app_id) > 1")
+@query(
+    "key_collisions",
+    "SELECT con_id, count(DISTINCT app_id) AS n_docs, min(app_id) AS first_doc, max(app_id) AS last_doc FROM contacts "
+    "GROUP BY con_id HAVING count(DISTINCT app_id) > 1",
+)
 def key_collisions(t):
     return z.key_collisions(t.contacts, "con_id", "app_id")
 
@@ -102,74 +155,145 @@ def never_populated(t):
     return z.never_populated({"codes": t.codes, "log": t.log})
 
 
-@query("default_counts", "SELECT 'state' AS column_name, count(*) AS n, (SELECT string_agg(CAST(app_id AS VARCHAR), ',' ORDER BY CAST(app_id AS VARCHAR)) FROM (SELECT app_id FROM codes WHERE state = 'XX' ORDER BY app_id LIMIT 5) e) AS examples FROM codes WHERE state = 'XX' UNION ALL SELECT 'zip', count(*), (SELECT string_agg(CAST(app_id AS VARCHAR), ',' ORDER BY CAST(app_id AS VARCHAR)) FROM (SELECT app_id FROM codes WHERE zip = '00000' ORDER BY app_id LIMIT 5) e) FROM codes WHERE zip = '00000'")
+@query(
+    "default_counts",
+    "SELECT 'state' AS column_name, count(*) AS n, (SELECT string_agg(CAST(app_id AS VARCHAR), ',' ORDER BY CAST(app_id AS "
+    "VARCHAR)) FROM (SELECT app_id FROM codes WHERE state = 'XX' ORDER BY app_id LIMIT 5) e) AS examples FROM codes WHERE "
+    "state = 'XX' UNION ALL SELECT 'zip', count(*), (SELECT string_agg(CAST(app_id AS VARCHAR), ',' ORDER BY CAST(app_id "
+    "AS VARCHAR)) FROM (SELECT app_id FROM codes WHERE zip = '00000' ORDER BY app_id LIMIT 5) e) FROM codes WHERE zip = "
+    "'00000'",
+)
 def default_counts(t):
     return z.default_counts(t.codes, "app_id", {"state": "XX", "zip": "00000"}).select("column_name", "n", "examples")
 
 
-@query("gap_analysis", "WITH j AS (SELECT o_orderkey AS id, l.app_id AS l, s.app_id AS s FROM orders LEFT JOIN (SELECT DISTINCT app_id FROM log) l ON l.app_id = o_orderkey LEFT JOIN (SELECT DISTINCT app_id FROM stored) s ON s.app_id = o_orderkey) SELECT count(*) AS source_rows, count(l) AS logged, count(*) - count(l) AS gap, round(100.0 * (count(*) - count(l)) / count(*), 2)::DOUBLE AS gap_pct, min(id) FILTER (WHERE l IS NULL) AS gap_min, max(id) FILTER (WHERE l IS NULL) AS gap_max, count(*) FILTER (WHERE l IS NOT NULL AND s IS NOT NULL) AS with_scores, count(*) FILTER (WHERE l IS NOT NULL AND s IS NULL) AS without_scores FROM j")
+@query(
+    "gap_analysis",
+    "WITH j AS (SELECT o_orderkey AS id, l.app_id AS l, s.app_id AS s FROM orders LEFT JOIN (SELECT DISTINCT app_id FROM "
+    "log) l ON l.app_id = o_orderkey LEFT JOIN (SELECT DISTINCT app_id FROM stored) s ON s.app_id = o_orderkey) SELECT "
+    "count(*) AS source_rows, count(l) AS logged, count(*) - count(l) AS gap, round(100.0 * (count(*) - count(l)) / "
+    "count(*), 2)::DOUBLE AS gap_pct, min(id) FILTER (WHERE l IS NULL) AS gap_min, max(id) FILTER (WHERE l IS NULL) AS "
+    "gap_max, count(*) FILTER (WHERE l IS NOT NULL AND s IS NOT NULL) AS with_scores, count(*) FILTER (WHERE l IS NOT NULL "
+    "AND s IS NULL) AS without_scores FROM j",
+)
 def gap_analysis(t):
     out = rec.gap(t.orders.select(F.col("o_orderkey").alias("app_id")), t.log, t.stored, "app_id")
     return out.withColumn("gap_pct", F.col("gap_pct").cast("double"))
 
 
-@query("suspect_scan", "SELECT app_id, CASE WHEN state = 'XX' AND zip = '00000' THEN 'state,zip' WHEN state = 'XX' THEN 'state' ELSE 'zip' END AS reason FROM codes WHERE (state = 'XX' OR zip = '00000') AND app_id IN (SELECT app_id FROM contacts)")
+@query(
+    "suspect_scan",
+    "SELECT app_id, CASE WHEN state = 'XX' AND zip = '00000' THEN 'state,zip' WHEN state = 'XX' THEN 'state' ELSE 'zip' "
+    "END AS reason FROM codes WHERE (state = 'XX' OR zip = '00000') AND app_id IN (SELECT app_id FROM contacts)",
+)
 def suspect_scan(t):
     return rec.suspects(t.codes, "app_id", {"state": ["XX", "MISSING"], "zip": ["00000"]}, t.contacts.select("app_id"))
 
 
-@query("smell_verify", "SELECT app_id, 'state' AS field, CASE WHEN coalesce(trim(txt), '') <> '' THEN 'mapping failure' ELSE 'injected' END AS verdict FROM codes JOIN raw ON id = app_id WHERE state = 'XX' UNION ALL SELECT app_id, 'zip', CASE WHEN coalesce(trim(phone), '') <> '' THEN 'mapping failure' ELSE 'injected' END FROM codes JOIN raw ON id = app_id WHERE zip = '00000'")
+@query(
+    "smell_verify",
+    "SELECT app_id, 'state' AS field, CASE WHEN coalesce(trim(txt), '') <> '' THEN 'mapping failure' ELSE 'injected' END "
+    "AS verdict FROM codes JOIN raw ON id = app_id WHERE state = 'XX' UNION ALL SELECT app_id, 'zip', CASE WHEN "
+    "coalesce(trim(phone), '') <> '' THEN 'mapping failure' ELSE 'injected' END FROM codes JOIN raw ON id = app_id WHERE "
+    "zip = '00000'",
+)
 def smell_verify(t):
     source = t.raw.select(F.col("id").alias("app_id"), "txt", "phone")
     return rec.verify_smells(t.codes, source, "app_id", {"state": ("txt", "XX"), "zip": ("phone", "00000")})
 
 
-@query("doc_verdict", "SELECT c.app_id, CASE WHEN c.app_id % 31 = 0 THEN 'FAIL' WHEN c.app_id NOT IN (SELECT app_id FROM contacts) OR c.app_id NOT IN (SELECT app_id FROM stored) OR (CAST((status_code IS NOT NULL) AS INTEGER) + CAST((amount IS NOT NULL) AS INTEGER)) / 2.0 < 0.15 OR (zip IS NULL) THEN 'WARN' ELSE 'PASS' END AS verdict FROM codes c")
+@query(
+    "doc_verdict",
+    "SELECT c.app_id, CASE WHEN c.app_id % 31 = 0 THEN 'FAIL' WHEN c.app_id NOT IN (SELECT app_id FROM contacts) OR "
+    "c.app_id NOT IN (SELECT app_id FROM stored) OR (CAST((status_code IS NOT NULL) AS INTEGER) + CAST((amount IS NOT "
+    "NULL) AS INTEGER)) / 2.0 < 0.15 OR (zip IS NULL) THEN 'WARN' ELSE 'PASS' END AS verdict FROM codes c",
+)
 def doc_verdict(t):
     src = t.codes.withColumn("has_source", F.col("app_id") % 31 != 0)
     filled = (F.col("status_code").isNotNull().cast("int") + F.col("amount").isNotNull().cast("int")) / 2.0
     return rec.doc_verdict(src, {"contacts": t.contacts, "stored": t.stored}, "app_id", filled, F.col("zip").isNull())
 
 
-@query("enum_verify", "SELECT app_id, CASE WHEN status_code IS NULL AND app_id % 4 = 0 THEN 'both empty' WHEN status_code IS NULL THEN 'stored without source' WHEN status_code = 'P' THEN 'unknown code' WHEN app_id % 4 = 0 THEN 'not stored' WHEN app_id % 9 <> 0 THEN 'match' ELSE 'mismatch' END AS outcome FROM codes")
+@query(
+    "enum_verify",
+    "SELECT app_id, CASE WHEN status_code IS NULL AND app_id % 4 = 0 THEN 'both empty' WHEN status_code IS NULL THEN "
+    "'stored without source' WHEN status_code = 'P' THEN 'unknown code' WHEN app_id % 4 = 0 THEN 'not stored' WHEN app_id "
+    "% 9 <> 0 THEN 'match' ELSE 'mismatch' END AS outcome FROM codes",
+)
 def enum_verify(t):
     code = F.when(F.col("status_code") == "F", 1).when(F.col("status_code") == "O", 2)
     rows = t.codes.withColumn("kept", F.when(F.col("app_id") % 4 != 0, F.coalesce(code, F.lit(0)) + F.when(F.col("app_id") % 9 == 0, 10).otherwise(0)))
     return rec.verify_enum(rows, "app_id", "status_code", "kept", code)
 
 
-@query("enum_column_audit", "SELECT 'status_code' AS column_name, count(*) AS n_rows, count(*) - count(status_code) AS n_null, count(*) FILTER (WHERE status_code NOT IN ('F', 'O')) AS n_unknown, 'OK' AS state FROM codes UNION ALL SELECT 'never', count(*), count(*), 0, 'NEVER POPULATED' FROM codes")
+@query(
+    "enum_column_audit",
+    "SELECT 'status_code' AS column_name, count(*) AS n_rows, count(*) - count(status_code) AS n_null, count(*) FILTER "
+    "(WHERE status_code NOT IN ('F', 'O')) AS n_unknown, 'OK' AS state FROM codes UNION ALL SELECT 'never', count(*), "
+    "count(*), 0, 'NEVER POPULATED' FROM codes",
+)
 def enum_column_audit(t):
     return rec.audit_enums(t.codes, {"status_code": ["F", "O"], "never": ["x"]})
 
 
-@query("source_first_scores", "WITH j AS (SELECT e.value AS v, s.value AS w, s.app_id AS a, l.app_id AS l FROM expected e LEFT JOIN (SELECT DISTINCT app_id FROM log) l ON l.app_id = e.app_id LEFT JOIN stored s ON s.app_id = e.app_id AND s.name = e.name) SELECT count(*) AS expected, round(100.0 * count(l) / count(*), 2)::DOUBLE AS coverage, round(100.0 * count(*) FILTER (WHERE l IS NOT NULL AND a IS NOT NULL) / count(l), 2)::DOUBLE AS completeness, round(100.0 * count(*) FILTER (WHERE l IS NOT NULL AND a IS NOT NULL AND v = w) / count(*) FILTER (WHERE l IS NOT NULL AND a IS NOT NULL), 2)::DOUBLE AS accuracy FROM j")
+@query(
+    "source_first_scores",
+    "WITH j AS (SELECT e.value AS v, s.value AS w, s.app_id AS a, l.app_id AS l FROM expected e LEFT JOIN (SELECT DISTINCT "
+    "app_id FROM log) l ON l.app_id = e.app_id LEFT JOIN stored s ON s.app_id = e.app_id AND s.name = e.name) SELECT "
+    "count(*) AS expected, round(100.0 * count(l) / count(*), 2)::DOUBLE AS coverage, round(100.0 * count(*) FILTER (WHERE "
+    "l IS NOT NULL AND a IS NOT NULL) / count(l), 2)::DOUBLE AS completeness, round(100.0 * count(*) FILTER (WHERE l IS "
+    "NOT NULL AND a IS NOT NULL AND v = w) / count(*) FILTER (WHERE l IS NOT NULL AND a IS NOT NULL), 2)::DOUBLE AS "
+    "accuracy FROM j",
+)
 def source_first_scores(t):
     out = rec.source_first(t.expected, t.stored, t.log, ["app_id", "name"], "value")
     return out.select("expected", *[F.col(c).cast("double").alias(c) for c in ("coverage", "completeness", "accuracy")])
 
 
-@query("source_first_slots", "SELECT e.app_id, e.n AS n_expected, coalesce(s.n, 0) AS n_stored FROM (SELECT app_id, count(*) AS n FROM expected GROUP BY app_id) e LEFT JOIN (SELECT app_id, count(*) AS n FROM stored GROUP BY app_id) s ON s.app_id = e.app_id WHERE e.n <> coalesce(s.n, 0)")
+@query(
+    "source_first_slots",
+    "SELECT e.app_id, e.n AS n_expected, coalesce(s.n, 0) AS n_stored FROM (SELECT app_id, count(*) AS n FROM expected "
+    "GROUP BY app_id) e LEFT JOIN (SELECT app_id, count(*) AS n FROM stored GROUP BY app_id) s ON s.app_id = e.app_id "
+    "WHERE e.n <> coalesce(s.n, 0)",
+)
 def source_first_slots(t):
     return rec.source_first_counts(t.expected, t.stored, "app_id")
 
 
-@query("kv_reconcile", "SELECT coalesce(e.app_id, s.app_id) AS app_id, coalesce(e.name, s.name) AS name, e.value AS mapped, s.value AS stored, CASE WHEN e.app_id IS NULL THEN 'WARN extra' WHEN s.app_id IS NULL THEN 'FAIL missing' WHEN e.value = s.value THEN 'PASS' ELSE 'FAIL differs' END AS outcome FROM expected e FULL JOIN stored s ON e.app_id = s.app_id AND e.name = s.name")
+@query(
+    "kv_reconcile",
+    "SELECT coalesce(e.app_id, s.app_id) AS app_id, coalesce(e.name, s.name) AS name, e.value AS mapped, s.value AS "
+    "stored, CASE WHEN e.app_id IS NULL THEN 'WARN extra' WHEN s.app_id IS NULL THEN 'FAIL missing' WHEN e.value = s.value "
+    "THEN 'PASS' ELSE 'FAIL differs' END AS outcome FROM expected e FULL JOIN stored s ON e.app_id = s.app_id AND e.name = "
+    "s.name",
+)
 def kv_reconcile(t):
     return rec.reconcile(t.expected, t.stored, ["app_id", "name"], "value")
 
 
-@query("kv_missing", "SELECT e.* FROM expected e WHERE app_id IN (SELECT app_id FROM log WHERE status = 'success') AND NOT EXISTS (SELECT 1 FROM stored s WHERE s.app_id = e.app_id AND s.name = e.name)")
+@query(
+    "kv_missing",
+    "SELECT e.* FROM expected e WHERE app_id IN (SELECT app_id FROM log WHERE status = 'success') AND NOT EXISTS (SELECT 1 "
+    "FROM stored s WHERE s.app_id = e.app_id AND s.name = e.name)",
+)
 def kv_missing(t):
     return rec.missing_rows(t.expected, t.stored, t.log, ["app_id", "name"]).select("app_id", "name", "value")
 
 
-@query("collision_winner", "SELECT DISTINCT c.con_id, c.app_id AS loser, w.owner FROM contacts c JOIN (SELECT con_id, min(app_id) AS owner FROM contacts GROUP BY con_id) w ON w.con_id = c.con_id WHERE c.app_id <> w.owner")
+@query(
+    "collision_winner",
+    "SELECT DISTINCT c.con_id, c.app_id AS loser, w.owner FROM contacts c JOIN (SELECT con_id, min(app_id) AS owner FROM "
+    "contacts GROUP BY con_id) w ON w.con_id = c.con_id WHERE c.app_id <> w.owner",
+)
 def collision_winner(t):
     kept = t.contacts.groupBy("con_id").agg(F.min("app_id").alias("app_id"))
     return rec.collision_winner(t.contacts, kept, "con_id", "app_id").select("con_id", "loser", "owner")
 
 
-@query("log_consistency", "SELECT (SELECT count(*) FROM orders) AS n_base, (SELECT count(*) FROM orders WHERE o_orderkey NOT IN (SELECT app_id FROM log)) AS n_unlogged, (SELECT count(*) FROM log WHERE status = 'success') AS n_success")
+@query(
+    "log_consistency",
+    "SELECT (SELECT count(*) FROM orders) AS n_base, (SELECT count(*) FROM orders WHERE o_orderkey NOT IN (SELECT app_id "
+    "FROM log)) AS n_unlogged, (SELECT count(*) FROM log WHERE status = 'success') AS n_success",
+)
 def log_consistency(t):
     return rec.log_consistency(t.orders.select(F.col("o_orderkey").alias("app_id")), t.log, "app_id")

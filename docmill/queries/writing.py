@@ -11,23 +11,42 @@ from . import shredding as x
 from .base import query
 
 
-@query("column_union", "SELECT o_orderkey AS id, o_totalprice AS price, CAST(NULL AS STRING) AS name FROM orders UNION ALL SELECT c_custkey, NULL, c_name FROM customer")
+@query(
+    "column_union",
+    "SELECT o_orderkey AS id, o_totalprice AS price, CAST(NULL AS STRING) AS name FROM orders UNION ALL SELECT c_custkey, "
+    "NULL, c_name FROM customer",
+)
 def column_union(t):
-    return s.union_columns(t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price")), t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")))
+    return s.union_columns(
+        t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price")),
+        t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")),
+    )
 
 
-@query("insert_if_absent", "SELECT app_id, name, value FROM stored UNION ALL SELECT app_id, name, value + 1000 FROM expected e WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.app_id = e.app_id AND s.name = e.name)")
+@query(
+    "insert_if_absent",
+    "SELECT app_id, name, value FROM stored UNION ALL SELECT app_id, name, value + 1000 FROM expected e WHERE NOT EXISTS "
+    "(SELECT 1 FROM stored s WHERE s.app_id = e.app_id AND s.name = e.name)",
+)
 def insert_if_absent(t):
     return s.insert_absent(t.expected.withColumn("value", F.col("value") + 1000), t.stored, ["app_id", "name"]).select("app_id", "name", "value")
 
 
-@query("kv_upsert", "SELECT coalesce(e.app_id, s.app_id) AS app_id, coalesce(e.name, s.name) AS name, coalesce(CASE WHEN e.app_id % 3 <> 0 THEN e.value END, s.value) AS value FROM expected e FULL JOIN stored s ON e.app_id = s.app_id AND e.name = s.name")
+@query(
+    "kv_upsert",
+    "SELECT coalesce(e.app_id, s.app_id) AS app_id, coalesce(e.name, s.name) AS name, coalesce(CASE WHEN e.app_id % 3 <> 0 "
+    "THEN e.value END, s.value) AS value FROM expected e FULL JOIN stored s ON e.app_id = s.app_id AND e.name = s.name",
+)
 def kv_upsert(t):
     new = t.expected.withColumn("value", F.when(F.col("app_id") % 3 != 0, F.col("value")))
     return s.upsert(new, t.stored, ["app_id", "name"], ["value"])
 
 
-@query("insert_only_backfill", "SELECT app_id, name, value FROM stored UNION ALL SELECT app_id, name, value FROM expected e WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.app_id = e.app_id AND s.name = e.name)")
+@query(
+    "insert_only_backfill",
+    "SELECT app_id, name, value FROM stored UNION ALL SELECT app_id, name, value FROM expected e WHERE NOT EXISTS (SELECT "
+    "1 FROM stored s WHERE s.app_id = e.app_id AND s.name = e.name)",
+)
 def insert_only_backfill(t):
     return s.backfill(t.expected.select("app_id", "name", "value"), t.stored.select("app_id", "name", "value"), ["app_id", "name"], apply=True)
 
@@ -38,7 +57,11 @@ def tables(t):
     return {"contact": contacts, "app_base": ids, "other": t.codes.select(F.col("app_id").alias("doc_id"), "zip")}
 
 
-@query("ordered_write", "SELECT 'app_base' AS name, 1 AS nth, (SELECT count(*) FROM orders) AS n UNION ALL SELECT 'contact', 2, (SELECT count(*) FROM lineitem) UNION ALL SELECT 'other', 3, (SELECT count(*) FROM orders)")
+@query(
+    "ordered_write",
+    "SELECT 'app_base' AS name, 1 AS nth, (SELECT count(*) FROM orders) AS n UNION ALL SELECT 'contact', 2, (SELECT "
+    "count(*) FROM lineitem) UNION ALL SELECT 'other', 3, (SELECT count(*) FROM orders)",
+)
 def ordered_write(t):
     path = shared_path(t.spark, "tables")
     names = s.write_tables(tables(t), ["app_base", "contact"], path)
@@ -57,19 +80,32 @@ def atomic_documents(t):
     return s.visible(t.spark, path, "contact").groupBy("doc_id").agg(F.count("*").alias("n"))
 
 
-@query("log_outcomes", "SELECT o_orderkey AS app_id, CASE WHEN o_orderkey % 6 = 0 THEN 'failed' ELSE 'success' END AS status, CASE WHEN o_orderkey % 6 = 0 THEN substr(concat('mapping: ', repeat('x', 600)), 1, 500) END AS failure_reason, 's1' AS session_id FROM orders")
+@query(
+    "log_outcomes",
+    "SELECT o_orderkey AS app_id, CASE WHEN o_orderkey % 6 = 0 THEN 'failed' ELSE 'success' END AS status, CASE WHEN "
+    "o_orderkey % 6 = 0 THEN substr(concat('mapping: ', repeat('x', 600)), 1, 500) END AS failure_reason, 's1' AS "
+    "session_id FROM orders",
+)
 def log_outcomes(t):
     ids = t.orders.select(F.col("o_orderkey").alias("doc_id"))
     failed = ids.filter("doc_id % 6 = 0").withColumns({"stage": F.lit("mapping"), "message": F.repeat(F.lit("x"), F.lit(600))})
     return s.log_outcomes(ids.filter("doc_id % 6 <> 0"), failed, "s1")
 
 
-@query("pk_exists_is_success", "SELECT app_id, CASE WHEN app_id IN (SELECT app_id FROM stored) THEN 'success' ELSE 'failed' END AS status FROM log WHERE status = 'failed'")
+@query(
+    "pk_exists_is_success",
+    "SELECT app_id, CASE WHEN app_id IN (SELECT app_id FROM stored) THEN 'success' ELSE 'failed' END AS status FROM log "
+    "WHERE status = 'failed'",
+)
 def pk_exists_is_success(t):
     return s.reclassify(t.log.filter("status = 'failed'"), t.stored, "app_id").select("app_id", "status")
 
 
-@query("delete_ids", "SELECT 'contact' AS name, count(*) AS n FROM contacts WHERE app_id % 9 <> 0 UNION ALL SELECT 'supplier', count(*) FROM supplier WHERE s_suppkey NOT IN (SELECT supp FROM contacts WHERE app_id % 9 = 0)")
+@query(
+    "delete_ids",
+    "SELECT 'contact' AS name, count(*) AS n FROM contacts WHERE app_id % 9 <> 0 UNION ALL SELECT 'supplier', count(*) "
+    "FROM supplier WHERE s_suppkey NOT IN (SELECT supp FROM contacts WHERE app_id % 9 = 0)",
+)
 def delete_ids(t):
     """Contacts of the documents go, and the suppliers that they name."""
     ids = t.orders.select(F.col("o_orderkey").alias("app_id")).filter("app_id % 9 = 0")
