@@ -8,4 +8,4 @@ QUERIES = {f.__name__: f for f in (
     sharding.op1_sampled_splitters, dedup.op2_grace_dedup, packing.op3_sum_of_squares, classifier.op4_weak_label, tokenfiles.op5_ranked_varint,
     rules.op6_voting_rules, near.op7_lsh_forest, tokenfiles.op8_separator_scan, bytebpe.op9_byte_bpe, warc.op10_salvage_warc,
 )}
-ORACLE_SQL = {"op1_sampled_splitters": sharding.OP1_SQL, "op2_grace_dedup": dedup.OP2_SQL, "op7_lsh_forest": near.OP7_SQL, "op10_salvage_warc": warc.OP10_SQL}
+ORACLE_SQL = {"op1_sampled_splitters": sharding.OP1_SQL, "op2_grace_dedup": dedup.OP2_SQL, "op6_voting_rules": rules.OP6_SQL, "op7_lsh_forest": near.OP7_SQL, "op10_salvage_warc": warc.OP10_SQL}

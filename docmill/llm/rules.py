@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import stage
-from .weak import ABSTAIN, BAD, GOOD, fit_votes
+from .weak import ABSTAIN, ALARMS, BAD, GOOD, GOOD_SHARE, OTHERS, OWN, START, STEPS, fit_votes
 
 SPACE = r"[\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
@@ -142,4 +142,74 @@ def op6_voting_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdicts of all documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     measured = stage(measure(docs).drop("text"), "rules")
-    return judge(measured).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+    return judge(measured).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("quality", 6).alias("quality"))
+
+
+def _sql() -> str:
+    """Measures and votes by lists and joins; expectation-maximisation as a recursive query with a row for each step."""
+    n = len(RULES)
+
+    def by_pair(own: float, other: float) -> str:
+        return "[" + ", ".join("[" + ", ".join(f"{own if k == j else other}::DOUBLE" for j in range(n)) + "]" for k in range(n)) + "]"
+
+    def each(body: str, over: str = f"range(1, {n + 1})", name: str = "k") -> str:
+        return f"list_transform({over}, lambda {name}: {body})"
+
+    def total(body: str) -> str:
+        """Over the patterns of votes; `of` has the documents of each kind."""
+        return f"coalesce(list_sum({each(body, 'found', 'p')}), 0)"
+
+    seen = "(1 - (1 - alarms[j]) * (1 - sees[k][j]))"
+    odds = f"exp(ln(kinds[k] / (1 - list_sum(kinds))) + list_sum({each(f'CASE p.v[j] WHEN 1 THEN ln({seen} / alarms[j]) WHEN 0 THEN ln((1 - {seen}) / (1 - alarms[j])) ELSE 0 END', name='j')}))"
+    on_kind, votes_on_kind = total("CASE WHEN p.v[j] = 1 THEN p.of[k] ELSE 0 END"), total("CASE WHEN p.v[j] >= 0 THEN p.of[k] ELSE 0 END")
+    alarmed, voted = total("CASE WHEN p.v[j] = 1 THEN p.n - list_sum(p.of) ELSE 0 END"), total("CASE WHEN p.v[j] >= 0 THEN p.n ELSE 0 END")
+    see_for, see_all = by_pair(OWN[0], OTHERS[0]), by_pair(sum(OWN), sum(OTHERS))
+    from_kinds = f"list_sum({each(f'{on_kind} * alarms[j] / {seen}')})"
+    blank = "concat(chr(32), chr(9), chr(10), chr(11), chr(12), chr(13))"
+    return f"""
+WITH RECURSIVE t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (
+  SELECT *, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS l,
+    list_filter(string_split(t, chr(10)), lambda x: translate(x, {blank}, '') <> '') AS lines FROM t
+),
+i AS (SELECT doc_id, unnest(l) AS word, unnest(range(len(l))) AS i FROM w),
+g AS (SELECT doc_id, unnest(list_transform(range(1, len(l) - 1), lambda i: l[i:i + 2])) AS g, unnest(range(1, len(l) - 1)) AS i FROM w WHERE len(l) > 2),
+twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g) WHERE c > 1),
+repeated AS (SELECT doc_id, count(DISTINCT i + o) AS n_repeat_words FROM twice, range(3) r(o) GROUP BY doc_id),
+varied AS (SELECT doc_id, count(DISTINCT (i // {WINDOW}, word)) AS n_distinct FROM i GROUP BY doc_id),
+m AS (
+  SELECT doc_id, len(l) AS n_words, length(translate(t, {blank}, '')) AS word_chars, length(t) - length(translate(t, '{SYMBOLS}', '')) AS n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, len(lines) AS n_lines,
+    length(t) - length(translate(t, '{CAPITALS}', '')) AS n_capitals, coalesce(n_distinct, 0) AS n_distinct
+  FROM w LEFT JOIN repeated USING (doc_id) LEFT JOIN varied USING (doc_id)
+),
+v AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, CASE WHEN n_words = 0 THEN [-1, -1, -1, -1, -1, -1] ELSE [
+    CASE WHEN 100 * n_symbols > 4 * word_chars THEN 1 WHEN 100 * n_symbols < word_chars THEN 0 ELSE -1 END,
+    CASE WHEN n_lines < 3 THEN -1 WHEN n_dup_lines >= 3 AND 100 * n_dup_lines > 25 * n_lines THEN 1 WHEN 100 * n_dup_lines < 10 * n_lines THEN 0 ELSE -1 END,
+    CASE WHEN n_words < 50 THEN -1 WHEN 100 * n_repeat_words > 50 * n_words THEN 1 WHEN 100 * n_repeat_words < 25 * n_words THEN 0 ELSE -1 END,
+    CASE WHEN word_chars < 2 * n_words OR 10 * word_chars > 90 * n_words THEN 1 WHEN 10 * word_chars > 35 * n_words AND 10 * word_chars < 75 * n_words THEN 0 ELSE -1 END,
+    CASE WHEN 100 * n_capitals > 40 * word_chars THEN 1 WHEN 100 * n_capitals < 15 * word_chars THEN 0 ELSE -1 END,
+    CASE WHEN n_words < 50 THEN -1 WHEN 100 * n_distinct < 25 * n_words THEN 1 WHEN 100 * n_distinct > 45 * n_words THEN 0 ELSE -1 END] END AS v FROM m
+),
+patterns AS (SELECT coalesce(list(struct_pack(v := v, n := n) ORDER BY v), []) AS pats FROM (SELECT v, count(*)::DOUBLE AS n FROM v GROUP BY v)),
+em AS (
+  SELECT 0 AS step, {each(f"{START[3] / n}::DOUBLE")} AS kinds, {by_pair(START[0], START[1])} AS sees, {each(f"{START[2]}::DOUBLE")} AS alarms
+  UNION ALL
+  SELECT step + 1, {each(f"({total('p.of[k]')} + {GOOD_SHARE[1] / n}) / ({total('p.n')} + {sum(GOOD_SHARE)})")},
+    {each(each(f"({on_kind} * sees[k][j] / {seen} + {see_for}[k][j]) / ({votes_on_kind} + {see_all}[k][j])", name="j"))},
+    {each(f"({alarmed} + {from_kinds} + {ALARMS[0]}) / ({voted} + {sum(ALARMS)})", name="j")}
+  FROM (
+    SELECT em.*, list_transform(odds, lambda p: struct_pack(v := p.v, n := p.n, of := list_transform(p.o, lambda x: p.n * x / (1 + list_sum(p.o))))) AS found
+    FROM (SELECT em.*, {each(f"struct_pack(v := p.v, n := p.n, o := {each(odds)})", "pats", "p")} AS odds FROM em, patterns WHERE step < {STEPS}) em
+  ) em
+),
+judged AS (
+  SELECT v.*, 1 / (1 + list_sum({each(odds)})) AS good FROM (SELECT v.*, struct_pack(v := v.v) AS p, kinds, sees, alarms FROM v, em WHERE step = {STEPS}) v
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND good >= 0.5 AS kept, round(good, 6) AS quality
+FROM judged
+"""
+
+
+OP6_SQL = _sql()

@@ -79,7 +79,11 @@ class Trust:
         return total / (1 + total)
 
 
-def fit(patterns: np.ndarray, counts: np.ndarray, steps: int = 300, tolerance: float = 1e-6) -> Trust:
+#: Steps of expectation-maximisation: as many on every table, so that results don't hang on when changes became small.
+STEPS = 300
+
+
+def fit(patterns: np.ndarray, counts: np.ndarray, steps: int = STEPS) -> Trust:
     """Expectation-maximisation on how often each pattern of votes occurs. Abstentions say nothing."""
     voters = patterns.shape[1]
     own = np.eye(voters, dtype=bool)
@@ -96,11 +100,7 @@ def fit(patterns: np.ndarray, counts: np.ndarray, steps: int = 300, tolerance: f
         sees = (on_kind * trust.sees / seen + see_for) / (votes_on_kind + see_for + see_against)
         alarms = (alarmed + (on_kind * trust.alarms / seen).sum(0) + ALARMS[0]) / (counts @ voted + sum(ALARMS))
         kinds = (of.sum(0) + GOOD_SHARE[1] / voters) / (counts.sum() + sum(GOOD_SHARE))
-        new = Trust(kinds, sees, alarms)
-        moved = max(np.abs(new.kinds - trust.kinds).max(), np.abs(sees - trust.sees).max(), np.abs(alarms - trust.alarms).max())
-        trust = new
-        if moved < tolerance:
-            break
+        trust = Trust(kinds, sees, alarms)
     return trust
 
 
