@@ -51,7 +51,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each one's result staged in the shared folder for the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         docs = common.stage(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if before is not None:
+            common.discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)

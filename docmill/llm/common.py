@@ -8,6 +8,7 @@ import os
 import re
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +40,19 @@ def stage(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write df to the shared folder and read it again: lineage ends here, and rows are the same at each later read."""
     path = new_path(df.sparkSession, label)
     df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _staged[id(out)] = (weakref.ref(out, lambda _, key=id(out): _staged.pop(key, None)), path)
+    return out
+
+
+_staged: dict[int, tuple[weakref.ref, str]] = {}
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more: neither a plan that is still to run, nor one that may run again."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(_staged.pop(id(df))[1])
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh(df: DataFrame, name: str) -> str:
@@ -82,7 +95,9 @@ def components(edges: DataFrame, label: str, rounds: int = 40) -> DataFrame:
     was = state(pairs)
     for _ in range(rounds):
         large = stage(_star(pairs.select("u", "v").union(pairs.select(F.col("v"), F.col("u"))), True, 2 * was.n), f"{label}-large")
-        pairs = stage(_star(large, False, was.n), f"{label}-star")
+        small = stage(_star(large, False, was.n), f"{label}-star")
+        discard(pairs, large)
+        pairs = small
         # a round that changes nothing leaves stars: each u has one v, and no v is a u of another
         now = state(pairs)
         if now == was:

@@ -8,6 +8,7 @@ follows how many links such prefixes miss; while that is too many, prefixes are
 
 from __future__ import annotations
 
+import functools
 import logging
 from collections.abc import Iterator
 
@@ -17,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import attach, components, fresh, stage
+from .common import attach, components, discard, fresh, stage
 from .pieces import gather, slices
 
 WORDS, SIMILARITY = 5, 0.8
@@ -238,13 +239,15 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, target: float = REC
     )
     reps = sets.select(F.col("least.uid").alias("uid"), "set_id", "copies", F.col("least").alias("first"))
     labelled = stage(signed.select("uid", "labels", "n_shingles").join(reps.select("uid", "copies").hint("merge"), "uid"), "near-reps")
-    links = _links(slim, labelled, similarity, target)
+    parts = _links(slim, labelled, similarity, target)
+    links = functools.reduce(DataFrame.unionByName, parts)
     joined = components(links.filter("kind = 0").select("a", "b"), "near-classes")
     counted = links.filter("kind = 1").groupBy("a").agg(F.sum("n").alias("n_links")).withColumnRenamed("a", "uid")
     known = reps.join(joined.withColumnRenamed("node", "uid"), "uid", "left").join(counted, "uid", "left").select(
         "set_id", "copies", "first", F.coalesce("component", "uid").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
     known = stage(known, "near-known")
+    discard(sets, labelled, *parts)
     named = stage(known.groupBy("class").agg(F.min("first").alias("keep"), F.count("*").alias("sets")), "near-least")
     with_class = attach(known, named, "class", "sets", known.count())
     by_set = stage(
@@ -265,8 +268,8 @@ def _node(depth: int) -> Column:
     return F.shiftleft(F.col("tree").cast("long"), 8 * DEPTH).bitwiseOR(F.shiftright("label", 8 * (DEPTH - depth)))
 
 
-def _links(slim: DataFrame, labelled: DataFrame, similarity: float, target: float) -> DataFrame:
-    """What _blocks finds at all depths that are needed."""
+def _links(slim: DataFrame, labelled: DataFrame, similarity: float, target: float) -> list[DataFrame]:
+    """Staged tables of what _blocks finds, one for each depth that is needed."""
     least = depth_for(similarity, target)
     company = _company(slim, labelled, least)
     parts, found = [], np.zeros(STEPS, np.int64)
@@ -278,10 +281,8 @@ def _links(slim: DataFrame, labelled: DataFrame, similarity: float, target: floa
         log.info("prefixes of %d numbers: %d links, expected recall %.5f", depth, found.sum(), reached)
         if reached >= target:
             break
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    discard(company)
+    return parts
 
 
 def _company(slim: DataFrame, labelled: DataFrame, least: int) -> DataFrame:
@@ -293,7 +294,10 @@ def _company(slim: DataFrame, labelled: DataFrame, least: int) -> DataFrame:
         nodes = stage(keyed.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1"), "near-nodes")
         trees = attach(keyed, nodes, "node", "n", TREES * labelled.count()).groupBy("uid").agg(F.collect_list("tree").alias("trees"))  # TREES at most
         some = labelled.join(trees.hint("merge"), "uid")
-    return stage(some.join(slim.select("uid", "text").hint("merge"), "uid"), "near-company")
+    out = stage(some.join(slim.select("uid", "text").hint("merge"), "uid"), "near-company")
+    if least:
+        discard(nodes)
+    return out
 
 
 def _at_depth(company: DataFrame, depth: int, similarity: float) -> DataFrame:
@@ -324,7 +328,9 @@ def _at_depth(company: DataFrame, depth: int, similarity: float) -> DataFrame:
     parts = dealt.select("uid", "tree", block.alias("block"), (F.col("mine") != F.col("other")).alias("across"), (F.col("mine") > F.col("other")).alias("second"))
     full = parts.join(company.select("uid", "copies", "labels", "text").hint("merge"), "uid").select("block", "tree", "across", "second", "uid", "copies", "labels", "text")
     ordered = full.repartition("block").sortWithinPartitions("block", "uid")
-    return stage(ordered.mapInArrow(_blocks(depth, similarity), "kind long, a long, b long, n long"), f"near-links-{depth}")
+    out = stage(ordered.mapInArrow(_blocks(depth, similarity), "kind long, a long, b long, n long"), f"near-links-{depth}")
+    discard(open_)
+    return out
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -38,3 +38,17 @@ def test_run(spark):
         by[r.sequence_id] = by.get(r.sequence_id, 0) + r.length
     assert max(by.values()) <= 2048 and len(by) <= -(-sum(by.values()) // 2048) + 1
     assert packing.GROUP > 0
+
+
+def test_discarded_tables_are_gone(spark):
+    """Only staged tables can be discarded, each once; others stay."""
+    from docmill.llm import common
+
+    a, b = common.stage(spark.range(5).toDF("x"), "test-a"), common.stage(spark.range(6).toDF("x"), "test-b")
+    path = a.inputFiles()[0].rpartition("/")[0]
+    common.discard(a)
+    assert b.count() == 6
+    with pytest.raises(Exception, match="(?i)not.exist|found|no such"):
+        spark.read.parquet(path).count()
+    with pytest.raises(KeyError):
+        common.discard(a)
