@@ -29,7 +29,7 @@ RECALL = 0.999
 #: Steps of similarity in which found links are counted.
 STEPS = 200
 #: Texts, and distinct shingles, that a side of a verified block holds (about, as texts are dealt by a hash).
-BLOCK_TEXTS, BLOCK_SHINGLES = 800, 1 << 19
+BLOCK_TEXTS, BLOCK_SHINGLES = 256, 1 << 18
 
 log = logging.getLogger(__name__)
 
