@@ -108,7 +108,7 @@ over_raw(
         x,
         k.Mapping("", "", "t", "out", mapping_type=["calculated_field", "enum"], expression="CASE WHEN id % 2 = 0 THEN 5 END", enum_name="status"),
         CONTRACT,
-    ),
+    ),
 )
 
 

@@ -36,7 +36,7 @@ def build(t: Tables) -> DataFrame:
             F.struct(
                 F.when(F.col("line") == "O", "CURR").otherwise("PREV").alias("_type"), F.col("supp").cast("string").alias("_supp"),
                 F.col("n").cast("string").alias("_months"),
-            ),
+            ),
         ).alias("contact_address"),
     )
     lines = t.contacts.groupBy("app_id").agg(F.transform(F.array_sort(F.collect_list(line)), lambda x: x.dropFields("_pos")).alias("contact"))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from docmill.operators import pick, quality, reconcile, shred, sinks, summarize
+from docmill.operators import paging, pick, quality, reconcile, relate, shred, sinks, summarize
 from docmill.sources import documents as d
 
 
@@ -111,3 +111,25 @@ def test_stream_dedupe_writes_natural_partitions(spark, tmp_path, monkeypatch):
     spark.range(300).withColumnsRenamed({"id": "o_orderkey"}).withColumn("o_orderstatus", F.lit("F")).repartition(3).write.parquet(str(tmp_path / "orders.parquet"))
     got = sorted(r.doc_id for r in QUERIES["stream_dedupe"](spark, str(tmp_path)).collect())
     assert got == list(range(300)) and seen == [(6, {"files_per_batch": 3})]
+
+
+def test_require(spark):
+    """Blank values get the default; without one the rows go, and are findings."""
+    rows = spark.createDataFrame([(1, " a "), (2, " "), (3, None)], "id int, v string")
+    good, found = quality.require(rows, "id", "t", "v", "x")
+    assert sorted(map(tuple, good.collect())) == [(1, "a"), (2, "x"), (3, "x")] and found.count() == 0
+    good, found = quality.require(rows, "id", "t", "v")
+    assert list(map(tuple, good.collect())) == [(1, "a")] and sorted(r.doc_id for r in found.collect()) == [2, 3]
+
+
+def test_audit_defaults(spark):
+    rows = spark.createDataFrame([(1, "XX", "1"), (2, "OH", "0"), (3, "OH", "1"), (4, None, None)], "app_id int, state string, zip string")
+    log = spark.createDataFrame([(1, "failed"), (3, "success")], "app_id int, status string")
+    got = relate.audit_defaults(rows, log, {"state": "XX", "zip": "0"}, "app_id").select("app_id", "status").collect()
+    assert sorted((r.app_id, r.status or "-") for r in got) == [(1, "failed"), (2, "-")]
+
+
+def test_total_of_a_like_table(spark):
+    rows = spark.range(7)
+    assert {r.total for r in paging.with_total(rows, rows.select("id")).collect()} == {7} == {r.total for r in paging.with_total(rows).collect()}
+    assert paging.with_total(rows.filter("false")).count() == 0
