@@ -234,7 +234,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, target: float = REC
     sets = stage(
         signed.filter("n_shingles > 0").groupBy("set_id").agg(
             F.min(F.struct(F.col("id").isNull().alias("no"), "id", "uid")).alias("least"), F.count("*").alias("copies"),
-        ),
+        ),
         "near-sets",
     )
     reps = sets.select(F.col("least.uid").alias("uid"), "set_id", "copies", F.col("least").alias("first"))
@@ -254,7 +254,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, target: float = REC
         with_class.select(
             "set_id", "copies", F.col("keep.id").alias("class_id"), F.col("keep.uid").alias("keep_uid"),
             (F.col("n_links") + F.col("copies") - 1).alias("n_links"),
-        ),
+        ),
         "near-named",
     )
     plain = signed.select("uid", "id", "set_id")

@@ -68,7 +68,7 @@ def repeated_words(words: Column) -> Column:
                 lambda p: F.coalesce(
                     F.aggregate(F.transform(p, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(p, k + 1) - x, F.lit(3)))), F.lit(0).cast("long"), lambda a, x: a + x),
                     F.lit(0),
-                ),
+                ),
             )
 
         keyed = F.transform(

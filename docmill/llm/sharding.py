@@ -69,7 +69,7 @@ def shard(docs: DataFrame, shards: int, key: str = "doc_id", size: Column | None
         docs.select(
             F.col(key).cast("long").alias("key"), F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))).alias("k"),
             F.monotonically_increasing_id().alias("uid"), size.cast("long").alias("size"), *kept,
-        ),
+        ),
         "shard-rows",
     )
     n, total = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()

@@ -48,14 +48,14 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, vocab: int) -> DataFra
                     [
                         pa.array(np.zeros(n, np.int32)), batch.column(0).slice(at, n), batch.column(1).slice(at, n), pa.array(counts + 1),
                         binary_rows(ids.astype(wide), counts + 1),
-                    ],
+                    ],
                     names,
                 )
         yield pa.record_batch(
             [
                 pa.array([1], pa.int32()), pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([0], pa.int64()),
                 pa.array([seen.tobytes()], pa.binary()),
-            ],
+            ],
             names,
         )
 
@@ -330,7 +330,7 @@ def separators(spark: SparkSession, path: str, end_id: int, block: int = BLOCK_I
     found = stage(
         files.repartition("path", "block").select("path", "block").mapInArrow(
             task, "part int, file int, block long, tail long, ids long, lengths binary, documents long",
-        ),
+        ),
         "flat-blocks",
     )
     # the scan: a block's open ids are the tails since the last block before it that has a separator

@@ -44,7 +44,7 @@ def encode_record(page_id: int | None, url: str | None, payload: bytes, digest:
         *([f"WARC-Target-URI: {uri}"] if uri else []), f"WARC-Payload-Digest: sha1:{digest}", f"WARC-Block-Digest: sha1:{sha1_base32(block)}",
         *([
             f"WARC-Refers-To: <urn:page:{original}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-        ] if original is not None else []),
+        ] if original is not None else []),
         "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}",
     ]
     packer = zlib.compressobj(6, zlib.DEFLATED, 31)
