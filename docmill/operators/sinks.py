@@ -59,6 +59,13 @@ def commit_documents(frames: dict[str, DataFrame], failed: DataFrame, log: DataF
     return run
 
 
+def failures(findings: DataFrame, stage: str = "mapping") -> DataFrame:
+    """(doc_id, stage, message) of documents with critical findings, as commit_documents() takes them: a row each, with its first finding."""
+    critical = findings.filter("severity = 'critical'")
+    first = critical.groupBy("doc_id").agg(F.min(F.struct("table_name", "field", "message")).alias("f"))
+    return first.select("doc_id", F.lit(stage).alias("stage"), F.concat("f.table_name", F.lit("."), "f.field", F.lit(": "), "f.message").alias("message"))
+
+
 def visible(spark: SparkSession, path: str, table: str, id: str = "doc_id") -> DataFrame:
     """A table's rows of committed documents, as the run that logged their success has written them (of several, one)."""
     log = spark.read.parquet(f"{path}/processing_log").filter("status = 'success'")

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import shred as s
+from ..operators import sinks
 from ..plans.contract import Contract, Mapping, checked_table, parse, table
 from ..plans.dispatch import record_rows
+from ..sources.staging import shared_path, staged
 from . import shredding as x
 from .base import query
 
@@ -171,3 +175,21 @@ def contract_rejects(t):
 def contract_conditional(t):
     """A default that a record with a single value of its own doesn't get."""
     return table(rows(t), CONTRACT, "conditional", AT, ["doc_id"])
+
+
+@query(
+    "contract_commit",
+    f"SELECT id AS doc_id, c_mktsegment AS segment, {SCORED} AS score, 'mail' AS source, 'success' AS status, CAST(NULL AS STRING) AS failure_reason "
+    "FROM raw JOIN customer ON cust = c_custkey WHERE id % 3 <> 1 UNION ALL SELECT id, NULL, NULL, NULL, 'failed', "
+    "'mapping: required.score: no value and no default' FROM raw WHERE id % 3 = 1",
+)
+def contract_commit(t):
+    """From documents to committed tables and their log: what lacks a required value fails as a whole, and is logged with the reason."""
+    docs, path = staged(rows(t), "contract-rows"), shared_path(t.spark, "contract-commit")
+    good, found = checked_table(docs, CONTRACT, "required", AT, ["doc_id"])
+    failed = staged(sinks.failures(found), "contract-failures")
+    log = sinks.log_outcomes(docs.select("doc_id").join(failed.select("doc_id"), "doc_id", "left_anti"), failed, "s1")
+    sinks.commit_documents({"required": good}, failed, log, ["required"], path)
+    outcome = t.spark.read.parquet(f"{path}/processing_log").select(F.col("app_id").alias("doc_id"), "status", "failure_reason")
+    seen = sinks.visible(t.spark, path, "required")
+    return outcome.join(seen, "doc_id", "left").select("doc_id", "segment", "score", "source", "status", "failure_reason")
