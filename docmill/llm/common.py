@@ -36,7 +36,7 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/docmill-{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
+def stage(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     """Write df to the shared folder and read it again: lineage ends here, and rows are the same at each later read."""
     path = new_path(df.sparkSession, label)
     df.write.option("compression", compression).parquet(path)
