@@ -9,7 +9,9 @@ import re
 import tempfile
 import uuid
 import weakref
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +50,23 @@ def stage(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
 _staged: dict[int, tuple[weakref.ref, str]] = {}
 
 
+def shared_files(df: DataFrame) -> Callable[[int], Iterator[pa.RecordBatch]]:
+    """What reads a staged table inside a task, from the shared folder, in batches of at most so many rows.
+
+    So a table of any size can stream past what a task holds, without a broadcast.
+    """
+    path, names = re.sub("^file:/+", "file:///", _staged[id(df)][1]), df.columns
+
+    def read(rows: int) -> Iterator[pa.RecordBatch]:
+        from pyarrow import dataset, fs
+
+        store, root = fs.FileSystem.from_uri(path)
+        batches = dataset.dataset(root, filesystem=store, format="parquet").to_batches(columns=names, batch_size=rows, batch_readahead=1, fragment_readahead=1)
+        yield from (b for b in batches if b.num_rows)
+
+    return read
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete staged tables that nothing reads any more: neither a plan that is still to run, nor one that may run again."""
     for df in tables:
