@@ -33,8 +33,22 @@ def date_of(c: Column) -> Column:
 
 
 def dateadd_day(n: Column, day: Column) -> Column:
-    """A date some days on, as text; blank days count as none."""
-    return F.date_format(F.date_add(date_of(day).cast("date"), F.coalesce(n.cast("string").try_cast("double").cast("int"), F.lit(0))), "yyyy-MM-dd")
+    """A date some days on, as text; blank days count as none. Null where the date would leave the years 1 to 9999."""
+    days = n.cast("string").try_cast("double")
+    start, span = date_of(day).cast("date"), F.coalesce(F.when(F.abs(days) < 4e6, days).cast("int"), F.when(days.isNull(), 0))
+    out = F.date_add(start, span)
+    return F.when((out >= F.lit("0001-01-01").cast("date")) & (out <= F.lit("9999-12-31").cast("date")), F.date_format(out, "yyyy-MM-dd"))
+
+
+def whole(c: Column) -> Column:
+    """The largest whole number that isn't above a double, as a double: from 2^53 on each double is whole."""
+    return F.when(F.abs(c) < float(1 << 53), F.floor(c).cast("double")).otherwise(c)
+
+
+def modulo(a: Column, b: Column) -> Column:
+    """What is left of a after whole b, with the sign of b; exact at any size."""
+    left = F.try_mod(a, b)
+    return F.when((left != 0) & ((left < 0) != (b < 0)), left + b).otherwise(left)
 
 
 def is_empty(c: Column) -> Column:
@@ -171,7 +185,7 @@ class _Reader:
             op, right = self.take("*", "/", "//", "%"), None
             right = self.power()
             safe = F.when(right != 0, right)
-            out = out * right if op == "*" else out / safe if op == "/" else F.floor(out / safe).cast("double") if op == "//" else out - F.floor(out / safe) * safe
+            out = out * right if op == "*" else out / safe if op == "/" else whole(out / safe) if op == "//" else modulo(out, safe)
         return out
 
     def power(self) -> Column:

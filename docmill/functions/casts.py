@@ -33,7 +33,8 @@ def to_int(c: Column, type: str = "int") -> Column:
 
 
 def to_decimal(c: Column, scale: int = 2) -> Column:
-    return F.round(number(c), scale).cast(f"decimal(38,{scale})")
+    """Rounded half up; null where 38 digits don't hold it."""
+    return F.round(number(c), scale).try_cast(f"decimal(38,{scale})")
 
 
 def to_double(c: Column) -> Column:
@@ -92,7 +93,9 @@ def char_to_bit_flag(c: Column, table: dict[str, int]) -> Column:
 
 
 def enum_code(c: Column, codes: dict[str, int], default: int | None = None) -> Column:
-    """Text to a code: exact, then in any case, then the code of '', then the default."""
+    """Text to a code: exact, then in any case, then the code of '', then the default. Without codes all is unknown."""
+    if not codes:
+        return F.lit(default).cast("int")
     folded = {k.lower(): v for k, v in codes.items()}
     exact = F.create_map(*[F.lit(x) for kv in codes.items() for x in kv])
     any_case = F.create_map(*[F.lit(x) for kv in folded.items() for x in kv])
@@ -126,7 +129,10 @@ def squash_ws(c: Column) -> Column:
 
 
 def safe_int(c: Column, default: int | None = None) -> Column:
-    return F.coalesce(F.trim(c).try_cast("double").try_cast("bigint"), F.lit(default).cast("bigint"))
+    """The whole part, exact for all numbers of 64 bits in plain digits; others, such as those with an exponent, go through a double."""
+    t = F.trim(c)
+    plain = F.regexp_extract(t, r"^([+-]?\d+)(?:\.\d*)?$", 1).try_cast("bigint")
+    return F.coalesce(plain, t.try_cast("double").try_cast("bigint"), F.lit(default).cast("bigint"))
 
 
 def safe_float(c: Column, default: float | None = None) -> Column:
@@ -157,12 +163,13 @@ def monthly(amount: Column, basis: Column, factors: dict[str, tuple[int, int]])
     """An amount by its basis as a monthly one: times the first number of a factor, over the second."""
     out = F.lit(None).cast("decimal(38,10)")
     for name, (times, over) in factors.items():
-        out = F.when(F.upper(F.trim(basis)) == name, amount * times / over).otherwise(out)
+        out = F.when(F.upper(F.trim(basis)) == name, F.try_divide(F.try_multiply(amount, F.lit(times)), F.lit(over))).otherwise(out)
     return F.round(out, 2)
 
 
 def months(m: Column, y: Column) -> Column:
-    return (F.coalesce(m, F.lit(0)) + F.coalesce(y, F.lit(0)) * 12).cast("smallint")
+    """Months and years in months; null where that is beyond a smallint."""
+    return (F.coalesce(m.cast("decimal(20,0)"), F.lit(0)) + F.coalesce(y.cast("decimal(20,0)"), F.lit(0)) * 12).try_cast("smallint")
 
 
 def last_n(c: Column, n: int) -> Column:
@@ -201,7 +208,7 @@ def cast_to(c: Column, type: str, length: int | None = None) -> Column:
     if type == "integer":
         return to_int(c, "int")
     if type == "decimal":
-        return to_decimal(c, length or 2)
+        return to_decimal(c, 2 if length is None else length)
     if type == "float":
         return to_double(c)
     if type in ("datetime", "smalldatetime", "date"):

@@ -24,9 +24,18 @@ def top_n(df: DataFrame, order: list[str | Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+#: A prime; ids are taken modulo it before they are multiplied, so no id overflows.
+PRIME = 2**31 - 1
+
+
 def sample_n(df: DataFrame, id: str, n: int, factor: int) -> DataFrame:
     """n rows in an order that a multiplier shuffles; the same ones each time."""
-    return df.orderBy(F.pmod(F.col(id) * factor, F.lit(2**31 - 1)), id).limit(n)
+    return df.orderBy(F.pmod(F.pmod(F.col(id), F.lit(PRIME)) * (factor % PRIME), F.lit(PRIME)), id).limit(n)
+
+
+def sample_seeded(df: DataFrame, id: str, n: int, seed: int = 0) -> DataFrame:
+    """n rows in the order of a hash of seed and id: the same ones each time, others with another seed. Ids may be of any type and size."""
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id).cast("string"), F.lit("")))), id).limit(n)
 
 
 def distinct(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -56,6 +56,6 @@ def slot_rows(df: DataFrame, id: str, slots: list[dict[str, Column]], asks: list
     rows = df.select(F.col(id), F.explode(parts).alias("_s")).select(id, "_s.*")
     tests = [nonblank(F.col(a)) for a in asks]
     if amount:
-        tests.append(F.coalesce(F.col(amount).cast("double") != 0, F.lit(False)))
+        tests.append(F.coalesce(F.col(amount).try_cast("double") != 0, F.lit(False)))
     rows = rows.filter(functools.reduce(operator.or_, tests))
     return rows.withColumns({n: F.coalesce(F.col(n), F.lit(v)) for n, v in (defaults or {}).items()}) if defaults else rows

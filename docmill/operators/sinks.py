@@ -14,6 +14,12 @@ from .pick import keep_last
 RUN = "_run_id"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table or file at a path of any store that Spark knows."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def union_columns(*frames: DataFrame) -> DataFrame:
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 

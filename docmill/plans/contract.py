@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from ..functions import casts
 from ..functions.calculated import calc
 from ..operators.shred import shred
+from ..sources.staging import staged
 
 
 @dataclass
@@ -41,6 +42,17 @@ class Mapping:
             self.mapping_type = [t.strip() for t in self.mapping_type.split(",") if t.strip()]
 
 
+@dataclass(frozen=True)
+class Relationship:
+    """A child table's rows are the elements at a path below the parent's; a column holds the parent's value of that name."""
+
+    parent_table: str
+    child_table: str
+    foreign_key_column: str
+    xml_parent_path: str
+    xml_child_path: str
+
+
 @dataclass
 class Contract:
     root: str
@@ -52,6 +64,7 @@ class Contract:
     bits: dict[str, dict[str, int]] = field(default_factory=dict)
     order: list[str] = field(default_factory=list)
     keys: list[str] = field(default_factory=lambda: ["app_id", "con_id"])  # columns that say nothing of a record by themselves
+    relationships: list[Relationship] = field(default_factory=list)
 
     @classmethod
     def load(cls, text: str) -> Contract:
@@ -62,8 +75,15 @@ class Contract:
             raw["xml_root_element"], raw["xml_application_path"], raw.get("repeated_paths", []), [Mapping(**{k: v for k, v in m.items() if k in known}) for m in raw["mappings"]],
             {f["xml_child_path"]: f["required_attributes"] for f in raw.get("element_filtering", {}).get("filter_rules", [])},
             raw.get("enum_mappings", {}), raw.get("bit_conversions", {}), raw.get("table_insertion_order", []),
+            relationships=[Relationship(**{f.name: r[f.name] for f in fields(Relationship)}) for r in raw.get("relationships", [])],
         )
 
+    def codes(self, m: Mapping) -> dict[str, int]:
+        """The codes of an enum column: by the mapping's name, else by the column's; none where no list fits, so all values are unknown."""
+        column = m.target_column
+        by_pattern = column if column.endswith("_enum") else next((e for part, e in ENUM_PATTERNS.items() if part in column), None)
+        return self.enums.get(m.enum_name or by_pattern or "", {})
+
     def typed_rule(self, path: str) -> tuple[str | None, str, list[str]]:
         """Of a path's filter rule: the attribute that must have a value, the one that must be a type, and the types, preferred first."""
         rule = self.filters[path]
@@ -104,6 +124,20 @@ class Contract:
         return build(tree, f"/{self.root}")
 
 
+#: Fixed values of the contract format: parts of column names, in the order in which they are looked for, and the lists of codes that they stand for.
+ENUM_PATTERNS = {
+    "status": "status_enum",
+    "process": "process_enum",
+    "app_source": "app_source_enum",
+    "contact_type": "contact_type_enum",
+    "address_type": "address_type_enum",
+    "ownership_type": "ownership_type_enum",
+    "employment_type": "employment_type_enum",
+    "income_type": "income_type_enum",
+    "other_income_type": "other_income_type_enum",
+    "population_assignment": "population_assignment_enum",
+    "decision": "decision_enum",
+}
 #: Fixed values of the contract format: mapping types of one value, of one party among several, and those that make rows.
 CHAIN_TYPES = ("calculated_field", "enum", "char_to_bit", "boolean_to_bit", "extract_numeric", "numbers_only", "first_number", "default_now", "identity_insert")
 PICKS = ("last_valid_pr_contact", "last_valid_sec_contact", "authu_contact", "curr_address_only")
@@ -140,7 +174,7 @@ def apply_chain(c: Column, m: Mapping, contract: Contract, resolve: Callable[[st
             c = calc(m.expression or "", resolve or (lambda name: F.col(name))).cast("string")
             continue
         if t == "enum":
-            codes = contract.enums[m.enum_name or m.target_column]
+            codes = contract.codes(m)
             default = m.default_value if not m.nullable else None
             if i and types[i - 1] == "calculated_field":
                 made = casts.blank_to_null(c)
@@ -183,8 +217,8 @@ def direct(c: Column, m: Mapping) -> Column:
 
 
 def with_contract_default(c: Column, m: Mapping) -> Column:
-    """The contract's default where nothing came of the source."""
-    if m.default_value is None or "default_now" in m.mapping_type:
+    """The contract's default where nothing came of the source. An enum that may be null stays null: a missing code isn't a default one."""
+    if m.default_value is None or "default_now" in m.mapping_type or (m.nullable and "enum" in m.mapping_type):
         return c
     return F.coalesce(c, F.lit(m.default_value).cast(_spark_type(m)))
 
@@ -192,7 +226,7 @@ def with_contract_default(c: Column, m: Mapping) -> Column:
 def _spark_type(m: Mapping) -> str:
     if m.data_type in casts.WHOLE:
         return m.data_type
-    return {"integer": "int", "decimal": f"decimal(38,{m.data_length or 2})", "float": "double", "datetime": "timestamp_ntz", "date": "timestamp_ntz", "smalldatetime": "timestamp_ntz", "bit": "int", "boolean": "boolean"}.get(m.data_type, "string")
+    return {"integer": "int", "decimal": f"decimal(38,{2 if m.data_length is None else m.data_length})", "float": "double", "datetime": "timestamp_ntz", "date": "timestamp_ntz", "smalldatetime": "timestamp_ntz", "bit": "int", "boolean": "boolean"}.get(m.data_type, "string")
 
 
 def parse(docs: DataFrame, contract: Contract) -> DataFrame:
@@ -227,8 +261,11 @@ def table(rows: DataFrame, contract: Contract, name: str, at: dict[str, str], ke
 
 
 def checked_table(rows: DataFrame, contract: Contract, name: str, at: dict[str, str], keys: list[str], id: str = "doc_id", resolve: Callable[[str], Column] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(table, findings): a document with a row that lacks a value for a required column without default is in no row of the table."""
-    made = table(rows, contract, name, at, keys, resolve)
+    """(table, findings): a document with a row that lacks a value for a required column without default is in no row of the table.
+
+    The mapped rows are staged, so documents are parsed once for both.
+    """
+    made = staged(table(rows, contract, name, at, keys, resolve), f"mapped-{name}")
     found = required_findings(made, contract, name, id)
     return made.join(found.select(id).distinct(), id, "left_anti"), found
 
@@ -239,3 +276,15 @@ def required_findings(rows: DataFrame, contract: Contract, name: str, id: str) -
 
     cols = [m.target_column for m in contract.mappings if m.target_table == name and not m.nullable and m.target_column]
     return findings(rows, id, name, [(c, "required", "critical", "no value and no default", F.col(c).isNull()) for c in cols])
+
+
+def enum_findings(rows: DataFrame, contract: Contract, name: str, at: dict[str, str], id: str) -> DataFrame:
+    """Values that their enum's codes lack, where the column may be null: the document stays, and the value is reported."""
+    from ..operators.quality import findings
+
+    enums = [m for m in contract.mappings if m.target_table == name and m.mapping_type[-1:] == ["enum"] and m.nullable]
+    tests = []
+    for m in enums:
+        value = source(m, contract, at).cast("string")
+        tests.append((m.target_column, "enum", "warning", "no code for the value", casts.nonblank(value) & apply_chain(source(m, contract, at), m, contract).isNull()))
+    return findings(rows, id, name, tests)

@@ -108,6 +108,11 @@ def random_sample(t):
     return g.sample_n(t.orders.select("o_orderkey"), "o_orderkey", 100, 48271)
 
 
+@query("seeded_sample", "SELECT o_orderkey FROM orders ORDER BY md5(concat('17:', CAST(o_orderkey AS VARCHAR))), o_orderkey LIMIT 100")
+def seeded_sample(t):
+    return g.sample_seeded(t.orders.select("o_orderkey"), "o_orderkey", 100, 17)
+
+
 @query("distinct_rows", "SELECT DISTINCT con_id, role FROM contacts")
 def distinct_rows(t):
     return g.distinct(t.contacts, ["con_id", "role"])

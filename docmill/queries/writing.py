@@ -146,3 +146,16 @@ def stream_dedupe(t):
     ids.write.mode("append").parquet(docs)
     inc.stream_dedupe(t.spark, docs, ids.schema, out, shared_path(t.spark, "twice-log"), files_per_batch=max(1, sent))
     return t.spark.read.parquet(out).select("doc_id")
+
+
+@query("stream_dedupe_bounded", "SELECT o_orderkey AS doc_id FROM orders")
+def stream_dedupe_bounded(t):
+    """Each document is sent again with an event time a day later; ids are forgotten after a month of event time."""
+    docs, out = shared_path(t.spark, "timed-in"), shared_path(t.spark, "timed-out")
+    sent = t.orders.select(F.col("o_orderkey").alias("doc_id"), F.col("o_orderdate").cast("timestamp").alias("at"))
+    both = sent.unionByName(sent.withColumn("at", F.col("at") + F.expr("INTERVAL 1 DAY")))
+    cuts = ["1000-01-01", "1994-01-01", "1996-01-01", "9999-01-01"]
+    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):  # files come in the order of their event times
+        both.filter((F.col("at") >= lo) & (F.col("at") < hi)).coalesce(4).write.mode("append").parquet(docs)
+    inc.stream_dedupe(t.spark, docs, both.schema, out, shared_path(t.spark, "timed-log"), files_per_batch=4, event_time="at", late="30 days")
+    return t.spark.read.parquet(out).select("doc_id")

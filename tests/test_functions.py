@@ -74,3 +74,52 @@ def test_required_findings(spark):
     m = k.Mapping("/R", "a", "t", "a", nullable=False)
     rows = spark.createDataFrame([(1, "x"), (2, None)], "doc_id long, a string")
     assert [r.doc_id for r in k.required_findings(rows, k.Contract("R", "/R", [], [m]), "t", "doc_id").collect()] == [2]
+
+
+#: Values at which casts and arithmetic overflow, and text that is none of what it should be.
+ODD = [
+    None, "", " ", "abc", "9" * 40, "-" + "9" * 40, "9" * 28, "1e308", "-1e308", "1e400", "1e-400", "NaN", "Infinity", "-0", "0", "1", "2", "-1", "0.5", "0x10", "1,234.5", "1.5.2", "12/31/9999", "0000-00-00",
+    "9999-12-31", "9999-12-31 23:59:99", "2024-02-30", "1/1/0001", "9223372036854775807", "9223372036854775808", "9007199254740993", "99999999999", "4000000", "-3999999", "32767", "ünï", "'; --", "\x00", "%", "Y", "2024-01-15",
+]
+CODES = {"A": 1, "": 9}
+ONE = {
+    "blank_to_null": c.blank_to_null, "nonblank": c.nonblank, "number": c.number, "to_double": c.to_double, "clamp_seconds": c.clamp_seconds, "to_datetime": c.to_datetime,
+    "to_bit": c.to_bit, "to_boolean": c.to_boolean, "fit": lambda v: c.fit(v, 3), "lookup": lambda v: c.lookup(v, CODES, 5, "upper"), "char_to_bit": lambda v: c.char_to_bit(v, {"Y": 1}),
+    "boolean_to_bit": lambda v: c.boolean_to_bit(v, {"true": 1}), "char_to_bit_flag": lambda v: c.char_to_bit_flag(v, {"Y": 1}), "enum_code": lambda v: c.enum_code(v, CODES), "no_codes": lambda v: c.enum_code(v, {}, 3),
+    "digits": c.digits, "digits_to_number": c.digits_to_number, "first_number": c.first_number, "default_now": lambda v: c.default_now(v, "2024-01-01 00:00:00"),
+    "squash_ws": c.squash_ws, "safe_int": c.safe_int, "safe_float": c.safe_float, "to_id": c.to_id, "strip_punct": lambda v: c.strip_punct(v, 4), "date_or": lambda v: c.date_or(v, "2024-01-01"),
+    "code_map": lambda v: c.code_map(v, [(["1"], 7)]), "last_n": lambda v: c.last_n(v, 4), "normal_bit": c.normal_bit, "meaningful": c.meaningful, "is_positive": c.is_positive,
+    "monthly": lambda v: c.monthly(c.number(v), F.lit("ANNUM"), {"ANNUM": (52, 12)}), "months": lambda v: c.months(c.safe_int(v), c.safe_int(v)), "display_name": lambda v: c.display_name(v, v),
+    "age_band": lambda v: c.age_band(c.date_or(v), "2024-01-01", [(30, "new")], "old"), "date_of": calculated.date_of,
+    **{f"to_int {t}": (lambda v, t=t: c.to_int(v, t)) for t in sorted(c.WHOLE)}, **{f"to_decimal {n}": (lambda v, n=n: c.to_decimal(v, n)) for n in (0, 2, 10, 20)},
+    **{f"cast_to {t}": (lambda v, t=t: c.cast_to(v, t)) for t in (*sorted(c.WHOLE), "integer", "decimal", "float", "datetime", "date", "bit", "boolean", "string", "strange")},
+    **{f"with_default {t}": (lambda v, t=t: c.with_default(v, "1", t)) for t in ("int", "decimal", "datetime")},
+}
+
+
+@pytest.mark.parametrize("name", sorted(ONE))
+def test_no_value_ends_the_job(spark, name):
+    """Whatever the text, a function gives a value or null: all values in one job."""
+    rows = spark.createDataFrame([(v,) for v in ODD], "a string")
+    assert len(rows.select(ONE[name](F.col("a")).cast("string").alias("v")).collect()) == len(ODD)
+
+
+@pytest.mark.parametrize("text", [
+    "a + b", "a - b", "a * b", "a / b", "a // b", "a % b", "a ** b", "-a ** -b", "a * a * a * b", "DATEADD(day, a, b)", "DATEADD(day, a * 1000000000, DATE(b))",
+    "CASE WHEN a < b THEN a WHEN a LIKE b THEN 1 WHEN DATE(a) >= b THEN a % 0 WHEN a IS EMPTY OR b IS NOT NULL THEN DATEADD(day, b, a) ELSE a // b END",
+])
+def test_no_expression_ends_the_job(spark, text):
+    if "LIKE b" in text:
+        text = text.replace("LIKE b", "LIKE '%1%'")
+    rows = spark.createDataFrame([(a, b) for a in ODD for b in ODD], "a string, b string")
+    assert len(rows.select(calculated.calc(text, F.col).cast("string").alias("v")).collect()) == len(ODD) ** 2
+
+
+def test_large_numbers_stay_right(spark):
+    row = spark.createDataFrame([("1e20", "7", "9007199254740993", "-7", "12.7", "-12.9")], "a string, b string, c string, d string, e string, f string")
+    calc = lambda text: calculated.calc(text, F.col)
+    got = row.select(
+        calc("a // 1").alias("floor"), calc("a % b").alias("mod"), calc("d % 3").alias("negative"), calc("b % d").alias("below"), c.safe_int(F.col("c")).alias("whole"), c.safe_int(F.col("f")).alias("cut"),
+        c.cast_to(F.col("e"), "decimal", 0).cast("string").alias("scale"), calc("DATEADD(day, 9999999999, '2024-01-01')").alias("far"), calc("DATEADD(day, -1, '2024-01-01')").alias("near"),
+    ).first()
+    assert tuple(got) == (1e20, float(10**20 % 7), 2.0, -0.0, 9007199254740993, -12, "13", None, "2023-12-31")
