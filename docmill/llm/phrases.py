@@ -25,13 +25,15 @@ from .pieces import gather, slices
 #: Words of a phrase at most, occurrences that it needs, and phrases that are shown for each language.
 WORDS, LEAST, SHOWN = 5, 100, 2000
 #: A chunk is cut before about each so-manieth pair of words.
-MEAN = 24
+MEAN = 48
 #: Bytes of text that are worked on at once; a longer text is a slice of its own.
 SLICE = 8 << 20
 #: Bits of a filter, as a power of two: 4 MB, whatever the size of the corpus.
 FILTER_BITS = 25
 #: Slices of a language in which the best phrases are found first.
 SLICES = 64
+#: Bits of a pair's hash that are shuffled.
+PAIR_BITS = 40
 UNKNOWN = "und"
 
 #: Bytes by what they are: separators of pieces become \n, blanks become spaces, A-Z become a-z.
@@ -86,10 +88,13 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (out ^ (out >> np.uint64(29))) * MIX[2] ^ (out >> np.uint64(32))
 
 
-def _langs(column: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """Each row's language as a place among the distinct ones, these, and their hashes."""
-    coded = column.dictionary_encode()
-    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary, _hashes(coded.dictionary)
+def _ranks(key: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys (whole numbers below size), in order, and each key's place among them."""
+    if size > 8 * len(key) + (1 << 20):
+        return np.unique(key, return_inverse=True)
+    there = np.zeros(size, bool)
+    there[key] = True
+    return np.flatnonzero(there), (np.cumsum(there) - 1)[key]
 
 
 def _sums(key: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -142,14 +147,28 @@ class Chunks:
     def __init__(self, lang: pa.Array, chunk: pa.Array, owned: np.ndarray, n: np.ndarray) -> None:
         w = self.words = Words(chunk)
         self.code, self.distinct = w.coded()
-        row, self.langs, hashes = _langs(lang)
-        self.lang = row[w.text]
+        coded = lang.dictionary_encode()
+        self.langs = coded.dictionary
+        self.lang = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)[w.text]
+        #: a number for each word in its language, and by that number its places in langs and distinct
+        named, self.term = _ranks(self.lang * len(self.distinct) + self.code, len(self.langs) * len(self.distinct))
+        self.terms = named // max(1, len(self.distinct)), named % max(1, len(self.distinct))
         self.weight = n[w.text]
         self.owned = np.arange(w.n) - np.searchsorted(w.text, w.text) < owned[w.text]
-        #: hash of a word in its language
-        self.hash = _pair(hashes[self.lang], _hashes(self.distinct)[self.code])
+        #: hash of each word in its language, as Spark's xxhash64(lang, word) gives it
+        self.term_hash = _term_hashes(self.langs, self.distinct, *self.terms)
+        self.hash = self.term_hash[self.term]
         self.together = np.append(w.piece[1:] == w.piece[:-1], False) if w.n else np.zeros(0, bool)
-        self.pair = _pair(self.hash, np.append(self.hash[1:], np.uint64(0))) if w.n else self.hash
+        #: hash of each word and the next one, of so many bits that pairs seldom share it
+        self.pair = _pair(self.hash, np.append(self.hash[1:], np.uint64(0))) >> np.uint64(64 - PAIR_BITS) if w.n else self.hash
+
+
+def _term_hashes(langs: pa.Array, words: pa.Array, lang: np.ndarray, word: np.ndarray) -> np.ndarray:
+    import xxhash
+
+    seeds = [xxhash.xxh64_intdigest(x, seed=42) for x in langs.to_pylist()]
+    texts = words.to_pylist()
+    return np.fromiter((xxhash.xxh64_intdigest(texts[w], seed=seeds[k]) for k, w in zip(lang.tolist(), word.tolist(), strict=True)), np.uint64, len(word))
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunks]:
@@ -164,14 +183,13 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunks]:
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, phrase, hash, n) of words."""
+    """(lang, phrase, n) of words."""
     for c in _slices(batches):
-        own = np.flatnonzero(c.owned)
-        first, n = _sums(c.lang[own] * len(c.distinct) + c.code[own], c.weight[own])
-        at = own[first]
-        yield pa.record_batch(
-            [c.langs.take(pa.array(c.lang[at])), c.distinct.take(pa.array(c.code[at])).cast(pa.string()), pa.array(c.hash[at].view(np.int64)), pa.array(n)], ["lang", "phrase", "hash", "n"],
-        )
+        n = np.zeros(len(c.term_hash), np.int64)
+        np.add.at(n, c.term[c.owned], c.weight[c.owned])
+        at = np.flatnonzero(n)
+        lang, word = (pa.array(x[at]) for x in c.terms)
+        yield pa.record_batch([c.langs.take(lang), c.distinct.take(word).cast(pa.string()), pa.array(n[at])], ["lang", "phrase", "n"])
 
 
 def _filter(hashes: DataFrame, name: str = "hash") -> np.ndarray:
@@ -204,7 +222,7 @@ def _pairs(frequent):
 
 
 def _phrases(frequent):
-    """(lang, phrase, words, n) of phrases of two and more words, all of whose pairs may be frequent."""
+    """(lang, phrase, n) of phrases of two and more words, all of whose pairs may be frequent."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = frequent.value
@@ -213,7 +231,7 @@ def _phrases(frequent):
             at = np.flatnonzero(c.owned & linked)
             # phrases that begin at the same place are numbered from the shorter to the longer one
             size = len(c.distinct)
-            group = c.lang[at] * size + c.code[at]
+            group = c.term[at]
             for k in range(2, WORDS + 1):
                 if not len(at):
                     break
@@ -221,7 +239,7 @@ def _phrases(frequent):
                 first, n = _sums(group, c.weight[at])
                 one = at[first]
                 text = pc.binary_join_element_wise(*[c.distinct.take(pa.array(c.code[one + j])) for j in range(k)], pa.scalar(" ", pa.large_string()))
-                yield pa.record_batch([c.langs.take(pa.array(c.lang[one])), text.cast(pa.string()), pa.array(np.full(len(one), k, np.int64)), pa.array(n)], ["lang", "phrase", "words", "n"])
+                yield pa.record_batch([c.langs.take(pa.array(c.lang[one])), text.cast(pa.string()), pa.array(n)], ["lang", "phrase", "n"])
                 if k < WORDS:
                     more = linked[at + k - 1]  # the last word of a phrase is never the last of all if it is linked to the next
                     at, group = at[more], group[more]
@@ -239,14 +257,14 @@ def frequencies(docs: DataFrame, least: int = LEAST, text: str = "text", lang: s
     """(phrases, totals): (lang, phrase, words, a) of all phrases of one to WORDS words with a >= least, and (lang, n): all words."""
     context = docs.sparkSession.sparkContext
     chunks = stage(dictionary(docs, text, lang), "phrase-chunks")
-    words = stage(chunks.mapInArrow(_words, "lang string, phrase string, hash long, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("a"), F.first("hash").alias("hash")), "phrase-words")
+    words = stage(chunks.mapInArrow(_words, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("a")), "phrase-words")
     totals = stage(words.groupBy("lang").agg(F.sum("a").alias("n")), "phrase-totals")
-    frequent = stage(words.filter(F.col("a") >= least), "phrase-frequent")
+    frequent = stage(words.filter(F.col("a") >= least).withColumn("hash", F.xxhash64("lang", "phrase")), "phrase-frequent")
     bits = context.broadcast(_filter(frequent))
     pairs = chunks.mapInArrow(_pairs(bits), "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     linked = context.broadcast(_filter(pairs))
-    counted = chunks.mapInArrow(_phrases(linked), "lang string, phrase string, words long, n long").groupBy("lang", "phrase").agg(F.first("words").alias("words"), F.sum("n").alias("a"))
-    all_ = frequent.select("lang", "phrase", F.lit(1).cast("long").alias("words"), "a").unionByName(counted.filter(F.col("a") >= least))
+    counted = chunks.mapInArrow(_phrases(linked), "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
+    all_ = frequent.select("lang", "phrase", F.lit(1).cast("long").alias("words"), "a").unionByName(counted.withColumn("words", F.size(F.split("phrase", " ")).cast("long")))
     out = stage(all_, "phrase-counts")
     discard(chunks, words, frequent)
     return out, totals
