@@ -26,12 +26,6 @@ def preferred_child(children: Column, type_field: str, type: str) -> Column:
     return F.try_element_at(F.filter(children, lambda x: F.trim(x[type_field]) == type), F.lit(-1))
 
 
-def preferred_or_last(children: Column, type_field: str, type: str, value: str) -> Column:
-    """The value of the first child of the type that has one, else of the last child."""
-    first = F.get(F.filter(children, lambda x: (F.trim(x[type_field]) == type) & nonblank(x[value])), 0)[value]
-    return F.coalesce(first, F.try_element_at(children, F.lit(-1))[value])
-
-
 def nth(df: DataFrame, keys: list[str], *order: str | Column) -> DataFrame:
     """The first row of each key in an order that must be total."""
     return df.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_nth = 1").drop("_nth")
@@ -58,3 +52,13 @@ def latest(df: DataFrame, by: str, order: str, value: str) -> DataFrame:
 
 def max_per(df: DataFrame, by: str, id: str) -> DataFrame:
     return df.groupBy(by).agg(F.max(id).alias(id))
+
+
+def settle(df: DataFrame, keys: list[str], *order: str | Column) -> DataFrame:
+    """One row of each key (null is a key): the first in an order, or without one the least by its columns, so the choice repeats. One aggregation."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    row = F.struct(*rest)
+    first = F.min_by(row, F.struct(*order, row.alias("_row"))) if order else F.min(row)
+    return df.groupBy(*keys).agg(first.alias("_first")).select(*[c if c in keys else F.col(f"_first.`{c}`") for c in df.columns])

@@ -162,10 +162,6 @@ def check_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
 
 
-def findings_schema() -> T.StructType:
-    return T.StructType([T.StructField("doc_id", T.LongType()), *[T.StructField(n, T.StringType()) for n in FINDING[1:]]])
-
-
 def require(df: DataFrame, id: str, table: str, column: str, default: object = None) -> tuple[DataFrame, DataFrame]:
     """(rows, findings) of a text column that must have a value: blank ones get the default; without one, they are findings and go."""
     value = F.nullif(F.trim(column), F.lit(""))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casts import nonblank
+from .sinks import absent
 
 
 def gap(source: DataFrame, log: DataFrame, scores: DataFrame, id: str) -> DataFrame:
@@ -29,6 +30,19 @@ def suspects(table: DataFrame, id: str, markers: dict[str, list[object]], source
     return table.select(id, F.array_join(items, ",").alias("reason")).filter("reason <> ''").join(source.select(id), id, "left_semi")
 
 
+def suspects_over(tables: dict[str, tuple[DataFrame, dict[str, list[object]]]], id: str, source: DataFrame) -> DataFrame:
+    """Ids of the source that have a fallback marker in any of several tables: (id, n, reasons as table.column, in order).
+
+    Each table is read once, whatever the number of its markers, and only ids and reasons are shuffled, once.
+    """
+    parts = []
+    for name, (df, markers) in tables.items():
+        items = [F.when(F.col(c).cast("string").isin([str(v) for v in vs]), F.lit(f"{name}.{c}")) for c, vs in markers.items()]
+        parts.append(df.select(F.col(id), F.explode(F.array_compact(F.array(*items))).alias("reason")))
+    marked = functools.reduce(DataFrame.unionByName, parts).groupBy(id).agg(F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_set("reason")), ",").alias("reasons"))  # as many as markers
+    return marked.join(source.select(id).distinct(), id, "left_semi")
+
+
 def verify_smells(stored: DataFrame, source: DataFrame, id: str, rules: dict[str, tuple[str, object]]) -> DataFrame:
     """For each stored marker: 'injected' where the source is blank, 'mapping failure' where it has a value.
 
@@ -90,18 +104,65 @@ def source_first_counts(expected: DataFrame, actual: DataFrame, id: str) -> Data
     return a.join(b, id, "left").select(id, "n_expected", F.coalesce("n_stored", F.lit(0)).alias("n_stored")).filter("n_expected <> n_stored")
 
 
+def _sides(sides: dict[str, tuple[DataFrame, list[str]]], keys: list[str]) -> DataFrame:
+    """A row for each key of any side (null is a key), with each side's columns, and whether it has the key: one shuffle, whatever their number.
+
+    Of several rows with one key in a side, each column has its largest value.
+    """
+    parts = [df.select(*keys, *cols, F.lit(True).alias(f"_{name}")) for name, (df, cols) in sides.items()]
+    every = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return every.groupBy(*keys).agg(*[F.max(c).alias(c) for c in every.columns if c not in keys])
+
+
 def reconcile(mapped: DataFrame, stored: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Every key of either side: PASS, FAIL (differs or missing) or WARN (stored beyond what mapping gives)."""
-    a = mapped.select(*keys, F.col(value).alias("mapped")).withColumn("_m", F.lit(True))
-    b = stored.select(*keys, F.col(value).alias("stored")).withColumn("_s", F.lit(True))
+    """Every key of either side (null is a key): PASS, FAIL (differs or missing) or WARN (stored beyond what mapping gives)."""
+    a = mapped.select(*keys, F.col(value).alias("mapped")).withColumn("_m", F.lit(True)).alias("a")
+    b = stored.select(*keys, F.col(value).alias("stored")).withColumn("_s", F.lit(True)).alias("b")
     out = F.when(F.col("_m").isNull(), "WARN extra").when(F.col("_s").isNull(), "FAIL missing").when(F.col("mapped").eqNullSafe(F.col("stored")), "PASS").otherwise("FAIL differs")
-    return a.join(b, keys, "full").select(*keys, "mapped", "stored", out.alias("outcome"))
+    on = functools.reduce(lambda x, y: x & y, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
+    key = [F.when(F.col("_m"), F.col(f"a.{k}")).otherwise(F.col(f"b.{k}")).alias(k) for k in keys]
+    return a.join(b, on, "full").select(*key, "mapped", "stored", out.alias("outcome"))
+
+
+def reconcile_source(source: DataFrame, mapped: DataFrame, stored: DataFrame, keys: list[str], zero_suffix: str = "_score") -> DataFrame:
+    """Source, mapped and stored key-value rows, side by side: (keys, attribute, expected, mapped, stored, outcome, cause, smell).
+
+    source has attribute, raw (its text) and expected (what should be stored, or null); mapped and stored have value.
+    PASS: the stored value is the expected one (cause 'not mapped' if mapping didn't make it, so something else did), or
+    there was nothing to store. FAIL: 'differs', 'not stored', or 'not mapped', which is why it isn't stored. WARN: a value
+    that gives no row, or rows beyond the source, stored ('extra') or only mapped ('mapped without source').
+    smell: a zero that was kept for an attribute whose name ends in a suffix, or a mapped value that the source doesn't give.
+    """
+    one = _sides({
+        "source": (source, ["attribute", "raw", "expected"]), "m": (mapped.withColumn("mapped", F.col("value").cast("string")), ["mapped"]),
+        "s": (stored.withColumn("stored", F.col("value").cast("string")), ["stored"]),
+    }, keys)
+    wants, has_m, has_s = F.col("expected").isNotNull(), F.col("_m").isNotNull(), F.col("_s").isNotNull()
+    made, kept = F.coalesce(F.col("mapped") == F.col("expected"), F.lit(False)), F.coalesce(F.col("stored") == F.col("expected"), F.lit(False))
+
+    def verdict(outcome: str, cause: str | None) -> Column:
+        return F.struct(F.lit(outcome).alias("outcome"), F.lit(cause).cast("string").alias("cause"))
+
+    both = (
+        F.when(wants & kept & made, verdict("PASS", None)).when(wants & kept, verdict("PASS", "not mapped")).when(wants & has_s, verdict("FAIL", "differs"))
+        .when(wants & made, verdict("FAIL", "not stored")).when(wants, verdict("FAIL", "not mapped")).when(has_s, verdict("WARN", "extra")).when(has_m, verdict("WARN", "mapped without source"))
+        .when(nonblank(F.col("raw")), verdict("WARN", "value gives no row")).otherwise(verdict("PASS", "nothing to store"))
+    )
+    zero = F.lower("attribute").endswith(zero_suffix) & (F.col("expected").try_cast("double") == 0)
+    smell = F.when(zero, "zero score").when(wants & has_m & ~made, "mapped value differs")
+    return one.withColumn("_o", both).select(*keys, "attribute", "expected", "mapped", "stored", "_o.outcome", "_o.cause", smell.alias("smell"))
+
+
+def outcome_counts(found: DataFrame, by: list[str]) -> DataFrame:
+    """Outcomes, causes and smells with their numbers, and the smallest and largest document, by some columns."""
+    id = found.columns[0]
+    return found.groupBy(*by, "outcome", "cause", "smell").agg(F.count("*").alias("n"), F.min(id).alias("first_id"), F.max(id).alias("last_id"))
 
 
 def missing_rows(expected: DataFrame, stored: DataFrame, log: DataFrame, keys: list[str]) -> DataFrame:
-    """Expected rows of successful documents that aren't stored."""
+    """Expected rows of successful documents that aren't stored; null keys are equal."""
     ok = log.filter("status = 'success'").select(keys[0])
-    return expected.join(ok, keys[0], "left_semi").join(stored.select(*keys), keys, "left_anti")
+    return absent(expected.join(ok, keys[0], "left_semi"), stored, keys)
 
 
 def collision_winner(source: DataFrame, stored: DataFrame, key: str, doc: str) -> DataFrame:

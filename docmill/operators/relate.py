@@ -24,12 +24,25 @@ def wide_row(base: DataFrame, ones: list[DataFrame], contacts: DataFrame, childr
     return out
 
 
-def decode_enums(df: DataFrame, enums: DataFrame, cols: dict[str, str]) -> DataFrame:
-    """Add the value of each code column (column to new name), by left joins with one code table."""
-    for col, name in cols.items():
-        names = enums.select(F.col("enum_id").alias(col), F.col("value").alias(name))
-        df = df.join(names, col, "left")
-    return df
+#: Codes that are decoded by one broadcast row; longer lists are joined.
+CODES = 100_000
+
+
+def decode_enums(df: DataFrame, enums: DataFrame, cols: dict[str, str], most: int = CODES) -> DataFrame:
+    """Add the value of each code column (column to new name); of several values with one code the smallest.
+
+    A list of at most `most` codes is one broadcast row that holds it as a map, so any number of columns is decoded by
+    expressions in one pass; a longer one is joined, once for each column.
+    """
+    names = enums.filter("enum_id is not null").groupBy("enum_id").agg(F.min("value").alias("value"))
+    if names.limit(most + 1).count() > most:
+        for col, name in cols.items():
+            df = df.join(names.select(F.col("enum_id").alias(col), F.col("value").alias(name)), col, "left")
+        return df
+    kind = dict(names.dtypes)["enum_id"]
+    codes = names.agg(F.map_from_entries(F.collect_list(F.struct("enum_id", "value"))).alias("_codes"))
+    wide = df.crossJoin(F.broadcast(codes))  # one row
+    return wide.withColumns({name: F.try_element_at("_codes", F.col(col).cast(kind)) for col, name in cols.items()}).drop("_codes")
 
 
 def audit_defaults(df: DataFrame, log: DataFrame, markers: dict[str, object], key: str) -> DataFrame:
@@ -38,6 +51,39 @@ def audit_defaults(df: DataFrame, log: DataFrame, markers: dict[str, object], ke
     return marked.join(log.select(key, "status"), key, "left")
 
 
+def audit_join(base: DataFrame, tables: dict[str, tuple[DataFrame, list[str], dict[str, object]]], key: str) -> DataFrame:
+    """Documents with a known default in any of several tables: base left joined to all of them, a row for each combination of their rows.
+
+    tables: name to (table, columns to show, markers). Shown columns are named name_column, and `defaults` lists those that
+    have their marker. Only documents with a marker somewhere are joined, so the join is as large as what it finds.
+    """
+    def has(markers: dict[str, object]) -> Column:
+        return functools.reduce(operator.or_, [F.col(c).cast("string") == str(v) for c, v in markers.items()])
+
+    hits = functools.reduce(DataFrame.unionByName, [df.filter(has(markers)).select(key) for df, _, markers in tables.values() if markers]).distinct()
+    out, tests = base.join(hits, key, "left_semi"), []
+    for name, (df, cols, markers) in tables.items():
+        shown = list(dict.fromkeys([*cols, *markers]))
+        out = out.join(df.select(key, *[F.col(c).alias(f"{name}_{c}") for c in shown]), key, "left")
+        tests += [F.when(F.col(f"{name}_{c}").cast("string") == str(v), f"{name}_{c}") for c, v in markers.items()]
+    return out.withColumn("defaults", F.array_join(F.array_compact(F.array(*tests)), ",")).filter("defaults <> ''")
+
+
+#: A key with more than this share of all rows is hot; there can be no more than 1 / HOT of them, so they may be broadcast.
+HOT = 0.002
+
+
+def semi_hot(df: DataFrame, keys: DataFrame, key: str, count: str, total: int) -> DataFrame:
+    """Rows of df whose key is in keys, which has a row for each and, in `count`, about how many rows of df it has.
+
+    Rows of a hot key stay where they are; the others are joined by a shuffle.
+    """
+    hot = F.broadcast(keys.filter(F.col(count) > HOT * total).select(key))
+    few = df.join(hot, key, "left_semi")
+    rest = df.join(hot, key, "left_anti").join(keys.filter(F.col(count) <= HOT * total).select(key), key, "left_semi")
+    return few.unionByName(rest)
+
+
 def with_parent(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return child.join(parent.select(key), key, "left_semi")
 

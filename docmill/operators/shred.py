@@ -100,6 +100,11 @@ def xml_value(c: Column, xpath: str, type: str, well_formed: Column) -> Column:
     return F.xpath_string(F.when(well_formed, c), F.lit(xpath)).try_cast(type)
 
 
+def tail_text(c: Column, xpath: str, well_formed: Column) -> Column:
+    """The text that follows the first element at an XPath, up to the next element; trimmed, and null where there is none."""
+    return F.nullif(F.trim(F.xpath_string(F.when(well_formed, c), F.lit(f"({xpath})[1]/following-sibling::node()[1][self::text()]"))), F.lit(""))
+
+
 def has_tag(c: Column, tag: str) -> Column:
     return F.contains(c, F.lit(f"<{tag}"))
 

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .pick import keep_last
+from .pick import keep_last, settle
 
 #: The column that says which run has written a row.
 RUN = "_run_id"
@@ -24,14 +24,24 @@ def union_columns(*frames: DataFrame) -> DataFrame:
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def insert_absent(new: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
-    """The stored rows, and new ones whose key isn't stored: the first writer wins."""
-    return union_columns(stored, new.join(stored.select(*keys), keys, "left_anti"))
+def absent(new: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
+    """New rows whose key isn't stored; null keys are equal."""
+    a, b = new.alias("a"), stored.select(*keys).alias("b")
+    on = functools.reduce(lambda x, y: x & y, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
+    return a.join(b, on, "left_anti")
+
+
+def insert_absent(new: DataFrame, stored: DataFrame, keys: list[str], *order: str) -> DataFrame:
+    """The stored rows, and new ones whose key isn't stored: the first writer wins, of new rows with one key the first in `order` (see settle())."""
+    return union_columns(stored, absent(settle(new, keys, *order), stored, keys))
 
 
 def upsert(new: DataFrame, stored: DataFrame, keys: list[str], values: list[str], pos: str | None = None) -> DataFrame:
-    """The state after an upsert: null-safe keys; only values that a new row has are set; of new rows with one key the last counts."""
-    last = keep_last(new, keys, pos).drop(pos) if pos else new
+    """The state after an upsert: null-safe keys; only values that a new row has are set; of new rows with one key the last counts.
+
+    Without `pos` new rows with one key have no order, so each value is the largest of theirs.
+    """
+    last = keep_last(new, keys, pos).drop(pos) if pos else new.groupBy(*keys).agg(*[F.max(v).alias(v) for v in values])
     a, b = stored.alias("a"), last.alias("b")
     on = functools.reduce(lambda x, y: x & y, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
     both = a.withColumn("_a", F.lit(True)).alias("a").join(b.withColumn("_b", F.lit(True)).alias("b"), on, "full")
@@ -40,8 +50,8 @@ def upsert(new: DataFrame, stored: DataFrame, keys: list[str], values: list[str]
 
 
 def backfill(expected: DataFrame, stored: DataFrame, keys: list[str], apply: bool) -> DataFrame:
-    """Missing rows only: the new state, or (a dry run) how many would be inserted."""
-    missing = expected.join(stored.select(*keys), keys, "left_anti")
+    """Missing rows only, each key once: the new state, or (a dry run) how many would be inserted."""
+    missing = absent(settle(expected, keys), stored, keys)
     return stored.unionByName(missing) if apply else missing.agg(F.count("*").alias("would_insert"), F.min(keys[0]).alias("first_id"))
 
 

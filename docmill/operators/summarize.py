@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.staging import staged
+
 
 def long_form(one: DataFrame, names: list[str], value: str, key: str = "column_name") -> DataFrame:
     """A single row's columns as rows."""
@@ -96,38 +98,56 @@ def run_rollup(metrics: DataFrame) -> DataFrame:
     )
 
 
-def medians(df: DataFrame, by: list[str], value: str, bins: int = 1024) -> DataFrame:
-    """The exact median of each group, without a group in one task or buffer.
+#: How fine the sketch is that brackets a median: its ranks are off by at most a group's rows over this.
+ACCURACY = 10_000
+
+
+def brackets(df: DataFrame, by: list[str], value: str, accuracy: int = ACCURACY, **more: Column) -> DataFrame:
+    """(_k, _n, _lo, _hi, more): each group's number of values, and two values around its middle, from one mergeable sketch."""
+    share, v = 4 / accuracy, F.col(value).cast("double")
+    ends = F.array(F.min(v), F.max(v)) if share >= 0.5 else F.percentile_approx(v, F.array(F.lit(0.5 - share), F.lit(0.5 + share)), F.lit(accuracy))
+    one = df.groupBy(F.struct(*by).alias("_k")).agg(F.count(value).alias("_n"), ends.alias("_e"), *[c.alias(n) for n, c in more.items()])
+    return one.select("_k", "_n", F.get("_e", F.lit(0)).alias("_lo"), F.get("_e", F.lit(1)).alias("_hi"), *more)
+
 
-    Values are counted by bins between a group's least and largest; only those of the bins that hold the middle are
-    ordered. A group may have null keys; null values don't count.
+def middle_values(df: DataFrame, by: list[str], value: str, ends: DataFrame) -> DataFrame:
+    """(_k, _n, _v, _c): the distinct values inside of each group's bracket, and how often each occurs; all smaller ones are one row, with a null.
+
+    How values are spread doesn't matter: a bracket has a thousandth of a group's rows, or values that fill it.
     """
-    rows = df.filter(F.col(value).isNotNull()).select(F.struct(*by).alias("_k"), F.col(value).cast("double").alias("_v"))
-    ends = rows.groupBy("_k").agg(F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    place = F.floor(F.coalesce(F.try_divide(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0)) * bins)
-    counts = rows.join(ends, "_k").groupBy("_k", "_n", F.least(place, F.lit(bins - 1)).alias("_bin"), "_v").agg(F.count("*").alias("_c"))
-    held = counts.groupBy("_k", "_n", "_bin").agg(F.sum("_c").alias("_c"))
-    before = F.sum("_c").over(Window.partitionBy("_k").orderBy("_bin")) - F.col("_c")  # bins of a group at most
+    rows = df.filter(F.col(value).isNotNull()).select(F.struct(*by).alias("_k"), F.col(value).cast("double").alias("_v")).join(ends.select("_k", "_n", "_lo", "_hi"), "_k")
+    return rows.filter("_v <= _hi").groupBy("_k", "_n", F.expr("if(_v >= _lo, _v, null)").alias("_v")).agg(F.count("*").alias("_c"))
+
 
-    def has(rank: Column) -> Column:
-        return (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_c"))
+def _with_medians(df: DataFrame, by: list[str], value: str, accuracy: int, **more: Column) -> DataFrame:
+    ends = brackets(df, by, value, accuracy, **more)
+    order = Window.partitionBy("_k").orderBy(F.col("_v").asc_nulls_first())
+    placed = middle_values(df, by, value, ends).withColumn("_before", F.sum("_c").over(order) - F.col("_c"))
 
-    ranks = (F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2))
-    middle = held.withColumn("_before", before).filter(has(ranks[0]) | has(ranks[1])).select("_k", "_bin", F.col("_before").alias("_base"))
-    inside = counts.join(middle, ["_k", "_bin"])
-    order = Window.partitionBy("_k", "_bin").orderBy("_v")
-    placed = inside.withColumn("_before", F.col("_base") + F.sum("_c").over(order) - F.col("_c"))
-    two = placed.groupBy("_k").agg(*[F.max(F.when(has(r), F.col("_v"))).alias(n) for n, r in zip(("_a", "_b"), ranks, strict=True)])
-    return two.select("_k.*", (F.col("_a") + (F.col("_b") - F.col("_a")) * 0.5).alias("median"))
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_c")), F.col("_v")))
+
+    two = placed.groupBy("_k").agg(at(F.floor((F.col("_n") - 1) / 2)).alias("_a"), at(F.floor(F.col("_n") / 2)).alias("_b"))
+    found = F.col("_a") + (F.col("_b") - F.col("_a")) * 0.5
+    median = F.when((F.col("_n") > 0) & found.isNull(), F.raise_error("the sketch missed a median")).otherwise(found)
+    return ends.join(two, "_k", "left").select("_k.*", "_n", *more, median.alias("median"))
+
+
+def medians(df: DataFrame, by: list[str], value: str, accuracy: int = ACCURACY) -> DataFrame:
+    """The exact median of each group, without a group in one task or buffer.
+
+    A sketch brackets the middle, and only the values in the bracket are counted and ordered. A group may have null keys; null
+    values don't count. The input is read twice, so it should be a table.
+    """
+    return _with_medians(df, by, value, accuracy).filter("_n > 0").drop("_n")
 
 
 def stage_stats(times: DataFrame, by: list[str], value: str) -> DataFrame:
-    """Count, mean, median, spread and its class of stage times."""
+    """Count, mean, median, spread and its class of stage times. All but the median come with its sketch, from one pass."""
     mean, sd = F.avg(value), F.stddev_samp(value)
     spread = F.when(F.try_divide(sd, mean) < 0.1, "stable").when(F.try_divide(sd, mean) < 0.5, "varied").otherwise("erratic")
-    plain = times.groupBy(*by).agg(F.count(value).alias("n"), F.round(mean, 4).alias("mean"), F.round(sd, 4).alias("sd"), spread.alias("spread"))
-    middle = medians(times, by, value).select(F.struct(*by).alias("_k"), "median")
-    return plain.withColumn("_k", F.struct(*by)).join(middle, "_k", "left").select(*by, "n", "mean", F.round("median", 4).alias("median"), "sd", "spread")
+    all_ = _with_medians(times, by, value, ACCURACY, n=F.count(value), mean=F.round(mean, 4), sd=F.round(sd, 4), spread=spread)
+    return all_.select(*by, "n", "mean", F.round("median", 4).alias("median"), "sd", "spread")
 
 
 def chunk_trend(chunks: DataFrame, by: str, order: str, value: str) -> DataFrame:
@@ -150,6 +170,22 @@ def key_collisions(df: DataFrame, key: str, doc: str, examples: int = 10) -> Dat
     return df.groupBy(key).agg(F.countDistinct(doc).alias("n_docs"), F.min(doc).alias("first_doc"), F.max(doc).alias("last_doc")).filter("n_docs > 1")
 
 
+def collision_documents(df: DataFrame, key: str, doc: str) -> DataFrame:
+    """(key, n_docs, doc, nth): every document of each key that more than one has, in order of the documents. Null keys are none.
+
+    A row for each document, never a list. Pairs are dealt in ranges, so a key that most documents share is many tasks'
+    work: a document's place is its place in its range, after those of the ranges before.
+    """
+    pairs = df.filter(F.col(key).isNotNull()).select(F.col(key), F.col(doc)).distinct()
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = staged(pairs.repartitionByRange(n, key, doc).withColumn("_range", F.spark_partition_id()), "collisions")
+    parts = ranged.groupBy(key, "_range").agg(F.count("*").alias("_c"))  # a key's ranges, n at most
+    whole = Window.partitionBy(key)
+    sizes = parts.select(key, "_range", F.sum("_c").over(whole).alias("n_docs"), (F.sum("_c").over(whole.orderBy("_range")) - F.col("_c")).alias("_before")).filter("n_docs > 1")
+    place = F.row_number().over(Window.partitionBy(key, "_range").orderBy(doc))
+    return ranged.join(sizes, [key, "_range"]).withColumn("nth", F.col("_before") + place).select(key, "n_docs", doc, "nth")
+
+
 def never_populated(tables: dict[str, DataFrame]) -> DataFrame:
     """Columns that are null in every row, over many tables: one aggregation for each."""
     parts = [long_form(df.agg(*[F.count(c).alias(c) for c in df.columns]), df.columns, "n").withColumn("table_name", F.lit(n)) for n, df in tables.items()]

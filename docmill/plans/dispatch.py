@@ -57,6 +57,65 @@ def pick(kind: str, m: Mapping, contract: Contract, at: dict[str, str]) -> Colum
     return F.coalesce(F.get(F.filter(among, lambda x: casts.nonblank(x[name])), 0)[name], _last(among)[name])
 
 
+#: Kinds of key-value mapping types, and the columns of their tables that are a row's name and value.
+KV_KINDS = {"add_score": ("score_identifier", "score"), "add_indicator": ("indicator", "value"), "add_history": ("name", "value"), "add_report_lookup": ("name", "value")}
+
+
+def kv_mappings(contract: Contract, name: str) -> list[tuple[Mapping, str, str | None]]:
+    """(mapping, kind, what stands in its brackets) of a key-value table's mappings that can make a row."""
+    out = []
+    for m in contract.mappings:
+        kind, of = next((type_name(t) for t in m.mapping_type if type_name(t)[0] in KV_KINDS), ("", None))
+        if m.target_table == name and m.xml_attribute and kind and (of or kind in ("add_history", "add_report_lookup")):
+            out.append((m, kind, of))
+    return out
+
+
+def kv_source(rows: DataFrame, contract: Contract, names: list[str], at: dict[str, str], id: str = "doc_id") -> DataFrame:
+    """What a contract's key-value mappings should make of each document, straight from its attributes, in one pass.
+
+    (id, table_name, name, source, attribute, raw, expected), a row for each mapping: raw is the attribute's text, expected
+    the value that should be stored, null where none should. name and source are the stored row's key.
+    """
+    items = []
+    for table_name in names:
+        for m, kind, of in kv_mappings(contract, table_name):
+            raw = source(m, contract, at)
+            last = m.xml_path.rstrip("/").rsplit("/", 1)[-1]
+            name = {"add_history": f"[{m.xml_attribute}]", "add_report_lookup": m.xml_attribute}.get(kind, of)
+            value = F.when(casts.meaningful(raw), raw)
+            if kind == "add_score":
+                value = F.round(F.trim(raw).try_cast("decimal(38,10)"), 0).try_cast("int").cast("string")
+            elif kind == "add_indicator":
+                value = F.when(F.lower(raw).isin("y", "yes", "true", "t", "1"), "1")
+            items.append(F.struct(
+                F.lit(table_name).alias("table_name"), F.lit(name).alias("name"), F.lit(f"[{last}]" if kind == "add_history" else None).cast("string").alias("source"),
+                F.lit(m.xml_attribute).alias("attribute"), raw.alias("raw"), value.alias("expected"),
+            ))
+    return rows.select(id, F.explode(F.array(*items)).alias("_x")).select(id, "_x.*")
+
+
+def kv_side(df: DataFrame, table_name: str, id: str = "doc_id") -> DataFrame:
+    """Rows of a key-value table, mapped or stored, as (id, table_name, name, source, value)."""
+    name, value = next((n, v) for n, v in KV_KINDS.values() if n in df.columns and v in df.columns)
+    origin = F.col("source") if "source" in df.columns else F.lit(None).cast("string")
+    return df.select(id, F.lit(table_name).alias("table_name"), F.col(name).alias("name"), origin.alias("source"), F.col(value).cast("string").alias("value"))
+
+
+def kv_issues(contract: Contract, tables: dict[str, str]) -> list[tuple[str, str, str]]:
+    """(table, attribute, what is odd) of key-value mappings: a type that its table doesn't take, or a score kept as history. tables: name to kind."""
+    out = []
+    for m in contract.mappings:
+        if m.target_table not in tables:
+            continue
+        want = tables[m.target_table]
+        if want not in {type_name(t)[0] for t in m.mapping_type}:
+            out.append((m.target_table, m.xml_attribute, f"no {want} among its mapping types"))
+        if want == "add_history" and m.xml_attribute.lower().endswith("_score"):
+            out.append((m.target_table, m.xml_attribute, "a score that is kept as history"))
+    return out
+
+
 def record_rows(rows: DataFrame, contract: Contract, name: str, at: dict[str, str], id: str = "doc_id", amounts: tuple[str, ...] = ("wholesale_value",)) -> DataFrame:
     """The rows that a contract's row-creating mapping types make for a table, in one pass over shredded documents.
 

@@ -97,3 +97,18 @@ def wide_application(t):
     return relate.decode_enums(rows, t.enums, {"home": "nation", "away": "supplier_nation"}).select(
         "app_id", "c_name", "nation", "p_name", "s_name", "supplier_nation", "con_id", "pos",
     )
+
+
+#: Eighteen coded columns of a wide row, each with a code list of its own order.
+LOOKUPS = {f"code_{i:02d}": f"(o_orderkey * {i} + c_nationkey) % {20 + i}" for i in range(1, 19)}
+
+
+@query(
+    "wide_decoded",
+    f"WITH w AS (SELECT o_orderkey AS app_id, c_name, {', '.join(f'{e} AS {n}' for n, e in LOOKUPS.items())} FROM orders JOIN customer ON c_custkey = o_custkey) SELECT app_id, c_name, "
+    f"{', '.join(f'{n}_t.value AS {n}_name' for n in LOOKUPS)} FROM w {' '.join(f'LEFT JOIN enums {n}_t ON {n}_t.enum_id = w.{n}' for n in LOOKUPS)}",
+)
+def wide_decoded(t):
+    """A wide row with eighteen codes, all decoded in one pass by one broadcast row."""
+    rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(F.col("o_orderkey").alias("app_id"), "c_name", *[F.expr(e).alias(n) for n, e in LOOKUPS.items()])
+    return relate.decode_enums(rows, t.enums, {n: f"{n}_name" for n in LOOKUPS}).select("app_id", "c_name", *[f"{n}_name" for n in LOOKUPS])

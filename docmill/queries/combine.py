@@ -42,6 +42,32 @@ def default_audit_join(t):
     return r.audit_defaults(t.codes, t.log, {"state": "XX", "zip": "00000", "priority_code": "UNKNOWN"}, "app_id").select("app_id", "state", "zip", "status")
 
 
+@query(
+    "default_audit_all",
+    "WITH c AS (SELECT app_id, state, zip, priority_code FROM codes), b AS (SELECT app_id, con_id, line FROM contacts WHERE pos = 0), f AS (SELECT app_id, con_id AS first_con, supp FROM contacts WHERE pos = 0), "
+    "u AS (SELECT o_orderkey AS app_id, c_mktsegment FROM orders JOIN customer ON c_custkey = o_custkey), s AS (SELECT f.app_id, s_nationkey FROM f JOIN supplier ON s_suppkey = supp), "
+    "p AS (SELECT f.app_id, p_size FROM f JOIN part ON p_partkey = first_con), e AS (SELECT app_id, value FROM stored WHERE name = 'extra'), x AS (SELECT app_id, value FROM expected WHERE name = 'alpha') "
+    "SELECT o_orderkey AS app_id, o_orderstatus, c.state AS codes_state, c.zip AS codes_zip, c.priority_code AS codes_priority_code, b.con_id AS contact_con_id, b.line AS contact_line, l.status AS log_status, "
+    "u.c_mktsegment AS customer_c_mktsegment, s.s_nationkey AS supplier_s_nationkey, p.p_size AS part_p_size, e.value AS extra_value, x.value AS alpha_value, concat_ws(',', CASE WHEN state = 'XX' THEN 'codes_state' "
+    "END, CASE WHEN zip = '00000' THEN 'codes_zip' END, CASE WHEN priority_code = 'UNKNOWN' THEN 'codes_priority_code' END, CASE WHEN s_nationkey = 3 THEN 'supplier_s_nationkey' END, CASE WHEN p_size = 1 THEN "
+    "'part_p_size' END, CASE WHEN e.value = 7 THEN 'extra_value' END) AS defaults FROM orders LEFT JOIN c ON c.app_id = o_orderkey LEFT JOIN b ON b.app_id = o_orderkey LEFT JOIN log l ON l.app_id = o_orderkey "
+    "LEFT JOIN u ON u.app_id = o_orderkey LEFT JOIN s ON s.app_id = o_orderkey LEFT JOIN p ON p.app_id = o_orderkey LEFT JOIN e ON e.app_id = o_orderkey LEFT JOIN x ON x.app_id = o_orderkey WHERE state = 'XX' OR "
+    "zip = '00000' OR priority_code = 'UNKNOWN' OR s_nationkey = 3 OR p_size = 1 OR e.value = 7",
+)
+def default_audit_all(t):
+    """Eight tables beside a document's base row, where any of four has a known default."""
+    base = t.orders.select(F.col("o_orderkey").alias("app_id"), "o_orderstatus", F.col("o_custkey").alias("_cust"))
+    first = t.contacts.filter("pos = 0")
+    by = lambda other, key, on, col: first.join(other.select(F.col(key).alias(on), col), on).select("app_id", col)
+    tables = {
+        "codes": (t.codes, ["state", "zip", "priority_code"], {"state": "XX", "zip": "00000", "priority_code": "UNKNOWN"}), "contact": (first, ["con_id", "line"], {}), "log": (t.log, ["status"], {}),
+        "customer": (base.join(t.customer.select(F.col("c_custkey").alias("_cust"), "c_mktsegment"), "_cust").select("app_id", "c_mktsegment"), ["c_mktsegment"], {}),
+        "supplier": (by(t.supplier, "s_suppkey", "supp", "s_nationkey"), ["s_nationkey"], {"s_nationkey": 3}), "part": (by(t.part, "p_partkey", "con_id", "p_size"), ["p_size"], {"p_size": 1}),
+        "extra": (t.stored.filter("name = 'extra'"), ["value"], {"value": 7}), "alpha": (t.expected.filter("name = 'alpha'"), ["value"], {}),
+    }
+    return r.audit_join(base.drop("_cust"), tables, "app_id")
+
+
 @query("orphan_guard", "SELECT app_id, pos FROM contacts WHERE app_id IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')")
 def orphan_guard(t):
     parents = t.orders.filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("app_id"))

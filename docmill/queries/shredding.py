@@ -184,6 +184,16 @@ def element_text(t):
     return rows.select("doc_id", s.element_text("d.e").alias("v"))
 
 
+@query("tail_text", "SELECT o_orderkey AS doc_id, CASE WHEN o_orderkey % 4 = 1 THEN NULL WHEN o_orderkey % 4 <> 3 THEN o_orderpriority END AS tail FROM orders")
+def tail_text(t):
+    """Text behind an element: before the next one, before the parent's end, none, or a malformed document."""
+    k, p = F.col("o_orderkey") % 4, F.col("o_orderpriority")
+    text = F.when(k == 0, F.concat(F.lit("<r><e>x</e> "), p, F.lit(" <e>y</e>z</r>"))).when(k == 1, F.concat(F.lit("<r>"), p, F.lit("<e>x</e></r>"))).when(k == 2, F.concat(F.lit("<r><e/>"), p, F.lit("</r>")))
+    docs = t.orders.select(F.col("o_orderkey").alias("doc_id"), text.otherwise("<r><e></r>").alias("xml"))
+    parsed = F.from_xml("xml", s.with_corrupt(s.schema_of({"e": [{"_VALUE": TEXT}]})), s.PERMISSIVE)["_corrupt_record"].isNull()
+    return docs.select("doc_id", s.tail_text(F.col("xml"), "/r/e", parsed).alias("tail"))
+
+
 @query(
     "explode_contacts",
     "SELECT app_id, pos, con_id, CASE role WHEN 'A' THEN 10 WHEN 'N' THEN 11 WHEN 'R' THEN 12 END AS role_enum, "
@@ -311,6 +321,22 @@ def first_by_id(t):
     return d.first_by_id(t.contacts, "app_id", "pos").select("app_id", "con_id")
 
 
+@query(
+    "metrics_nested",
+    "SELECT batch, run AS stage, count(*) AS n, round(sum(seconds), 4) AS seconds FROM metrics WHERE batch <> 3 GROUP BY batch, run",
+)
+def metrics_nested(t):
+    """Nested run files, one JSON object over many lines for each session's chunk; a pattern leaves a session out."""
+    path = shared_path(t.spark, "run-files")
+    item = F.struct(F.struct(F.col("item").alias("id"), F.col("run").alias("stage")).alias("work"), F.col("seconds"))
+    runs = t.metrics.groupBy("batch", "chunk").agg(F.collect_list(item).alias("items"))
+    text = F.to_json(F.struct(F.struct(F.concat(F.lit("session_"), "batch").alias("name"), "batch").alias("session"), F.struct("chunk", "items").alias("results")), {"pretty": "true"})
+    runs.select(F.concat(F.lit("session_"), "batch").alias("name"), text.alias("value")).repartition("name", "value").write.partitionBy("name").option("lineSep", "\n\n").text(path)
+    schema = T.StructType.fromDDL("session struct<name: string, batch: int>, results struct<chunk: bigint, items: array<struct<work: struct<id: bigint, stage: string>, seconds: double>>>")
+    rows = d.read_runs(t.spark, f"{path}/name=session_[012]", schema).select("session.batch", F.explode("results.items").alias("i"))
+    return rows.groupBy("batch", F.col("i.work.stage").alias("stage")).agg(F.count("*").alias("n"), F.round(F.sum("i.seconds"), 4).alias("seconds"))
+
+
 @query("metrics_scan", "SELECT run, count(*) AS n, round(sum(seconds), 4) AS seconds FROM metrics WHERE batch IN (1, 2) GROUP BY run")
 def metrics_scan(t):
     """Run metrics as JSON folders by batch, of which a pattern picks two."""

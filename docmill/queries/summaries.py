@@ -6,6 +6,10 @@ from pyspark.sql import functions as F
 
 from ..operators import reconcile as rec
 from ..operators import summarize as z
+from ..plans.contract import Contract, Mapping, parse
+from ..plans.dispatch import kv_side, kv_source, record_rows
+from ..sources.staging import staged
+from . import shredding as x
 from .base import query
 
 COLS = ["status_code", "priority_code", "amount", "zip"]
@@ -150,6 +154,15 @@ def key_collisions(t):
     return z.key_collisions(t.contacts, "con_id", "app_id")
 
 
+@query(
+    "collision_documents",
+    "SELECT con_id, app_id, n_docs, nth FROM (SELECT con_id, app_id, count(*) OVER (PARTITION BY con_id) AS n_docs, row_number() OVER (PARTITION BY con_id ORDER BY app_id) AS nth "
+    "FROM (SELECT DISTINCT con_id, app_id FROM contacts) c) d WHERE n_docs > 1",
+)
+def collision_documents(t):
+    return z.collision_documents(t.contacts, "con_id", "app_id")
+
+
 @query("never_populated", "SELECT 'codes' AS table_name, 'never' AS column_name FROM codes HAVING count(never) = 0")
 def never_populated(t):
     return z.never_populated({"codes": t.codes, "log": t.log})
@@ -190,6 +203,23 @@ def suspect_scan(t):
     return rec.suspects(t.codes, "app_id", {"state": ["XX", "MISSING"], "zip": ["00000"]}, t.contacts.select("app_id"))
 
 
+@query(
+    "suspect_scan_all",
+    "WITH m AS (SELECT app_id, 'codes.state' AS reason FROM codes WHERE state IN ('XX', 'MISSING') UNION ALL SELECT app_id, 'codes.zip' FROM codes WHERE zip = '00000' UNION ALL SELECT app_id, "
+    "'codes.priority_code' FROM codes WHERE priority_code = 'UNKNOWN' UNION ALL SELECT app_id, 'contact.line' FROM contacts WHERE line = 'F' AND role = 'R' UNION ALL SELECT app_id, 'log.status' FROM log WHERE "
+    "status = 'failed' UNION ALL SELECT app_id, 'stored.name' FROM stored WHERE name = 'extra') SELECT app_id, count(*) AS n, string_agg(DISTINCT reason, ',' ORDER BY reason) AS reasons FROM m WHERE app_id IN "
+    "(SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') GROUP BY app_id",
+)
+def suspect_scan_all(t):
+    """Markers in four tables, merged by document."""
+    source = t.orders.filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("app_id"))
+    catalogue = {
+        "codes": (t.codes, {"state": ["XX", "MISSING"], "zip": ["00000"], "priority_code": ["UNKNOWN"]}), "contact": (t.contacts.filter("role = 'R'"), {"line": ["F"]}),
+        "log": (t.log, {"status": ["failed"]}), "stored": (t.stored, {"name": ["extra"]}),
+    }
+    return rec.suspects_over(catalogue, "app_id", source)
+
+
 @query(
     "smell_verify",
     "SELECT app_id, 'state' AS field, CASE WHEN coalesce(trim(txt), '') <> '' THEN 'mapping failure' ELSE 'injected' END "
@@ -271,6 +301,64 @@ def kv_reconcile(t):
     return rec.reconcile(t.expected, t.stored, ["app_id", "name"], "value")
 
 
+RAW = "CASE WHEN id % 3 <> 1 THEN CAST(id % 850 AS BIGINT) END"
+NUMBER = "CAST(round(try_cast(trim(num) AS DECIMAL(28,6)), 0) AS BIGINT)"
+KV_SQL = (
+    f"WITH s AS (SELECT id AS doc_id, 'scores' AS table_name, 'A_SCORE' AS name, CAST(NULL AS STRING) AS source, 'score_a' AS attribute, trim(num) AS raw, CAST({NUMBER} AS STRING) AS expected FROM raw "
+    f"UNION ALL SELECT id, 'scores', 'B_SCORE', NULL, 'score_b', CAST({RAW} AS STRING), CAST({RAW} AS STRING) FROM raw "
+    f"UNION ALL SELECT id, 'history', '[score_b]', '[application]', 'score_b', CAST({RAW} AS STRING), CAST({RAW} AS STRING) FROM raw), "
+    "m AS (SELECT doc_id, table_name, name, source, CASE WHEN doc_id % 37 = 0 THEN concat(expected, '9') ELSE expected END AS mapped FROM s WHERE expected IS NOT NULL AND doc_id % 13 <> 0 "
+    "UNION ALL SELECT id, 'scores', 'C_SCORE', NULL, '5' FROM raw WHERE id % 41 = 0), "
+    "d AS (SELECT doc_id, table_name, name, source, CASE WHEN doc_id % 23 = 0 THEN concat(expected, '1') ELSE expected END AS stored FROM s WHERE expected IS NOT NULL AND doc_id % 10 <> 3 AND doc_id % 26 <> 0 "
+    "UNION ALL SELECT id, 'history', '[other]', '[application]', 'x' FROM raw WHERE id % 29 = 0), "
+    "k AS (SELECT doc_id, table_name, name, source FROM s UNION SELECT doc_id, table_name, name, source FROM m UNION SELECT doc_id, table_name, name, source FROM d), "
+    "j AS (SELECT k.*, s.attribute, s.raw, s.expected, m.mapped, d.stored, m.doc_id IS NOT NULL AS has_m, d.doc_id IS NOT NULL AS has_d FROM k "
+    "LEFT JOIN s ON s.doc_id = k.doc_id AND s.table_name = k.table_name AND s.name = k.name AND s.source IS NOT DISTINCT FROM k.source "
+    "LEFT JOIN m ON m.doc_id = k.doc_id AND m.table_name = k.table_name AND m.name = k.name AND m.source IS NOT DISTINCT FROM k.source "
+    "LEFT JOIN d ON d.doc_id = k.doc_id AND d.table_name = k.table_name AND d.name = k.name AND d.source IS NOT DISTINCT FROM k.source), "
+    "o AS (SELECT *, CASE WHEN expected IS NOT NULL AND stored = expected AND mapped = expected THEN 1 WHEN expected IS NOT NULL AND stored = expected THEN 2 WHEN expected IS NOT NULL AND has_d THEN 3 "
+    "WHEN expected IS NOT NULL AND mapped = expected THEN 4 WHEN expected IS NOT NULL THEN 5 WHEN has_d THEN 6 WHEN has_m THEN 7 WHEN trim(raw) <> '' THEN 8 ELSE 9 END AS c FROM j) "
+    "SELECT doc_id, table_name, name, source, attribute, expected, mapped, stored, CASE WHEN c IN (1, 2, 9) THEN 'PASS' WHEN c <= 5 THEN 'FAIL' ELSE 'WARN' END AS outcome, "
+    "CASE c WHEN 2 THEN 'not mapped' WHEN 3 THEN 'differs' WHEN 4 THEN 'not stored' WHEN 5 THEN 'not mapped' WHEN 6 THEN 'extra' WHEN 7 THEN 'mapped without source' WHEN 8 THEN 'value gives no row' "
+    "WHEN 9 THEN 'nothing to store' END AS cause, CASE WHEN attribute = 'score_b' AND expected = '0' THEN 'zero score' WHEN expected IS NOT NULL AND has_m AND coalesce(mapped <> expected, TRUE) THEN "
+    "'mapped value differs' END AS smell FROM o"
+)
+
+
+KV = Contract(x.ROOT, x.APP, [x.CONTACT], [
+    Mapping(x.APP, "score_a", "scores", "", "int", None, ["add_score(A_SCORE)"]), Mapping(x.APP, "score_b", "scores", "", "int", None, ["add_score(B_SCORE)"]),
+    Mapping(x.APP, "score_b", "history", "", "string", None, ["add_history"]),
+])
+
+
+def three_sides(t):
+    """The source by contract, and mapped and stored rows that differ from it by rule."""
+    rows = staged(parse(x.documents(t), KV), "kv-documents")
+    at = {"/Envelope/Request": "d.Request", x.APP: "d.Request.CustData.application"}
+    source = kv_source(rows, KV, ["scores", "history"], at)
+    made = [kv_side(record_rows(rows, KV, n, at), n) for n in ("scores", "history")]
+    all_ = made[0].unionByName(made[1])
+    key = lambda n, table, name, origin, value: t.raw.filter(F.col("id") % n == 0).select(F.col("id").alias("doc_id"), F.lit(table).alias("table_name"), F.lit(name).alias("name"), F.lit(origin).cast("string").alias("source"), F.lit(value).alias("value"))
+    changed = lambda n, tail: F.when(F.col("doc_id") % n == 0, F.concat("value", F.lit(tail))).otherwise(F.col("value"))
+    mapped = all_.filter("doc_id % 13 <> 0").withColumn("value", changed(37, "9")).unionByName(key(41, "scores", "C_SCORE", None, "5"))
+    stored = all_.filter("doc_id % 10 <> 3 and doc_id % 26 <> 0").withColumn("value", changed(23, "1")).unionByName(key(29, "history", "[other]", "[application]", "x"))
+    return rec.reconcile_source(source, mapped, stored, ["doc_id", "table_name", "name", "source"], "score_b")
+
+
+@query("kv_reconcile_source", KV_SQL)
+def kv_reconcile_source(t):
+    """Source, mapped and stored rows side by side: outcome, cause and smells of each mapping."""
+    return three_sides(t)
+
+
+@query(
+    "kv_reconcile_summary",
+    f"SELECT table_name, outcome, cause, smell, count(*) AS n, min(doc_id) AS first_id, max(doc_id) AS last_id FROM ({KV_SQL}) x GROUP BY table_name, outcome, cause, smell",
+)
+def kv_reconcile_summary(t):
+    return rec.outcome_counts(three_sides(t), ["table_name"])
+
+
 @query(
     "kv_missing",
     "SELECT e.* FROM expected e WHERE app_id IN (SELECT app_id FROM log WHERE status = 'success') AND NOT EXISTS (SELECT 1 "

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import bucketed as b
 from ..operators import sinks as s
 from ..sources.staging import shared_path
 from ..streaming import incremental as inc
@@ -159,3 +160,66 @@ def stream_dedupe_bounded(t):
         both.filter((F.col("at") >= lo) & (F.col("at") < hi)).coalesce(4).write.mode("append").parquet(docs)
     inc.stream_dedupe(t.spark, docs, both.schema, out, shared_path(t.spark, "timed-log"), files_per_batch=4, event_time="at", late="30 days")
     return t.spark.read.parquet(out).select("doc_id")
+
+
+def bucketed(t, df, keys):
+    return b.Bucketed(t.spark, shared_path(t.spark, "bucketed"), keys, 16).create(df)
+
+
+AGAIN = "app_id IN (SELECT app_id FROM log WHERE status = 'failed')"
+
+
+@query(
+    "bucket_upsert",
+    f"WITH n AS (SELECT app_id, name, CASE WHEN app_id % 3 <> 0 THEN value + 5 END AS value FROM expected WHERE {AGAIN}) SELECT coalesce(n.app_id, s.app_id) AS app_id, coalesce(n.name, s.name) AS name, "
+    "coalesce(n.value, s.value) AS value FROM n FULL JOIN stored s ON n.app_id = s.app_id AND n.name = s.name",
+)
+def bucket_upsert(t):
+    """Documents that failed are mapped again; only their buckets are rewritten."""
+    table = bucketed(t, t.stored.select("app_id", "name", "value"), ["app_id", "name"])
+    again = t.expected.join(t.log.filter("status = 'failed'").select("app_id"), "app_id", "left_semi")
+    table.upsert(again.select("app_id", "name", F.when(F.col("app_id") % 3 != 0, F.col("value") + 5).alias("value")), ["value"])
+    return table.read()
+
+
+@query(
+    "bucket_insert",
+    "SELECT con_id, app_id, pos FROM (SELECT con_id, app_id, pos, row_number() OVER (PARTITION BY con_id ORDER BY app_id IN (SELECT app_id FROM log WHERE status = 'success') DESC, app_id, pos) AS k FROM contacts "
+    "WHERE app_id IN (SELECT app_id FROM log)) c WHERE k = 1",
+)
+def bucket_insert(t):
+    """Contacts of successful documents, then those of failed ones: a key that is there stays with its first writer, in a batch and across batches."""
+    def of(status):
+        return t.contacts.join(t.log.filter(F.col("status") == status).select("app_id"), "app_id", "left_semi").select("con_id", "app_id", "pos")
+
+    table = bucketed(t, of("success").limit(0), ["con_id"])
+    for status in ("success", "failed"):
+        table.insert_absent(of(status), "app_id", "pos")
+    return table.read()
+
+
+@query(
+    "bucket_backfill",
+    "SELECT app_id, name, value FROM stored UNION ALL SELECT app_id, name, value FROM expected e WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.app_id = e.app_id AND s.name = e.name)",
+)
+def bucket_backfill(t):
+    """Only what is missing is appended; running it again adds nothing."""
+    table = bucketed(t, t.stored.select("app_id", "name", "value"), ["app_id", "name"])
+    for _ in range(2):
+        table.backfill(t.expected.select("app_id", "name", "value"), apply=True)
+    return table.read()
+
+
+@query(
+    "bucket_delete",
+    f"SELECT 'base' AS name, o_orderkey AS key FROM orders WHERE NOT (o_orderkey IN (SELECT app_id FROM log WHERE status = 'failed')) UNION ALL SELECT 'contact', app_id FROM contacts WHERE NOT ({AGAIN}) "
+    f"UNION ALL SELECT 'supplier', s_suppkey FROM supplier WHERE s_suppkey NOT IN (SELECT supp FROM contacts WHERE {AGAIN})",
+)
+def bucket_delete(t):
+    """Failed documents go from all tables, and the suppliers that their contacts name."""
+    base = bucketed(t, t.orders.select(F.col("o_orderkey").alias("app_id"), "o_orderstatus"), ["app_id"])
+    contact = bucketed(t, t.contacts.select("app_id", "pos", "supp"), ["app_id"])
+    supplier = bucketed(t, t.supplier.select(F.col("s_suppkey").alias("supp"), "s_name"), ["supp"])
+    all_ = {"base": base, "contact": contact, "supplier": supplier}
+    b.delete_ids(all_, t.log.filter("status = 'failed'").select("app_id"), "app_id", {"supplier": ("contact", "supp")})
+    return s.union_columns(*[x.read().select(F.lit(n).alias("name"), F.col(x.keys[0]).alias("key")) for n, x in all_.items()])

@@ -89,3 +89,12 @@ def read_metrics(spark: SparkSession, path: str, glob: str = "*.json", schema: T
     """Run metrics, a nested JSON file for each run (or, with lines, a row for each line); the glob picks sessions or dates."""
     reader = spark.read.option("multiLine", not lines).option("pathGlobFilter", glob)
     return (reader.schema(schema) if schema else reader).json(path)
+
+
+def read_runs(spark: SparkSession, path: str, schema: T.StructType, glob: str = "*") -> DataFrame:
+    """Nested run metrics in files that hold one or more JSON objects of many lines each, with blank lines between them.
+
+    The glob picks sessions or dates. Objects that can't be read are left out.
+    """
+    text = spark.read.option("wholetext", False).option("lineSep", "\n\n").option("pathGlobFilter", glob).text(path)
+    return text.filter(F.trim("value") != "").select(F.from_json("value", schema).alias("_r")).filter("_r is not null").select("_r.*")
