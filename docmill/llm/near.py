@@ -4,6 +4,9 @@ A text has a label of DEPTH numbers, a byte each, in each of TREES trees, so tha
 the order of the tree's sorted trie, and a trie node at some depth is the run of labels with the same leading bytes.
 Matched prefixes begin at full length. The links that they give are verified exactly, and from their similarities
 follows how many links such prefixes miss; while that is too many, prefixes are shortened by one number.
+
+A node of many near copies is not compared pair by pair. Jaccard distance is a metric, so texts within half of the greatest
+distance from one text, a ball's centre, are all linked: one comparison for each text shows it.
 """
 
 from __future__ import annotations
@@ -53,17 +56,18 @@ def depth_for(similarity: float, target: float) -> int:
     return next((d for d in range(DEPTH, 0, -1) if recall(d, similarity) >= target), 0)
 
 
-def expected_recall(found: np.ndarray, depth: int, similarity: float) -> float:
+def expected_recall(found: np.ndarray, depth: int, similarity: float, certain: int = 0) -> float:
     """The share of all links that prefixes of a depth find, from the similarities of those that they found.
 
     found[i] counts links from step i of STEPS between the least similarity and 1. A link that is found with chance r
-    stands for 1 / r links. One more link at the least similarity is taken as found, so few links prove little.
+    stands for 1 / r links. One more link at the least similarity is taken as found, so few links prove little. `certain`
+    links are inside of balls, which no prefix can miss.
     """
     if depth == 0:
         return 1.0
     steps = similarity + (1 - similarity) * np.arange(STEPS) / STEPS
     counts = np.append(found, 1)
-    return float(counts.sum() / (counts / recall(depth, np.append(steps, similarity))).sum())
+    return float((counts.sum() + certain) / ((counts / recall(depth, np.append(steps, similarity))).sum() + certain))
 
 
 def _hash(words: pa.Array) -> np.ndarray:
@@ -142,11 +146,12 @@ class Forest:
         return a != b
 
 
-def _verify(uids: np.ndarray, own: np.ndarray, copies: np.ndarray, labels: np.ndarray, flat: np.ndarray, count: np.ndarray, across: bool, tree: int, depth: int, similarity: float):
+def _verify(uids: np.ndarray, own: np.ndarray, copies: np.ndarray, labels: np.ndarray, balls: np.ndarray, flat: np.ndarray, count: np.ndarray, across: bool, tree: int, depth: int, similarity: float):
     """Links of a block of a trie node: (edges of a spanning forest, weighted links of each text, links by similarity).
 
     Of pairs that share a prefix in several trees, the first tree's block takes each; of those that share a longer one
-    somewhere, an earlier depth's did. So each pair is compared once in the whole join. `own` tells the two sides of a
+    somewhere, an earlier depth's did. So each pair is compared once in the whole join, but those of one ball (-1: in none),
+    which never are. `own` tells the two sides of a
     block between two chunks of a node, inside of which other blocks look.
     """
     n = len(uids)
@@ -162,6 +167,8 @@ def _verify(uids: np.ndarray, own: np.ndarray, copies: np.ndarray, labels: np.nd
         others = np.flatnonzero(own) if across else np.arange(a + 1, n)
         # sizes alone rule out some
         others = others[np.minimum(count[others], count[a]) >= similarity * np.maximum(count[others], count[a])]
+        if balls[a] >= 0:
+            others = others[balls[others] != balls[a]]
         others = others[~(prefix[others, :tree] == prefix[a, :tree]).any(1)]
         if longer is not None:
             others = others[~(longer[others] == longer[a]).any(1)]
@@ -186,19 +193,47 @@ def _verify(uids: np.ndarray, own: np.ndarray, copies: np.ndarray, labels: np.nd
     return edges, links, found
 
 
+def _sets(rows: list) -> list[np.ndarray]:
+    """Sorted shingle hashes of rows whose last field is the text."""
+    flat, count = shingles(pa.array([r[-1] for r in rows], pa.large_string()))
+    return [np.unique(x) for x in np.split(flat, np.cumsum(count)[:-1])]
+
+
+def _inside(similarity: float):
+    """(uid, ball) of texts that lie in their candidate ball; rows arrive sorted by block, the centre first: (block, centre, ball, uid, text)."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, middle = None, np.zeros(0, np.uint64)
+        for batch in batches:
+            blocks, centre, balls, uids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            at, near = 0, np.zeros(batch.num_rows, bool)
+            for part in slices(batch.column(4), 4 << 20):
+                for text in _sets([(t,) for t in part.to_pylist()]):
+                    if centre[at]:
+                        block, middle = blocks[at], text
+                    else:
+                        assert blocks[at] == block, "a block has no centre"
+                        shared = len(np.intersect1d(text, middle, assume_unique=True))
+                        near[at] = shared >= (1 + similarity) / 2 * (len(text) + len(middle) - shared) * (1 + 1e-12)
+                    at += 1
+            if near.any():
+                yield pa.record_batch([pa.array(uids[near]), pa.array(balls[near])], ["uid", "ball"])
+
+    return task
+
+
 def _blocks(depth: int, similarity: float):
-    """Verified blocks: rows arrive sorted by block, (block, tree, across, second, uid, copies, labels, text).
+    """Verified blocks: rows arrive sorted by block, (block, tree, across, second, uid, copies, labels, ball, text).
 
     Out come rows (kind, a, b, n): 0 an edge from a to b, 1 the n links of a, 2 the n links of similarity step a.
     """
     names = ["kind", "a", "b", "n"]
 
     def flush(rows: list, tree: int, across: bool) -> pa.RecordBatch | None:
-        own, uids, copies, labels = (np.array([r[i] for r in rows], t) for i, t in enumerate((bool, np.int64, np.int64, np.int64)))
-        flat, count = shingles(pa.array([r[4] for r in rows], pa.large_string()))
-        sets = [np.unique(x) for x in np.split(flat, np.cumsum(count)[:-1])]
+        own, uids, copies, labels, balls = (np.array([r[i] for r in rows], t) for i, t in enumerate((bool, np.int64, np.int64, np.int64, np.int64)))
+        sets = _sets(rows)
         count = np.fromiter(map(len, sets), np.int64, len(sets))
-        edges, links, found = _verify(uids, own, copies, labels, np.concatenate(sets), count, across, tree, depth, similarity)
+        edges, links, found = _verify(uids, own, copies, labels, balls, np.concatenate(sets), count, across, tree, depth, similarity)
         out = [(0, int(a), int(b), 0) for a, b in edges] + [(1, int(uids[i]), 0, int(links[i])) for i in np.flatnonzero(links)] + [(2, int(i), 0, int(found[i])) for i in np.flatnonzero(found)]
         return pa.record_batch([pa.array(c) for c in zip(*out, strict=True)], names) if out else None
 
@@ -269,22 +304,70 @@ def _node(depth: int) -> Column:
 
 
 def _links(slim: DataFrame, labelled: DataFrame, similarity: float, target: float) -> list[DataFrame]:
-    """Staged tables of what _blocks finds, one for each depth that is needed."""
+    """Staged tables of what _blocks finds, one for each depth that is needed, and one of what balls give."""
     least = depth_for(similarity, target)
     company = _company(slim, labelled, least)
-    parts, found = [], np.zeros(STEPS, np.int64)
+    balls = _balls(company, similarity)
+    texts = stage(company.select("uid", "copies", "n_shingles", "labels", "trees").join(balls, "uid", "left"), "near-texts")
+    parts, found = [_ball_links(texts)], np.zeros(STEPS, np.int64)
+    certain = parts[0].filter("kind = 3").agg(F.sum("n")).first()[0] or 0
     for depth in range(DEPTH, least - 1, -1):
-        parts.append(_at_depth(company, depth, similarity))
+        parts.append(_at_depth((texts, company), depth, similarity))
         for r in parts[-1].filter("kind = 2").groupBy("a").agg(F.sum("n").alias("n")).collect():  # STEPS rows at most
             found[r.a] += r.n
-        reached = expected_recall(found, depth, similarity)
-        log.info("prefixes of %d numbers: %d links, expected recall %.5f", depth, found.sum(), reached)
+        reached = expected_recall(found, depth, similarity, certain)
+        log.info("prefixes of %d numbers: %d links and %d in balls, expected recall %.5f", depth, found.sum(), certain, reached)
         if reached >= target:
             break
-    discard(company)
+    discard(company, balls, texts)
     return parts
 
 
+def _keyed(texts: DataFrame, depth: int) -> DataFrame:
+    """A row for each text and tree in which it has company, with its node at a depth."""
+    trees = F.col("trees") if depth else F.array(F.lit(0))
+    return texts.withColumn("tree", F.explode(trees)).withColumn("label", F.get("labels", "tree")).withColumn("node", _node(depth)).drop("trees", "label")
+
+
+def _balls(company: DataFrame, similarity: float) -> DataFrame:
+    """Stage (uid, ball): texts of large nodes that are within half of the greatest distance from their candidate centre.
+
+    The centre of a node of more than BLOCK_TEXTS is its text with the smallest uid; a text's candidate is the smallest
+    centre of its nodes. Texts are dealt in blocks, each of which gets the centre's text, so each text is sent once.
+    A text is in one ball, and a ball's texts are all linked, whether or not its centre is one of them.
+    """
+    texts = company.select("uid", "labels", "trees")
+    keyed = _keyed(texts, DEPTH).select("uid", "node")
+    large = stage(keyed.groupBy("node").agg(F.count("*").alias("n"), F.min("uid").alias("ball")).filter(F.col("n") > BLOCK_TEXTS), "near-large")
+    candidates = stage(attach(keyed, large, "node", "n", keyed.count()).groupBy("uid").agg(F.min("ball").alias("ball")), "near-candidates")
+    sizes = candidates.groupBy("ball").agg(F.ceil(F.count("*") / BLOCK_TEXTS).cast("int").alias("parts"), F.count("*").alias("n"))
+    sizes = stage(sizes, "near-balls-sizes")
+    words = company.select("uid", "text")
+    dealt = attach(candidates, sizes, "ball", "n", candidates.count()).withColumn("part", F.pmod(F.xxhash64("uid"), "parts").cast("int"))
+    members = dealt.select("uid", "ball", "part", F.lit(False).alias("centre"))
+    centres = sizes.select(F.col("ball").alias("uid"), "ball", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("centre"))
+    both = members.unionByName(centres).join(words.hint("merge"), "uid")
+    rows = both.select(F.xxhash64("ball", "part").alias("block"), "centre", "ball", "uid", "text")
+    ordered = rows.repartition("block").sortWithinPartitions("block", F.desc("centre"), "uid")
+    out = stage(ordered.mapInArrow(_inside(similarity), "uid long, ball long"), "near-balls")
+    discard(large, candidates, sizes)
+    return out
+
+
+def _ball_links(texts: DataFrame) -> DataFrame:
+    """Stage the links inside of balls, as rows of _blocks(): 0 from a text to its centre, 1 a text's links; and 3 the number of linked pairs."""
+    held = texts.filter("ball is not null").select("uid", "copies", "ball")
+    sizes = stage(held.groupBy("ball").agg(F.sum("copies").alias("rows"), F.count("*").alias("n")), "near-ball-rows")
+    with_size = attach(held, sizes, "ball", "n", held.count())
+    zero = F.lit(0).cast("long")
+    edges = held.filter("uid <> ball").select(F.lit(0).cast("long").alias("kind"), F.col("uid").alias("a"), F.col("ball").alias("b"), zero.alias("n"))
+    links = with_size.select(F.lit(1).cast("long").alias("kind"), F.col("uid").alias("a"), zero.alias("b"), (F.col("rows") - F.col("copies")).alias("n")).filter("n > 0")
+    pairs = sizes.select(F.lit(3).cast("long").alias("kind"), zero.alias("a"), zero.alias("b"), F.floor(F.col("n") * (F.col("n") - 1) / 2).cast("long").alias("n"))
+    out = stage(edges.unionByName(links).unionByName(pairs), "near-ball-links")
+    discard(sizes)
+    return out
+
+
 def _company(slim: DataFrame, labelled: DataFrame, least: int) -> DataFrame:
     """Stage the texts that share a trie node with another at the least depth, and in which trees: longer prefixes need no others."""
     if least == 0:
@@ -300,36 +383,56 @@ def _company(slim: DataFrame, labelled: DataFrame, least: int) -> DataFrame:
     return out
 
 
-def _at_depth(company: DataFrame, depth: int, similarity: float) -> DataFrame:
-    """Stage the links of pairs whose longest common prefix in any tree has this depth."""
-    trees = F.col("trees") if depth else F.array(F.lit(0))
-    keyed = company.select("uid", "copies", "n_shingles", "labels", F.explode(trees).alias("tree")).withColumn("label", F.get("labels", "tree")).withColumn("node", _node(depth))
+def _at_depth(tables: tuple[DataFrame, DataFrame], depth: int, similarity: float) -> DataFrame:
+    """Stage the links of pairs whose longest common prefix in any tree has this depth, but for those inside of a ball.
+
+    tables: texts by their labels and balls, and with their words.
+    """
+    texts, company = tables
+    keyed = _keyed(texts, depth)
     ends = [f(F.get("labels", F.lit(t))) for f in (F.min, F.max) for t in range(TREES)]
     nodes = keyed.groupBy("node").agg(
         F.first("tree").alias("tree"), F.count("*").alias("n"), F.sum("n_shingles").alias("size"), F.array(*ends[:TREES]).alias("low"),
-        F.array(*ends[TREES:]).alias("high"),
+        F.array(*ends[TREES:]).alias("high"), ((F.count("ball") == F.count("*")) & (F.min("ball") == F.max("ball"))).alias("one_ball"),
     )
 
     def together(depth: int) -> Column:
         """In which trees all texts of the node share a prefix: where the least and the largest label do."""
         return F.zip_with("low", "high", lambda a, b: F.shiftright(a, 8 * (DEPTH - depth)) == F.shiftright(b, 8 * (DEPTH - depth)))
 
-    # a node is done if an earlier tree has all its texts in one node, or if longer prefixes have in any tree
-    done = F.exists(F.slice(together(depth), F.lit(1), F.col("tree")), lambda x: x)
+    # a node is done if an earlier tree has all its texts in one node, if longer prefixes have in any tree, or if a ball has
+    done = F.exists(F.slice(together(depth), F.lit(1), F.col("tree")), lambda x: x) | F.coalesce("one_ball", F.lit(False))
     if depth < DEPTH:
         done |= F.exists(together(depth + 1), lambda x: x)
-    chunks = F.greatest(F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("size") / BLOCK_SHINGLES)).cast("int")
-    open_ = stage(nodes.filter(F.col("n") > 1).filter(~done).select("node", "n", chunks.alias("chunks")), "near-open")
+
+    def chunks(n: Column, size: Column) -> Column:
+        return F.greatest(F.ceil(n / BLOCK_TEXTS), F.ceil(size / BLOCK_SHINGLES)).cast("int")
+
     total = keyed.count()
-    member = attach(keyed.select("uid", "tree", "node"), open_, "node", "n", total).withColumn("mine", F.pmod(F.xxhash64("uid"), "chunks").cast("int"))
-    # a text goes to the blocks of its chunk with each chunk of its node
-    dealt = member.select("uid", "tree", "node", "mine", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    some = stage(nodes.filter(F.col("n") > 1).filter(~done).select("node", "n", "size", chunks(F.col("n"), F.col("size")).alias("chunks")), "near-some")
+    # the largest ball of each node that is cut: its texts meet the others, not one another
+    cut = some.filter("chunks > 1").select("node", F.col("n").alias("texts"))
+    balls = attach(keyed.filter("ball is not null").select("node", "ball", "n_shingles"), cut, "node", "texts", total).groupBy("node", "ball").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("s"))
+    largest = balls.groupBy("node").agg(F.max(F.struct("m", "s", "ball")).alias("b")).select("node", "b.*")
+    n, size, m, s = F.col("n"), F.col("size"), F.coalesce("m", F.lit(0)), F.coalesce("s", F.lit(0))
+    open_ = stage(
+        some.join(largest.withColumnRenamed("ball", "big"), "node", "left").select(
+            "node", "n", "big", F.greatest(F.lit(1), chunks(n - m, size - s)).alias("rest"), F.when(F.col("big").isNotNull(), chunks(m, s)).otherwise(0).alias("more"),
+        ),
+        "near-open",
+    )
+    member = attach(keyed.select("uid", "tree", "node", "ball"), open_, "node", "n", total)
+    in_big = F.coalesce(F.col("ball") == F.col("big"), F.lit(False))
+    mine = F.when(in_big, F.col("rest") + F.pmod(F.xxhash64("uid"), "more")).otherwise(F.pmod(F.xxhash64("uid"), "rest")).cast("int")
+    # a text goes to the blocks of its chunk with each chunk that it must meet
+    last = F.when(in_big, F.col("rest") - 1).otherwise(F.col("rest") + F.col("more") - 1)
+    dealt = member.select("uid", "tree", "node", F.coalesce("ball", F.lit(-1)).alias("ball"), mine.alias("mine"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
     block = F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other"))
-    parts = dealt.select("uid", "tree", block.alias("block"), (F.col("mine") != F.col("other")).alias("across"), (F.col("mine") > F.col("other")).alias("second"))
-    full = parts.join(company.select("uid", "copies", "labels", "text").hint("merge"), "uid").select("block", "tree", "across", "second", "uid", "copies", "labels", "text")
+    parts = dealt.select("uid", "tree", "ball", block.alias("block"), (F.col("mine") != F.col("other")).alias("across"), (F.col("mine") > F.col("other")).alias("second"))
+    full = parts.join(company.select("uid", "copies", "labels", "text").hint("merge"), "uid").select("block", "tree", "across", "second", "uid", "copies", "labels", "ball", "text")
     ordered = full.repartition("block").sortWithinPartitions("block", "uid")
     out = stage(ordered.mapInArrow(_blocks(depth, similarity), "kind long, a long, b long, n long"), f"near-links-{depth}")
-    discard(open_)
+    discard(some, open_)
     return out
 
 

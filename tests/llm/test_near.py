@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from helpers import SMALL
 
 from docmill.llm import near
@@ -152,3 +153,55 @@ def test_components_of_a_hub(spark):
     edges = [(0, i) for i in range(1, 800)] + [(1000 + i, 1001 + i) for i in range(30)] + [(5000, 5000), (7001, 7000)]
     got = {r.node: r.component for r in common.components(spark.createDataFrame(edges, "a long, b long"), "test").collect()}
     assert got == {**dict.fromkeys(range(800), 0), **dict.fromkeys(range(1000, 1031), 1000), 7000: 7000, 7001: 7000}
+
+
+def copies(n, words, changed):
+    """n texts of so many words, each the same but for a few words at a place of its own."""
+    return [" ".join(f"x{i}y{k}" if (i * 37 + 5 * c) % words == k else f"w{k}" for k, c in ((k, k % changed) for k in range(words))) for i in range(n)]
+
+
+def test_a_large_group_is_compared_with_its_centre(spark, monkeypatch):
+    """Fifteen hundred near copies, and some texts near the limit: no pair inside of a ball is compared, and no link is lost."""
+    monkeypatch.setattr(near, "BLOCK_TEXTS", 64)
+    compared, verify = spark.sparkContext.accumulator(0), near._verify
+
+    def counted(uids, own, copies, labels, balls, flat, count, across, *rest):
+        """Pairs of the block that aren't of one ball, in all trees."""
+        apart = (balls[:, None] != balls[None]) | (balls < 0)[:, None]
+        apart &= own[:, None] & ~own[None] if across else np.arange(len(uids))[:, None] < np.arange(len(uids))[None]
+        compared.add(int(apart.sum()))
+        return verify(uids, own, copies, labels, balls, flat, count, across, *rest)
+
+    monkeypatch.setattr(near, "_verify", counted)
+    texts = copies(1500, 300, 1) + edited(6, 300, 30) + [f"other {i} " + " ".join(f"u{i}v{k}" for k in range(30)) for i in range(100)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    _, found = near.classes(docs)
+    assert sorted([(r.id, r.class_id, r.n_links) for r in found.collect()], key=str) == brute(list(enumerate(texts)))
+    assert compared.value < 1500 * 1500 / 2 / 5  # of all pairs of the group, which would be met in several trees
+
+
+@pytest.mark.parametrize("n", [1000, 3000])
+def test_text_rows_grow_in_proportion(spark, monkeypatch, n):
+    """Of more near copies in one node, each text is sent to a bounded number of blocks, not to as many as the node has chunks."""
+    monkeypatch.setattr(near, "BLOCK_TEXTS", 64)
+    sent = spark.sparkContext.accumulator(0)
+    blocks = near._blocks
+
+    def counted(depth, similarity):
+        task = blocks(depth, similarity)
+
+        def run(batches):
+            def count():
+                for b in batches:
+                    sent.add(b.num_rows)
+                    yield b
+
+            yield from task(count())
+
+        return run
+
+    monkeypatch.setattr(near, "_blocks", counted)
+    texts = copies(n, 300, 1) + edited(3, 300, 30)
+    _, found = near.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert found.filter("class_id = 0").count() >= n
+    assert sent.value < 45 * n  # 20 trees, a few copies each; a chunk with each other one would be over 500 for the larger n
