@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -127,6 +129,18 @@ def scan_documents(t):
     return d.read_documents(t.spark, path, "doc_id", "xml").select("doc_id", F.col("xml").startswith("﻿").alias("marked"))
 
 
+@query("scan_table", "SELECT o_orderkey AS doc_id FROM orders WHERE o_orderkey % 50 <> 1 AND o_orderkey >= 100 AND o_orderkey <= (SELECT max(o_orderkey) - 100 FROM orders)")
+def scan_table(t):
+    """Documents of a catalog table, from one id to another; blank ones are left out."""
+    name, path = f"docs_{uuid.uuid4().hex}", shared_path(t.spark, "dirty-table")
+    dirty(t).write.option("path", path).saveAsTable(name)
+    last = t.orders.agg(F.max("o_orderkey")).first()[0]
+    found = d.slice_range(d.read_table(t.spark, name, "doc_id", "xml"), 100, last - 100).select("doc_id")
+    out = staged(found, "scanned")
+    t.spark.sql(f"DROP TABLE {name}")
+    return out
+
+
 @query("scan_xml_files", "SELECT o_orderkey AS doc_id, o_orderkey % 2 = 0 AS even, o_orderstatus AS status FROM orders")
 def scan_xml_files(t):
     """Documents written as files of some thousand documents each, with line breaks inside of them, read back and shredded."""

@@ -18,6 +18,39 @@ def read_documents(spark: SparkSession, path: str, id: str, xml: str) -> DataFra
     return present(spark.read.parquet(path).select(F.col(id).alias("doc_id"), F.col(xml).alias("xml")))
 
 
+def read_table(spark: SparkSession, name: str, id: str, xml: str) -> DataFrame:
+    """Documents of a table of the catalog; a filter on doc_id reaches its scan."""
+    return present(spark.table(name).select(F.col(id).alias("doc_id"), F.col(xml).alias("xml")))
+
+
+def read_jdbc(
+    spark: SparkSession, url: str, table: str, id: str, xml: str, partitions: int = 8, bounds: tuple[int, int] | None = None, even: bool = False, properties: dict[str, str] | None = None,
+    quote: str = '"',
+) -> DataFrame:
+    """Documents of a database table, read by `partitions` queries of an id range each; filters on doc_id go to the database.
+
+    Without `bounds` the database is asked for the least and largest id. Ranges are equally wide; with `even` they hold about
+    as many ids each, which costs a scan of the ids alone, and is right where ids lie in clusters. Ids beyond the bounds are
+    read, too: the first and the last range are open. Rows without an id, whose document could not be named, are not.
+    `quote` is what the database puts around names.
+    """
+    name = f"{quote}{id}{quote}"
+    properties = {"fetchsize": "1000", **(properties or {})}
+    if bounds is None:
+        ask = spark.read.format("jdbc").options(url=url, query=f"SELECT MIN({name}) AS lo, MAX({name}) AS hi FROM {table}", **properties)
+        bounds = tuple(ask.load().first())
+    lo, hi = (int(b) for b in bounds) if bounds[0] is not None else (0, 1)
+    hi = max(hi, lo + 1)
+    wide = spark.read.jdbc(url, table, column=id, lowerBound=lo, upperBound=hi, numPartitions=partitions, properties=properties)
+    if even and partitions > 1:
+        points = [i / partitions for i in range(1, partitions)]
+        cuts = sorted(set(wide.filter(F.col(id).isNotNull()).approxQuantile(id, points, 0.1 / partitions)))
+        cuts = [int(c) for c in cuts]
+        ranges = [f"{name} < {cuts[0]}", *[f"{name} >= {a} AND {name} < {b}" for a, b in zip(cuts[:-1], cuts[1:], strict=True)], f"{name} >= {cuts[-1]}"] if cuts else ["1 = 1"]
+        wide = spark.read.jdbc(url, table, predicates=ranges, properties=properties)
+    return present(wide.filter(F.col(id).isNotNull()).select(F.col(id).cast("bigint").alias("doc_id"), F.col(xml).alias("xml")))
+
+
 def present(docs: DataFrame) -> DataFrame:
     return docs.filter(F.trim("xml") != "")
 
