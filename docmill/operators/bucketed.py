@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.staging import staged
 from .pick import settle
 from .sinks import absent, exists, upsert
 
@@ -29,6 +30,10 @@ class Bucketed:
     keys: list[str]
     buckets: int = 256
 
+    def change(self, df: DataFrame) -> DataFrame:
+        """The rows of a change, with their buckets. They are staged, as they are read once for their buckets and once for their rows."""
+        return staged(self.of(df), "bucket-change")
+
     def of(self, df: DataFrame) -> DataFrame:
         """df with each row's bucket."""
         return df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
@@ -59,7 +64,7 @@ class Bucketed:
 
     def upsert(self, new: DataFrame, values: list[str], pos: str | None = None) -> list[int]:
         """Set the values that new rows have, and add rows with new keys; returns the buckets that were rewritten. See sinks.upsert()."""
-        marked = self.of(new)
+        marked = self.change(new)
         only = self.touched(marked)
         if only:
             state = self.rows(only)
@@ -71,7 +76,7 @@ class Bucketed:
 
     def insert_absent(self, new: DataFrame, *order: str | Column) -> list[int]:
         """Add the rows whose key isn't there, of several with one key the first in `order`; existing files stay. The first writer wins."""
-        marked = self.of(settle(new, self.keys, *order))
+        marked = self.change(settle(new, self.keys, *order))
         only = self.touched(marked)
         if only:
             self.write(absent(marked, self.rows(only).select(*self.keys), self.keys), "append")
@@ -79,7 +84,7 @@ class Bucketed:
 
     def missing(self, expected: DataFrame) -> DataFrame:
         """Expected rows whose key isn't there, each key once, with their bucket: what a backfill would add."""
-        marked = self.of(settle(expected, self.keys))
+        marked = self.change(settle(expected, self.keys))
         only = self.touched(marked)
         return absent(marked, self.rows(only).select(*self.keys), self.keys)
 
@@ -89,13 +94,13 @@ class Bucketed:
         key = self.keys[0]
         if not apply:
             return lost.agg(F.count("*").alias("would_insert"), F.min(key).alias("first_id"), F.max(key).alias("last_id"))
-        before = self.rows().agg(F.count("*")).first()[0]
+        lost = staged(lost, "bucket-missing")
         self.write(lost, "append")
-        return self.rows().agg((F.count("*") - before).alias("inserted"))
+        return lost.agg(F.count("*").alias("inserted"))
 
     def delete(self, gone: DataFrame) -> list[int]:
         """Remove the rows with some keys; returns the buckets that were rewritten. Empty buckets lose their folders."""
-        marked = self.of(gone.select(*self.keys).distinct())
+        marked = self.change(gone.select(*self.keys).distinct())
         only = self.touched(marked)
         if not only:
             return []
