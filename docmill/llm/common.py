@@ -35,7 +35,9 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_root(spark)}/docmill-{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/docmill-{label}-{uuid.uuid4().hex}"
+    _paths.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
@@ -48,6 +50,20 @@ def stage(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
 
 
 _staged: dict[int, tuple[weakref.ref, str]] = {}
+#: Folders of staged tables, token files and archives, by application.
+_paths: dict[str, list[str]] = {}
+
+
+def release(spark: SparkSession) -> int:
+    """Delete all tables, token files and archives that this application has staged, once its results are written or read; returns how many there were.
+
+    A result is a plan over staged tables, so an operator can't delete the last of them itself.
+    """
+    paths = _paths.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return len(paths)
 
 
 def shared_files(df: DataFrame) -> Callable[[int], Iterator[pa.RecordBatch]]:

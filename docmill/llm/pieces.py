@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
 import os
 from collections.abc import Callable, Iterator
 
@@ -128,6 +129,19 @@ class Encoder:
             at += len(part)
 
 
+class WholeEncoder(Encoder):
+    """Whole texts by the library: for tokenizers whose texts can't be cut by rule."""
+
+    def odd(self, texts: pa.Array) -> np.ndarray:
+        return np.arange(len(texts))
+
+    def pieces(self, texts: pa.Array) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.zeros(len(texts) + 1, np.int32)), pa.array([], pa.large_string()))
+
+    def misses(self, words: list[str]):
+        return np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+
 class WordEncoder(Encoder):
     """For tokenizers that drop white space and never merge across it: cut at ASCII white space.
 
@@ -217,9 +231,27 @@ class ByteEncoder(Encoder):
         return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), order
 
 
+#: Fixed values of the tokenizer files that WordEncoder is right for: what they do to a text, and where they split it.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLITS = [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+
+
+def cuts_at_spaces(spec: dict) -> bool:
+    """Whether a tokenizer.json is of the kind whose words can be encoded by themselves, in small letters, and without their last punctuation."""
+    plain = all(t["special"] and not any(t[k] for k in ("single_word", "lstrip", "rstrip", "normalized")) for t in spec.get("added_tokens") or [])
+    normalizer, splitter, model = (spec.get(k) or {} for k in ("normalizer", "pre_tokenizer", "model"))
+    return (
+        plain and normalizer.get("type") == splitter.get("type") == "Sequence" and normalizer.get("normalizers") == NORMALIZERS and splitter.get("pretokenizers") == SPLITS
+        and model.get("type") == "BPE" and not model.get("dropout") and not spec.get("post_processor")
+    )
+
+
 @functools.lru_cache(maxsize=2)
-def word_encoder(path: str, added: bool = False) -> WordEncoder:
-    """The encoder of a tokenizer.json, one for each worker.
+def word_encoder(path: str, added: bool = False) -> Encoder:
+    """The encoder of a tokenizer.json, one for each worker. A file of another kind than cuts_at_spaces() knows is applied to whole texts.
 
     With `added`, ids are the library's with add_special_tokens=False: special tokens' strings in a text are those tokens.
     Without, they are ordinary text, so that no text yields their ids.
@@ -228,6 +260,11 @@ def word_encoder(path: str, added: bool = False) -> WordEncoder:
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    if not cuts_at_spaces(spec):
+        tokenizer.encode_special_tokens = not added
+        return WholeEncoder(tokenizer)
     tokenizer.encode_special_tokens = True
     special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items() if t.special}
     return WordEncoder(tokenizer, special if added else None)
@@ -273,17 +310,6 @@ def byte_encoder(path: str, pattern: str) -> ByteEncoder:
     return ByteEncoder(tokenizer)
 
 
-def by_batch(work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]):
-    """A mapInArrow function that does work on each batch, and gives nothing for empty ones."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield from work(batch)
-
-    return run
-
-
 def binary_rows(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
     """A binary array whose i-th value holds the bytes of the next counts[i] numbers of flat."""
     ends = np.concatenate([[0], np.cumsum(counts)]) * flat.dtype.itemsize

@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 import re
 
@@ -69,3 +70,13 @@ def test_equal_hashes_are_compared_in_full():
     for i in range(500):
         table.find(i, b"%d" % i)
     assert table.find(5, b"b") == (1, False)
+
+
+def test_release_deletes_what_was_staged(spark, docs):
+    from docmill.llm import common
+
+    staged = [common.stage(docs, "one"), common.stage(docs, "two")]
+    paths = [df.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:").replace("//", "/") for df in staged]
+    assert all(map(os.path.exists, paths))
+    assert common.release(spark) >= 2 and common.release(spark) == 0
+    assert not any(map(os.path.exists, paths))

@@ -161,8 +161,8 @@ def copies(n, words, changed):
 
 
 def test_a_large_group_is_compared_with_its_centre(spark, monkeypatch):
-    """Fifteen hundred near copies, and some texts near the limit: no pair inside of a ball is compared, and no link is lost."""
-    monkeypatch.setattr(near, "BLOCK_TEXTS", 64)
+    """Six hundred near copies, and some texts near the limit: no pair inside of a ball is compared, and no link is lost."""
+    monkeypatch.setattr(near, "BLOCK_TEXTS", 32)
     compared, verify = spark.sparkContext.accumulator(0), near._verify
 
     def counted(uids, own, copies, labels, balls, flat, count, across, *rest):
@@ -173,17 +173,17 @@ def test_a_large_group_is_compared_with_its_centre(spark, monkeypatch):
         return verify(uids, own, copies, labels, balls, flat, count, across, *rest)
 
     monkeypatch.setattr(near, "_verify", counted)
-    texts = copies(1500, 300, 1) + edited(6, 300, 30) + [f"other {i} " + " ".join(f"u{i}v{k}" for k in range(30)) for i in range(100)]
+    texts = copies(600, 300, 1) + edited(3, 300, 30) + [f"other {i} " + " ".join(f"u{i}v{k}" for k in range(30)) for i in range(50)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     _, found = near.classes(docs)
     assert sorted([(r.id, r.class_id, r.n_links) for r in found.collect()], key=str) == brute(list(enumerate(texts)))
-    assert compared.value < 1500 * 1500 / 2 / 5  # of all pairs of the group, which would be met in several trees
+    assert compared.value < 600 * 600 / 2 / 5  # of all pairs of the group, which would be met in several trees
 
 
-@pytest.mark.parametrize("n", [1000, 3000])
+@pytest.mark.parametrize("n", [400, 1200])
 def test_text_rows_grow_in_proportion(spark, monkeypatch, n):
     """Of more near copies in one node, each text is sent to a bounded number of blocks, not to as many as the node has chunks."""
-    monkeypatch.setattr(near, "BLOCK_TEXTS", 64)
+    monkeypatch.setattr(near, "BLOCK_TEXTS", 24)
     sent = spark.sparkContext.accumulator(0)
     blocks = near._blocks
 

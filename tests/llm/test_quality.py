@@ -213,3 +213,51 @@ def test_clashing_columns_are_kept(docs, none):
     for r in got.collect():
         assert (r.n_words, r.quality, r.kept) == plain[r.doc_id, r.text] and (r.kept_, r.Quality_, r._words_, r.n_words_, r.n_words__) == ("k", "K", "w", 7, 8)
     assert rules.judge(rules.measure(odd.filter("false"))).count() == 0
+
+
+def brute_features(text):
+    """The scorer's features of a whole text, one triple of characters and one measure at a time."""
+    kinds = []
+    for b in text.encode():
+        c = chr(b)
+        kinds.append(1 if b >= 128 or "a" <= c <= "z" else 2 if "A" <= c <= "Z" else 3 if "0" <= c <= "9" else b)
+    counts = Counter(((a << 16 | b << 8 | c) * 0x9E3779B1 % 2**32) >> 22 for a, b, c in zip(kinds, kinds[1:], kinds[2:]))
+    out = {k: float(np.float16(np.float32((n / (len(kinds) - 2)) ** 0.5))) for k, n in counts.items()}
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    n, chars = len(w), len("".join(w))
+    capitals = sum(c != c.lower() for c in text) if len(text.lower()) == len(text) else sum(c.isupper() for c in text)
+    measures = [0.0] * 7 if not n else [
+        len(re.findall(r"[#*$%&|<>]", text)) / chars, capitals / chars, sum(a == b for a, b in zip(w, w[1:])) / n, max(Counter(w).values()) / n,
+        1 - sum(len(set(w[i : i + 3000])) for i in range(0, n, 3000)) / n, text.count("!!") / n, chars / n,
+    ]
+    for j, v in enumerate(measures):
+        step = min(15, int(np.log2(1 + 1000 * v)))
+        out[1024 + (j * 0x9E3779B1 + step * 0x85EBCA6B) % 256] = 1.0
+    return out
+
+
+def test_scores_by_an_independent_fit(spark):
+    """Whole texts through the query, against labels, posteriors, features and gradient steps written out one by one."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    texts = [r.text or "" for r in docs]
+    bad = brute_posteriors([brute_labels(t) for t in texts])
+    distinct = {t: b for t, b in zip(texts, bad, strict=True)}  # so few that all are drawn
+    x, y = [brute_features(t) for t in distinct], [1 - b for b in distinct.values()]
+    good = sum(v > 0.5 for v in y)
+    weight = [0.5 / good if v > 0.5 else 0.5 / (len(y) - good) for v in y]
+    w, b, dw, db = np.zeros(1280), 0.0, np.zeros(1280), 0.0
+    for _ in range(300):
+        step, shift = np.zeros(1280), 0.0
+        for f, v, s in zip(x, y, weight, strict=True):
+            off = (1 / (1 + np.exp(-(sum(w[k] * z for k, z in f.items()) + b))) - v) * s
+            for k, z in f.items():
+                step[k] += off * z
+            shift += off
+        dw, db = 0.9 * dw - 2.0 * (step + 1e-4 * w), 0.9 * db - 2.0 * shift
+        w, b = w + dw, b + db
+    want = {r.doc_id: 1 / (1 + np.exp(-(sum(w[k] * z for k, z in brute_features(t).items()) + b))) for r, t in zip(docs, texts, strict=True)}
+    got = classifier.op4_weak_label(spark, SMALL).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        assert abs(r.score - want[r.doc_id]) < 2e-3
+        assert r.kept == (r.score >= classifier.THRESHOLD)

@@ -230,3 +230,28 @@ def test_offsets_of_many_texts_at_once(texts):
     for text, part in zip(texts, np.split(ids, np.cumsum(counts)[:-1]), strict=True):
         starts = table.character_offsets(part)
         assert all(len(text.encode()[:b].decode("utf-8", "ignore")) == c for b, c in zip(table.byte_offsets(part), starts, strict=True))
+
+
+def test_other_tokenizers_get_whole_texts(spark, tmp_path):
+    """A cased tokenizer, one with another pattern, and one with tokens of its own: ids are the library's."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(WORD, encoding="utf-8") as f:
+        spec = json.load(f)
+    assert pieces.cuts_at_spaces(spec)
+    cased = spec | {"normalizer": {"type": "Sequence", "normalizers": spec["normalizer"]["normalizers"][:2]}}
+    pattern = spec | {"pre_tokenizer": {"type": "Sequence", "pretokenizers": [spec["pre_tokenizer"]["pretokenizers"][0] | {"pattern": {"Regex": "[^ ]+"}}, spec["pre_tokenizer"]["pretokenizers"][1]]}}
+    tokens = spec | {"added_tokens": [*spec["added_tokens"], {**spec["added_tokens"][0], "id": 49408, "content": "old news", "special": False}]}
+    texts = ["Hello World, AT once.", "", None, "a<|endoftext|>B old news", "it's  ALL\tnew!!", "word " * 3000]
+    for n, other in enumerate((cased, pattern, tokens)):
+        path = str(tmp_path / f"{n}.json")
+        with open(path, "w", encoding="utf-8") as f:
+            json.dump(other, f)
+        assert not pieces.cuts_at_spaces(other)
+        for added in (False, True):
+            library = Tokenizer.from_file(path)
+            library.encode_special_tokens = not added
+            ids, counts = pieces.word_encoder(path, added).encode(pa.array(texts))
+            assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
