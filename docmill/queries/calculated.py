@@ -47,7 +47,7 @@ compiled(
     "calc_date", "CASE WHEN DATE(dt) < DATE('1995-06-17') THEN 'before' WHEN DATE(dt) IS NULL THEN 'none' ELSE 'after' END",
     "CASE WHEN id % 6 = 5 OR id % 6 = 4 THEN 'none' WHEN CAST(d AS DATE) < DATE '1995-06-17' THEN 'before' ELSE CASE WHEN id % 6 IN (0, 3) AND CAST(d AS DATE) < DATE '1995-06-17' THEN 'before' ELSE 'after' END END",
 )
-compiled("calc_dateadd", "DATEADD(day, id, DATE('1990-01-01'))", "CAST(DATE '1990-01-01' + CAST(id AS INTEGER) AS STRING)")
+compiled("calc_dateadd", "DATEADD(day, id, DATE('1990-01-01'))", "CASE WHEN id BETWEEN date_diff('day', DATE '1990-01-01', DATE '0001-01-01') AND date_diff('day', DATE '1990-01-01', DATE '9999-12-31') THEN CAST(DATE '1990-01-01' + CAST(id AS INTEGER) AS STRING) END")
 compiled("calc_crossref", "CASE WHEN application.ST = 'P' AND contact.Price > 1 THEN 'both' END", "CASE WHEN st = 'P' AND price > 1 THEN 'both' END")
 
 
