@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casts import nonblank
+from ..sources.staging import spread
 from .sinks import absent
 
 
@@ -111,7 +112,7 @@ def _sides(sides: dict[str, tuple[DataFrame, list[str]]], keys: list[str]) -> Da
     """
     parts = [df.select(*keys, *cols, F.lit(True).alias(f"_{name}")) for name, (df, cols) in sides.items()]
     every = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return every.groupBy(*keys).agg(*[F.max(c).alias(c) for c in every.columns if c not in keys])
+    return spread(every, *keys).groupBy(*keys).agg(*[F.max(c).alias(c) for c in every.columns if c not in keys])
 
 
 def reconcile(mapped: DataFrame, stored: DataFrame, keys: list[str], value: str) -> DataFrame:

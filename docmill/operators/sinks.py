@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.staging import dealt
 from .pick import keep_last, settle
 
 #: The column that says which run has written a row.
@@ -70,7 +71,7 @@ def commit_documents(frames: dict[str, DataFrame], failed: DataFrame, log: DataF
     """
     run = run or uuid.uuid4().hex
     bad = failed.select(id).distinct()
-    write_tables({n: df.join(bad, id, "left_anti").withColumn(RUN, F.lit(run)) for n, df in frames.items()}, order, path)
+    write_tables({n: df.join(dealt(bad), id, "left_anti").withColumn(RUN, F.lit(run)) for n, df in frames.items()}, order, path)
     log.withColumn(RUN, F.lit(run)).write.mode("append").parquet(f"{path}/processing_log")
     return run
 
@@ -86,7 +87,7 @@ def visible(spark: SparkSession, path: str, table: str, id: str = "doc_id") -> D
     """A table's rows of committed documents, as the run that logged their success has written them (of several, one)."""
     log = spark.read.parquet(f"{path}/processing_log").filter("status = 'success'")
     done = log.groupBy(F.col("app_id").alias(id)).agg(F.min(RUN).alias(RUN))
-    return spark.read.parquet(f"{path}/{table}").join(done, [id, RUN], "left_semi").drop(RUN)
+    return spark.read.parquet(f"{path}/{table}").join(dealt(done), [id, RUN], "left_semi").drop(RUN)
 
 
 def log_outcomes(ok: DataFrame, failed: DataFrame, session: str, id: str = "doc_id") -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ..functions import casts
 from ..functions.calculated import calc
 from ..operators.shred import shred
-from ..sources.staging import staged
+from ..sources.staging import dealt, staged
 
 
 @dataclass
@@ -267,7 +267,7 @@ def checked_table(rows: DataFrame, contract: Contract, name: str, at: dict[str,
     """
     made = staged(table(rows, contract, name, at, keys, resolve), f"mapped-{name}")
     found = required_findings(made, contract, name, id)
-    return made.join(found.select(id).distinct(), id, "left_anti"), found
+    return made.join(dealt(found.select(id).distinct()), id, "left_anti"), found
 
 
 def required_findings(rows: DataFrame, contract: Contract, name: str, id: str) -> DataFrame:

@@ -15,7 +15,7 @@ from ..operators import sinks
 from ..operators.filters import rule_filter
 from ..operators.pick import dedupe_priority
 from ..sources.documents import unprocessed
-from ..sources.staging import staged
+from ..sources.staging import dealt, spread, staged
 from .contract import PICKS, ROW_TYPES, Contract, apply_chain, enum_findings, parse, required_findings, source, table, type_name
 from .dispatch import record_rows
 
@@ -116,21 +116,33 @@ class FanOut:
                 raise ValueError(f"table {name}: {m.xml_path} repeats, so a relationship must say that its elements are the table's rows")
         if any(t in PICKS[:3] for m in self.contract.mappings if m.target_table == name for t in m.mapping_type) and exploded:
             raise ValueError(f"table {name}: a pick among a document's parties needs a row for each document")
-        df = self.level(exploded)
+        df, keys, made = self.level(exploded), self.foreign_keys(name, exploded), False
         if path and path not in exploded:
             df = df.filter(F.col(self.column(path, exploded)).isNotNull())
         if exploded and path in self.contract.filters and self.is_party(path):
             key, type_attr, types = self.contract.typed_rule(path)
             last = f"_e{len(exploded) - 1}"
             if key:
-                marked = df.withColumns({"_key": F.trim(f"{last}._{key}"), "_type": F.trim(f"{last}._{type_attr}")})
-                df = dedupe_priority(marked, [self.id, "_key"], "_type", types, *[f"_p{i}" for i in range(len(exploded))]).drop("_key", "_type")
-        keys = self.foreign_keys(name, exploded)
-        df = df.withColumns(keys) if keys else df
+                marked = self.narrow(df.withColumns({**keys, "_key": F.trim(f"{last}._{key}"), "_type": F.trim(f"{last}._{type_attr}")}), name, exploded)
+                df = dedupe_priority(spread(marked, self.id), [self.id, "_key"], "_type", types, *[f"_p{i}" for i in range(len(exploded))]).drop("_key", "_type")
+                made = True
+        df = df.withColumns(keys) if keys and not made else df
         for key in keys:  # children whose parent has no key are no rows
             df = df.filter(nonblank(F.col(key)))
         return df, exploded, keys
 
+    def narrow(self, df: DataFrame, name: str, exploded: tuple[str, ...]) -> DataFrame:
+        """Rows before they are shuffled: of elements, only the attributes that a table's mappings take. Spark doesn't prune structs through a repartition."""
+        own = [m for m in self.contract.mappings if m.target_table == name and m.xml_attribute]
+        picks = any(t in PICKS for m in own for t in m.mapping_type)
+        for whole in ["d", *[f"_e{i}" for i in range(len(exploded))]]:
+            used = [(c, m.xml_attribute) for m in own for c in [self.column(m.xml_path.rstrip("/"), exploded)] if c.split(".")[0] == whole]
+            if picks or any(c != whole for c, _ in used):
+                continue
+            taken = dict.fromkeys(a for _, a in used)
+            df = df.withColumn(whole, F.struct(*[F.col(f"{whole}._{a}").alias(f"_{a}") for a in taken])) if taken else df.drop(whole)
+        return df
+
     def table(self, name: str) -> DataFrame:
         if self.is_records(name):
             return record_rows(self.rows, self.contract, name, self.at(()), self.id)
@@ -194,14 +206,14 @@ def load(
         docs = docs.dropDuplicates([id])
     if sinks.exists(spark, f"{path}/processing_log"):
         log = spark.read.parquet(f"{path}/processing_log")
-        docs = unprocessed(docs, log.select(F.col("app_id").alias(id), "status"), id, retry_failed)
+        docs = unprocessed(spread(docs, id), log.select(F.col("app_id").alias(id), "status"), id, retry_failed)
     # the log may grow while this runs again, so what is taken is fixed first
     rows = staged(with_status(docs, contract, id), "load-rows")
     good = rows.filter("d is not null").select(id, "d")
     mapped = map_rows(good, contract, id, keep)
     broken = rows.filter("d is null").select(id, F.lit("parsing").alias("stage"), F.lit("not well formed").alias("message"))
     failed = staged(sinks.failures(mapped.findings).withColumnRenamed("doc_id", id).unionByName(broken), "load-failed")
-    ok = good.select(id).join(failed.select(id), id, "left_anti")
+    ok = good.select(id).join(dealt(failed.select(id)), id, "left_anti")
     sinks.commit_documents(mapped.tables, failed, sinks.log_outcomes(ok, failed, session, id), list(mapped.tables), path, id, run)
     return run
 

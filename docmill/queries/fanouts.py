@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..plans.contract import Contract
 from ..plans.fanout import fan_out, load, outcomes
 from ..operators import sinks
-from ..sources.staging import shared_path
+from ..sources.staging import dealt, shared_path
 from ..streaming import incremental as inc
 from . import shredding as x
 from .base import query
@@ -104,8 +104,8 @@ def fanout_findings(t):
 @query("fanout_order", "SELECT 1 AS nth, 'app_base' AS name UNION ALL SELECT 2, 'contact_base' UNION ALL SELECT 3, 'contact_address' UNION ALL SELECT 4, 'scores'")
 def fanout_order(t):
     """The tables in which rows are written: parents first, whatever the contract's list says. Each is counted from what was written."""
-    path = shared_path(t.spark, "fanout-order")
-    names = sinks.write_tables(mapped(t).tables, list(mapped(t).tables), path)
+    path, tables = shared_path(t.spark, "fanout-order"), mapped(t).tables
+    names = sinks.write_tables(tables, list(tables), path)
     counts = [t.spark.read.parquet(f"{path}/{n}").agg(F.count("*").alias("n")).select(F.lit(i).alias("nth"), F.lit(n).alias("name"), "n") for i, n in enumerate(names, 1)]
     return sinks.union_columns(*counts).filter("n > 0").drop("n")
 
@@ -114,7 +114,7 @@ def seen(t, path: str):
     """Outcome of each document, and how many contacts and addresses are seen of it."""
     log = outcomes(t.spark, path).select("app_id", "status", "failure_reason")
     counts = [sinks.visible(t.spark, path, n).groupBy(F.col("doc_id").alias("app_id")).agg(F.count("*").alias(c)) for n, c in (("contact_base", "contacts"), ("contact_address", "addresses"))]
-    return log.join(counts[0], "app_id", "left").join(counts[1], "app_id", "left").fillna(0, ["contacts", "addresses"])
+    return log.join(dealt(counts[0]), "app_id", "left").join(dealt(counts[1]), "app_id", "left").fillna(0, ["contacts", "addresses"])
 
 
 REASON = "'mapping: app_base.score: no value and no default'"
@@ -138,8 +138,8 @@ def fanout_load(t):
 def fanout_stream(t):
     """The same from a stream of files, in which each document is sent twice; each is committed and logged once."""
     source, path, docs = shared_path(t.spark, "fanout-in"), shared_path(t.spark, "fanout-out"), x.documents(t)
-    docs.write.parquet(source)
+    docs.write.option("compression", "zstd").parquet(source)
     sent = len(t.spark.read.schema(docs.schema).parquet(source).inputFiles())
-    docs.write.mode("append").parquet(source)
+    docs.write.mode("append").option("compression", "zstd").parquet(source)
     inc.stream_load(t.spark, source, docs.schema, CONTRACT, path, shared_path(t.spark, "fanout-log"), "s1", max(1, sent))
     return seen(t, path)

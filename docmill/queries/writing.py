@@ -127,7 +127,8 @@ def incremental_shred(t):
     """Documents as a stream of files, shredded by contract; the same rows as in one batch."""
     docs, out = shared_path(t.spark, "stream-in"), shared_path(t.spark, "stream-out")
     source = x.documents(t)
-    source.write.parquet(docs)
+    # groups of 16 MB, so a batch of few files is still read by many tasks
+    source.write.options(**{"compression": "zstd", "parquet.block.size": 16 << 20}).parquet(docs)
 
     def process(df):
         rows = x.parse(df, x.CONTRACT)

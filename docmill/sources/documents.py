@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from .staging import dealt
+
 #: Bytes 0x80 to 0x9F, as ISO-8859-1 reads them: those that Windows-1252 leaves undefined, the other 27, and what it makes of these.
 UNDEFINED = "\x81\x8d\x8f\x90\x9d"
 C1 = "".join(chr(b) for b in range(0x80, 0xA0) if chr(b) not in UNDEFINED)
@@ -57,8 +59,9 @@ def present(docs: DataFrame) -> DataFrame:
 
 def read_xml_dir(spark: SparkSession, glob: str, id_pattern: str = r'<Request[^>]*\bID="([0-9]+)"', root: str | None = None) -> DataFrame:
     """XML files as documents, a file each; the id is taken from the request. With the name of the root element, a file
-    may hold several documents, one after the other. Spark's binary source takes files of up to 2 GB."""
-    files = spark.read.format("binaryFile").load(glob).select(decode_text(F.col("content")).alias("xml"), "path")
+    may hold several documents, one after the other. A file may have up to 2 GB, unpacked if its name says that it is packed (.gz)."""
+    # a whole file as one value of text holds its bytes as they are
+    files = spark.read.text(glob, wholetext=True).select(decode_text(F.col("value").cast("binary")).alias("xml"), F.col("_metadata.file_path").alias("path"))
     if root:
         files = files.select(F.explode(F.split("xml", rf"(?<=</{root}>)\s*(?=<)")).alias("xml"), "path")
     return files.select(F.expr("try_cast(regexp_extract(xml, '" + id_pattern.replace("\\", "\\\\") + "', 1) as bigint)").alias("doc_id"), "xml", "path")
@@ -102,7 +105,7 @@ def semi(df: DataFrame, applications: DataFrame, id: str) -> DataFrame:
 def unprocessed(df: DataFrame, log: DataFrame, id: str = "doc_id", retry_failed: bool = False) -> DataFrame:
     """Documents without a log row, of whatever status; with retry_failed, failures count as unprocessed."""
     seen = log.filter("status = 'success'") if retry_failed else log
-    return df.join(seen.select(id), id, "left_anti")
+    return df.join(dealt(seen.select(id)), id, "left_anti")
 
 
 def first_by_id(df: DataFrame, id: str, *order: str | Column) -> DataFrame:
