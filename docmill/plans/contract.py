@@ -99,10 +99,15 @@ class Contract:
         known = {*CHAIN_TYPES, *PICKS, *CUSTOM}
         return [(m.target_table, m.target_column, t) for m in self.mappings for t in m.mapping_type if t not in known and type_name(t)[0] not in ROW_TYPES]
 
-    def schema(self) -> T.StructType:
-        """A schema that has the paths of the mappings and filters, and no more: from_xml then builds nothing else."""
+    def schema(self, *tables: str) -> T.StructType:
+        """A schema that has the paths of the mappings and filters, and no more: from_xml then builds nothing else.
+
+        With names of tables, it has what these take from a document, by picks among parties, too.
+        """
         tree: dict = {}
-        wanted = [(m.xml_path, m.xml_attribute) for m in self.mappings] + [(p, a) for p, rule in self.filters.items() for a in rule]
+        mappings = [m for m in self.mappings if not tables or m.target_table in tables]
+        filtered = not tables or any(t in PICKS for m in mappings for t in m.mapping_type)
+        wanted = [(m.xml_path, m.xml_attribute) for m in mappings] + [(p, a) for p, rule in self.filters.items() for a in rule if filtered]
         for path, attribute in wanted:
             node = tree
             for step in path.strip("/").split("/")[1:]:
@@ -229,8 +234,9 @@ def _spark_type(m: Mapping) -> str:
     return {"integer": "int", "decimal": f"decimal(38,{2 if m.data_length is None else m.data_length})", "float": "double", "datetime": "timestamp_ntz", "date": "timestamp_ntz", "smalldatetime": "timestamp_ntz", "bit": "int", "boolean": "boolean"}.get(m.data_type, "string")
 
 
-def parse(docs: DataFrame, contract: Contract) -> DataFrame:
-    return shred(docs, contract.schema())
+def parse(docs: DataFrame, contract: Contract, *tables: str) -> DataFrame:
+    """Documents as structs with what the contract takes from them, or what these tables of it take."""
+    return shred(docs, contract.schema(*tables))
 
 
 def source(m: Mapping, contract: Contract, at: dict[str, str]) -> Column:

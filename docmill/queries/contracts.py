@@ -51,8 +51,8 @@ CONTRACT = Contract(
 )
 
 
-def rows(t):
-    return parse(x.documents(t), CONTRACT)
+def rows(t, name):
+    return parse(x.documents(t), CONTRACT, name)
 
 
 def last(role: str, value: str) -> str:
@@ -70,12 +70,12 @@ NAME, SUPP = "concat('P&', CAST(con_id AS STRING))", "CASE WHEN line = 'O' THEN
 )
 def contract_picks(t):
     """A row for each document; nothing is shuffled, as parties are an array of the document."""
-    return table(rows(t), CONTRACT, "picked", AT, ["doc_id"])
+    return table(rows(t, "picked"), CONTRACT, "picked", AT, ["doc_id"])
 
 
 @query("contract_current_address", "SELECT app_id AS doc_id, pos, CASE WHEN line = 'O' THEN supp END AS supp FROM contacts")
 def contract_current_address(t):
-    parties = s.explode_path(rows(t), AT[x.CONTACT], "contact").withColumnRenamed("contact_pos", "pos")
+    parties = s.explode_path(rows(t, "current"), AT[x.CONTACT], "contact").withColumnRenamed("contact_pos", "pos")
     return table(parties, CONTRACT, "current", {x.CONTACT: "contact"}, ["doc_id", "pos"])
 
 
@@ -89,12 +89,12 @@ NUMBER = "try_cast(trim(num) AS DECIMAL(28,6))"
     f"IS NOT NULL UNION ALL SELECT id, 'B_SCORE', {SCORED} FROM raw WHERE id % 3 <> 1",
 )
 def contract_scores(t):
-    return record_rows(rows(t), CONTRACT, "scores", AT)
+    return record_rows(rows(t, "scores"), CONTRACT, "scores", AT)
 
 
 @query("contract_indicators", "SELECT id AS doc_id, 'signed' AS indicator, '1' AS value FROM raw WHERE lower(trim(flag)) IN ('y', 'yes', 'true', 't', '1')")
 def contract_indicators(t):
-    return record_rows(rows(t), CONTRACT, "indicators", AT)
+    return record_rows(rows(t, "indicators"), CONTRACT, "indicators", AT)
 
 
 @query(
@@ -104,7 +104,7 @@ def contract_indicators(t):
     "customer ON cust = c_custkey",
 )
 def contract_history(t):
-    return record_rows(rows(t), CONTRACT, "history", AT)
+    return record_rows(rows(t, "history"), CONTRACT, "history", AT)
 
 
 @query(
@@ -113,7 +113,7 @@ def contract_history(t):
     f"ON cust = c_custkey UNION ALL SELECT id, 'score_b', CAST({SCORED} AS STRING), NULL FROM raw WHERE id % 3 <> 1",
 )
 def contract_reports(t):
-    return record_rows(rows(t), CONTRACT, "reports", AT)
+    return record_rows(rows(t, "reports"), CONTRACT, "reports", AT)
 
 
 @query(
@@ -123,7 +123,7 @@ def contract_reports(t):
     "c_mktsegment FROM raw LEFT JOIN customer ON cust = c_custkey WHERE id % 3 <> 1",
 )
 def contract_exceptions(t):
-    return record_rows(rows(t), CONTRACT, "exceptions", AT)
+    return record_rows(rows(t, "exceptions"), CONTRACT, "exceptions", AT)
 
 
 @query(
@@ -133,7 +133,7 @@ def contract_exceptions(t):
     "0 FROM raw WHERE id % 3 <> 1",
 )
 def contract_warranties(t):
-    return record_rows(rows(t), CONTRACT, "warranties", AT)
+    return record_rows(rows(t, "warranties"), CONTRACT, "warranties", AT)
 
 
 @query(
@@ -144,7 +144,7 @@ def contract_warranties(t):
 )
 def contract_collateral(t):
     """Slot 2 has an amount alone, which makes no row where it is 0."""
-    return record_rows(rows(t), CONTRACT, "collateral", AT)
+    return record_rows(rows(t, "collateral"), CONTRACT, "collateral", AT)
 
 
 @query(
@@ -154,7 +154,7 @@ def contract_collateral(t):
 )
 def contract_required(t):
     """Documents without a score are in no row."""
-    return checked_table(rows(t), CONTRACT, "required", AT, ["doc_id"])[0]
+    return checked_table(rows(t, "required"), CONTRACT, "required", AT, ["doc_id"])[0]
 
 
 @query(
@@ -164,7 +164,7 @@ def contract_required(t):
     "'critical', 'no value and no default' FROM raw WHERE cust NOT IN (SELECT c_custkey FROM customer)",
 )
 def contract_rejects(t):
-    return checked_table(rows(t), CONTRACT, "required", AT, ["doc_id"])[1]
+    return checked_table(rows(t, "required"), CONTRACT, "required", AT, ["doc_id"])[1]
 
 
 @query(
@@ -174,7 +174,7 @@ def contract_rejects(t):
 )
 def contract_conditional(t):
     """A default that a record with a single value of its own doesn't get."""
-    return table(rows(t), CONTRACT, "conditional", AT, ["doc_id"])
+    return table(rows(t, "conditional"), CONTRACT, "conditional", AT, ["doc_id"])
 
 
 @query(
@@ -185,7 +185,7 @@ def contract_conditional(t):
 )
 def contract_commit(t):
     """From documents to committed tables and their log: what lacks a required value fails as a whole, and is logged with the reason."""
-    docs, path = staged(rows(t), "contract-rows"), shared_path(t.spark, "contract-commit")
+    docs, path = staged(rows(t, "required"), "contract-rows"), shared_path(t.spark, "contract-commit")
     good, found = checked_table(docs, CONTRACT, "required", AT, ["doc_id"])
     failed = staged(sinks.failures(found), "contract-failures")
     log = sinks.log_outcomes(docs.select("doc_id").join(failed.select("doc_id"), "doc_id", "left_anti"), failed, "s1")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from docmill.functions.calculated import calc
 from docmill.operators import reconcile, shred, sinks
 from docmill.plans import fanout
-from docmill.queries import ORACLE, fanouts, shredding
+from docmill.queries import ORACLE, QUERIES, contracts, fanouts, shredding
 from docmill.queries.base import Tables
 from docmill.sources import documents, staging
 
@@ -35,6 +35,25 @@ def test_building_documents_sorts_lines_once_in_partitions_by_size(spark, monkey
     assert text.count("Sort [l_orderkey") == 1 and "REPARTITION_BY_NUM" in text
 
 
+def test_lines_are_sorted_behind_their_shuffle_only(spark):
+    """Also where the default number of partitions is enough: a map task's share of a large file would not fit into its memory."""
+    with staging.grouped_by_sort(spark):
+        text = plan(shredding.build(Tables(spark, SMALL)))
+    after = text[text.index("Sort [l_orderkey") :].splitlines()
+    assert text.count("Sort [l_orderkey") == 1 and "Exchange hashpartitioning(l_orderkey" in after[1]
+    assert "transform(" not in text  # lambdas are interpreted
+
+
+def test_parsers_build_what_a_query_takes(spark):
+    small = shred.pruned(shredding.WIDE, "Request._Status", f"{shredding.CONTACTS}._con_id")
+    assert small.simpleString() == "struct<Request:struct<_Status:string,CustData:struct<application:struct<contact:array<struct<_con_id:string>>>>>>"
+    assert shred.pruned(shredding.WIDE, "Request") == shredding.WIDE
+    assert contracts.CONTRACT.schema("indicators").simpleString() == "struct<Request:struct<CustData:struct<application:struct<_signature_ind:string>>>>"
+    assert "_ac_role" in contracts.CONTRACT.schema("picked").simpleString() and "_score_a" not in contracts.CONTRACT.schema("picked").simpleString()
+    assert "_con_id:string>" in shredding.shredded(Tables(spark, SMALL), f"{shredding.CONTACTS}._con_id").schema.simpleString()
+    assert shredding.contacts(Tables(spark, SMALL), "con_id", "role").columns == ["doc_id", "contact_pos", "con_id", "role"]
+
+
 def test_partitions_grow_with_the_table_and_rows_stay(spark, monkeypatch, tmp_path):
     spark.range(1000).write.parquet(f"{tmp_path}/t")
     df = spark.read.parquet(f"{tmp_path}/t")
