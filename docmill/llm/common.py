@@ -109,9 +109,10 @@ def attach(left: DataFrame, right: DataFrame, key: str, count: str, total: int,
     hot key stay where they are; the others are joined by a shuffle.
     """
     bound = max(64, int(total * HOT_SHARE))
-    hot = right.filter(F.col(count) > bound)
-    marked = left.join(F.broadcast(hot.select(key, F.lit(True).alias("_hot"))), key, "left")
-    few = marked.filter("_hot").drop("_hot").join(F.broadcast(hot), key, "inner")
+    own = [c for c in right.columns if c != key]
+    hot = right.filter(F.col(count) > bound).select(key, F.struct(*own).alias("_hot"))  # one broadcast both marks rows and joins them
+    marked = left.join(F.broadcast(hot), key, "left")
+    few = marked.filter("_hot is not null").select(*[c for c in marked.columns if c != "_hot"], *[F.col("_hot")[c].alias(c) for c in own])
     rest = marked.filter("_hot is null").drop("_hot").join(right.filter(F.col(count) <= bound), key, how)
     return few.unionByName(rest)
 
@@ -124,21 +125,21 @@ def components(edges: DataFrame, label: str, rounds: int = 40) -> DataFrame:
     """
 
     def state(pairs: DataFrame):
-        return pairs.agg(F.count("*").alias("n"), F.sum(F.hash("u", "v").cast("long")).alias("h")).first()
+        """n: how many pairs; open: whether they aren't stars yet, in which each u has one v, and no v is a u of another."""
+        ends = pairs.select(F.explode(F.array(F.struct(F.col("u").alias("k"), F.lit(1).alias("up")), F.struct(F.col("v").alias("k"), F.lit(0).alias("up")))).alias("e"))
+        nodes = ends.groupBy("e.k").agg(F.sum("e.up").alias("ups"), F.min("e.up").alias("least"))
+        return nodes.agg(F.coalesce(F.sum("ups"), F.lit(0)).alias("n"), F.max((F.col("ups") > 1) | ((F.col("ups") > 0) & (F.col("least") == 0))).alias("open")).first()
 
     pairs = stage(edges.select(F.least("a", "b").alias("v"), F.greatest("a", "b").alias("u")).distinct(), f"{label}-edges")
     was = state(pairs)
     for _ in range(rounds):
+        if not was.open:
+            break
         large = stage(_star(pairs.select("u", "v").union(pairs.select(F.col("v"), F.col("u"))), True, 2 * was.n), f"{label}-large")
         small = stage(_star(large, False, was.n), f"{label}-star")
         discard(pairs, large)
-        pairs = small
-        # a round that changes nothing leaves stars: each u has one v, and no v is a u of another
-        now = state(pairs)
-        if now == was:
-            break
-        was = now
-    else:
+        pairs, was = small, state(small)
+    if was.open:
         raise RuntimeError(f"components: no end after {rounds} rounds")
     both = pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(pairs.select("v", "v"))
     return both.groupBy("node").agg(F.min("component").alias("component"))
@@ -147,13 +148,13 @@ def components(edges: DataFrame, label: str, rounds: int = 40) -> DataFrame:
 def _star(pairs: DataFrame, larger: bool, total: int) -> DataFrame:
     """Link each neighbour of u (the larger ones, or the others) to the least of u and its neighbours.
 
+    The large star gives at most a row for each pair, repeated ones too, as the small star after it takes them out.
+
     A hub's neighbours stay where they are, as its least one is broadcast. total: rows of pairs, at most.
     """
     near = pairs.filter("u <> v") if larger else pairs.filter("u > v")
     least = near.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n"))
     linked = attach(near, least, "u", "n", total)
     if larger:
-        out = linked.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        out = linked.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", "m"))
-    return out.distinct()
+        return linked.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return linked.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", "m")).distinct()

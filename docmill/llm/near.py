@@ -283,7 +283,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, target: float = REC
     )
     known = stage(known, "near-known")
     discard(sets, labelled, *parts)
-    named = stage(known.groupBy("class").agg(F.min("first").alias("keep"), F.count("*").alias("sets")), "near-least")
+    named = known.groupBy("class").agg(F.min("first").alias("keep"), F.count("*").alias("sets"))
     with_class = attach(known, named, "class", "sets", known.count())
     by_set = stage(
         with_class.select(
@@ -338,7 +338,7 @@ def _balls(company: DataFrame, similarity: float) -> DataFrame:
     """
     texts = company.select("uid", "labels", "trees")
     keyed = _keyed(texts, DEPTH).select("uid", "node")
-    large = stage(keyed.groupBy("node").agg(F.count("*").alias("n"), F.min("uid").alias("ball")).filter(F.col("n") > BLOCK_TEXTS), "near-large")
+    large = keyed.groupBy("node").agg(F.count("*").alias("n"), F.min("uid").alias("ball")).filter(F.col("n") > BLOCK_TEXTS)
     candidates = stage(attach(keyed, large, "node", "n", keyed.count()).groupBy("uid").agg(F.min("ball").alias("ball")), "near-candidates")
     sizes = candidates.groupBy("ball").agg(F.ceil(F.count("*") / BLOCK_TEXTS).cast("int").alias("parts"), F.count("*").alias("n"))
     sizes = stage(sizes, "near-balls-sizes")
@@ -350,7 +350,7 @@ def _balls(company: DataFrame, similarity: float) -> DataFrame:
     rows = both.select(F.xxhash64("ball", "part").alias("block"), "centre", "ball", "uid", "text")
     ordered = rows.repartition("block").sortWithinPartitions("block", F.desc("centre"), "uid")
     out = stage(ordered.mapInArrow(_inside(similarity), "uid long, ball long"), "near-balls")
-    discard(large, candidates, sizes)
+    discard(candidates, sizes)
     return out
 
 
@@ -374,13 +374,10 @@ def _company(slim: DataFrame, labelled: DataFrame, least: int) -> DataFrame:
         some = labelled.withColumn("trees", F.sequence(F.lit(0), F.lit(TREES - 1)))
     else:
         keyed = labelled.select("uid", F.posexplode("labels").alias("tree", "label")).select("uid", "tree", _node(least).alias("node"))
-        nodes = stage(keyed.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1"), "near-nodes")
+        nodes = keyed.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1")
         trees = attach(keyed, nodes, "node", "n", TREES * labelled.count()).groupBy("uid").agg(F.collect_list("tree").alias("trees"))  # TREES at most
         some = labelled.join(trees.hint("merge"), "uid")
-    out = stage(some.join(slim.select("uid", "text").hint("merge"), "uid"), "near-company")
-    if least:
-        discard(nodes)
-    return out
+    return stage(some.join(slim.select("uid", "text").hint("merge"), "uid"), "near-company")
 
 
 def _at_depth(tables: tuple[DataFrame, DataFrame], depth: int, similarity: float) -> DataFrame:

@@ -7,8 +7,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from helpers import SMALL
+from pyspark.sql import functions as F
 
-from docmill.llm import near
+from docmill.llm import common, near
 
 
 def shingles(t):
@@ -205,3 +206,28 @@ def test_text_rows_grow_in_proportion(spark, monkeypatch, n):
     _, found = near.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     assert found.filter("class_id = 0").count() >= n
     assert sent.value < 45 * n  # 20 trees, a few copies each; a chunk with each other one would be over 500 for the larger n
+
+
+def test_components_end_with_stars(spark, monkeypatch):
+    """No round is spent on stars, nor on finding that nothing changes any more."""
+    calls, star = [], common._star
+    monkeypatch.setattr(common, "_star", lambda *a: calls.append(a[1]) or star(*a))
+
+    def of(edges):
+        return {r.node: r.component for r in common.components(spark.createDataFrame(edges, "a long, b long"), "test").collect()}
+
+    assert of([(5, 1), (1, 6), (9, 8), (5, 1)]) == {1: 1, 5: 1, 6: 1, 8: 8, 9: 8} and calls == []
+    assert of([]) == {} and of([(1, 2), (2, 3), (7, 7)]) == {1: 1, 2: 1, 3: 1} and calls == [True, False]
+    chain = [(i, i + 1) for i in range(40)] + [(100 - i, 99 - i) for i in range(20)]
+    assert of(chain) == {i: 0 for i in range(41)} | {i: 80 for i in range(80, 101)}
+
+
+def test_hot_keys_are_broadcast_once(spark):
+    left = spark.range(1000).selectExpr("if(id < 900, 7, id) as k", "id as x").unionByName(spark.createDataFrame([(None, 1)], "k long, x long"))
+    right = left.filter("k is not null").groupBy("k").count().withColumn("y", F.col("k") * 2)
+    got = common.attach(left, right, "k", "count", 1001)
+    assert got.columns == ["k", "x", "count", "y"]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, left.join(right, "k").collect()))
+    assert sorted(map(tuple, common.attach(left, right, "k", "count", 1001, "left").collect()), key=str) == sorted(map(tuple, left.join(right, "k", "left").collect()), key=str)
+    build = [line.split("HashAggregate")[0] for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "rightHint=(strategy=broadcast)" in line]
+    assert len(build) == 2  # once for hot rows, once for the others; Spark reuses the exchange, as both are the same
