@@ -2,6 +2,7 @@
 
 A text is cut where the tokenizer's own splits always fall, the distinct pieces of a batch go through the tokenizers
 library, and numpy puts the ids of each text together. A worker remembers the pieces that it met first, up to a bound.
+Words are cut, put into small letters and looked up as Arrow arrays, so that Python meets only those that are encoded.
 """
 
 from __future__ import annotations
@@ -50,7 +51,6 @@ class Encoder:
         self.at: dict[str, int] = {}
         self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
-        self.inner: Encoder | None = None
 
     def _encode(self, texts: list[str]):
         return self.tokenizer.encode_batch(texts, add_special_tokens=False)
@@ -72,9 +72,10 @@ class Encoder:
                 counts.append(np.bincount(of[inside], minlength=len(group)))
         return np.concatenate(flats or [np.zeros(0, np.uint32)]), np.concatenate(counts or [np.zeros(0, np.int64)])
 
-    def _lookup(self, distinct: list[str]) -> np.ndarray:
-        """Places of the pieces in start and length; new ones are encoded."""
-        at = self.at
+    def coded(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, length, flat): where in flat the ids of each of these distinct pieces are. New ones are encoded."""
+        at, distinct = self.at, pieces.to_pylist()
+        mark = len(self.start), len(self.flat), len(at)
         place = np.fromiter((at.get(p, -1) for p in distinct), np.int64, len(distinct))
         new = np.flatnonzero(place < 0)
         if len(new):
@@ -86,7 +87,10 @@ class Encoder:
             self.flat = np.append(self.flat, flat)
             if len(at) < REMEMBERED:
                 at.update((distinct[i], int(place[i])) for i in new)
-        return place
+        found = self.start[place], self.length[place], self.flat
+        if len(at) == mark[2]:  # no more room to remember new ones
+            self.start, self.length, self.flat = self.start[: mark[0]], self.length[: mark[0]], self.flat[: mark[1]]
+        return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32), and the number of ids of each text. A null text has none."""
@@ -95,24 +99,17 @@ class Encoder:
         lists = self.pieces(texts)
         n = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         coded = lists.flatten().dictionary_encode()
-        mark = len(self.start), len(self.flat), len(self.at)
-        place = self._lookup(coded.dictionary.to_pylist())
-        code = place[coded.indices.to_numpy()] if len(coded) else np.zeros(0, np.int64)
-        lengths = self.length[code]
-        ids = gather(self.flat, self.start[code], lengths)
+        start, length, flat = self.coded(coded.dictionary)
+        code = coded.indices.to_numpy() if len(coded) else np.zeros(0, np.int64)
+        lengths = length[code]
+        ids = gather(flat, start[code], lengths)
         sums = np.concatenate([[0], np.cumsum(lengths)])
         ends = np.cumsum(n)
         counts = sums[ends] - sums[ends - n]
-        self.forget(mark)
         if len(odd):
             ids, counts = self._whole(texts, odd, ids, counts)
         return ids, counts
 
-    def forget(self, mark: tuple[int, int, int]) -> None:
-        """Drop the pieces met since the mark, if there was no more room to remember them."""
-        if len(self.at) == mark[2]:
-            self.start, self.length, self.flat = self.start[: mark[0]], self.length[: mark[0]], self.flat[: mark[1]]
-
     def _whole(self, texts: pa.Array, odd: np.ndarray, ids: np.ndarray, counts: np.ndarray):
         """Texts that can't be cut safely: encoded whole, and put into their places."""
         parts = np.split(ids, np.cumsum(counts)[:-1])
@@ -142,15 +139,38 @@ class WholeEncoder(Encoder):
         return np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
 
+#: Punctuation that is always split from a letter before it.
+TAILS = ".,;:!?*$%&#<>|()[]{}\"/@+=~^_-"
+#: Small letters that no normalizer changes, and the characters that become them or stay as they are when put into small letters.
+SMALL = "a-z\\x{df}-\\x{f6}\\x{f8}-\\x{ff}"
+SIMPLE = "^[\\x{0}-\\x{7f}\\x{c0}-\\x{d6}\\x{d8}-\\x{f6}\\x{f8}-\\x{ff}]*$"
+
+
 class WordEncoder(Encoder):
     """For tokenizers that drop white space and never merge across it: cut at ASCII white space.
 
-    `added` has the ids of strings that are tokens wherever they stand, as the library takes them out before all else.
+    What is encoded and remembered is stems: words of simple characters in small letters, and without the punctuation
+    after their last letter, which is a piece of its own; other words as they are. `added` has the ids of strings that
+    are tokens wherever they stand, as the library takes them out before all else.
     """
 
     def __init__(self, tokenizer, added: dict[str, int] | None = None) -> None:
+        from tokenizers import Tokenizer, pre_tokenizers
+
         super().__init__(tokenizer)
         self.added = added or {}
+        self.known = pa.array(["", *(f" {token}" for token in self.added)], pa.large_string())  # no word has a space
+        self.length = np.array([0] + [1] * len(self.added), np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.flat = np.array(list(self.added.values()), np.uint32)
+        # the same model without normalizers and patterns, for words of small letters, which these leave as they are
+        self.model = Tokenizer.from_str(tokenizer.to_str())
+        self.model.encode_special_tokens = True
+        self.model.normalizer = None
+        self.model.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, trim_offsets=False, use_regex=False)])
+        vocab, suffix = tokenizer.get_vocab(), getattr(tokenizer.model, "end_of_word_suffix", None)
+        self.last = np.zeros(max(vocab.values(), default=0) + 1, bool)  # whether a token ends a word
+        self.last[[i for token, i in vocab.items() if suffix and token.endswith(suffix)]] = True
 
     def odd(self, texts: pa.Array) -> np.ndarray:
         return np.zeros(0, np.int64)
@@ -162,47 +182,66 @@ class WordEncoder(Encoder):
             texts = pc.replace_substring(texts, c, " ")
         return pc.split_pattern(texts, " ")
 
-    def misses(self, words: list[str]):
-        """ASCII words in small letters, and without the punctuation after their last letter, which is a piece of its own."""
-        stems: dict[str, int] = {}
-        split = np.empty((len(words), 2), np.int64)
-        for i, word in enumerate(words):
-            tail = ""
-            if word in self.added:
-                word = f" {word}"
-            elif word.isascii():
-                word = word.lower()
-                stem = word.rstrip(TAILS)
-                if stem and "a" <= stem[-1] <= "z":
-                    word, tail = stem, word[len(stem) :]
-            split[i, 0] = stems.setdefault(word, len(stems))
-            split[i, 1] = stems.setdefault(tail, len(stems))
-        if self.inner is None:
-            self.inner = _Whole(self.tokenizer)
-            self.inner.know({f" {token}": i for token, i in self.added.items()})  # no word has a space
-        inner = self.inner
-        mark = len(inner.start), len(inner.flat), len(inner.at)
-        at = inner._lookup(list(stems))[split]
-        flat, count = gather(inner.flat, inner.start[at.reshape(-1)], inner.length[at.reshape(-1)]), inner.length[at].sum(1)
-        inner.forget(mark)
-        return flat, count, np.arange(len(words))
-
-
-class _Whole(Encoder):
-    """Pieces as they are."""
-
-    def know(self, ids: dict[str, int]) -> None:
-        """Remember pieces of one id each, before any other."""
-        self.at = {piece: n for n, piece in enumerate(ids)}
-        self.start, self.length = np.arange(len(ids)), np.ones(len(ids), np.int64)
-        self.flat = np.array(list(ids.values()), np.uint32)
-
-    def misses(self, words: list[str]):
-        return *self._joined(words, " "), np.arange(len(words))
+    def coded(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        stems, tails = self._cut(pieces)
+        both = pa.concat_arrays([stems, tails]).dictionary_encode()
+        place = self._places(both.dictionary)[both.indices.to_numpy()].reshape(2, -1).T.reshape(-1) if len(both) else np.zeros(0, np.int64)
+        each = self.length[place]
+        flat, length = gather(self.flat, self.start[place], each), each.reshape(-1, 2).sum(1)
+        n = len(self.known)  # what is beyond is not remembered
+        self.start, self.length, self.flat = self.start[:n], self.length[:n], self.flat[: int(self.length[:n].sum())]
+        return np.cumsum(length) - length, length, flat
+
+    def _cut(self, words: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Stem and tail of each word; no tail is empty text."""
+        none = pa.scalar("", pa.large_string())
+        simple = pc.match_substring_regex(words, SIMPLE)
+        small = pc.if_else(simple, pc.utf8_lower(words), words)
+        stems = pc.ascii_rtrim(small, characters=TAILS)
+        cut = pc.and_(pc.and_(simple, pc.match_substring_regex(stems, f"[{SMALL}]$")), pc.not_equal(stems, small))
+        tails = pc.if_else(cut, small, none)
+        tails = pc.replace_with_mask(tails, cut, pc.replace_substring_regex(tails.filter(cut), f"^.*[{SMALL}]", ""))
+        stems = pc.if_else(cut, stems, small)
+        if self.added:
+            token = pc.is_in(words, value_set=pa.array(list(self.added), pa.large_string()))
+            stems = pc.if_else(token, pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), words, none), stems)
+            tails = pc.if_else(token, none, tails)
+        return stems, tails
+
+    def _places(self, distinct: pa.Array) -> np.ndarray:
+        """Places of distinct pieces in start and length; new ones are encoded, and remembered if there is room."""
+        place = pc.fill_null(pc.index_in(distinct, value_set=self.known), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            words = distinct.take(pa.array(new))
+            plain = pc.match_substring_regex(words, f"^[{SMALL}]+$")
+            other = pc.invert(plain)
+            parts = [self._letters(words.filter(plain)), self._joined(words.filter(other).to_pylist(), " ")]
+            order = np.concatenate([np.flatnonzero(x.to_numpy(zero_copy_only=False)) for x in (plain, other)])
+            count = np.concatenate([p[1] for p in parts])
+            place[new[order]] = len(self.start) + np.arange(len(new))
+            self.start = np.append(self.start, len(self.flat) + np.cumsum(count) - count)
+            self.length = np.append(self.length, count)
+            self.flat = np.concatenate([self.flat, *(p[0] for p in parts)])
+            if len(self.known) < REMEMBERED:
+                self.known = pa.concat_arrays([self.known, words.take(pa.array(order))])
+        return place
 
+    def _letters(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of small letters, and how many each has: a word ends with the only token of it that can be a last one."""
+        words, flats, counts = words.to_pylist(), [], []
+        groups = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
+        for i in range(0, len(groups), 16):
+            part = groups[i : i + 16]
+            for group, got in zip(part, self.model.encode_batch_fast([" ".join(g) for g in part], add_special_tokens=False), strict=True):
+                ids = np.array(got.ids, np.uint32)
+                count = np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
+                if len(count) != len(group) or count.sum() != len(ids):  # a model that marks no ends, or lacks a character
+                    ids, count = self._joined(group, " ")
+                flats.append(ids)
+                counts.append(count)
+        return np.concatenate(flats or [np.zeros(0, np.uint32)]), np.concatenate(counts or [np.zeros(0, np.int64)])
 
-#: Punctuation that is always split from a letter before it.
-TAILS = ".,;:!?*$%&#<>|()[]{}\"/@+=~^_-"
 
 #: Texts that the byte-level encoder doesn't cut: white space other than single inner spaces and line feeds, or \x01.
 ODD = "^[ \\n]|[ \\n]$|[ \\n][ \\n]|[\\t\\v\\f\\r\\x{1}\\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"

@@ -255,3 +255,46 @@ def test_other_tokenizers_get_whole_texts(spark, tmp_path):
             library.encode_special_tokens = not added
             ids, counts = pieces.word_encoder(path, added).encode(pa.array(texts))
             assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+#: Letters whose case or composition is out of the ordinary, beside Latin ones and punctuation.
+LETTERS = st.lists(st.lists(st.sampled_from([*"abzAZ'sß×÷ÀÖØÞàöøþÿªºµŸİıſKÅΣςẖ̱́̇̌̈_.,*9 \n\x0b\x0c\x00\x7f", "­", "</w>", "é.", "É,", "j", "h", "T", "it's", "ÑA's", "日", "<|endoftext|>"]), max_size=14).map("".join), min_size=1, max_size=6)
+
+
+@settings(max_examples=400, deadline=None)
+@given(LETTERS)
+def test_letters_of_any_kind(default, plain, texts):
+    for added, want in ((True, default), (False, plain)):
+        ids, counts = pieces.word_encoder(WORD, added).encode(pa.array(texts))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [want(t) for t in texts]
+
+
+def test_words_of_letters_pass_no_patterns(plain, monkeypatch):
+    """Words of Latin letters, in any case and before punctuation, go to the bare model; only others to normalizers and patterns."""
+    tokenizer, seen = pieces.word_encoder(WORD).tokenizer, []
+    encoder = pieces.WordEncoder(tokenizer)
+    monkeypatch.setattr(encoder, "_encode", lambda texts: seen.extend(texts) or tokenizer.encode_batch(texts, add_special_tokens=False))
+    texts = ["Over the RIVER, Élan vital; straße.", "over (the) river's Ñandú, ĺong x2"]
+    ids, counts = encoder.encode(pa.array(texts))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [plain(t) for t in texts]
+    assert sorted(" ".join(seen).split()) == sorted([",", ";", ".", "(the", ")", "river's", "ĺong", "x2"])
+
+
+def test_models_that_mark_no_ends(tmp_path):
+    """Without a suffix of last tokens, and with characters that the vocabulary lacks, ids are the library's."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(WORD, encoding="utf-8") as f:
+        spec = json.load(f)
+    vocab = {t: i for i, t in enumerate([*"abcdefgh", *(f"{x}</w>" for x in "abcdef"), "ab", "ab</w>", "abc</w>"])}
+    for n, suffix in enumerate((None, "</w>")):
+        merges = [["a", "b"], ["a", "b</w>"], ["ab", "c</w>"]] if suffix else [["a", "b"]]
+        other = spec | {"added_tokens": [], "model": spec["model"] | {"end_of_word_suffix": suffix, "vocab": vocab, "merges": merges}}
+        with open(path := str(tmp_path / f"{n}.json"), "w", encoding="utf-8") as f:
+            json.dump(other, f)
+        assert pieces.cuts_at_spaces(other)
+        texts = ["abc ab ah, hab", "a abcabc xyz ab", "", "gh", "xyz"]
+        ids, counts = pieces.word_encoder(path).encode(pa.array(texts))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids for t in texts]
