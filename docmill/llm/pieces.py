@@ -355,3 +355,11 @@ def binary_rows(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(
         pa.large_binary(), len(counts), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(flat))],
     ).cast(pa.binary())
+
+
+def numbers(rows: pa.Array, kind: str) -> np.ndarray:
+    """All numbers of a binary array as binary_rows() makes it, one row after the other."""
+    rows = rows.cast(pa.large_binary())
+    _, ends, data = rows.buffers()
+    ends = np.frombuffer(ends, np.int64)[rows.offset : rows.offset + len(rows) + 1]
+    return np.frombuffer(data or b"", np.uint8)[ends[0] : ends[-1]].view(kind)

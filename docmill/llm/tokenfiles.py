@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import new_path, stage
-from .pieces import binary_rows, word_encoder
+from .pieces import binary_rows, numbers, slices, word_encoder
 from .warc import _mkdir
 
 #: Ids that a coded file holds at most, but for one longer document.
 FILE_IDS = 4 << 20
+#: Bytes of ids that are coded at once, and numbers that are decoded at once; a longer document is a run of its own.
+RUN_BYTES, RUN_IDS = 1 << 20, 1 << 19
 MAGIC = b"DMVB1\n\0\0"
 
 
@@ -82,28 +84,39 @@ def ranks(table: DataFrame, vocab: int) -> np.ndarray:
     return np.lexsort((np.arange(vocab), -counts)).astype(np.uint32)
 
 
-def pack_numbers(values: np.ndarray) -> tuple[bytes, bytes]:
-    """(control bytes, data bytes): two control bits give a number's bytes less one, four numbers to a control byte."""
-    values = values.astype("<u4")
-    width = 1 + (values > 0xFF) + (values > 0xFFFF) + (values > 0xFFFFFF)
-    data = values.view(np.uint8).reshape(-1, 4)[np.arange(4) < width[:, None]]
-    codes = np.zeros(-(-len(values) // 4) * 4, np.uint8)
-    codes[: len(values)] = width - 1
+def _slots(lengths: np.ndarray) -> np.ndarray:
+    """Where the two control bits of each number are, in pairs of bits, if each run of so many numbers begins at a control byte of its own."""
+    room = -(-lengths // 4) * 4
+    return np.arange(int(lengths.sum())) + np.repeat((np.cumsum(room) - room) - (np.cumsum(lengths) - lengths), lengths)
+
+
+def pack_numbers(values: np.ndarray, lengths: np.ndarray | None = None) -> tuple[bytes, bytes]:
+    """(control bytes, data bytes): two control bits give a number's bytes less one, four numbers to a control byte.
+
+    With lengths, the numbers are runs of so many, each of which begins at a control byte of its own.
+    """
+    values, lengths = np.ascontiguousarray(values, "<u4"), np.array([len(values)]) if lengths is None else lengths
+    more = (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
+    data = values.view(np.uint8).reshape(-1, 4)[np.arange(4, dtype=np.uint8) <= more[:, None]]
+    codes = np.zeros(int((-(-lengths // 4)).sum()) * 4, np.uint8)
+    codes[_slots(lengths)] = more
     return (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1, dtype=np.uint8).tobytes(), data.tobytes()
 
 
 #: The four widths that a control byte stands for.
-WIDTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1
+WIDTHS = (((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1).astype(np.uint8)
 
 
-def unpack_numbers(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
-    """The first n numbers: their widths by table lookup, their bytes by shifts."""
-    width = WIDTHS[control].reshape(-1)[:n]
-    start = np.cumsum(width) - width
+def unpack_numbers(control: np.ndarray, data: np.ndarray, n: int | np.ndarray) -> np.ndarray:
+    """The first n numbers, or those of runs of n[0], n[1].. numbers: their widths by table lookup, their bytes by shifts."""
+    width = WIDTHS[control].reshape(-1)
+    width = width[:n] if np.isscalar(n) else width[_slots(n)]
+    start = np.cumsum(width, dtype=np.int64) - width
     data = np.concatenate([data, np.zeros(4, np.uint8)]).astype(np.uint32)
     out = data[start]
     for k in (1, 2, 3):
-        out |= np.where(width > k, data[start + k] << np.uint32(8 * k), np.uint32(0))
+        at = np.flatnonzero(width > k)
+        out[at] |= data[start[at] + k] << np.uint32(8 * k)
     return out
 
 
@@ -123,28 +136,39 @@ def write_coded(table: DataFrame, rank_ids: np.ndarray, path: str) -> DataFrame:
 
         store, root = fs.FileSystem.from_uri(path)
         part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
-        held, ids, nth, done = [], 0, 0, []
+        held, ids, nth, done = [], 0, 0, []  # held: doc_ids, null marks, lengths, control and data bytes of runs of documents
 
         def close() -> None:
             target, own = f"{root}/part-{part:06d}-{nth:05d}.dmvb", f"{root}/_tmp-{part}-{nth}-{attempt}"
+            documents = sum(len(h[0]) // 8 for h in held)
             with store.open_output_stream(own) as f:
-                f.write(MAGIC + struct.pack("<4Q", len(held), ids, sum(len(h[2]) for h in held), sum(len(h[3]) for h in held)))
-                f.write(np.array([h[0] or 0 for h in held], "<i8").tobytes())
-                f.write(np.array([h[0] is None for h in held], np.uint8).tobytes())
-                f.write(np.array([h[1] for h in held], "<u8").tobytes())
-                for k in (2, 3):
+                f.write(MAGIC + struct.pack("<4Q", documents, ids, sum(len(h[3]) for h in held), sum(len(h[4]) for h in held)))
+                for k in range(5):
                     for h in held:
                         f.write(h[k])
             store.move(own, target)
-            done.append((target, len(held), ids))
+            done.append((target, documents, ids))
 
         for batch in batches:
-            for doc_id, n, raw in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
-                held.append((doc_id, n, *pack_numbers(order[np.frombuffer(raw.as_buffer(), wide)])))
-                ids += n
-                if ids > FILE_IDS:
-                    close()
-                    held, ids, nth = [], 0, nth + 1
+            at = 0
+            for raw in slices(batch.column(3), RUN_BYTES):
+                doc_ids, lengths = batch.column(0).slice(at, len(raw)), batch.column(2).slice(at, len(raw)).to_numpy()
+                at += len(raw)
+                values = order[numbers(raw, wide)]
+                ends, first, before = np.cumsum(lengths), 0, 0
+                while first < len(raw):
+                    # up to the document that fills the file, or all
+                    stop = min(len(raw), int(np.searchsorted(ends, before + FILE_IDS - ids, side="right")) + 1)
+                    n = lengths[first:stop]
+                    held.append((
+                        doc_ids[first : stop].fill_null(0).to_numpy().astype("<i8").tobytes(), doc_ids[first : stop].is_null().to_numpy(zero_copy_only=False).astype(np.uint8).tobytes(),
+                        n.astype("<u8").tobytes(), *pack_numbers(values[before : ends[stop - 1]], n),
+                    ))
+                    ids += int(n.sum())
+                    first, before = stop, int(ends[stop - 1])
+                    if ids > FILE_IDS:
+                        close()
+                        held, ids, nth = [], 0, nth + 1
         if held:
             close()
         if done:
@@ -175,24 +199,27 @@ def load_ranks(path: str) -> np.ndarray:
         return np.frombuffer(f.read(), "<u4")
 
 
-def decode_file(content: bytes, rank_ids: np.ndarray) -> Iterator[tuple[int | None, np.ndarray]]:
-    """(doc_id, ids) of each document of a file. Each document's numbers begin at a control byte of their own."""
-    if content[:8] != MAGIC:
+def decode_file(content: bytes | pa.Buffer, rank_ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(doc_ids, null marks, lengths, ids) of runs of a file's documents. Each document's numbers begin at a control byte of their own."""
+    if bytes(memoryview(content)[:8]) != MAGIC:
         raise ValueError("not a coded token file")
     n, _, controls, _ = struct.unpack_from("<4Q", content, 8)
     at = 40
     doc_ids = np.frombuffer(content, "<i8", n, at)
-    null = np.frombuffer(content, np.uint8, n, at + 8 * n)
+    null = np.frombuffer(content, np.uint8, n, at + 8 * n).astype(bool)
     lengths = np.frombuffer(content, "<u8", n, at + 9 * n).astype(np.int64)
     raw = np.frombuffer(content, np.uint8, offset=at + 17 * n)
     control, data = raw[:controls], raw[controls:]
-    c, d = 0, 0
-    for i in range(n):
-        used = -(-lengths[i] // 4)
-        mine = control[c : c + used]
-        size = int(WIDTHS[mine].reshape(-1)[: lengths[i]].sum())
-        yield None if null[i] else int(doc_ids[i]), rank_ids[unpack_numbers(mine, data[d : d + size], int(lengths[i]))]
-        c, d = c + used, d + size
+    ends, used = np.cumsum(lengths), np.concatenate([[0], np.cumsum(-(-lengths // 4))])
+    first, d = 0, 0
+    while first < n:
+        base = ends[first] - lengths[first]
+        stop = max(first + 1, int(np.searchsorted(ends, base + RUN_IDS, side="right")))
+        mine, sizes = control[used[first] : used[stop]], lengths[first:stop]
+        # what fills up a document's last control byte has no data, though its bits say one byte
+        size = int(WIDTHS[mine].sum(dtype=np.int64)) - int((-sizes % 4).sum())
+        yield doc_ids[first:stop], null[first:stop], sizes, rank_ids[unpack_numbers(mine, data[d : d + size], sizes)]
+        first, d = stop, d + size
 
 
 def read_coded(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
@@ -203,19 +230,20 @@ def read_coded(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 part, file = map(int, name.rpartition("/")[2].removesuffix(".dmvb").split("-")[1:])
-                rows = []
-                for k, (doc_id, got) in enumerate(decode_file(content.as_buffer().to_pybytes(), table)):
-                    raw = got.astype("<u4").tobytes()
-                    rows.append({"doc_id": doc_id, "part": part, "file": file, "nth": k, "n_tokens": len(got), "ids_crc32": zlib.crc32(raw), "ids": raw if ids else None})
-                    if len(rows) == 2000:
-                        yield pa.RecordBatch.from_pylist(rows, schema)
-                        rows = []
-                yield pa.RecordBatch.from_pylist(rows, schema)
-
-    schema = pa.schema([
-        ("doc_id", pa.int64()), ("part", pa.int32()), ("file", pa.int32()), ("nth", pa.int64()), ("n_tokens", pa.int64()),
-        ("ids_crc32", pa.int64()), ("ids", pa.binary()),
-    ])
+                nth = 0
+                for doc_ids, null, lengths, got in decode_file(content.as_buffer(), table):
+                    n, got = len(lengths), got.astype("<u4")
+                    raw, ends = memoryview(got).cast("B"), (4 * np.cumsum(lengths)).tolist()
+                    crc = [zlib.crc32(raw[a:b]) for a, b in zip([0, *ends], ends)]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(doc_ids, mask=null), pa.array(np.full(n, part, np.int32)), pa.array(np.full(n, file, np.int32)), pa.array(nth + np.arange(n)),
+                            pa.array(lengths), pa.array(crc, pa.int64()), binary_rows(got, lengths) if ids else pa.nulls(n, pa.binary()),
+                        ],
+                        names=["doc_id", "part", "file", "nth", "n_tokens", "ids_crc32", "ids"],
+                    )
+                    nth += n
+
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.dmvb").load(path).select("path", "content")
     return files.mapInArrow(task, "doc_id long, part int, file int, nth long, n_tokens long, ids_crc32 long, ids binary")
 

@@ -298,3 +298,43 @@ def test_models_that_mark_no_ends(tmp_path):
         texts = ["abc ab ah, hab", "a abcabc xyz ab", "", "gh", "xyz"]
         ids, counts = pieces.word_encoder(path).encode(pa.array(texts))
         assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids for t in texts]
+
+
+RUNS = st.lists(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 2**32 - 1)), max_size=9), min_size=1, max_size=6)
+
+
+@settings(max_examples=150, deadline=None)
+@given(RUNS)
+def test_numbers_of_many_documents_at_once(runs):
+    """Coded together, documents are the bytes that each is alone; they are decoded together too, and read from a slice of rows."""
+    lengths = np.array([len(r) for r in runs], np.int64)
+    flat = np.array([x for r in runs for x in r], "<u4")
+    alone = [tokenfiles.pack_numbers(np.array(r, "<u4")) for r in runs]
+    control, data = tokenfiles.pack_numbers(flat, lengths)
+    assert (control, data) == (b"".join(c for c, _ in alone), b"".join(d for _, d in alone))
+    assert tokenfiles.unpack_numbers(np.frombuffer(control, np.uint8), np.frombuffer(data, np.uint8), lengths).tolist() == flat.tolist()
+    assert pieces.numbers(pieces.binary_rows(flat, lengths)[1:], "<u4").tolist() == flat[lengths[0] :].tolist()
+
+
+@pytest.mark.parametrize(("run_bytes", "run_ids", "file_ids"), [(1, 1, 1), (8, 5, 3), (400, 300, 200), (1 << 20, 1 << 19, 4 << 20)])
+def test_runs_of_documents(docs, plain, monkeypatch, tmp_path, run_bytes, run_ids, file_ids):
+    """Wherever runs and files are cut, each file ends with the document that fills it, and documents come back in order."""
+    want = expected(docs, plain, 1)
+    rows = [(0, i, n, len(ids), np.array(ids, "<u2").tobytes()) for n, (i, ids) in enumerate(want)]
+    table = docs.sparkSession.createDataFrame(rows, "kind int, doc_id long, uid long, n long, ids binary")
+    for name, value in (("RUN_BYTES", run_bytes), ("FILE_IDS", file_ids)):
+        monkeypatch.setattr(tokenfiles, name, value)
+    ranks = np.arange(49408, dtype=np.uint32)[::-1].copy()
+    written = {r.file: (r.documents, r.ids) for r in tokenfiles.write_coded(table, ranks, f"file://{tmp_path}").collect()}
+    monkeypatch.setattr(tokenfiles, "RUN_IDS", run_ids)
+    got = []
+    for file in sorted(written):
+        with open(file, "rb") as f:
+            runs = list(tokenfiles.decode_file(f.read(), ranks))
+        here = [(None if null else int(i), x.tolist()) for ids_, nulls, n, flat in runs for i, null, x in zip(ids_, nulls, np.split(flat, np.cumsum(n)[:-1]), strict=True)]
+        assert written[file] == (len(here), sum(len(x) for _, x in here))
+        assert sum(len(x) for _, x in here[:-1]) <= file_ids
+        got += here
+    assert got == want
+    back = sorted(tokenfiles.read_coded(docs.sparkSession, f"file://{tmp_path}").collect(), key=lambda r: (r.part, r.file, r.nth))
+    assert [(r.doc_id, r.n_tokens, r.ids_crc32, bytes(r.ids)) for r in back] == [(i, len(x), crc(x), np.array(x, "<u4").tobytes()) for i, x in want]
