@@ -15,6 +15,8 @@ from .tokenfiles import vocabulary
 
 #: Pieces of a packing group. A group ends with at most a few open sequences, so larger ones only cost time.
 GROUP = 4096
+#: Groups of a packing task, where that still gives each core a task. Each task writes a file of its own.
+TASK_GROUPS = 4
 
 
 class SumOfSquares:
@@ -79,18 +81,15 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, size: int, key: str = "doc
 
 
 def assign(pieces: DataFrame, size: int, group: int = GROUP) -> DataFrame:
-    """Add sequence_id and offset to staged pieces; ids are read by none of this.
+    """Add sequence_id and offset to staged pieces; of ids it reads what columns of pieces are made from, once.
 
-    Full pieces are sequences of their own. The others are dealt by a hash into groups of about `group` pieces; each
-    group is packed by itself in falling order of length, so that groups are independent and small.
+    Pieces that aren't full are dealt by a hash into groups of about `group` pieces; each group is packed by itself in
+    falling order of length, so that groups are independent and small. Full pieces, which are sequences of their own,
+    are in groups beside those.
     """
-    spark, names = pieces.sparkSession, pieces.columns
-    n = pieces.filter(F.col("length") < size).count()
-    groups = max(1, n // group)
-    whole = pieces.filter(F.col("length") == size).select(
-        *names, F.xxhash64(F.lit("whole"), "uid", "piece").bitwiseOR(F.lit(-(2**63))).alias("sequence_id"),
-        F.lit(0).cast("long").alias("offset"),
-    )
+    spark = pieces.sparkSession
+    n, full = pieces.agg(F.count_if(F.col("length") < size), F.count_if(F.col("length") == size)).first()
+    groups, wholes = max(1, n // group), max(1, full // group)
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,10 +105,15 @@ def assign(pieces: DataFrame, size: int, group: int = GROUP) -> DataFrame:
             a = np.array(out, np.int64).reshape(-1, 2)
             yield pa.record_batch([*batch.columns[:-1], pa.array(a[:, 0]), pa.array(a[:, 1])], [*batch.schema.names[:-1], "sequence_id", "offset"])
 
-    parts = max(1, min(groups, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    dealt = pieces.filter(F.col("length") < size).withColumn("_group", F.pmod(F.xxhash64("uid", "piece"), F.lit(groups)))
-    ordered = dealt.repartition(parts, "_group").sortWithinPartitions("_group", F.desc("length"), "uid", "piece")
-    return whole.unionByName(ordered.mapInArrow(task, f"{types}, sequence_id long, offset long"))
+    deal = F.xxhash64("uid", "piece")
+    of = F.when(F.col("length") < size, F.pmod(deal, F.lit(groups))).otherwise(groups + F.pmod(deal, F.lit(wholes)))
+    ordered = pieces.withColumn("_group", of).repartition(tasks(spark, groups + wholes), "_group").sortWithinPartitions("_group", F.desc("length"), "uid", "piece")
+    return ordered.mapInArrow(task, f"{types}, sequence_id long, offset long")
+
+
+def tasks(spark: SparkSession, groups: int) -> int:
+    """Tasks for so many groups: TASK_GROUPS to each, but as many as there are cores, and no more than spark.sql.shuffle.partitions."""
+    return max(1, min(groups, max(spark.sparkContext.defaultParallelism, groups // TASK_GROUPS), int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def sequences(pieces: DataFrame, placed: DataFrame) -> DataFrame:
@@ -125,7 +129,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, size: int = 2048, end_id
     A null or empty text is its end id alone. Repeated rows and equal ids are packed one by one.
     """
     pieces = cut(docs, tokenizer or vocabulary(), end_id, size)
-    digests = stage(pieces.select("doc_id", "uid", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pack-digests")
+    digests = pieces.select("doc_id", "uid", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return assign(digests, size).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from docmill.llm import bytebpe, packing, pieces, tokenfiles
 
@@ -159,6 +160,46 @@ def test_packed_ids(docs, plain):
     assert sum(r.n_tokens for r in got) == sum(len(ids) for _, ids in expected(docs, plain, 0))
 
 
+def test_packing_in_few_tasks(spark):
+    """Groups share tasks, each of which writes a file; full pieces take no tasks beside them, and each group is packed as if by itself."""
+    table = spark.range(1200).selectExpr("id as uid", "0 as piece", "if(id % 3 = 0, 64, 1 + pmod(hash(id), 63)) as length").withColumn("length", F.col("length").cast("long"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        placed = packing.assign(table, 64, 20)  # 40 groups, and 20 of full pieces
+        assert placed.rdd.getNumPartitions() == 15
+        got = placed.collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted(r.uid for r in got) == list(range(1200))
+    by = {}
+    for r in got:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert all(sorted(parts)[k][0] == sum(n for _, n in sorted(parts)[:k]) for parts in by.values() for k in range(len(parts)))
+    assert sum(parts == [(0, 64)] for parts in by.values()) == 400
+    groups = {}
+    for r in table.withColumn("g", F.expr("pmod(xxhash64(uid, piece), 40)")).filter("length < 64").collect():
+        groups.setdefault(r.g, []).append(r.length)
+    made = 0
+    for lengths in groups.values():
+        packer = packing.SumOfSquares(64)
+        for n in sorted(lengths, reverse=True):
+            packer.place(n)
+        made += packer.made
+    assert len(by) == 400 + made
+
+
+@pytest.mark.parametrize(("groups", "partitions", "tasks"), [(1, 50, 1), (3, 50, 3), (12, 50, 4), (78, 51, 19), (4000, 3000, 1000), (4000, 100, 100)])
+def test_packing_tasks(spark, groups, partitions, tasks):
+    """A task for each core (4 here) while groups are few, then one for each TASK_GROUPS."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        assert packing.tasks(spark, groups) == tasks
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 50), min_size=1, max_size=120))
 def test_sum_of_squares(lengths):
